@@ -126,3 +126,211 @@ def with_ctes(names: list[str], body: str) -> str:
 def register(name: str, sql: str, deps: list[str]) -> None:
     CTE[name] = sql
     DEPS[name] = deps
+
+
+# ----------------------------------------------------------------- dimensions
+def _case(expr: str, pairs, default: str) -> str:
+    whens = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in pairs)
+    return f"CASE {expr} {whens} ELSE {default} END"
+
+
+def _values(rows, cols: str) -> str:
+    def lit(v):
+        if v is None:
+            return "NULL"
+        if isinstance(v, bool):
+            return "true" if v else "false"
+        if isinstance(v, (int, float)):
+            return str(v)
+        return "'" + str(v).replace("'", "''") + "'"
+    body = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
+    return f"(VALUES {body}) AS t({cols})"
+
+
+register("refraw", """
+refraw AS (
+  SELECT CASE WHEN p_partkey % 7 = 0 THEN lpad(CAST(p_partkey AS VARCHAR), 12, '0')
+              ELSE lpad(CAST(p_partkey AS VARCHAR), 13, '0') END AS code,
+         '  ' || p_name || ' ' AS product_name, p_brand || ' ' AS brands, p_type AS categories,
+         CAST(p_size AS VARCHAR) || ' g' AS quantity, 'Brasil' AS countries,
+         (['A','B','C','D','E','F'])[p_partkey % 6 + 1] AS nutriscore_grade,
+         'ref_2026_02' AS run_id, '2026-02-01T00:00:00' AS scraped_at
+  FROM part WHERE p_partkey % 3 <> 0 AND p_partkey % 2 = 0
+  UNION ALL
+  SELECT CASE WHEN p_partkey % 7 = 0 THEN lpad(CAST(p_partkey AS VARCHAR), 12, '0')
+              ELSE lpad(CAST(p_partkey AS VARCHAR), 13, '0') END,
+         'old ' || p_name, p_brand || ' ', p_type, CAST(p_size AS VARCHAR) || ' g', 'Brasil',
+         (['A','B','C','D','E','F'])[p_partkey % 6 + 1], 'ref_2026_01', '2026-01-01T00:00:00'
+  FROM part WHERE p_partkey % 3 <> 0 AND p_partkey % 2 = 0 AND p_partkey % 4 = 0
+)""", [])
+
+register("stg_ref", """
+stg_ref AS (
+  SELECT code AS ean_code, trim(product_name) AS product_name, trim(brands) AS brands, categories,
+         quantity, countries, lower(nutriscore_grade) AS nutriscore_grade, run_id,
+         CAST(scraped_at AS TIMESTAMP) AS scraped_at
+  FROM refraw WHERE code IS NOT NULL AND length(code) IN (8, 13, 14)
+)""", ["refraw"])
+
+_DESC = _case("store_type", config.STORE_TYPE_DESCRIPTION.items(), "'Unknown'")
+register("dim_store", f"""
+dim_store AS (
+  SELECT row_number() OVER (ORDER BY store_id) AS store_key, store_id, store_name, store_type,
+         coverage_states, is_active, CAST(region_count AS INTEGER) AS region_count, website_url,
+         {_DESC} AS store_type_description,
+         CASE WHEN store_type IN ('hypermarket', 'supermarket') THEN 'B2C'
+              WHEN store_type = 'wholesale' THEN 'B2B/B2C' ELSE 'Unknown' END AS business_segment
+  FROM {_values(config.STORE_SEED, "store_id, store_name, store_type, coverage_states, is_active, region_count, website_url")}
+)""", [])
+
+register("region_seed", f"""
+region_seed AS (
+  SELECT * FROM {_values([(s, *r) for s in config.ADAPTER_STORES for r in config.REGION_SEED],
+                          "store, region_code, postal_code, sc_code, hub_id")}
+)""", [])
+
+AS_OF = f"DATE '{config.DEFAULT_AS_OF.isoformat()}'"
+register("dim_date", f"""
+dim_date AS (
+  SELECT date_day,
+    CAST(strftime(date_day, '%Y%m%d') AS INTEGER) AS date_key,
+    extract(day FROM date_day) AS day_of_month,
+    extract(dow FROM date_day) AS day_of_week,
+    strftime(date_day, '%A') AS day_name, strftime(date_day, '%a') AS day_name_short,
+    extract(doy FROM date_day) AS day_of_year,
+    extract(week FROM date_day) AS week_of_year,
+    date_trunc('week', date_day)::DATE AS week_start_date,
+    (date_trunc('week', date_day) + INTERVAL '6 days')::DATE AS week_end_date,
+    extract(month FROM date_day) AS month_of_year,
+    strftime(date_day, '%B') AS month_name, strftime(date_day, '%b') AS month_name_short,
+    date_trunc('month', date_day)::DATE AS month_start_date,
+    (date_trunc('month', date_day) + INTERVAL '1 month' - INTERVAL '1 day')::DATE AS month_end_date,
+    strftime(date_day, '%Y-%m') AS year_month,
+    extract(quarter FROM date_day) AS quarter_of_year,
+    'Q' || extract(quarter FROM date_day) AS quarter_name,
+    date_trunc('quarter', date_day)::DATE AS quarter_start_date,
+    (date_trunc('quarter', date_day) + INTERVAL '3 months' - INTERVAL '1 day')::DATE AS quarter_end_date,
+    extract(year FROM date_day) AS year,
+    date_trunc('year', date_day)::DATE AS year_start_date,
+    (date_trunc('year', date_day) + INTERVAL '1 year' - INTERVAL '1 day')::DATE AS year_end_date,
+    extract(dow FROM date_day) IN (0, 6) AS is_weekend,
+    extract(dow FROM date_day) BETWEEN 1 AND 5 AS is_weekday,
+    CASE WHEN extract(month FROM date_day) >= 4 THEN extract(year FROM date_day)
+         ELSE extract(year FROM date_day) - 1 END AS fiscal_year,
+    date_day = {AS_OF} AS is_today,
+    date_day = {AS_OF} - INTERVAL '1 day' AS is_yesterday,
+    date_day BETWEEN {AS_OF} - INTERVAL '7 days' AND {AS_OF} AS is_last_7_days,
+    date_day BETWEEN {AS_OF} - INTERVAL '30 days' AND {AS_OF} AS is_last_30_days,
+    date_day BETWEEN date_trunc('month', {AS_OF}) AND {AS_OF} AS is_month_to_date,
+    date_day BETWEEN date_trunc('year', {AS_OF}) AND {AS_OF} AS is_year_to_date
+  FROM (SELECT unnest(generate_series((SELECT min(scraped_date) FROM tru), {AS_OF} + INTERVAL '2 years',
+                                      INTERVAL '1 day'))::DATE AS date_day)
+)""", ["tru"])
+
+register("dim_product", """
+dim_product AS (
+  WITH names AS (
+    SELECT product_id, product_name FROM (
+      SELECT product_id, product_name, count(*) AS c FROM tru WHERE product_name IS NOT NULL GROUP BY ALL)
+    QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY c DESC, product_name) = 1),
+  brands AS (
+    SELECT product_id, brand FROM (
+      SELECT product_id, brand, count(*) AS c FROM tru WHERE brand IS NOT NULL GROUP BY ALL)
+    QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY c DESC, brand) = 1),
+  agg AS (
+    SELECT product_id, list(DISTINCT supermarket ORDER BY supermarket) AS stores_carrying,
+           count(DISTINCT supermarket) AS store_count, count(DISTINCT region) AS region_count,
+           min(product_url) AS sample_url
+    FROM tru GROUP BY product_id)
+  SELECT row_number() OVER (ORDER BY a.product_id) AS product_key, a.product_id, n.product_name, b.brand,
+         a.stores_carrying, a.store_count, a.region_count, a.sample_url
+  FROM agg a LEFT JOIN names n USING (product_id) LEFT JOIN brands b USING (product_id)
+)""", ["tru"])
+
+register("dim_brand", f"""
+dim_brand AS (
+  SELECT row_number() OVER (ORDER BY product_count DESC, brand) AS brand_key, brand AS brand_name,
+         product_count, store_count,
+         CASE WHEN product_count >= 100 THEN 'Major Brand' WHEN product_count >= 20 THEN 'Medium Brand'
+              WHEN product_count >= 5 THEN 'Small Brand' ELSE 'Niche Brand' END AS brand_tier,
+         CASE WHEN store_count >= {len(config.STORE_SEED)} THEN 'All Stores' WHEN store_count >= 2 THEN 'Multi-store'
+              ELSE 'Single Store' END AS distribution_level,
+         first_seen_date, last_seen_date
+  FROM (SELECT brand, count(DISTINCT product_id) AS product_count, count(DISTINCT supermarket) AS store_count,
+               min(scraped_date) AS first_seen_date, max(scraped_date) AS last_seen_date
+        FROM tru WHERE brand IS NOT NULL GROUP BY brand)
+)""", ["tru"])
+
+_RCITY = _case("split_part(region_code, '_', 1)", config.REGION_CITY_NAMES, "split_part(region_code, '_', 1)")
+_RS = ", ".join(f"'{x}'" for x in config.REGION_RS_CITIES)
+_MAJOR = ", ".join(f"'{x}'" for x in config.MAJOR_CITIES)
+register("dim_region", f"""
+dim_region AS (
+  SELECT row_number() OVER (ORDER BY region_code) AS region_key, region_code,
+         split_part(region_code, '_', 1) AS city_code, {_RCITY} AS city_name,
+         split_part(region_code, '_', 2) AS neighborhood_code,
+         CASE WHEN split_part(region_code, '_', 1) IN ({_RS}) THEN 'RS' ELSE 'SC' END AS state_code,
+         CASE WHEN split_part(region_code, '_', 1) IN ({_RS}) THEN 'Rio Grande do Sul' ELSE 'Santa Catarina' END AS state_name,
+         postal_codes, stores_in_region, store_count,
+         CASE WHEN {_RCITY} IN ({_MAJOR}) THEN 'Capital/Major City'
+              WHEN store_count >= 2 THEN 'Multi-store Market' ELSE 'Single-store Market' END AS market_type
+  FROM (SELECT region AS region_code,
+               list(DISTINCT postal_code ORDER BY postal_code) FILTER (WHERE postal_code IS NOT NULL) AS postal_codes,
+               list(DISTINCT supermarket ORDER BY supermarket) AS stores_in_region,
+               count(DISTINCT supermarket) AS store_count
+        FROM tru WHERE region IS NOT NULL GROUP BY region)
+)""", ["tru"])
+
+_LCITY = _case("city_code", config.LOCATION_CITY_NAMES, "upper(replace(city_code, '_', ' '))")
+_LNB = _case("neighborhood_code", config.LOCATION_NEIGHBORHOOD_NAMES, "upper(replace(neighborhood_code, '_', ' '))")
+_LRS = ", ".join(f"'{x}'" for x in config.LOCATION_RS_CITIES)
+_CITYKEYS = _values([(k,) for k, _ in config.LOCATION_CITY_NAMES], "k")
+register("dim_location", f"""
+dim_location AS (
+  WITH ids AS (SELECT DISTINCT region AS location_id FROM tru WHERE region IS NOT NULL),
+  matched AS (
+    SELECT location_id,
+           (SELECT k FROM {_CITYKEYS} WHERE location_id = k OR starts_with(location_id, k || '_')
+            ORDER BY length(k) DESC LIMIT 1) AS m
+    FROM ids),
+  parsed AS (
+    SELECT location_id,
+      coalesce(m, CASE WHEN position('_' IN location_id) > 0
+                       THEN left(location_id, position('_' IN location_id) - 1) ELSE location_id END) AS city_code,
+      CASE WHEN m IS NOT NULL THEN CASE WHEN location_id = m THEN 'centro' ELSE substring(location_id, length(m) + 2) END
+           WHEN position('_' IN location_id) > 0 THEN substring(location_id, position('_' IN location_id) + 1)
+           ELSE 'centro' END AS neighborhood_code
+    FROM matched)
+  SELECT row_number() OVER (ORDER BY location_id) AS location_key, location_id,
+         {_LCITY} AS city_name, city_code, {_LNB} AS neighborhood_name, neighborhood_code,
+         CASE WHEN city_code IN ({_LRS}) THEN 'RS' ELSE 'SC' END AS state_code, 'BR' AS country_code,
+         NULL::DECIMAL(9,6) AS latitude, NULL::DECIMAL(9,6) AS longitude
+  FROM parsed
+)""", ["tru"])
+
+register("dim_store_location", """
+dim_store_location AS (
+  SELECT row_number() OVER (ORDER BY s.store_key, l.location_key) AS store_location_key,
+         s.store_key, l.location_key, p.store_id, p.region_code AS location_id, l.city_name,
+         l.neighborhood_name, NULL::VARCHAR AS store_address, rs.hub_id, rs.sc_code, true AS is_active,
+         NULL::DATE AS opened_at, NULL::DATE AS closed_at
+  FROM (SELECT DISTINCT supermarket AS store_id, region AS region_code FROM tru
+        WHERE supermarket IS NOT NULL AND region IS NOT NULL) p
+  JOIN dim_store s ON p.store_id = s.store_id
+  JOIN dim_location l ON p.region_code = l.location_id
+  LEFT JOIN region_seed rs ON rs.store = p.store_id AND rs.region_code = p.region_code
+)""", ["tru", "dim_store", "dim_location", "region_seed"])
+
+register("dim_ean", """
+dim_ean AS (
+  WITH v AS (SELECT DISTINCT unnest(eans) AS ean_code FROM tru WHERE eans IS NOT NULL AND len(eans) > 0),
+  o AS (SELECT * FROM stg_ref QUALIFY row_number() OVER (PARTITION BY ean_code ORDER BY scraped_at DESC, run_id DESC) = 1)
+  SELECT row_number() OVER (ORDER BY v.ean_code) AS ean_key, v.ean_code,
+         coalesce(o.product_name, 'Unknown') AS canonical_name, coalesce(o.brands, 'Unknown') AS canonical_brand,
+         o.categories, o.quantity AS net_weight, o.countries AS country_of_origin, o.nutriscore_grade,
+         CASE WHEN o.nutriscore_grade IN ('a', 'b') THEN 'Excellent' WHEN o.nutriscore_grade = 'c' THEN 'Good'
+              WHEN o.nutriscore_grade = 'd' THEN 'Fair' WHEN o.nutriscore_grade = 'e' THEN 'Poor'
+              ELSE 'Unknown' END AS nutrition_quality,
+         o.ean_code IS NOT NULL AS is_enriched
+  FROM v LEFT JOIN o ON v.ean_code = o.ean_code
+)""", ["tru", "stg_ref"])

@@ -33,3 +33,39 @@ SELECT {", ".join(TRU_COLS)}, array_to_string(eans, '|') AS eans FROM tru"""))
 def m03(spark, sf):
     t = _wh(spark, sf).tru()
     return t.select(*TRU_COLS, F.array_join("eans", "|").alias("eans"))
+
+
+def _dim(name, arrays=()):
+    def run(spark, sf):
+        d = _wh(spark, sf).dim(name)
+        return d.select(*[F.array_join(c, "|").alias(c) if c in arrays else F.col(c) for c in d.columns])
+    return run
+
+
+def _dim_sql(name, arrays=()):
+    from .oracle import CTE  # noqa: F401
+    return name, arrays
+
+
+for _id, _name, _arrays in [
+    ("M-04", "dim_date", ()),
+    ("M-05", "dim_store", ()),
+    ("M-06", "dim_product", ("stores_carrying",)),
+    ("M-07", "dim_brand", ()),
+    ("M-08", "dim_region", ("postal_codes", "stores_in_region")),
+    ("M-09", "dim_location", ()),
+    ("M-10", "dim_store_location", ()),
+    ("M-11", "dim_ean", ()),
+]:
+    _sel = "SELECT * " if not _arrays else "SELECT * EXCLUDE (" + ", ".join(_arrays) + "), " + ", ".join(
+        f"array_to_string({a}, '|') AS {a}" for a in _arrays) + " "
+    register(_id, with_ctes([_name], _sel + f"FROM {_name}"))(_dim(_name, _arrays))
+
+
+@register("M-02", with_ctes(["stg_ref"], """
+SELECT ean_code, product_name, brands, categories, quantity, countries, nutriscore_grade, run_id, scraped_at
+FROM stg_ref"""))
+def m02(spark, sf):
+    return _wh(spark, sf).reference().select(
+        "ean_code", "product_name", "brands", "categories", "quantity", "countries", "nutriscore_grade",
+        "run_id", "scraped_at")

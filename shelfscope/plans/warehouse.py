@@ -18,7 +18,7 @@ from ..config import DEFAULT, Params
 from ..session import scratch_path
 from ..sources import adapter
 
-_LOCK = threading.Lock()
+_LOCK = threading.RLock()
 _BUILDS: dict[tuple, "Warehouse"] = {}
 
 
@@ -74,7 +74,7 @@ class Warehouse:
             "dim_region": lambda: dims.dim_region(self.tru()),
             "dim_location": lambda: dims.dim_location(self.tru()),
             "dim_store_location": lambda: dims.dim_store_location(
-                self.tru(), self.dim("dim_store"), self.dim("dim_location")),
+                self.tru(), self.dim("dim_store"), self.dim("dim_location"), dims.region_seed(self.spark)),
             "dim_ean": lambda: dims.dim_ean(self.tru(), self.reference()),
         }
         if name == "dim_store":

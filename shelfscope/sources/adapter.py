@@ -133,3 +133,50 @@ def bronze_products(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.year("scraped_at").alias("year"), F.month("scraped_at").alias("month"),
         F.dayofmonth("scraped_at").alias("day"),
     )
+
+
+def reference_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Barcode reference records (bronze of the product database), from ``part``.
+
+    Half of the barcoded products (l_partkey mod 3 <> 0 and even) have a record;
+    every fourth has an older second record with another name (latest wins);
+    every seventh carries a 12-digit code (rejected by the length rule). Grade
+    letters run A..F ('F' is not a valid grade).
+    """
+    part = read_table(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand", "p_type", "p_size",
+                      "p_retailprice")
+    k = F.col("p_partkey")
+    base = part.where((F.pmod(k, F.lit(3)) != 0) & (F.pmod(k, F.lit(2)) == 0))
+    code = F.when(F.pmod(k, F.lit(7)) == 0, F.lpad(k.cast("string"), 12, "0")) \
+            .otherwise(F.lpad(k.cast("string"), 13, "0"))
+
+    def rec(name, run_id, ts):
+        return F.struct(
+            name.alias("product_name"), ts.alias("_metadata_scraped_at"), F.lit(run_id).alias("_metadata_run_id"))
+
+    versions = F.when(F.pmod(k, F.lit(4)) == 0, F.array(
+        rec(F.concat(F.lit("  "), F.col("p_name"), F.lit(" ")), "ref_2026_02", F.lit("2026-02-01T00:00:00")),
+        rec(F.concat(F.lit("old "), F.col("p_name")), "ref_2026_01", F.lit("2026-01-01T00:00:00")),
+    )).otherwise(F.array(
+        rec(F.concat(F.lit("  "), F.col("p_name"), F.lit(" ")), "ref_2026_02", F.lit("2026-02-01T00:00:00"))))
+    grade = F.get(F.array(*[F.lit(x) for x in "ABCDEF"]), F.pmod(k, F.lit(6)).cast("int"))
+    r = base.select(code.alias("code"), F.explode(versions).alias("v"), "p_brand", "p_type", "p_size",
+                    "p_retailprice", grade.alias("grade"))
+    return r.select(
+        "code",
+        F.col("v.product_name").alias("product_name"),
+        F.concat(F.col("p_brand"), F.lit(" ")).alias("brands"),
+        F.col("p_type").alias("categories"),
+        F.concat(F.col("p_size").cast("string"), F.lit(" g")).alias("quantity"),
+        F.lit("Brasil").alias("countries"),
+        F.col("grade").alias("nutriscore_grade"),
+        F.struct(F.col("p_retailprice").alias("energy_100g"),
+                 (F.col("p_size") / 10.0).alias("proteins_100g")).alias("nutriments"),
+        F.lit(None).cast("string").alias("ingredients_text"),
+        F.lit(None).cast("string").alias("allergens"),
+        F.lit(None).cast("string").alias("labels"),
+        F.lit(None).cast("string").alias("packaging"),
+        F.lit(None).cast("string").alias("image_url"),
+        F.col("v._metadata_run_id").alias("_metadata_run_id"),
+        F.col("v._metadata_scraped_at").alias("_metadata_scraped_at"),
+    )
