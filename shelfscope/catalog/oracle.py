@@ -80,7 +80,7 @@ tru AS (
     any_value(product_url) AS product_url, supermarket, region,
     any_value(postal_code) AS postal_code, any_value(hub_id) AS hub_id,
     min(price) AS min_price, max(price) AS max_price,
-    CAST(CAST(avg(price) AS DECIMAL(38,6)) AS DOUBLE) AS avg_price,
+    CAST(sum(CAST(round(price * 100) AS BIGINT)) AS DOUBLE) / CAST(count(price) AS DOUBLE) / 100.0 AS avg_price,
     min(list_price) AS min_list_price,
     count(DISTINCT sku_id) AS sku_count,
     list(DISTINCT ean ORDER BY ean) FILTER (WHERE ean IS NOT NULL) AS eans,
@@ -334,3 +334,220 @@ dim_ean AS (
          o.ean_code IS NOT NULL AS is_enriched
   FROM v LEFT JOIN o ON v.ean_code = o.ean_code
 )""", ["tru", "stg_ref"])
+
+
+# ----------------------------------------------------------------------- facts
+def S(x: str) -> str:
+    """Snap a double to 6 decimals (same as functions.columns.snap)."""
+    return f"CAST(CAST({x} AS DECIMAL(38,6)) AS DOUBLE)"
+
+
+def MAVG(x: str) -> str:
+    """Average of 2-decimal values from an exact integer sum (same as money_avg)."""
+    return f"CAST(sum(CAST(round({x} * 100) AS BIGINT)) AS DOUBLE) / CAST(count({x}) AS DOUBLE) / 100.0"
+
+
+def MSUM(x: str) -> str:
+    return f"CAST(sum(CAST(round({x} * 100) AS BIGINT)) AS DOUBLE) / 100.0"
+
+
+def R(x: str, n: int = 2) -> str:
+    """round() decided on the decimal value (same as functions.columns.round_half_up)."""
+    return f"CAST(round(CAST({x} AS DECIMAL(38,6)), {n}) AS DOUBLE)"
+
+
+def PCT(num: str, den: str) -> str:
+    return R(f"(CAST({num} AS DOUBLE) / nullif(CAST({den} AS DOUBLE), 0)) * 100")
+
+
+register("fct_daily_prices", f"""
+fct_daily_prices AS (
+  SELECT p.scraped_date, dp.product_key, ds.store_key, dr.region_key, dd.date_key, db.brand_key, de.ean_key,
+         p.product_id, p.product_name, p.supermarket, p.region, p.brand,
+         p.min_price, p.max_price, p.avg_price, p.min_list_price,
+         p.max_price - p.min_price AS price_range,
+         CASE WHEN p.min_list_price > 0 AND p.min_price > 0
+              THEN {R("((p.min_list_price - p.min_price) / p.min_list_price) * 100")} ELSE 0 END AS discount_pct,
+         p.sku_count, p.is_available, p.total_available_quantity, p.run_id, p.scraped_at
+  FROM tru p
+  JOIN dim_product dp ON p.product_id = dp.product_id
+  JOIN dim_store ds ON p.supermarket = ds.store_id
+  JOIN dim_region dr ON p.region = dr.region_code
+  JOIN dim_date dd ON p.scraped_date = dd.date_day
+  LEFT JOIN dim_brand db ON p.brand = db.brand_name
+  LEFT JOIN dim_ean de ON de.ean_code = p.eans[1]
+)""", ["tru", "dim_product", "dim_store", "dim_region", "dim_date", "dim_brand", "dim_ean"])
+
+register("fct_active_promotions", f"""
+fct_active_promotions AS (
+  SELECT product_key, product_id, product_name, brand_key, brand, store_key, supermarket, region_key, region,
+         date_key, scraped_date, min_price AS promotional_price, min_list_price AS regular_price,
+         discount_pct AS discount_percentage, avg_price,
+         min_list_price - min_price AS absolute_discount,
+         {R("discount_pct", 0)} AS discount_tier,
+         CASE WHEN discount_pct >= 50 THEN 'Hot Deal (50%+)' WHEN discount_pct >= 30 THEN 'Strong Discount (30-50%)'
+              WHEN discount_pct >= 15 THEN 'Moderate Discount (15-30%)' WHEN discount_pct >= 5 THEN 'Light Discount (5-15%)'
+              ELSE 'Minimal Discount (<5%)' END AS promotion_type,
+         discount_pct >= 30 AS is_hot_deal,
+         is_available
+  FROM fct_daily_prices
+  WHERE discount_pct > 0 AND min_list_price > 0 AND min_price > 0
+)""", ["fct_daily_prices"])
+
+register("fct_hot_deals_validated", """
+fct_hot_deals_validated AS (
+  WITH raw AS (
+    SELECT * FROM fct_active_promotions
+    WHERE discount_percentage >= 20 AND is_hot_deal AND regular_price > promotional_price),
+  flags AS (
+    SELECT *, discount_percentage > 70 AS is_suspicious_discount,
+           promotional_price <= 0 OR regular_price <= 0 AS has_invalid_price,
+           discount_percentage >= 20 AND discount_percentage <= 50 AS is_optimal_discount_range,
+           coalesce(brand IS NOT NULL AND length(brand) > 2, false) AS has_known_brand
+    FROM raw),
+  scored AS (
+    SELECT *,
+      CAST((CASE WHEN is_optimal_discount_range THEN 50 ELSE 0 END) + (CASE WHEN NOT is_suspicious_discount THEN 30 ELSE 0 END)
+         + (CASE WHEN NOT has_invalid_price THEN 10 ELSE 0 END) + (CASE WHEN has_known_brand THEN 10 ELSE 0 END) AS INTEGER) AS quality_score,
+      CASE WHEN is_suspicious_discount OR has_invalid_price THEN 'Suspicious'
+           WHEN is_optimal_discount_range AND has_known_brand THEN 'High Quality'
+           WHEN is_optimal_discount_range THEN 'Good Quality' ELSE 'Review Required' END AS legitimacy_level
+    FROM flags),
+  persisted AS (
+    SELECT *,
+      count(*) OVER (PARTITION BY product_key, store_key ORDER BY scraped_date, region_key
+                     ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS deal_persistence_days,
+      count(DISTINCT scraped_date) OVER (PARTITION BY product_key, store_key ORDER BY scraped_date
+                     RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW) AS persistence_days
+    FROM scored),
+  ranked AS (
+    SELECT *, deal_persistence_days = 1 AS is_flash_deal,
+      row_number() OVER (PARTITION BY store_key, date_key ORDER BY quality_score DESC, discount_percentage DESC, product_key, region_key) AS quality_rank,
+      row_number() OVER (PARTITION BY store_key, date_key ORDER BY absolute_discount DESC, product_key, region_key) AS savings_rank,
+      row_number() OVER (PARTITION BY store_key, date_key ORDER BY
+          CASE legitimacy_level WHEN 'High Quality' THEN 1 WHEN 'Good Quality' THEN 2 WHEN 'Review Required' THEN 3 ELSE 4 END,
+          discount_percentage DESC, product_key, region_key) AS overall_rank
+    FROM persisted)
+  SELECT product_key, product_id, product_name, brand_key, brand, store_key, supermarket, region_key, region,
+         date_key, scraped_date, promotional_price, regular_price, discount_percentage, absolute_discount,
+         quality_score, legitimacy_level, is_suspicious_discount, has_invalid_price, is_optimal_discount_range,
+         has_known_brand, deal_persistence_days, persistence_days, is_flash_deal, quality_rank, savings_rank,
+         overall_rank, is_available,
+         legitimacy_level IN ('High Quality', 'Good Quality') AND NOT is_suspicious_discount AND NOT is_flash_deal
+           AND quality_score >= 70 AS is_recommended_deal
+  FROM ranked
+)""", ["fct_active_promotions"])
+
+register("vw_suspicious_hot_deals", f"""
+vw_suspicious_hot_deals AS (
+  SELECT product_id, product_name, brand, supermarket, region, scraped_date, promotional_price, regular_price,
+         discount_percentage, absolute_discount, quality_score, legitimacy_level, deal_persistence_days, is_available,
+         concat_ws(', ',
+           CASE WHEN is_suspicious_discount THEN '{config.FLAG_EXTREME}' END,
+           CASE WHEN has_invalid_price THEN '{config.FLAG_INVALID}' END,
+           CASE WHEN is_flash_deal THEN '{config.FLAG_FLASH}' END,
+           CASE WHEN quality_score < 50 THEN '{config.FLAG_LOW_QUALITY}' END) AS suspicious_reasons,
+         CAST((CASE WHEN is_suspicious_discount THEN 5 ELSE 0 END) + (CASE WHEN has_invalid_price THEN 4 ELSE 0 END)
+           + (CASE WHEN is_flash_deal AND discount_percentage > 50 THEN 3 ELSE 0 END)
+           + (CASE WHEN quality_score < 30 THEN 2 ELSE 0 END) AS INTEGER) AS suspicion_severity,
+         CASE WHEN is_suspicious_discount AND is_flash_deal THEN 'CRITICAL'
+              WHEN is_suspicious_discount OR has_invalid_price THEN 'HIGH'
+              WHEN is_flash_deal AND discount_percentage > 50 THEN 'MEDIUM' ELSE 'LOW' END AS review_priority,
+         is_suspicious_discount, has_invalid_price, is_flash_deal
+  FROM fct_hot_deals_validated
+  WHERE legitimacy_level = 'Suspicious' OR is_suspicious_discount OR has_invalid_price
+     OR (is_flash_deal AND discount_percentage > 50) OR quality_score < 30
+)""", ["fct_hot_deals_validated"])
+
+register("fct_promotion_summary", f"""
+fct_promotion_summary AS (
+  WITH pa AS (
+    SELECT store_key, supermarket, region_key, region, date_key, scraped_date,
+           count(DISTINCT product_key) AS products_on_promotion,
+           count(DISTINCT CASE WHEN is_hot_deal THEN product_key END) AS hot_deal_products,
+           count(DISTINCT brand_key) AS brands_on_promotion,
+           {MAVG("discount_percentage")} AS avg_discount_pct,
+           min(discount_percentage) AS min_discount_pct, max(discount_percentage) AS max_discount_pct,
+           {S("median(discount_percentage)")} AS median_discount_pct,
+           {MSUM("absolute_discount")} AS total_potential_savings,
+           {MAVG("absolute_discount")} AS avg_absolute_discount,
+           {MAVG("promotional_price")} AS avg_promotional_price,
+           {MAVG("regular_price")} AS avg_regular_price
+    FROM fct_active_promotions
+    GROUP BY store_key, supermarket, region_key, region, date_key, scraped_date),
+  dp AS (
+    SELECT store_key, region_key, date_key, count(DISTINCT product_key) AS total_products
+    FROM fct_daily_prices GROUP BY store_key, region_key, date_key)
+  SELECT pa.*, dp.total_products, {PCT("pa.products_on_promotion", "dp.total_products")} AS promotion_penetration_pct
+  FROM pa LEFT JOIN dp ON pa.store_key = dp.store_key AND pa.region_key = dp.region_key AND pa.date_key = dp.date_key
+)""", ["fct_active_promotions", "fct_daily_prices"])
+
+register("fct_daily_price_index", f"""
+fct_daily_price_index AS (
+  SELECT supermarket, region, scraped_date,
+         count(DISTINCT product_id) AS total_products,
+         count(DISTINCT CASE WHEN is_available THEN product_id END) AS available_products,
+         count(DISTINCT CASE WHEN NOT is_available THEN product_id END) AS unavailable_products,
+         min(min_price) AS min_product_price, max(min_price) AS max_product_price,
+         {MAVG("min_price")} AS avg_product_price,
+         {S("median(min_price)")} AS median_product_price,
+         {S("stddev_samp(min_price)")} AS stddev_product_price,
+         {S("quantile_cont(min_price, 0.25)")} AS p25_product_price,
+         {S("quantile_cont(min_price, 0.75)")} AS p75_product_price,
+         {S("quantile_cont(min_price, 0.90)")} AS p90_product_price,
+         {S("quantile_cont(min_price, 0.95)")} AS p95_product_price,
+         CAST(sum(total_available_quantity) AS BIGINT) AS total_inventory_units,
+         {PCT("count(DISTINCT CASE WHEN is_available THEN product_id END)", "count(DISTINCT product_id)")} AS availability_rate_pct
+  FROM tru WHERE min_price IS NOT NULL
+  GROUP BY supermarket, region, scraped_date
+)""", ["tru"])
+
+_CMP = f"""min_price - lowest_price AS price_diff_vs_lowest,
+         {PCT("min_price - lowest_price", "lowest_price")} AS price_premium_pct,
+         highest_price - lowest_price AS price_spread,
+         {PCT("highest_price - lowest_price", "lowest_price")} AS price_spread_pct,
+         price_rank = 1 AS is_cheapest, min_price = highest_price AS is_most_expensive"""
+
+register("fct_price_comparison", f"""
+fct_price_comparison AS (
+  WITH dp AS (
+    SELECT product_id, product_name, brand, scraped_date, supermarket, region, min_price, avg_price, is_available
+    FROM tru WHERE min_price IS NOT NULL),
+  m AS (SELECT product_id, scraped_date FROM dp GROUP BY product_id, scraped_date HAVING count(DISTINCT supermarket) >= 2),
+  pc AS (
+    SELECT p.*, min(p.min_price) OVER w AS lowest_price, max(p.min_price) OVER w AS highest_price,
+           CAST(sum(CAST(round(p.min_price * 100) AS BIGINT)) OVER w AS DOUBLE) / CAST(count(p.min_price) OVER w AS DOUBLE) / 100.0 AS market_avg_price,
+           row_number() OVER (PARTITION BY p.product_id, p.scraped_date ORDER BY p.min_price, p.supermarket, p.region) AS price_rank
+    FROM dp p JOIN m ON p.product_id = m.product_id AND p.scraped_date = m.scraped_date
+    WINDOW w AS (PARTITION BY p.product_id, p.scraped_date))
+  SELECT *, {_CMP} FROM pc
+)""", ["tru"])
+
+register("fct_price_comparison_v2", f"""
+fct_price_comparison_v2 AS (
+  WITH dp AS (
+    SELECT product_key, product_id, product_name, brand_key, brand, date_key, scraped_date, store_key, supermarket,
+           region_key, region, min_price, avg_price, is_available,
+           lower(trim(regexp_replace(product_name, '\\s+', ' ', 'g'))) AS product_name_normalized
+    FROM fct_daily_prices WHERE min_price IS NOT NULL),
+  m AS (SELECT product_name_normalized, date_key FROM dp GROUP BY ALL HAVING count(DISTINCT store_key) >= 2),
+  pc AS (
+    SELECT p.*, min(p.min_price) OVER w AS lowest_price, max(p.min_price) OVER w AS highest_price,
+           CAST(sum(CAST(round(p.min_price * 100) AS BIGINT)) OVER w AS DOUBLE) / CAST(count(p.min_price) OVER w AS DOUBLE) / 100.0 AS market_avg_price,
+           row_number() OVER (PARTITION BY p.product_name_normalized, p.date_key
+                              ORDER BY p.min_price, p.store_key, p.region_key, p.product_key) AS price_rank
+    FROM dp p JOIN m ON p.product_name_normalized = m.product_name_normalized AND p.date_key = m.date_key
+    WINDOW w AS (PARTITION BY p.product_name_normalized, p.date_key))
+  SELECT *, {_CMP} FROM pc
+)""", ["fct_daily_prices"])
+
+register("fct_product_availability", """
+fct_product_availability AS (
+  SELECT product_id, product_name, brand, supermarket, region, scraped_date, is_available, total_available_quantity,
+         sku_count, min_price,
+         CASE WHEN NOT is_available THEN 'out_of_stock' WHEN total_available_quantity = 0 THEN 'out_of_stock'
+              WHEN total_available_quantity <= 5 THEN 'low_stock' WHEN total_available_quantity <= 20 THEN 'medium_stock'
+              ELSE 'in_stock' END AS stock_status,
+         coalesce(total_available_quantity > 0 AND total_available_quantity <= 5, false) AS is_low_inventory
+  FROM tru
+)""", ["tru"])

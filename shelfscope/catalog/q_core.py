@@ -69,3 +69,23 @@ def m02(spark, sf):
     return _wh(spark, sf).reference().select(
         "ean_code", "product_name", "brands", "categories", "quantity", "countries", "nutriscore_grade",
         "run_id", "scraped_at")
+
+
+def _fact(name):
+    def run(spark, sf):
+        return _wh(spark, sf).fact(name)
+    return run
+
+
+for _id, _name in [
+    ("M-12", "fct_daily_prices"),
+    ("M-13", "fct_active_promotions"),
+    ("M-14", "fct_hot_deals_validated"),
+    ("M-15", "vw_suspicious_hot_deals"),
+    ("M-16", "fct_promotion_summary"),
+    ("M-17", "fct_daily_price_index"),
+    ("M-18", "fct_price_comparison"),
+    ("M-19", "fct_price_comparison_v2"),
+    ("M-20", "fct_product_availability"),
+]:
+    register(_id, with_ctes([_name], f"SELECT * FROM {_name}"))(_fact(_name))

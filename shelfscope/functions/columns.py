@@ -20,6 +20,22 @@ def snap(x, scale: int = 6) -> Column:
     return c(x).cast(f"decimal(38,{scale})").cast("double")
 
 
+def cents(x) -> Column:
+    """Money (or any 2-decimal quantity) as an exact integer count of hundredths."""
+    return F.round(c(x) * 100).cast("bigint")
+
+
+def money_sum(x) -> Column:
+    """Exact sum of 2-decimal values (integer hundredths), as double."""
+    return F.sum(cents(x)).cast("double") / 100.0
+
+
+def money_avg(x) -> Column:
+    """Average of 2-decimal values from an exact integer sum: the same bits in
+    every engine and for every partitioning (a double sum is order-dependent)."""
+    return F.sum(cents(x)).cast("double") / F.count(c(x)).cast("double") / 100.0
+
+
 def round_half_up(x, digits: int) -> Column:
     """round() decided on the decimal value: cast to decimal(38,6) first."""
     return F.round(c(x).cast("decimal(38,6)"), digits).cast("double")

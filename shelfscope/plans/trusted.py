@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import snap
 from ..operators.dedup import latest_per_key
 
 GRAIN = ["product_id", "supermarket", "region", "scraped_date"]
@@ -61,7 +60,9 @@ def tru_product(stg: DataFrame) -> DataFrame:
     qtys = F.filter(F.transform("items", lambda i: offer(i)["AvailableQuantity"].cast("bigint")),
                     lambda x: x.isNotNull())
     nn_prices = F.filter(prices, lambda x: x.isNotNull())
-    price_sum = F.aggregate(nn_prices, F.lit(0.0), lambda a, x: a + x)
+    # exact: integer cents, then one division (same bits in every engine)
+    price_cents = F.aggregate(F.transform(nn_prices, lambda x: F.round(x * 100).cast("bigint")),
+                              F.lit(0).cast("bigint"), lambda a, x: a + x)
     skus = F.array_distinct(F.filter(F.transform("items", lambda i: i["itemId"]), lambda x: x.isNotNull()))
     eans = F.array_sort(F.array_distinct(F.filter(F.transform("items", lambda i: i["ean"]),
                                                   lambda x: x.isNotNull())))
@@ -70,7 +71,8 @@ def tru_product(stg: DataFrame) -> DataFrame:
         "postal_code", "hub_id",
         F.array_min(prices).alias("min_price"),
         F.array_max(prices).alias("max_price"),
-        snap(F.when(F.size(nn_prices) > 0, price_sum / F.size(nn_prices))).alias("avg_price"),
+        F.when(F.size(nn_prices) > 0, price_cents.cast("double") / F.size(nn_prices).cast("double") / 100.0)
+         .alias("avg_price"),
         F.array_min(lists).alias("min_list_price"),
         F.size(skus).cast("bigint").alias("sku_count"),
         F.when(F.size(eans) > 0, eans).alias("eans"),
