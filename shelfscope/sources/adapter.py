@@ -180,3 +180,82 @@ def reference_products(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("v._metadata_run_id").alias("_metadata_run_id"),
         F.col("v._metadata_scraped_at").alias("_metadata_scraped_at"),
     )
+
+
+def scraper_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch log (one API batch per driver event).
+
+    run = user x day; store = stores[user mod 5]; region = regions[user mod 8];
+    response time = value x 100 ms (whole ms); an 'error' event is a failed
+    batch (HTTP 500, one retry).
+    """
+    ev = read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value") \
+        .withColumn("ts", F.col("ts").cast("timestamp"))  # no zone in the data: session zone is UTC
+    u = F.col("user_id")
+    rt = F.round(F.col("value") * 100, 0)
+    err = F.col("event_type") == "error"
+    return ev.select(
+        F.concat(F.lit("b"), F.col("event_id").cast("string")).alias("batch_id"),
+        F.concat(F.lit("run_"), u.cast("string"), F.lit("_"), F.date_format("ts", "yyyyMMdd")).alias("run_id"),
+        F.col("event_id").alias("batch_number"),
+        _pick(config.ADAPTER_STORES, F.pmod(u, F.lit(len(config.ADAPTER_STORES))).cast("int")).alias("store"),
+        _pick(config.ADAPTER_REGIONS, F.pmod(u, F.lit(len(config.ADAPTER_REGIONS))).cast("int")).alias("region"),
+        _pick(["sitemap", "category", "fallback"], F.pmod(u, F.lit(3)).cast("int")).alias("discovery_mode"),
+        F.col("ts").alias("started_at"),
+        F.timestamp_micros(F.unix_micros("ts") + (rt * 1000).cast("bigint")).alias("finished_at"),
+        (F.pmod(F.col("event_id"), F.lit(50)) + 1).cast("int").alias("products_count"),
+        F.when(err, 500).otherwise(200).alias("api_status_code"),
+        rt.alias("response_time_ms"),
+        F.when(err, 1).otherwise(0).alias("retry_count"),
+        (~err).alias("success"),
+        (F.col("event_type") == "view").alias("_view"),
+        (F.col("event_type") == "signup").alias("_signup"),
+    )
+
+
+def run_events(batches: DataFrame) -> DataFrame:
+    """Run lifecycle log: start, discovery and finish events per run (what a
+    collector appends while it runs). The finish event omits the discovered
+    count, as the reference's finish_run call may."""
+    r = batches.groupBy("run_id").agg(
+        F.first("store").alias("store"), F.first("region").alias("region"),
+        F.first("discovery_mode").alias("discovery_mode"),
+        F.min("started_at").alias("started_at"), F.max("finished_at").alias("finished_at"),
+        F.count(F.lit(1)).alias("n"), F.count_if(~F.col("success")).alias("errors"),
+        F.sum("products_count").alias("products"),
+        F.sum(F.when(F.col("success"), F.col("products_count")).otherwise(0)).alias("scraped"),
+        F.count_if("_view").alias("views"), F.count_if("_signup").alias("signups"),
+    )
+    null = lambda t: F.lit(None).cast(t)
+    failed = F.col("errors") * 2 > F.col("n")
+    common = [F.col("run_id")]
+    start = r.select(*common, F.lit("start").alias("event"), F.col("started_at").alias("event_ts"),
+                     "store", "region", F.col("started_at").alias("started_at"), null("timestamp").alias("finished_at"),
+                     F.lit("running").alias("status"), null("string").alias("discovery_mode"),
+                     null("double").alias("discovery_duration_seconds"), null("bigint").alias("products_discovered"),
+                     null("bigint").alias("products_scraped"), null("bigint").alias("bytes_downloaded"),
+                     null("bigint").alias("api_calls_count"), null("bigint").alias("api_errors_count"),
+                     null("bigint").alias("validation_errors_count"), null("double").alias("duration_seconds"),
+                     null("string").alias("error_message"))
+    disc = r.select(*common, F.lit("discovery").alias("event"),
+                    F.timestamp_micros(F.unix_micros("started_at") + 1).alias("event_ts"),
+                    null("string").alias("store"), null("string").alias("region"), null("timestamp").alias("started_at"),
+                    null("timestamp").alias("finished_at"), F.lit("running").alias("status"), "discovery_mode",
+                    (F.col("n").cast("double") * 1.5).alias("discovery_duration_seconds"),
+                    (F.col("products") + F.col("views")).alias("products_discovered"),
+                    null("bigint").alias("products_scraped"), null("bigint").alias("bytes_downloaded"),
+                    null("bigint").alias("api_calls_count"), null("bigint").alias("api_errors_count"),
+                    null("bigint").alias("validation_errors_count"), null("double").alias("duration_seconds"),
+                    null("string").alias("error_message"))
+    fin = r.select(*common, F.lit("finish").alias("event"),
+                   F.timestamp_micros(F.unix_micros("finished_at") + 2).alias("event_ts"),
+                   null("string").alias("store"), null("string").alias("region"), null("timestamp").alias("started_at"),
+                   "finished_at", F.when(failed, "failed").otherwise("success").alias("status"),
+                   null("string").alias("discovery_mode"), null("double").alias("discovery_duration_seconds"),
+                   null("bigint").alias("products_discovered"), F.col("scraped").alias("products_scraped"),
+                   (F.col("products") * 2048).alias("bytes_downloaded"), F.col("n").alias("api_calls_count"),
+                   F.col("errors").alias("api_errors_count"), F.col("signups").alias("validation_errors_count"),
+                   ((F.unix_micros("finished_at") - F.unix_micros("started_at")).cast("double") / 1e6)
+                   .alias("duration_seconds"),
+                   F.when(failed, F.lit("api errors")).alias("error_message"))
+    return start.unionByName(disc).unionByName(fin)
