@@ -11,7 +11,7 @@ from .. import config
 
 
 def _arr(values) -> str:
-    return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
+    return "[" + ", ".join("NULL" if v is None else "'" + v.replace("'", "''") + "'" for v in values) + "]"
 
 
 STORES = _arr(config.ADAPTER_STORES)

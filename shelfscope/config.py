@@ -59,11 +59,11 @@ STORE_TYPE_DESCRIPTION = {
 # Region config (region code -> postal code, sales channel, hub id).
 REGION_SEED = [
     ("florianopolis_costeira", "88047-010", "1", "v2.1E10CE150EA319FED789DC6BE7C290F5"),
-    ("criciuma_centro", "88802-000", "1", "v2.1ACA29C622CF7C99ED59045C6074B6C9"),
+    ("florianopolis_santa_monica", "88035-000", "1", None),
     ("blumenau_itoupava", "89052-050", "1", "v2.314053D5BCFB5A6D4C5EA7ED6DF3C455"),
     ("saojose_belavista", "88110-798", "1", "v2.471E6D82FC2AF1E3546612023788DC31"),
     ("poa_nilo", "90470-000", "1", "v2.5549A69410A3F0219D7BCDA860C9D267"),
-    ("torres_centro", "95560-000", "1", "v2.BEDC77227E6E64A871B09C032812BAA7"),
+    ("poa_guadix", "91770-010", "1", "v2.C59E7778E80DE611066F17ABDE1DDCCE"),
     ("balneario_camboriu", "88330-110", "1", "v2.D55FE45FC956CF3452F53FF1829D38B9"),
     ("joinville_aventureiro", "89226-000", "1", "v2.D64E8C3CDDA81BB086AFE28286D484E6"),
 ]
@@ -164,6 +164,14 @@ FLAG_INVALID = "❌ Invalid Pricing"
 FLAG_FLASH = "⚡ Flash Deal (1 day)"
 FLAG_LOW_QUALITY = "⚠️  Low Quality Score"
 
+# Location analyses: coverage status and competition levels
+COVERAGE_ABSENT, COVERAGE_PRESENT = "Ausente", "Presente"
+COMPETITION_LEVELS = [(3, "Alta competição"), (2, "Competição média")]
+COMPETITION_OTHER = "Monopólio local"
+# Price category of the serving table (below 5, below 20, else)
+PRICE_CATEGORIES = [(5, "Budget"), (20, "Mid-Range")]
+PRICE_CATEGORY_OTHER = "Premium"
+
 # Nutrition grade -> quality label
 NUTRITION_QUALITY = [("a", "Excellent"), ("b", "Excellent"), ("c", "Good"), ("d", "Fair"), ("e", "Poor")]
 
