@@ -42,36 +42,32 @@ def tru_product(stg: DataFrame) -> DataFrame:
     quantity come from the first seller of each SKU; ``eans`` is sorted and NULL
     when empty; a NULL quantity does not make ``is_available`` NULL.
 
-    One shuffle: the dedup aggregation (map-side combined). The per-record
-    roll-up runs on the surviving record's ``items`` array with higher-order
-    functions — no explode, no second shuffle.
+    Each landed record is first reduced, row-locally, to its SKU roll-up with
+    higher-order functions over ``items`` (no explode); the dedup aggregation
+    then moves and sorts only these narrow rows — one shuffle, map-side combined.
+    A record whose items are NULL or empty still wins the dedup and is dropped
+    afterwards, as in the reference.
     """
-    s = stg.withColumn("scraped_date", F.to_date("scraped_at"))
-    latest = latest_per_key(
-        s, GRAIN,
-        order=["scraped_at", "run_id", F.get(F.col("items"), 0)["itemId"]],
-        keep=["product_name", "brand", "product_url", "postal_code", "hub_id", "run_id",
-              "scraped_at", "items"])
-    latest = latest.where(F.col("items").isNotNull() & (F.size("items") > 0))
-
     offer = lambda i: F.get(i["sellers"], 0)["commertialOffer"]
-    prices = F.transform("items", lambda i: offer(i)["Price"])
-    lists = F.transform("items", lambda i: offer(i)["ListPrice"])
-    qtys = F.filter(F.transform("items", lambda i: offer(i)["AvailableQuantity"].cast("bigint")),
+    items = F.col("items")
+    prices = F.filter(F.transform(items, lambda i: offer(i)["Price"]), lambda x: x.isNotNull())
+    lists = F.transform(items, lambda i: offer(i)["ListPrice"])
+    qtys = F.filter(F.transform(items, lambda i: offer(i)["AvailableQuantity"].cast("bigint")),
                     lambda x: x.isNotNull())
-    nn_prices = F.filter(prices, lambda x: x.isNotNull())
     # exact: integer cents, then one division (same bits in every engine)
-    price_cents = F.aggregate(F.transform(nn_prices, lambda x: F.round(x * 100).cast("bigint")),
+    price_cents = F.aggregate(F.transform(prices, lambda x: F.round(x * 100).cast("bigint")),
                               F.lit(0).cast("bigint"), lambda a, x: a + x)
-    skus = F.array_distinct(F.filter(F.transform("items", lambda i: i["itemId"]), lambda x: x.isNotNull()))
-    eans = F.array_sort(F.array_distinct(F.filter(F.transform("items", lambda i: i["ean"]),
+    skus = F.array_distinct(F.filter(F.transform(items, lambda i: i["itemId"]), lambda x: x.isNotNull()))
+    eans = F.array_sort(F.array_distinct(F.filter(F.transform(items, lambda i: i["ean"]),
                                                   lambda x: x.isNotNull())))
-    return latest.select(
-        "product_id", "product_name", "brand", "product_url", "supermarket", "region",
-        "postal_code", "hub_id",
+    rec = stg.select(
+        "product_id", "supermarket", "region", F.to_date("scraped_at").alias("scraped_date"),
+        "product_name", "brand", "product_url", "postal_code", "hub_id", "run_id", "scraped_at",
+        F.get(items, 0)["itemId"].alias("_first_item"),
+        (items.isNotNull() & (F.size(items) > 0)).alias("_has_items"),
         F.array_min(prices).alias("min_price"),
         F.array_max(prices).alias("max_price"),
-        F.when(F.size(nn_prices) > 0, price_cents.cast("double") / F.size(nn_prices).cast("double") / 100.0)
+        F.when(F.size(prices) > 0, price_cents.cast("double") / F.size(prices).cast("double") / 100.0)
          .alias("avg_price"),
         F.array_min(lists).alias("min_list_price"),
         F.size(skus).cast("bigint").alias("sku_count"),
@@ -79,8 +75,12 @@ def tru_product(stg: DataFrame) -> DataFrame:
         F.coalesce(F.exists(qtys, lambda x: x > 0), F.lit(False)).alias("is_available"),
         F.when(F.size(qtys) > 0, F.aggregate(qtys, F.lit(0).cast("bigint"), lambda a, x: a + x))
          .alias("total_available_quantity"),
-        "run_id", "scraped_date", "scraped_at",
     )
+    latest = latest_per_key(rec, GRAIN, order=["scraped_at", "run_id", "_first_item"])
+    return latest.where("_has_items").select(
+        "product_id", "product_name", "brand", "product_url", "supermarket", "region", "postal_code", "hub_id",
+        "min_price", "max_price", "avg_price", "min_list_price", "sku_count", "eans", "is_available",
+        "total_available_quantity", "run_id", "scraped_date", "scraped_at")
 
 
 def enforce_contract(df: DataFrame, contract: T.StructType = CONTRACT) -> DataFrame:

@@ -77,8 +77,14 @@ class Warehouse:
                 self.tru(), self.dim("dim_store"), self.dim("dim_location"), dims.region_seed(self.spark)),
             "dim_ean": lambda: dims.dim_ean(self.tru(), self.reference()),
         }
-        if name == "dim_store":
-            return builders[name]()
+        if name in self._tables:
+            return self._tables[name]
+        if name in ("dim_store", "dim_product", "dim_brand", "dim_ean"):
+            # dim_store is a seed; the others are keyed by sequential_key, whose
+            # checkpoint already cut the lineage: no second materialisation
+            df = builders[name]()
+            self._tables[name] = df
+            return df
         return self.table(name, builders[name])
 
     def fact(self, name: str) -> DataFrame:

@@ -54,7 +54,7 @@ def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
         + F.col("l_linenumber").cast("bigint") * 3600)
     list_cents = F.expr("cast(round(l_extendedprice * 100) as bigint) div cast(l_quantity as bigint)")
     name = (F.when(sidx == 1, F.upper("p_name"))
-            .when(sidx == 3, F.regexp_replace("p_name", " ", "  "))
+            .when(sidx == 3, F.replace(F.col("p_name"), F.lit(" "), F.lit("  ")))
             .otherwise(F.col("p_name")))
     pid = F.col("l_partkey").cast("string")
     return df.select(
@@ -62,7 +62,7 @@ def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
         name.alias("product_name"),
         F.when(F.pmod("l_partkey", F.lit(11)) != 0, F.col("p_brand")).alias("brand"),
         F.concat(F.lit("https://www."), store, F.lit(".com.br/"),
-                 F.regexp_replace(F.lower("p_name"), " ", "-"), F.lit("-"), pid, F.lit("/p")).alias("product_url"),
+                 F.replace(F.lower("p_name"), F.lit(" "), F.lit("-")), F.lit("-"), pid, F.lit("/p")).alias("product_url"),
         store.alias("supermarket"),
         region.alias("region"),
         _pick([r[1] for r in config.REGION_SEED], ridx).alias("postal_code"),
@@ -259,3 +259,76 @@ def run_events(batches: DataFrame) -> DataFrame:
                    .alias("duration_seconds"),
                    F.when(failed, F.lit("api errors")).alias("error_message"))
     return start.unionByName(disc).unionByName(fin)
+
+
+def product_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fetched product pages: one per part (store = partkey mod 5), HTML built by
+    string concatenation, unioned with the driver's ``pages`` (no product markup).
+
+    Markup varies the way real stores do: a breadcrumb JSON-LD block before the
+    Product block; brand as object (even keys) or string; offers as object or
+    list (every third key); image as list or string; every 13th page carries a
+    truncated (malformed) Product block; microdata itemprops; CSS selling/list
+    price text in Brazilian format ("R$ 1.234,56"); no JSON-LD at all on every
+    17th page (CSS only).
+    """
+    part = read_table(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand", "p_retailprice")
+    k = F.col("p_partkey")
+    ks = k.cast("string")
+    store = _pick(config.ADAPTER_STORES, F.pmod(k, F.lit(5)).cast("int"))
+    list_c = F.round(F.col("p_retailprice") * 100).cast("bigint")
+    price_c = F.expr("cast(round(p_retailprice * 100) as bigint) * (10 - pmod(p_partkey, 4)) div 10")
+    money = lambda c: F.format_string("%d.%02d", (c / 100).cast("bigint"), F.pmod(c, F.lit(100)))
+    br = lambda c: F.translate(F.format_number(c / 100.0, 2), ",.", ".,")
+    url = F.concat(F.lit("https://www."), store, F.lit(".com.br/"), F.replace(F.lower("p_name"), F.lit(" "), F.lit("-")),
+                   F.lit("-"), ks, F.lit("/p"))
+    ean = F.lpad(ks, 13, "0")
+    brand = F.when(F.pmod(k, F.lit(2)) == 0,
+                   F.concat(F.lit('{"@type":"Brand","name":"'), F.col("p_brand"), F.lit('"}'))) \
+             .otherwise(F.concat(F.lit('"'), F.col("p_brand"), F.lit('"')))
+    offer = F.concat(F.lit('{"@type":"Offer","price":"'), money(price_c), F.lit('","highPrice":"'), money(list_c),
+                     F.lit('","priceCurrency":"BRL","availability":"https://schema.org/'),
+                     F.when(F.pmod(k, F.lit(7)) == 0, F.lit("OutOfStock")).otherwise(F.lit("InStock")), F.lit('"}'))
+    offers = F.when(F.pmod(k, F.lit(3)) == 0, F.concat(F.lit("["), offer, F.lit("]"))).otherwise(offer)
+    img = F.concat(F.lit("http://img.example/"), ks, F.lit(".jpg"))
+    image = F.when(F.pmod(k, F.lit(2)) == 1, F.concat(F.lit('["'), img, F.lit('"]'))) \
+             .otherwise(F.concat(F.lit('"'), img, F.lit('"')))
+    product = F.concat(F.lit('{"@context":"https://schema.org","@type":"Product","name":"'), F.col("p_name"),
+                       F.lit('","sku":"'), ks, F.lit('","gtin13":"'), ean, F.lit('","brand":'), brand,
+                       F.lit(',"image":'), image, F.lit(',"offers":'), offers, F.lit("}"))
+    product = F.when(F.pmod(k, F.lit(13)) == 0, F.substring(product, 1, 60)).otherwise(product)
+    ld = F.when(F.pmod(k, F.lit(17)) == 0, F.lit("")).otherwise(F.concat(
+        F.lit('<script type="application/ld+json">{"@context":"https://schema.org","@type":"BreadcrumbList"}</script>'),
+        F.lit('<script type="application/ld+json">'), product, F.lit("</script>")))
+    html = F.concat(
+        F.lit("<html><head><title>"), F.col("p_name"), F.lit("</title>"), ld, F.lit("</head><body>"),
+        F.lit('<h1 class="product-name">'), F.col("p_name"), F.lit("</h1>"),
+        F.lit('<div itemscope itemtype="https://schema.org/Product"><meta itemprop="name" content="'), F.col("p_name"),
+        F.lit('"><meta itemprop="brand" content="'), F.col("p_brand"), F.lit('"><meta itemprop="gtin13" content="'), ean,
+        F.lit('"><meta itemprop="price" content="'), money(price_c), F.lit('"></div>'),
+        F.lit('<div class="price-selling">R$ '), br(price_c), F.lit('</div><div class="price-list">R$ '), br(list_c),
+        F.lit("</div></body></html>"))
+    synth = part.select((k + 1000000000).alias("page_id"), url.alias("url"), html.alias("html"), F.lit(200).alias("status"))
+    real = read_table(spark, sf_dir, "pages", "page_id", "url", "html").withColumn("status", F.lit(200))
+    return synth.unionByName(real)
+
+
+def sitemaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sitemap documents: one <urlset> per part listing its product page in every
+    store plus a category page; lastmod spread over the last 60 days (every
+    11th entry has none, every 19th an invalid date)."""
+    part = read_table(spark, sf_dir, "part", "p_partkey", "p_name")
+    k = F.col("p_partkey")
+    slug = F.replace(F.lower("p_name"), F.lit(" "), F.lit("-"))
+    lastmod = (F.when(F.pmod(k, F.lit(11)) == 0, F.lit(""))
+                .when(F.pmod(k, F.lit(19)) == 0, F.lit("<lastmod>not-a-date</lastmod>"))
+                .otherwise(F.concat(F.lit("<lastmod>"),
+                                    F.date_format(F.date_sub(F.lit("2026-03-01").cast("date"),
+                                                             F.pmod(k, F.lit(60)).cast("int")), "yyyy-MM-dd"),
+                                    F.lit("</lastmod>"))))
+    entries = [F.concat(F.lit("<url><loc>https://www."), F.lit(s), F.lit(".com.br/"), slug, F.lit("-"),
+                        k.cast("string"), F.lit("/p</loc>"), lastmod, F.lit("</url>")) for s in config.ADAPTER_STORES]
+    cat = F.concat(F.lit("<url><loc>https://www.bistek.com.br/category/"), slug, F.lit("</loc></url>"))
+    xml = F.concat(F.lit('<urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">'), *entries, cat,
+                   F.lit("</urlset>"))
+    return part.select(k.alias("sitemap_id"), xml.alias("xml"))
