@@ -29,4 +29,4 @@ def register(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     # importing the modules registers their queries
-    from . import q_analyses, q_core, q_history, q_ops, q_pages, q_quality, q_reports  # noqa: F401
+    from . import q_analyses, q_core, q_history, q_io, q_ops, q_pages, q_quality, q_reports  # noqa: F401

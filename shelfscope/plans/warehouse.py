@@ -48,6 +48,22 @@ class Warehouse:
             self._tables[name] = df
             return df
 
+    def path(self, name: str) -> str:
+        """A fresh location for a table this build writes."""
+        import uuid
+        return scratch_path(self.spark, f"{self._prefix}/{name}-{uuid.uuid4().hex[:8]}")
+
+    def landed(self) -> str:
+        """The bronze records landed once as Hive-partitioned Parquet (SNK-01 layout)."""
+        if "_landed" not in self._tables:
+            with _LOCK:
+                if "_landed" not in self._tables:
+                    from ..sinks.writers import write_partitioned
+                    p = self.path("landed_bronze")
+                    write_partitioned(self.bronze(), p)
+                    self._tables["_landed"] = p
+        return self._tables["_landed"]
+
     # -- layers ---------------------------------------------------------------
     def bronze(self) -> DataFrame:
         return adapter.bronze_products(self.spark, self.sf_dir)
