@@ -120,7 +120,7 @@ def _order(names: list[str]) -> list[str]:
 def with_ctes(names: list[str], body: str) -> str:
     """``WITH <names and their dependencies> <body>``."""
     parts = [CTE[n].strip() for n in _order(names)]
-    return "WITH " + ",\n".join(parts) + "\n" + body
+    return ("WITH " + ",\n".join(parts) + "\n" + body) if parts else body.strip()
 
 
 def register(name: str, sql: str, deps: list[str]) -> None:

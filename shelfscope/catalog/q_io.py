@@ -491,3 +491,13 @@ def q00(spark, sf):
     """Hot-deal quality report on the landed records."""
     from ..plans.quality_report import hot_deal_quality
     return hot_deal_quality(silver_products(_wh(spark, sf).bronze()))
+
+
+@register("SRT-04", with_ctes(["silver_products"], """
+SELECT supermarket, sku, name, price, list_price, (list_price - price) / list_price * 100 AS discount_pct
+FROM silver_products WHERE (list_price - price) / list_price * 100 > 70
+ORDER BY discount_pct DESC, sku, supermarket, region, collected_at LIMIT 10"""))
+def srt04(spark, sf):
+    """Top-10 suspicious discounts of the bronze quality report (nlargest)."""
+    from ..plans.quality_report import suspicious_top
+    return suspicious_top(silver_products(_wh(spark, sf).bronze()))

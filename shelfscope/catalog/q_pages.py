@@ -314,3 +314,16 @@ def v03(spark, sf):
 
 
 _ = F
+
+
+@register("SRC-19", with_ctes([], """
+SELECT p_partkey AS doc_id, CAST(p_partkey AS VARCHAR) AS product_id, p_name AS name,
+       (CAST(round(p_retailprice * 100) AS BIGINT) * 9 // 10) / 100.0 AS price,
+       CASE WHEN p_partkey % 2 = 0 THEN p_retailprice ELSE (CAST(round(p_retailprice * 100) AS BIGINT) * 9 // 10) / 100.0 END AS list_price,
+       p_size AS stock, 'https://img.example/' || CAST(p_partkey AS VARCHAR) AS image_url,
+       CASE WHEN p_partkey % 2 = 0 THEN p_type || '|All' ELSE p_type END AS categories
+FROM part"""))
+def src19(spark, sf):
+    """GraphQL product normalisation (two response variants) -> flat rows."""
+    g = P.graphql_products(adapter.graphql_documents(spark, sf))
+    return g.withColumn("categories", F.array_join("categories", "|"))

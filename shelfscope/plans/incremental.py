@@ -38,10 +38,12 @@ def merge_upsert(target: DataFrame, source: DataFrame, key: Sequence[str],
     t = target.withColumn("_src", F.lit(0))
     s = source.withColumn("_src", F.lit(1))
     if update_columns is not None:
+        # when matched: update only these columns; when not matched: insert every column
         keep = [c for c in target.columns if c not in key and c not in update_columns]
-        old = target.select(*key, *keep)
-        s = s.drop(*keep).join(old, list(key), "left")
-        s = s.select(*t.columns)
+        old = target.select(*key, *[F.col(c).alias(f"_old_{c}") for c in keep], F.lit(True).alias("_matched"))
+        s = s.join(old, list(key), "left")
+        s = s.select(*[F.when(F.col("_matched"), F.col(f"_old_{c}")).otherwise(F.col(c)).alias(c) if c in keep
+                       else F.col(c) for c in t.columns])
     merged = latest_per_key(t.unionByName(s), list(key), ["_src"])
     return merged.drop("_src").select(*target.columns)
 

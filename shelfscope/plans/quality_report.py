@@ -41,6 +41,8 @@ def hot_deal_quality(silver: DataFrame, min_discount: float = 20, max_discount:
 
 def suspicious_top(silver: DataFrame, n: int = 10, max_discount: float = 70) -> DataFrame:
     """The n largest discounts above ``max_discount`` (nlargest, with a tie-break)."""
-    d = silver.select("supermarket", "sku", "name", "price", "list_price",
+    d = silver.select("supermarket", "sku", "name", "price", "list_price", "region", "collected_at",
                       ((F.col("list_price") - F.col("price")) / F.col("list_price") * 100).alias("discount_pct"))
-    return d.where(F.col("discount_pct") > max_discount).orderBy(F.col("discount_pct").desc(), "sku").limit(n)
+    top = (d.where(F.col("discount_pct") > max_discount)
+            .orderBy(F.col("discount_pct").desc(), "sku", "supermarket", "region", "collected_at").limit(n))
+    return top.drop("region", "collected_at")

@@ -332,3 +332,23 @@ def sitemaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     xml = F.concat(F.lit('<urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">'), *entries, cat,
                    F.lit("</urlset>"))
     return part.select(k.alias("sitemap_id"), xml.alias("xml"))
+
+
+def graphql_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GraphQL product responses (two variants) built from ``part`` as JSON text:
+    even keys {id, name, pricing{price, listPrice}, quantity, image{url}, categories[]},
+    odd keys {sku, name, price, quantity, imageUrl, categories[]}."""
+    part = read_table(spark, sf_dir, "part", "p_partkey", "p_name", "p_type", "p_retailprice", "p_size")
+    k = F.col("p_partkey")
+    price = F.expr("(cast(round(p_retailprice * 100) as bigint) * 9 div 10) / 100.0")
+    cats = F.array(F.struct(F.col("p_type").alias("name")), F.struct(F.lit("All").alias("name")))
+    a = F.to_json(F.struct(k.cast("string").alias("id"), F.col("p_name").alias("name"),
+                           F.struct(price.alias("price"), F.col("p_retailprice").alias("listPrice")).alias("pricing"),
+                           F.col("p_size").alias("quantity"),
+                           F.struct(F.concat(F.lit("http://img.example/"), k.cast("string")).alias("url")).alias("image"),
+                           cats.alias("categories")))
+    b = F.to_json(F.struct(k.cast("string").alias("sku"), F.col("p_name").alias("name"), price.alias("price"),
+                           F.col("p_size").alias("quantity"),
+                           F.concat(F.lit("http://img.example/"), k.cast("string")).alias("imageUrl"),
+                           F.array(F.struct(F.col("p_type").alias("name"))).alias("categories")))
+    return part.select(k.alias("doc_id"), F.when(F.pmod(k, F.lit(2)) == 0, a).otherwise(b).alias("json"))
