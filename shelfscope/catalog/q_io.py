@@ -81,7 +81,7 @@ def snk02(spark, sf):
 @register("SNK-03", with_ctes(["silver_products"], "SELECT * FROM silver_products"))
 def snk03(spark, sf):
     w = _wh(spark, sf)
-    p = W.export_zstd(silver_products(w.bronze()), w.path("silver_zstd"))
+    p = W.export_zstd(w.silver(), w.path("silver_zstd"))
     return spark.read.parquet(p)
 
 
@@ -131,7 +131,7 @@ def snk09(spark, sf):
     """Report bundle: one directory per result set; empty ones flagged, failures isolated."""
     from ..plans import reports as R
     w = _wh(spark, sf)
-    s = silver_products(w.bronze())
+    s = w.silver()
     snap = R.build_snapshot(s, AS_OF)
     reports = {"R-01": R.r01_scorecard(snap), "R-05": R.r05_price_bands(snap),
                "R-06": R.r06_volume_audit(s, AS_OF), "R-07": R.r07_stats(s)}
@@ -490,7 +490,7 @@ UNION ALL SELECT 'by_store', store, count(*), {"CAST(round(CAST(avg(d) AS DECIMA
 def q00(spark, sf):
     """Hot-deal quality report on the landed records."""
     from ..plans.quality_report import hot_deal_quality
-    return hot_deal_quality(silver_products(_wh(spark, sf).bronze()))
+    return hot_deal_quality(_wh(spark, sf).silver())
 
 
 @register("SRT-04", with_ctes(["silver_products"], """
@@ -500,4 +500,4 @@ ORDER BY discount_pct DESC, sku, supermarket, region, collected_at LIMIT 10"""))
 def srt04(spark, sf):
     """Top-10 suspicious discounts of the bronze quality report (nlargest)."""
     from ..plans.quality_report import suspicious_top
-    return suspicious_top(silver_products(_wh(spark, sf).bronze()))
+    return suspicious_top(_wh(spark, sf).silver())

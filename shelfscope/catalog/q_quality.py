@@ -243,7 +243,7 @@ def dq12(spark, sf):
     _sum_sql("price_range", "silver_products", "price",
              "SELECT count(*) FROM silver_products WHERE price < 0 OR price > 100000", "warn")])))
 def dq13(spark, sf):
-    s = silver_products(_wh(spark, sf).bronze()).withColumn(
+    s = _wh(spark, sf).silver().withColumn(
         "_id", F.concat_ws("|", "sku", "supermarket", "region", F.col("collected_at").cast("string")))
     return Q.suite([
         Q.summarize(Q.duplicate_ids(s, "_id"), "duplicate_ids", "silver_products", "sku", "warn"),

@@ -49,21 +49,21 @@ def _wh(spark, sf):
 
 
 def _silver(spark, sf):
-    return R.silver_products(_wh(spark, sf).bronze())
+    return _wh(spark, sf).silver()
 
 
 def _snap(spark, sf):
-    return R.build_snapshot(_silver(spark, sf), AS_OF)
+    return _wh(spark, sf).snapshot()
 
 
 @register("SRC-05", with_ctes(["silver_products"], "SELECT * FROM silver_products"))
 def src05(spark, sf):
-    return _silver(spark, sf)
+    return R.silver_products(_wh(spark, sf).bronze())
 
 
 @register("R-00", with_ctes(["snapshot"], "SELECT * FROM snapshot"))
 def r00(spark, sf):
-    return _snap(spark, sf)
+    return R.build_snapshot(_silver(spark, sf), AS_OF)
 
 
 @register("R-01", with_ctes(["snapshot"], f"""
@@ -104,8 +104,7 @@ WHERE curr.price < hist.old_price AND ((hist.old_price - curr.price) / hist.old_
 ORDER BY discount_pct DESC, curr.supermarket, curr.region, curr.sku
 LIMIT 100"""))
 def r03(spark, sf):
-    s = _silver(spark, sf)
-    return R.r03_recent_drops(s, R.build_snapshot(s, AS_OF), AS_OF)
+    return R.r03_recent_drops(_silver(spark, sf), _snap(spark, sf), AS_OF)
 
 
 @register("R-04", with_ctes(["snapshot"], f"""
@@ -151,8 +150,7 @@ FROM silver_products GROUP BY supermarket, region"""
 
 @register("R-08", with_ctes(["silver_products"], ADHOC))
 def r08(spark, sf):
-    s = _silver(spark, sf)
-    R.register_views(spark, s, R.build_snapshot(s, AS_OF))
+    R.register_views(spark, _silver(spark, sf), _snap(spark, sf))
     return R.query(spark, ADHOC)
 
 
@@ -164,8 +162,7 @@ ORDER BY max(price) - min(price) DESC, ean LIMIT 20"""
 @register("R-09", with_ctes(["snapshot"], COMMON))
 def r09(spark, sf):
     """Documented ad-hoc query: barcodes carried by 2+ stores, widest spread first (top 20)."""
-    s = _silver(spark, sf)
-    R.register_views(spark, s, R.build_snapshot(s, AS_OF))
+    R.register_views(spark, _silver(spark, sf), _snap(spark, sf))
     return R.query(spark, COMMON)
 
 

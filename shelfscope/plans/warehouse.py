@@ -76,6 +76,16 @@ class Warehouse:
         from .trusted import enforce_contract, tru_product
         return self.table("tru_product", lambda: enforce_contract(tru_product(self.stg())))
 
+    def silver(self) -> DataFrame:
+        """Flat landed records (SRC-05), written once: every report reads it."""
+        from .reports import silver_products
+        return self.table("silver_products", lambda: silver_products(self.bronze()))
+
+    def snapshot(self) -> DataFrame:
+        """Latest collection per store x region (R-00), a table as in the reference."""
+        from .reports import build_snapshot
+        return self.table("snapshot", lambda: build_snapshot(self.silver(), self.p.as_of, self.p.snapshot_days))
+
     def reference(self) -> DataFrame:
         from .staging import stg_reference_products
         return stg_reference_products(adapter.reference_products(self.spark, self.sf_dir))
