@@ -49,7 +49,6 @@ def _dim_sql(name, arrays=()):
 
 for _id, _name, _arrays in [
     ("M-04", "dim_date", ()),
-    ("M-05", "dim_store", ()),
     ("M-06", "dim_product", ("stores_carrying",)),
     ("M-07", "dim_brand", ()),
     ("M-08", "dim_region", ("postal_codes", "stores_in_region")),
@@ -89,3 +88,20 @@ for _id, _name in [
     ("M-20", "fct_product_availability"),
 ]:
     register(_id, with_ctes([_name], f"SELECT * FROM {_name}"))(_fact(_name))
+
+
+@register("M-05", with_ctes(["dim_store", "tru"], """
+SELECT s.*, o.observed_products, o.observed_regions, o.first_seen_date, o.last_seen_date
+FROM dim_store s LEFT JOIN (
+  SELECT supermarket, count(DISTINCT product_id) AS observed_products, count(DISTINCT region) AS observed_regions,
+         min(scraped_date) AS first_seen_date, max(scraped_date) AS last_seen_date
+  FROM tru GROUP BY supermarket) o ON s.store_id = o.supermarket"""))
+def m05(spark, sf):
+    """dim_store (the store seed with keys and classifications) with the coverage
+    observed in the trusted table."""
+    w = _wh(spark, sf)
+    obs = w.tru().groupBy(F.col("supermarket").alias("store_id")).agg(
+        F.count_distinct("product_id").alias("observed_products"),
+        F.size(F.collect_set("region")).cast("bigint").alias("observed_regions"),
+        F.min("scraped_date").alias("first_seen_date"), F.max("scraped_date").alias("last_seen_date"))
+    return w.dim("dim_store").join(F.broadcast(obs), "store_id", "left")  # one row per store
