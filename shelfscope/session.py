@@ -23,9 +23,21 @@ BASE_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # AQE sizes shuffle partitions from measured output; these are its targets
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
 }
 
 
+def cluster_conf(input_bytes: int, cores: int) -> dict:
+    """Settings for a run over ``input_bytes`` on ``cores`` executor cores: enough
+    initial shuffle partitions for ~256 MB each (AQE coalesces small ones and
+    splits skewed ones), never fewer than 2 x cores."""
+    parts = max(2 * cores, int(input_bytes // (256 * 1024 * 1024)) + 1)
+    return {"spark.sql.shuffle.partitions": str(parts),
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts)}
+
+
 def build_session(master: str | None = None, app: str = "shelfscope",
                   shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     b = SparkSession.builder.appName(app)
