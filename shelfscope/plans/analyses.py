@@ -238,3 +238,13 @@ def k08_serving_table(daily: DataFrame, dim_product: DataFrame, dim_store: DataF
                     F.col("store_name").alias("supermarket"), "region", F.col("scraped_date").alias("date"),
                     F.col("min_price").alias("price"), F.col("is_available").alias("in_stock"),
                     cat.otherwise(config.PRICE_CATEGORY_OTHER).alias("price_category"))
+
+
+def k06_same_barcode_across_stores(daily: DataFrame, dim_ean: DataFrame) -> DataFrame:
+    """K-06: enriched barcodes sold by 2+ stores, with their price range."""
+    e = dim_ean.select("ean_key", "ean_code", "canonical_name", "is_enriched")
+    j = daily.select("ean_key", "supermarket", "min_price").join(e, "ean_key")
+    g = j.groupBy("ean_code", "canonical_name", "is_enriched").agg(
+        F.size(F.collect_set("supermarket")).cast("bigint").alias("stores"),  # bounded by the stores
+        F.min("min_price").alias("lowest_price"), F.max("min_price").alias("highest_price"))
+    return g.where(F.col("stores") >= 2)

@@ -177,3 +177,12 @@ def k09_alerts(runs: DataFrame, as_of: dt.datetime) -> DataFrame:
         (F.col("success_rate_pct") < 95).alias("success_alert"),
         (F.col("products_scraped") < 0.8 * avg_products).alias("volume_alert"),
     )
+
+
+def breakdown_for(runs: DataFrame, batches: DataFrame, run_id: str) -> DataFrame:
+    """O-06 for one run; an unknown run id is an error, as in the reference."""
+    ids = runs.sparkSession.createDataFrame([(run_id,)], "run_id string")
+    out = o06_breakdown(runs, batches, ids)
+    if out.isEmpty():
+        raise ValueError(f"run {run_id} not found")
+    return out

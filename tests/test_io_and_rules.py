@@ -66,3 +66,38 @@ def test_merge_upsert_updates_only_given_columns(spark):
     s = spark.createDataFrame([(2, 25.0, "changed"), (3, 30.0, "z")], "k int, price double, note string")
     out = {r.k: (r.price, r.note) for r in I.merge_upsert(t, s, ["k"], update_columns=["price"]).collect()}
     assert out == {1: (10.0, "x"), 2: (25.0, "y"), 3: (30.0, "z")}
+
+
+def test_breakdown_for_unknown_run(spark):
+    from shelfscope.plans import observability as O
+    from shelfscope.sources import adapter
+    from .conftest import SF_SMALL
+    b = adapter.scraper_batches(spark, SF_SMALL)
+    runs = O.fold_runs(adapter.run_events(b))
+    rid = runs.select("run_id").first().run_id
+    assert O.breakdown_for(runs, b, rid).count() == 1
+    with pytest.raises(ValueError):
+        O.breakdown_for(runs, b, "no-such-run")
+
+
+def test_approximate_quantiles_path(spark):
+    from shelfscope.plans.facts import fct_daily_price_index
+    from shelfscope.plans.warehouse import warehouse
+    from .conftest import SF_SMALL
+    t = warehouse(spark, SF_SMALL).tru()
+    exact = {(r.supermarket, r.region, r.scraped_date): r.p95_product_price
+             for r in fct_daily_price_index(t).collect()}
+    approx = fct_daily_price_index(t, exact_quantiles=False).collect()
+    assert len(approx) == len(exact)
+    assert all(r.p95_product_price is not None for r in approx)
+
+
+def test_incremental_partition_overwrite_is_idempotent(spark):
+    import datetime as dt2
+    from shelfscope.plans.warehouse import warehouse
+    from .conftest import SF_SMALL
+    t = warehouse(spark, SF_SMALL).tru().select("product_id", "supermarket", "region", "scraped_date", "min_price")
+    p = tempfile.mkdtemp(prefix="shelfscope-inc-") + "/t"
+    first = I.run_incremental(spark, t, p, dt2.date(2026, 2, 20)).count()
+    again = I.run_incremental(spark, t, p, dt2.date(2026, 2, 20)).count()
+    assert first == again == t.count()
