@@ -16,6 +16,12 @@ def S(x):
     return f"CAST(CAST({x} AS DECIMAL(38,6)) AS DOUBLE)"
 
 
+def MU(x):
+    """Average of microsecond-resolution seconds from an exact integer sum (micros_avg)."""
+    us = f"CAST(round(({x}) * 1e6) AS BIGINT)"
+    return f"CAST(sum({us}) AS DOUBLE) / CAST(count({us}) AS DOUBLE) / 1e6"
+
+
 def since(days):
     return f"started_at > TIMESTAMP '{(OPS_AS_OF - dt.timedelta(days=days)).isoformat(sep=' ')}'"
 
@@ -71,9 +77,9 @@ def o10(spark, sf):
 
 
 _O1 = f"""SELECT store, discovery_mode, count(*) AS total_runs,
-       {S("avg(discovery_duration_seconds)")} AS avg_discovery_duration,
+       avg(discovery_duration_seconds) AS avg_discovery_duration,
        CAST(sum(products_discovered) AS BIGINT) AS total_products_discovered,
-       {S("avg(products_discovered)")} AS avg_products_per_run,
+       avg(products_discovered) AS avg_products_per_run,
        {S("avg(products_discovered / nullif(discovery_duration_seconds, 0))")} AS avg_products_per_second
 FROM runs WHERE {since(7)} AND discovery_duration_seconds IS NOT NULL GROUP BY store, discovery_mode"""
 
@@ -84,19 +90,19 @@ def o01(spark, sf):
 
 
 @register("O-02", with_ctes(["runs"], f"""
-SELECT date_trunc('day', started_at) AS date, store, {S("avg(discovery_duration_seconds)")} AS avg_discovery_duration,
-       {S("avg(products_discovered)")} AS avg_products_discovered, count(*) AS runs_count
+SELECT date_trunc('day', started_at) AS date, store, avg(discovery_duration_seconds) AS avg_discovery_duration,
+       avg(products_discovered) AS avg_products_discovered, count(*) AS runs_count
 FROM runs WHERE {since(30)} AND discovery_duration_seconds IS NOT NULL
 GROUP BY date_trunc('day', started_at), store"""))
 def o02(spark, sf):
     return O.o02_discovery_trend(_runs(spark, sf), OPS_AS_OF)
 
 
-_O3 = f"""SELECT b.region, count(*) AS total_batches, {S("avg(response_time_ms)")} AS avg_response_time_ms,
+_O3 = f"""SELECT b.region, count(*) AS total_batches, avg(response_time_ms) AS avg_response_time_ms,
        {S("quantile_cont(response_time_ms, 0.5)")} AS p50_response_time_ms,
        {S("quantile_cont(response_time_ms, 0.95)")} AS p95_response_time_ms,
-       {S("avg(products_count)")} AS avg_products_per_batch,
-       {S("CAST(count(*) FILTER (WHERE NOT success) AS DOUBLE) / count(*)")} AS error_rate
+       avg(products_count) AS avg_products_per_batch,
+       CAST(count(*) FILTER (WHERE NOT success) AS DOUBLE) / count(*) AS error_rate
 FROM batches b JOIN runs r ON b.run_id = r.run_id
 WHERE r.{since(7)} AND b.region IS NOT NULL GROUP BY b.region"""
 
@@ -117,11 +123,11 @@ def o04(spark, sf):
 
 
 _O5 = f"""SELECT store, count(*) AS total_runs,
-       {S("CAST(count(*) FILTER (WHERE status = 'success') AS DOUBLE) / count(*)")} AS success_rate,
-       {S("avg(duration_seconds)")} AS avg_total_duration,
-       {S("avg(discovery_duration_seconds)")} AS avg_discovery_duration,
-       {S("avg(duration_seconds - coalesce(discovery_duration_seconds, 0))")} AS avg_scraping_duration,
-       {S("avg(products_scraped)")} AS avg_products_scraped,
+       CAST(count(*) FILTER (WHERE status = 'success') AS DOUBLE) / count(*) AS success_rate,
+       {MU("duration_seconds")} AS avg_total_duration,
+       avg(discovery_duration_seconds) AS avg_discovery_duration,
+       {MU("duration_seconds - coalesce(discovery_duration_seconds, 0)")} AS avg_scraping_duration,
+       avg(products_scraped) AS avg_products_scraped,
        {S("avg(products_scraped / nullif(duration_seconds, 0))")} AS avg_products_per_second_overall
 FROM runs WHERE {since(7)} AND status IN ('success', 'failed') GROUP BY store"""
 
@@ -132,7 +138,7 @@ def o05(spark, sf):
 
 
 @register("O-06", with_ctes(["runs"], f"""
-, bs AS (SELECT run_id, count(*) AS total_batches, {S("avg(response_time_ms)")} AS avg_response_time_ms,
+, bs AS (SELECT run_id, count(*) AS total_batches, avg(response_time_ms) AS avg_response_time_ms,
                min(response_time_ms) AS min_response_time_ms, max(response_time_ms) AS max_response_time_ms,
                {S("quantile_cont(response_time_ms, 0.95)")} AS p95_response_time_ms,
                CAST(sum(products_count) AS BIGINT) AS total_products,
@@ -148,7 +154,7 @@ def o06(spark, sf):
 
 @register("O-07", with_ctes(["runs"], f"""
 , o1 AS ({_O1}), o3 AS ({_O3}), o5 AS ({_O5})
-SELECT 'discovery' AS area, store AS subject, {S("avg_discovery_duration / (avg_discovery_duration + 100) * 100")} AS metric,
+SELECT 'discovery' AS area, store AS subject, avg_discovery_duration / (avg_discovery_duration + 100) * 100 AS metric,
        'discovery takes over 30% of the run: cache the product list' AS recommendation
 FROM o1 WHERE avg_discovery_duration / (avg_discovery_duration + 100) * 100 > 30
 UNION ALL
@@ -165,7 +171,7 @@ def o07(spark, sf):
 SELECT count(*) AS total_runs, count(*) FILTER (WHERE status = 'success') AS successful_runs,
        count(*) FILTER (WHERE status = 'failed') AS failed_runs,
        CAST(sum(products_scraped) AS BIGINT) AS total_products_scraped,
-       {S("avg(duration_seconds)")} AS avg_duration_seconds, max(started_at) AS last_run_at
+       {MU("duration_seconds")} AS avg_duration_seconds, max(started_at) AS last_run_at
 FROM runs"""))
 def o08(spark, sf):
     return O.o08_run_stats(_runs(spark, sf))
@@ -187,11 +193,11 @@ def o09b(spark, sf):
 
 
 _K2 = f"""SELECT store,
-       {S(f"CAST(epoch_us(TIMESTAMP '{OPS_AS_OF.isoformat(sep=' ')}') - epoch_us(max(finished_at)) AS DOUBLE) / 1e6 / 3600")} AS freshness_hours,
-       {S("CAST(count(*) FILTER (WHERE status = 'success') AS DOUBLE) / count(*) * 100")} AS success_rate_pct,
+       CAST(epoch_us(TIMESTAMP '{OPS_AS_OF.isoformat(sep=' ')}') - epoch_us(max(finished_at)) AS DOUBLE) / 1e6 / 3600 AS freshness_hours,
+       CAST(count(*) FILTER (WHERE status = 'success') AS DOUBLE) / count(*) * 100 AS success_rate_pct,
        count(DISTINCT CAST(started_at AS DATE)) AS active_days,
        CAST(sum(products_scraped) AS BIGINT) AS products_scraped,
-       {S("sum(products_scraped) / count(DISTINCT CAST(started_at AS DATE))")} AS products_per_day
+       CAST(sum(products_scraped) AS BIGINT) / count(DISTINCT CAST(started_at AS DATE)) AS products_per_day
 FROM runs GROUP BY store"""
 
 

@@ -188,7 +188,7 @@ def k05_alerts(hd: DataFrame) -> DataFrame:
     ratio = F.col("suspicious_deals") / F.col("deals")
     level = (F.when(F.col("suspicious_deals") > 50, "CRITICAL").when(F.col("avg_quality_score") < 50, "WARNING")
               .when(F.col("flash_deals") > 100, "INFO").otherwise("OK"))
-    return g.select("*", snap(ratio).alias("suspicious_ratio"), (ratio < 0.10).alias("suspicious_ratio_ok"),
+    return g.select("*", ratio.alias("suspicious_ratio"), (ratio < 0.10).alias("suspicious_ratio_ok"),
                     (F.col("avg_quality_score") > 60).alias("quality_ok"), level.alias("alert_level"))
 
 

@@ -15,6 +15,12 @@ RUN_FIELDS = ["store", "region", "started_at", "finished_at", "status", "discove
               "error_message"]
 
 
+def micros_avg(c) -> F.Column:
+    """Average of microsecond-resolution seconds from an exact integer sum."""
+    us = F.round(c * 1e6).cast("bigint")
+    return F.sum(us).cast("double") / F.count(us).cast("double") / 1e6
+
+
 def fold_runs(events: DataFrame) -> DataFrame:
     """O-10: run table from lifecycle events — per field, the latest non-NULL
     value wins (an omitted field never overwrites a known one). One
@@ -33,9 +39,9 @@ def o01_discovery_performance(runs: DataFrame, as_of: dt.datetime, days: int = 7
     r = runs.where(_since(as_of, days) & F.col("discovery_duration_seconds").isNotNull())
     return r.groupBy("store", "discovery_mode").agg(
         F.count(F.lit(1)).alias("total_runs"),
-        snap(F.avg("discovery_duration_seconds")).alias("avg_discovery_duration"),
+        F.avg("discovery_duration_seconds").alias("avg_discovery_duration"),
         F.sum("products_discovered").alias("total_products_discovered"),
-        snap(F.avg("products_discovered")).alias("avg_products_per_run"),
+        F.avg("products_discovered").alias("avg_products_per_run"),
         snap(F.avg(safe_div("products_discovered", "discovery_duration_seconds"))).alias("avg_products_per_second"),
     )
 
@@ -45,8 +51,8 @@ def o02_discovery_trend(runs: DataFrame, as_of: dt.datetime, days: int = 30, sto
     if store:  # FLT-11: optional predicate
         r = r.where(F.col("store") == store)
     return r.groupBy(F.date_trunc("day", "started_at").alias("date"), "store").agg(
-        snap(F.avg("discovery_duration_seconds")).alias("avg_discovery_duration"),
-        snap(F.avg("products_discovered")).alias("avg_products_discovered"),
+        F.avg("discovery_duration_seconds").alias("avg_discovery_duration"),
+        F.avg("products_discovered").alias("avg_products_discovered"),
         F.count(F.lit(1)).alias("runs_count"),
     )
 
@@ -62,11 +68,11 @@ def o03_batch_performance(batches: DataFrame, runs: DataFrame, as_of, days: int
     rt = F.col("response_time_ms")
     return b.groupBy("region").agg(
         F.count(F.lit(1)).alias("total_batches"),
-        snap(F.avg(rt)).alias("avg_response_time_ms"),
+        F.avg(rt).alias("avg_response_time_ms"),
         snap(F.percentile(rt, 0.5)).alias("p50_response_time_ms"),
         snap(F.percentile(rt, 0.95)).alias("p95_response_time_ms"),
-        snap(F.avg("products_count")).alias("avg_products_per_batch"),
-        snap(F.count_if(~F.col("success")).cast("double") / F.count(F.lit(1))).alias("error_rate"),
+        F.avg("products_count").alias("avg_products_per_batch"),
+        (F.count_if(~F.col("success")).cast("double") / F.count(F.lit(1))).alias("error_rate"),
     )
 
 
@@ -82,11 +88,11 @@ def o05_run_summary(runs: DataFrame, as_of, days: int = 7) -> DataFrame:
     d = F.col("duration_seconds")
     return r.groupBy("store").agg(
         F.count(F.lit(1)).alias("total_runs"),
-        snap(F.count_if(F.col("status") == "success").cast("double") / F.count(F.lit(1))).alias("success_rate"),
-        snap(F.avg(d)).alias("avg_total_duration"),
-        snap(F.avg("discovery_duration_seconds")).alias("avg_discovery_duration"),
-        snap(F.avg(d - F.coalesce("discovery_duration_seconds", F.lit(0.0)))).alias("avg_scraping_duration"),
-        snap(F.avg("products_scraped")).alias("avg_products_scraped"),
+        (F.count_if(F.col("status") == "success").cast("double") / F.count(F.lit(1))).alias("success_rate"),
+        micros_avg(d).alias("avg_total_duration"),
+        F.avg("discovery_duration_seconds").alias("avg_discovery_duration"),
+        micros_avg(d - F.coalesce("discovery_duration_seconds", F.lit(0.0))).alias("avg_scraping_duration"),
+        F.avg("products_scraped").alias("avg_products_scraped"),
         snap(F.avg(safe_div("products_scraped", d))).alias("avg_products_per_second_overall"),
     )
 
@@ -97,7 +103,7 @@ def o06_breakdown(runs: DataFrame, batches: DataFrame, run_ids: DataFrame | None
     r = runs if run_ids is None else runs.join(run_ids, "run_id", "left_semi")
     rt = F.col("response_time_ms")
     b = batches.groupBy("run_id").agg(
-        F.count(F.lit(1)).alias("total_batches"), snap(F.avg(rt)).alias("avg_response_time_ms"),
+        F.count(F.lit(1)).alias("total_batches"), F.avg(rt).alias("avg_response_time_ms"),
         F.min(rt).alias("min_response_time_ms"), F.max(rt).alias("max_response_time_ms"),
         snap(F.percentile(rt, 0.95)).alias("p95_response_time_ms"),
         F.sum("products_count").alias("total_products"),
@@ -113,7 +119,7 @@ def o07_recommendations(runs: DataFrame, batches: DataFrame, as_of, days: int =
     share = F.col("avg_discovery_duration") / (F.col("avg_discovery_duration") + 100) * 100
     disc = (o1.where(share > 30)
               .select(F.lit("discovery").alias("area"), F.col("store").alias("subject"),
-                      snap(share).alias("metric"),
+                      share.alias("metric"),
                       F.lit("discovery takes over 30% of the run: cache the product list").alias("recommendation")))
     o3 = o03_batch_performance(batches, runs, as_of, days)
     med = o3.agg(F.median("p95_response_time_ms").alias("_med"))  # one row
@@ -136,7 +142,7 @@ def o08_run_stats(runs: DataFrame) -> DataFrame:
         F.count_if(F.col("status") == "success").alias("successful_runs"),
         F.count_if(F.col("status") == "failed").alias("failed_runs"),
         F.sum("products_scraped").alias("total_products_scraped"),
-        snap(F.avg("duration_seconds")).alias("avg_duration_seconds"),
+        micros_avg(F.col("duration_seconds")).alias("avg_duration_seconds"),
         F.max("started_at").alias("last_run_at"),
     )
 
@@ -156,13 +162,13 @@ def o09_discovery_modes(runs: DataFrame) -> DataFrame:
 def k02_operational(runs: DataFrame, as_of: dt.datetime) -> DataFrame:
     """Freshness (hours since the last run), success rate and products per day, per store."""
     per_store = runs.groupBy("store").agg(
-        snap((F.unix_micros(F.lit(as_of).cast("timestamp")) - F.unix_micros(F.max("finished_at"))).cast("double")
-             / 1e6 / 3600).alias("freshness_hours"),
-        snap(F.count_if(F.col("status") == "success").cast("double") / F.count(F.lit(1)) * 100).alias("success_rate_pct"),
+        ((F.unix_micros(F.lit(as_of).cast("timestamp")) - F.unix_micros(F.max("finished_at"))).cast("double")
+         / 1e6 / 3600).alias("freshness_hours"),
+        (F.count_if(F.col("status") == "success").cast("double") / F.count(F.lit(1)) * 100).alias("success_rate_pct"),
         F.count_distinct(F.to_date("started_at")).alias("active_days"),
         F.sum("products_scraped").alias("products_scraped"),
     )
-    return per_store.withColumn("products_per_day", snap(F.col("products_scraped") / F.col("active_days")))
+    return per_store.withColumn("products_per_day", F.col("products_scraped") / F.col("active_days"))
 
 
 def k09_alerts(runs: DataFrame, as_of: dt.datetime) -> DataFrame:
