@@ -10,8 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import apply_conf
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -20,7 +24,12 @@ def register(name: str, oracle: str | None = None):
     def deco(fn):
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
-        QUERIES[name] = fn
+
+        @functools.wraps(fn)
+        def run(spark, sf_dir):
+            apply_conf(spark)  # sessions made by others: pin what results depend on
+            return fn(spark, sf_dir)
+        QUERIES[name] = run
         if oracle is not None:
             ORACLE[name] = oracle
         return fn

@@ -23,6 +23,10 @@ BASE_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # A whole-stage method above HotSpot's 8000-byte limit is never JIT-compiled and runs
+    # interpreted; at this limit Spark instead falls back to per-expression code for
+    # that stage, which the JIT does compile (wide nested projections hit it).
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # AQE sizes shuffle partitions from measured output; these are its targets
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
     "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
@@ -57,7 +61,7 @@ def build_session(master: str | None = None, app: str = "shelfscope",
 def apply_conf(spark: SparkSession) -> None:
     """Pin the settings results depend on, on a session made by someone else."""
     for k in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled",
-              "spark.sql.sources.partitionOverwriteMode"):
+              "spark.sql.sources.partitionOverwriteMode", "spark.sql.codegen.hugeMethodLimit"):
         spark.conf.set(k, BASE_CONF[k])
 
 
