@@ -14,7 +14,6 @@ from ..functions import validate as V
 from ..plans import enrichment as E
 from ..plans import incremental as I
 from ..plans.history import ATTRS as SNAP_ATTRS, KEY as SNAP_KEY, WATCHED
-from ..plans.reports import silver_products
 from ..plans.staging import stg_products
 from ..plans.trusted import GRAIN
 from ..plans.warehouse import warehouse

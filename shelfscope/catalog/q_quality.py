@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from .. import config
 from ..functions import validate as V
 from ..operators import quality as Q
-from ..plans.reports import silver_products
 from ..plans.trusted import CONTRACT, NOT_NULL
 from ..plans.warehouse import warehouse
 from ..sources import adapter

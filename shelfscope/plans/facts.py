@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..config import DEFAULT, Params
-from ..functions.columns import cents, first_of, money_avg, money_sum, pct, round_half_up, safe_div, snap
+from ..functions.columns import cents, first_of, money_avg, money_sum, pct, round_half_up, snap
 from ..operators.keys import rank_within_groups
 
 
@@ -304,8 +304,3 @@ def fct_product_availability(tru: DataFrame) -> DataFrame:
         status.alias("stock_status"),
         ((q > 0) & (q <= 5)).alias("is_low_inventory"),
     )
-
-
-__all__ = ["fct_daily_prices", "fct_active_promotions", "fct_hot_deals_validated", "vw_suspicious_hot_deals",
-           "fct_promotion_summary", "fct_daily_price_index", "fct_price_comparison",
-           "fct_price_comparison_v2", "fct_product_availability", "safe_div"]
