@@ -66,3 +66,22 @@ def test_suspicious_view_orders_by_priority_rank(spark):
     v = vw_suspicious_hot_deals(fct_hot_deals_validated(fct_active_promotions(_daily(spark, rows)))).collect()
     # 5 (extreme) + 3 (flash above 50 %) + 2 (score 20 < 30)
     assert v[0].review_priority == "CRITICAL" and v[0].suspicion_severity == 10
+
+
+def test_invalid_price_flag_on_raw_input(spark):
+    # upstream filters make this impossible in the pipeline; the flag still works on raw rows
+    raw = fct_active_promotions(_daily(spark, [("9001", 10.0, 20.0, "Brand")])).withColumn(
+        "promotional_price", F.lit(0.0))
+    r = fct_hot_deals_validated(raw).collect()[0]
+    # 50 % is optimal (50) + not extreme (30) + invalid price (0) + known brand (10)
+    assert r.has_invalid_price and r.legitimacy_level == "Suspicious" and r.quality_score == 90
+
+
+def test_price_comparison_invariants(spark):
+    from shelfscope.plans.warehouse import warehouse
+    from .conftest import SF_SMALL
+    c = warehouse(spark, SF_SMALL).fact("fct_price_comparison")
+    firsts = c.where("price_rank = 1").groupBy("product_id", "scraped_date").count()
+    assert firsts.where("count <> 1").count() == 0
+    assert firsts.count() == c.select("product_id", "scraped_date").distinct().count()
+    assert c.where("NOT (lowest_price <= market_avg_price AND market_avg_price <= highest_price)").count() == 0
