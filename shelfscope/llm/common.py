@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import apply_conf, checkpoint_dir
 
 WS = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -159,3 +159,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
         raise RuntimeError("components: no fixed point")
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+
+
+def prepare(spark: SparkSession) -> None:
+    """Session settings the operators rely on. Rows carry whole texts, so small Arrow batches
+    keep Python workers small."""
+    apply_conf(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")

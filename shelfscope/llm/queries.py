@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import functools
 
-from ..session import apply_conf
-from . import langid, simhash
+from . import langid, mixing, packing, secrets, simhash
+from .common import prepare
 
 _QUERIES = {
+    "op2_mixing": mixing.op2_mixing,
+    "op7_secrets": secrets.op7_secrets,
     "op8_langid": langid.op8_langid,
     "op9_simhash": simhash.op9_simhash,
+    "op10_packing": packing.op10_packing,
 }
 
 ORACLE: dict[str, str] = {}
@@ -18,9 +21,7 @@ ORACLE: dict[str, str] = {}
 def _prepared(fn):
     @functools.wraps(fn)
     def run(spark, sf_dir):
-        apply_conf(spark)
-        # rows carry whole texts: small Arrow batches keep Python workers small
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+        prepare(spark)
         return fn(spark, sf_dir)
     return run
 
