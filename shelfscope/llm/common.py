@@ -3,8 +3,11 @@ expressions, blocked pair comparison inside buckets and connected components."""
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -166,3 +169,15 @@ def prepare(spark: SparkSession) -> None:
     keep Python workers small."""
     apply_conf(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    sc = spark.sparkContext
+    if sc.applicationId not in _SHIPPED:  # executors' Python workers import this package
+        _SHIPPED.add(sc.applicationId)
+        package = Path(__file__).resolve().parents[1]
+        to = Path(tempfile.mkdtemp(prefix="shelfscope-py-")) / "shelfscope-py.zip"
+        with zipfile.ZipFile(to, "w") as z:
+            for f in sorted(package.rglob("*.py")):
+                z.write(f, f.relative_to(package.parent))
+        sc.addPyFile(str(to))
+
+
+_SHIPPED: set[str] = set()

@@ -4,7 +4,8 @@ Every source gets a target share of all words by weight, held at a multiple of i
 the excess reshared. A source then runs through as many complete epochs as its target holds;
 what is left of the target is filled with documents in the order of exponential keys scaled
 by a quality weight (-ln(u) / w, u from a hash of the document): weighted sampling without
-replacement, prefix-summed up to the budget.
+replacement, prefix-summed up to the budget. The gap below the budget is closed by the one
+further document whose size comes nearest to it.
 
 The prefix sum is distributed: keys fall into buckets that keep their order, buckets are
 summed, and only rows of one bucket (about ``bucket_rows``) are sorted together, so a source
@@ -13,8 +14,7 @@ each) is ordered in one task.
 
 Defined results: null text has size 0; null sources are one source, last in order; a source
 of size 0 has target 0; ties in the key go by doc_id and size; repeated rows draw the same
-key and are taken one after the other; an empty table gives no rows. A document at the edge
-of a budget is taken if that brings the sum nearer to the target.
+key and are taken one after the other; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -76,17 +76,29 @@ def mix(docs: DataFrame, weights: tuple = (5, 2, 1), most: float = 3.0, seed: in
         .cast("int").alias("epochs"))
     d = sizes.join(plan, sizes["source"].eqNullSafe(plan["_source"])).withColumn(
         "bucket", F.floor(F.col("_nb") * (F.col("key") / (1 + F.col("key")))))
-    own = Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "size").rowsBetween(
-        Window.unboundedPreceding, -1)
+    order = Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "size")
+    own = order.rowsBetween(Window.unboundedPreceding, 0)
     sums = d.groupBy("source", "bucket").agg(F.sum("size").alias("_s"))
     sums = sums.select(F.col("source").alias("_bs"), F.col("bucket").alias("_bb"), F.coalesce(F.sum("_s").over(
         Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)),
         F.lit(0)).alias("_before"))
-    d = d.withColumn("_in", F.coalesce(F.sum("size").over(own), F.lit(0))).join(
-        sums, F.col("source").eqNullSafe(F.col("_bs")) & (F.col("bucket") == F.col("_bb")))
     rest = F.col("target") - F.col("epochs") * F.col("source_size")
-    picked = (F.col("_before") + F.col("_in") + F.col("size") / 2 <= rest) & (F.col("size") > 0) & (rest > 0)
-    return d.withColumn("copies", F.col("epochs") + picked.cast("int")).select(
+    d = written(
+        d.withColumn("_in", F.sum("size").over(own)).withColumn("place", F.row_number().over(order))
+        .join(sums, F.col("source").eqNullSafe(F.col("_bs")) & (F.col("bucket") == F.col("_bb")))
+        .withColumn("picked", (F.col("_before") + F.col("_in") <= rest) & (F.col("size") > 0))
+        .select("doc_id", "source", "size", "source_size", "target", "epochs", "key", "bucket", "place", "picked"),
+        "mix-picked")
+    # one more document a source, the one that comes nearest to what the prefix left open
+    gap = d.groupBy("source").agg(F.max(rest).alias("_rest"), F.sum(F.when(F.col("picked"), F.col("size"))).alias("_got"))
+    gap = gap.select(F.col("source").alias("_gs"), (F.col("_rest") - F.coalesce("_got", F.lit(0))).alias("_gap"))
+    miss = F.abs(F.col("_gap") - F.col("size"))
+    last = (d.where(~F.col("picked")).join(gap, F.col("source").eqNullSafe(F.col("_gs"))).where(miss < F.col("_gap"))
+            .groupBy(F.col("source").alias("_ls"))
+            .agg(F.min(F.struct(miss.alias("miss"), "key", "bucket", "place")).alias("_l")))
+    d = d.join(last, F.col("source").eqNullSafe(F.col("_ls")), "left")
+    extra = F.coalesce((F.col("bucket") == F.col("_l.bucket")) & (F.col("place") == F.col("_l.place")), F.lit(False))
+    return d.withColumn("copies", F.col("epochs") + (F.col("picked") | extra).cast("int")).select(
         "doc_id", "source", "size", "source_size", "target", "copies",
         (F.col("copies") * F.col("size")).cast("long").alias("taken"))
 

@@ -145,52 +145,74 @@ def best_pattern(value: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
     return best[capacity], counts
 
 
-def solve(demand: np.ndarray, max_rounds: int = 20_000) -> list[tuple[int, dict[int, int]]]:
+def invert(a: np.ndarray) -> np.ndarray:
+    """Gauss-Jordan elimination. The program is small; plain numpy keeps it on one thread
+    beside the JVM."""
+    m = len(a)
+    w = np.hstack([a, np.eye(m)])
+    for k in range(m):
+        p = k + int(np.abs(w[k:, k]).argmax())
+        if p != k:
+            w[[k, p]] = w[[p, k]]
+        w[k] /= w[k, k]
+        f = w[:, k].copy()
+        f[k] = 0
+        w -= f[:, None] * w[k]
+    return w[:, m:]
+
+
+def solve(demand: np.ndarray, gap: float = 5e-4, max_rounds: int = 20_000) -> list[tuple[int, dict[int, int]]]:
     """Patterns (number of sequences, {class: pieces}) that hold ``demand[c]`` pieces of
-    class c = 1..capacity, a class weighing c of the capacity."""
+    class c = 1..capacity, a class weighing c of the capacity.
+
+    Columns are added until the best new one is worth at most 1 + ``gap``: the program's value
+    is then within that factor of the optimum (Farley's bound)."""
     capacity = len(demand) - 1
     live = [c for c in range(1, capacity + 1) if demand[c] > 0]
     if not live:
         return []
     m = len(live)
     need = demand[live].astype(float)
-    columns = [{c: capacity // c} for c in live]     # one pattern per basis column; None: surplus
+    place = {c: k for k, c in enumerate(live)}
+    columns: list = [{c: capacity // c} for c in live]  # of the basis: patterns, or rows with a surplus
     inverse = np.diag([1.0 / (capacity // c) for c in live])
-    x, cost = inverse @ need, np.ones(m)
+    cost = np.ones(m)
+    times = lambda a, v: (a * v).sum(axis=1)
+    x = times(inverse, need)
     for k in range(max_rounds):
-        dual = cost @ inverse
+        dual = (cost[:, None] * inverse).sum(axis=0)
         low = int(dual.argmin())
         if dual[low] < -1e-9:                         # a surplus column improves
-            enter, price, pattern = -np.eye(m)[low], 0.0, None
+            enter, price, pattern = -(np.arange(m) == low).astype(float), 0.0, low
         else:
             value = np.zeros(capacity + 1)
             value[live] = dual
             worth, counts = best_pattern(value, capacity)
-            if worth <= 1 + 1e-7:
+            if worth <= 1 + gap:
                 break
             enter, price = counts[live].astype(float), 1.0
             pattern = {c: int(counts[c]) for c in live if counts[c]}
-        d = inverse @ enter
+        d = times(inverse, enter)
         ratio = np.where(d > 1e-9, x / np.where(d > 1e-9, d, 1), np.inf)
         out = int(ratio.argmin())
         if not np.isfinite(ratio[out]):
             break
         row = inverse[out] / d[out]
-        inverse -= np.outer(d, row)
+        inverse -= d[:, None] * row
         inverse[out] = row
         columns[out], cost[out] = pattern, price
-        if k % 100 == 99:                             # against rounding errors
+        if k % 500 == 499:                            # against rounding errors
             basis = np.zeros((m, m))
             for j, p in enumerate(columns):
-                if p is not None:
-                    basis[[live.index(c) for c in p], j] = list(p.values())
+                if isinstance(p, dict):
+                    basis[[place[c] for c in p], j] = list(p.values())
                 else:
-                    basis[:, j] = 0
-            if all(p is not None for p in columns):
-                inverse = np.linalg.inv(basis)
-        x = np.maximum(inverse @ need, 0)
+                    basis[p, j] = -1
+            inverse = invert(basis)
+        x = np.maximum(times(inverse, need), 0)
     left, plan = demand.astype(int).copy(), []
-    for n, p in sorted(((int(v + 1e-6), p) for v, p in zip(x, columns) if p), key=lambda t: -t[0]):
+    for n, p in sorted(((int(v + 1e-6), p) for v, p in zip(x, columns) if isinstance(p, dict)),
+                       key=lambda t: -t[0]):
         n = min([n, *(left[c] // a for c, a in p.items())])
         if n > 0:
             plan.append((n, p))
@@ -213,7 +235,7 @@ def solve(demand: np.ndarray, max_rounds: int = 20_000) -> list[tuple[int, dict[
 
 # -- assignment -----------------------------------------------------------------------------
 
-def pack(docs: DataFrame, path: str | None = None, length: int = LENGTH, unit: int = 4,
+def pack(docs: DataFrame, path: str | None = None, length: int = LENGTH, unit: int = 8,
          bucket_rows: int = 4096) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
     spark = docs.sparkSession

@@ -31,7 +31,7 @@ KINDS = {
     "hex": r"(?<![0-9a-f])[0-9a-f]{24,}+",
 }
 TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+"
-ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
+ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789+/_=-"  # letters count without case
 SIZE = len(ALPHABET) + 1  # 0: any other character
 SPAN = "array<struct<start:int, kind:int, end:int, m:string>>"
 BLOCK = 256
@@ -72,14 +72,15 @@ def base_spans(df: DataFrame, text: str = "_t") -> DataFrame:
 
 
 def code(s: Column, i: Column) -> Column:
-    return F.instr(F.lit(ALPHABET), F.substring(s, i, F.lit(1)))
+    return F.instr(F.lit(ALPHABET), F.lower(F.substring(s, i, F.lit(1))))
 
 
 def train(docs: DataFrame, text: str = "text", id_col: str = "doc_id", sample_docs: int = 4000,
-          smoothing: float = 0.5) -> list[float]:
+          smoothing: float = 0.5, even: float = 0.5) -> list[float]:
     """Log-likelihood ratio (random against identifier) of each pair of characters, flattened;
     zeros if either sample is empty. ``sample_docs`` bounds the documents that samples come
-    from (picked by a hash of the id)."""
+    from (picked by a hash of the id). The random model is mixed with share ``even`` of an
+    even distribution, so random strings of another alphabet than the samples' count too."""
     share = min(1.0, sample_docs / max(1, docs.count()))
     h = F.shiftrightunsigned(F.xxhash64(F.lit(3), id_col), 33) / F.lit(float(1 << 31))
     d = docs.where(h < share).select(F.coalesce(text, F.lit("")).alias("_t"))
@@ -99,8 +100,8 @@ def train(docs: DataFrame, text: str = "text", id_col: str = "doc_id", sample_do
     if len(seen) < 2:
         return [0.0] * (SIZE * SIZE)
     rows = [[sum(x[a * SIZE:(a + 1) * SIZE]) for a in range(SIZE)] for x in n]
-    return [round(math.log(n[1][p] / rows[1][p // SIZE]) - math.log(n[0][p] / rows[0][p // SIZE]), 6)
-            for p in range(SIZE * SIZE)]
+    return [round(math.log((1 - even) * n[1][p] / rows[1][p // SIZE] + even / SIZE)
+                  - math.log(n[0][p] / rows[0][p // SIZE]), 6) for p in range(SIZE * SIZE)]
 
 
 def scan(docs: DataFrame, model: list[float], text: str = "text", threshold: float = 0.5) -> DataFrame:
