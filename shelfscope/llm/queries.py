@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import functools
 
-from . import langid, mixing, packing, secrets, simhash
+from . import langid, mixing, outliers, packing, secrets, simhash, toxicity, vectors
 from .common import prepare
 
 _QUERIES = {
+    "op1_toxicity": toxicity.op1_toxicity,
     "op2_mixing": mixing.op2_mixing,
+    "op4_vectors": vectors.op4_vectors,
+    "op5_outliers": outliers.op5_outliers,
     "op7_secrets": secrets.op7_secrets,
     "op8_langid": langid.op8_langid,
     "op9_simhash": simhash.op9_simhash,
