@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import functools
 
-from . import langid, mixing, outliers, packing, secrets, simhash, toxicity, vectors
+from . import langid, mixing, outliers, packing, pages, secrets, simhash, toxicity, vectors
 from .common import prepare
 
 _QUERIES = {
@@ -12,6 +12,7 @@ _QUERIES = {
     "op2_mixing": mixing.op2_mixing,
     "op4_vectors": vectors.op4_vectors,
     "op5_outliers": outliers.op5_outliers,
+    "op6_pages": pages.op6_pages,
     "op7_secrets": secrets.op7_secrets,
     "op8_langid": langid.op8_langid,
     "op9_simhash": simhash.op9_simhash,
