@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import functools
 
-from . import langid, mixing, outliers, packing, pages, secrets, simhash, toxicity, vectors
+from . import langid, mixing, outliers, packing, pages, repeats, secrets, simhash, toxicity, vectors
 from .common import prepare
 
 _QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
     "op2_mixing": mixing.op2_mixing,
+    "op3_repeats": repeats.op3_repeats,
     "op4_vectors": vectors.op4_vectors,
     "op5_outliers": outliers.op5_outliers,
     "op6_pages": pages.op6_pages,
