@@ -12,29 +12,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfscope.llm import langid, mixing, packing, secrets, simhash
-from shelfscope.llm.common import documents, prepare, written
+from shelfscope.llm.common import documents, positional, prepare, written
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that have a language: null texts and texts without a letter go."""
     prepare(spark)
-    kept = langid.predict(docs, langid.train(docs, where=~langid.held_out()), docs.columns)
-    return kept.where("lang_pred != 'und'").select(*docs.columns)
+    d, name = positional(docs)
+    kept = langid.predict(d, langid.train(docs, where=~langid.held_out()), d.columns, text=name["text"])
+    return kept.where("lang_pred != 'und'").select(*d.columns).toDF(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near copies; of rows that share
     this id, one."""
     prepare(spark)
-    first = (simhash.simhash_groups(docs).groupBy("component_id").agg(F.min("doc_id").alias("keep")))
-    names = {c: f"_d_{i}" for i, c in enumerate(docs.columns)}
-    kept = docs.join(first.select(F.col("keep").alias("_keep")), F.col("doc_id") == F.col("_keep"), "left_semi")
-    many = kept.groupBy("doc_id").count().where("count > 1").select("doc_id")
-    once = kept.join(many, "doc_id", "left_anti").select(*docs.columns)
-    again = (kept.join(many, "doc_id", "left_semi").groupBy(F.col("doc_id").alias("_id"))
-             .agg(F.min(F.struct(*[F.col(c).alias(names[c]) for c in docs.columns])).alias("_r"))
-             .select(*[F.col(f"_r.{n}").alias(c) for c, n in names.items()]))
-    return once.unionByName(again)
+    d, name = positional(docs)
+    key = name["doc_id"]
+    first = simhash.simhash_groups(docs).select(F.col("component_id").alias(key)).distinct()
+    kept = d.join(first, key, "left_semi")
+    many = kept.groupBy(key).count().where("count > 1").select(key)
+    once = kept.join(many, key, "left_anti").select(*d.columns)
+    again = (kept.join(many, key, "left_semi").groupBy(F.col(key).alias("_id"))
+             .agg(F.min(F.struct(*d.columns)).alias("_r")).select("_r.*"))
+    return once.unionByName(again).toDF(*docs.columns)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

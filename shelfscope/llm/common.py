@@ -32,6 +32,13 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
 
 
+def positional(docs: DataFrame):
+    """``docs`` with its columns named by position, so no column of the caller's clashes with
+    an operator's; and the new name of each old one."""
+    d = docs.toDF(*[f"_d{i}" for i in range(len(docs.columns))])
+    return d, dict(zip(docs.columns, d.columns))
+
+
 def words(text: Column) -> Column:
     """The words of a text as an array; null gives none."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), WS), "")
@@ -109,17 +116,19 @@ def map_groups(rows: DataFrame, by: list[str], fn: Callable[[dict], dict | None]
 
     def cut(t: pa.Table, at: list) -> Iterator[pa.RecordBatch]:
         t = t.combine_chunks()
-        cols = {}
+        cols, lists = {}, {}
         for f in t.schema:
             c = t.column(f.name).combine_chunks()
-            if pa.types.is_list(f.type) and len(c):
-                cols[f.name] = c.flatten().to_numpy().reshape(t.num_rows, -1)
+            if pa.types.is_list(f.type):               # lists of one length within a group
+                lists[f.name] = c.values.to_numpy(), c.offsets.to_numpy()
             else:
                 cols[f.name] = c.to_numpy(zero_copy_only=False)
         out: dict[str, list] = {}
         size = 0
         for lo, hi in zip(at, [*at[1:], t.num_rows]):
-            r = fn({k: v[lo:hi] for k, v in cols.items()})
+            g = {k: v[lo:hi] for k, v in cols.items()}
+            g |= {k: v[off[lo]:off[hi]].reshape(hi - lo, -1) for k, (v, off) in lists.items()}
+            r = fn(g)
             if r is None:
                 continue
             for k, v in r.items():

@@ -31,8 +31,9 @@ STEP = 1 << 20     # characters scored at once
 def ngrams(text: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
     """Bucket of every n-gram of the texts, one array per order (aligned to the first
     character, blanks outside a text), and the texts' starts. Case is folded and runs of
-    other characters than letters count as one blank."""
-    folded = [" " + " ".join(re.findall(r"[^\W\d_]+", t.lower())) + "   " for t in text]
+    other characters than letters count as one blank; the two blanks ahead of each text keep
+    n-grams from reaching into the next one."""
+    folded = ["  " + " ".join(re.findall(r"[^\W\d_]+", t.lower())) + " " for t in text]
     starts = np.concatenate(([0], np.cumsum([len(t) for t in folded])[:-1])).astype(np.int64)
     c = np.frombuffer("".join(folded).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     out, h = [], c * MULT[0]

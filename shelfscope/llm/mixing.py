@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import documents, n_words, written
+from .common import documents, n_words, positional, written
 
 SYMBOLS = "#*$%&|<>"
 
@@ -106,10 +106,12 @@ def mix(docs: DataFrame, weights: tuple = (5, 2, 1), most: float = 3.0, seed: in
 def mixed_documents(docs: DataFrame, **params) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them, columns unchanged."""
     n = mix(docs, **params).groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_src")).agg(
-        F.max("copies").alias("_copies"))
-    return (docs.join(n, docs["doc_id"].eqNullSafe(n["_id"]) & docs["source"].eqNullSafe(n["_src"]))
-            .where("_copies > 0").withColumn("_k", F.explode(F.expr("sequence(1, _copies)")))
-            .select(*[docs[c] for c in docs.columns]))
+        F.max("copies").alias("_copies"))  # rows that share an id and a source go together
+    d, name = positional(docs)
+    return (d.join(n.where("_copies > 0"), F.col(name["doc_id"]).eqNullSafe(F.col("_id"))
+                   & F.col(name["source"]).eqNullSafe(F.col("_src")))
+            .withColumn("_k", F.explode(F.expr("sequence(1, _copies)")))
+            .select(*d.columns).toDF(*docs.columns))
 
 
 def op2_mixing(spark, sf_dir):

@@ -118,7 +118,7 @@ def pieces(docs: DataFrame, path: str, length: int = LENGTH) -> DataFrame:
                 "length": pa.array(size, pa.int64()), "ids_crc32": pa.array(crc, pa.int64()),
                 "doc_tokens": pa.array(total, pa.int64())})
 
-    return docs.select("doc_id", "text").mapInArrow(
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
         run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
 
 

@@ -186,7 +186,7 @@ def extract(pages: DataFrame, max_broadcast: int = 2_000_000, **params) -> DataF
     spark = pages.sparkSession
     tpl = written(templates(pages, **params), "page-templates")
     fields = "page_id long, url string, text string"
-    d = pages.select("page_id", "url", host(F.col("url")).alias("host"), "html")
+    d = pages.select(F.col("page_id").cast("long"), "url", host(F.col("url")).alias("host"), "html")
 
     def rows(b: pa.RecordBatch, template) -> pa.RecordBatch:
         out = [main_text(h, x, template(i)) if x else "" for i, (h, x) in

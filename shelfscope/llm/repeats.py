@@ -180,7 +180,8 @@ def common_prefixes(t: np.ndarray, at: np.ndarray, before: np.ndarray, known: in
     """Common prefix, up to ``cap``, of the suffixes ``at`` (ascending) and the suffixes that
     stand before them in the array, by Kasai's bound: a suffix shares at least one character
     less with its predecessor than the suffix that starts one earlier. Whole strides of
-    suffixes are extended at once, each from the bound left by the coarser stride."""
+    suffixes are extended at once, each from the bound left by the coarser stride. The pairs
+    must be in strict order: suffixes that tie at the sorted depth have no bound to give."""
     n = len(t)
     wide = np.concatenate([t, np.zeros(cap + 16, np.uint8)]).astype(np.uint64)
     word = np.zeros(n + cap + 8, np.uint64)
@@ -286,7 +287,7 @@ def gather(docs: DataFrame, window: int, gram: int) -> DataFrame:
                 size += len(x)
         if ids:
             yield from rows(ids, bodies, shard)
-    return docs.select("doc_id", "text").mapInArrow(run, SHARDS)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, SHARDS)
 
 
 def bucketed(df: DataFrame, by: str, parts: int) -> DataFrame:

@@ -23,7 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents
+from .common import documents, positional
 
 KINDS = {
     "assign": r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -129,7 +129,8 @@ def joined(spans: str) -> Column:
 def redacted(docs: DataFrame, mark: str = "[SECRET]", **params) -> DataFrame:
     """``docs`` with every span of the scan replaced by ``mark``; other columns unchanged but
     n_chars, which is the new text's length."""
-    d = scan(docs, train(docs), **params)
+    own, name = positional(docs)
+    d = scan(own.withColumn("text", F.col(name["text"])), train(docs.select("doc_id", "text")), **params)
     zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     body = F.aggregate(
         "spans", zero,
@@ -138,11 +139,12 @@ def redacted(docs: DataFrame, mark: str = "[SECRET]", **params) -> DataFrame:
                 x["end"].alias("at"),
                 F.concat(acc["out"], F.substring("text", acc["at"] + 1, x["start"] - acc["at"]), F.lit(mark)).alias("out"))),
         lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.length("text"))))
-    d = d.withColumn("text", F.when(F.size("spans") > 0, body).otherwise(F.col("text")))
-    if "n_chars" in docs.columns:
-        d = d.withColumn("n_chars", F.when(F.size("spans") > 0, F.length("text").cast(docs.schema["n_chars"].dataType))
-                         .otherwise(F.col("n_chars")))
-    return d.select(*docs.columns)
+    found = F.size("spans") > 0
+    d = d.withColumn(name["text"], F.when(found, body).otherwise(F.col(name["text"])))
+    if "n_chars" in name:
+        d = d.withColumn(name["n_chars"], F.when(found, F.length(name["text"]).cast(docs.schema["n_chars"].dataType))
+                         .otherwise(F.col(name["n_chars"])))
+    return d.select(*own.columns).toDF(*docs.columns)
 
 
 def op7_secrets(spark, sf_dir):

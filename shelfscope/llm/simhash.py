@@ -52,7 +52,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
         for b in batches:
             fp = np.array([fingerprint(t, shingle) for t in b.column(1).to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
 
 
 def covering_masks(bits: int = 64, radius: int = 3, seed: int = 11) -> list[int]:

@@ -10,7 +10,7 @@ by the share of their words that stand out in toxic documents, cut at quantiles.
 
 The classifier is fitted on the driver on a bounded sample of labelled documents
 (``max_rows``, those with the lowest hash of their id) and a bounded vocabulary
-(``max_features``, ``min_docs``); all documents are scored, each batch as one sparse sum over
+(``max_features``, ``min_docs``, and a chi-square of at least ``min_chi`` against the label); all documents are scored, each batch as one sparse sum over
 the broadcast weights.
 
 Defined results: null or wordless text has the intercepts alone; documents without a label
@@ -85,13 +85,14 @@ def fit_ordinal(row, col, val, grade: np.ndarray, width: int, penalty: float = 2
 
 
 def train(docs: DataFrame, labels: DataFrame, grades: int = 3, max_rows: int = 20_000,
-          max_features: int = 50_000, min_docs: int = 3):
+          max_features: int = 50_000, min_docs: int = 3,
+          min_chi: float = 10.83):
     """(vocabulary, weights, thresholds) from documents with a ``toxic`` label."""
     lab = (labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-           .select(F.col("doc_id").alias("_id"), "toxic"))
+           .select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("toxic")))
     n = lab.count()
     pick = F.shiftrightunsigned(F.xxhash64(F.lit(5), "_id"), 33) / F.lit(float(1 << 31)) < min(1.0, 0.95 * max_rows / max(1, n))
-    rows = docs.join(lab.where(pick), F.col("doc_id") == F.col("_id")).groupBy("_id").agg(
+    rows = docs.select("doc_id", "text").join(lab.where(pick), F.col("doc_id") == F.col("_id")).groupBy("_id").agg(
         F.min("text").alias("text"), F.max("toxic").alias("toxic"))
     # each word once a document with its count, so the sample's size on the driver is bounded by its words
     sample = with_features(rows, "text").select("_id", "toxic", "h").orderBy("_id").toArrow()
@@ -106,9 +107,11 @@ def train(docs: DataFrame, labels: DataFrame, grades: int = 3, max_rows: int = 2
     word, inverse = np.unique(np.concatenate(once), return_inverse=True)
     owner = np.repeat(toxic, [len(x) for x in once])
     bad, good = np.bincount(inverse, owner, len(word)), np.bincount(inverse, ~owner, len(word))
-    lift = bad / toxic.sum() - good / (~toxic).sum()
-    ok = np.flatnonzero(bad + good >= min_docs)
-    vocabulary = np.sort(word[ok[np.argsort(-np.abs(lift[ok]), kind="stable")[:max_features]]])
+    # chi-square of word against label: what chance explains would only be fitted as noise
+    n1, n0, seen = toxic.sum(), (~toxic).sum(), bad + good
+    chi = (n1 + n0) * (bad * n0 - good * n1) ** 2 / (n1 * n0 * seen * np.maximum(n1 + n0 - seen, 0.5))
+    ok = np.flatnonzero((seen >= min_docs) & (chi >= min_chi))
+    vocabulary = np.sort(word[ok[np.argsort(-chi[ok], kind="stable")[:max_features]]])
     odds = np.log((bad + 0.5) / (toxic.sum() + 1)) - np.log((good + 0.5) / ((~toxic).sum() + 1))
     marks = np.sort(word[(odds > 3) & (bad >= max(min_docs, 0.02 * toxic.sum()))])  # stand out in toxic documents
     share = np.array([np.isin(x, marks).mean() if len(x) else 0.0 for x in lists])
@@ -140,7 +143,7 @@ def score(docs: DataFrame, model, text: str = "text", id_col: str = "doc_id") ->
                 "doc_id": batch.column(0), "severity": p.sum(axis=1) if len(b) else z,
                 "p_toxic": p[:, 0] if len(b) else z})
 
-    d = with_features(docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text")), "text")
+    d = with_features(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text")), "text")
     return d.select("doc_id", "h").mapInArrow(
         run, "doc_id long, severity double, p_toxic double")
 

@@ -58,12 +58,13 @@ def buckets(x: np.ndarray, tables: int, axes: int, probes: int, seed: int):
     n = len(x)
     rot = rotations(x, tables * axes, seed)
     width = 2 * rot[0].shape[1]
+    most = min(probes, width - 1)                      # very short vectors have fewer axes
     for t in range(tables):
         key, options = np.zeros(n, np.int64), []
         for a in range(axes):
             y = rot[t * axes + a]
             both = np.concatenate([y, -y], axis=1)
-            top = np.argpartition(-both, probes, axis=1)[:, :probes + 1]
+            top = np.argpartition(-both, most, axis=1)[:, :most + 1]
             worth = np.take_along_axis(both, top, axis=1)
             order = np.argsort(-worth, axis=1, kind="stable")
             top, worth = np.take_along_axis(top, order, axis=1), np.take_along_axis(worth, order, axis=1)
@@ -73,8 +74,8 @@ def buckets(x: np.ndarray, tables: int, axes: int, probes: int, seed: int):
         yield np.arange(n), np.full(n, t, np.int32), key, np.ones(n, bool)
         shift, loss = np.concatenate([o[0] for o in options], 1), np.concatenate([o[1] for o in options], 1)
         best = np.argsort(loss, axis=1, kind="stable")[:, :probes]
-        yield (np.repeat(np.arange(n), probes), np.full(n * probes, t, np.int32),
-               (key[:, None] + np.take_along_axis(shift, best, axis=1)).ravel(), np.zeros(n * probes, bool))
+        near = (key[:, None] + np.take_along_axis(shift, best, axis=1)).ravel()
+        yield np.repeat(np.arange(n), best.shape[1]), np.full(len(near), t, np.int32), near, np.zeros(len(near), bool)
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -111,7 +112,7 @@ def near_vectors(rows: DataFrame, threshold: float = 0.95, tables: int = 10, axe
     fine = (F.col(vec_col).isNotNull() & (F.size(vec_col) > 0)
             & F.coalesce(F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))), F.lit(False))
             & F.coalesce(F.exists(v, lambda x: x != 0), F.lit(False)))
-    d = rows.select(F.col(id_col).alias("vec_id"), F.when(fine, v).alias("v"))
+    d = rows.select(F.col(id_col).cast("long").alias("vec_id"), F.when(fine, v).alias("v"))
     # equal vectors once, known by their smallest id; -0.0 counts as 0.0
     whole = written(d.withColumn("v", F.transform("v", lambda x: x + 0.0)), "vectors")
     reps = written(whole.where("v is not null").groupBy("v").agg(
