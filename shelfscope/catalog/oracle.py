@@ -80,7 +80,7 @@ tru AS (
     any_value(product_url) AS product_url, supermarket, region,
     any_value(postal_code) AS postal_code, any_value(hub_id) AS hub_id,
     min(price) AS min_price, max(price) AS max_price,
-    CAST(sum(CAST(round(price * 100) AS BIGINT)) AS DOUBLE) / CAST(count(price) AS DOUBLE) / 100.0 AS avg_price,
+    CAST(sum(CAST(round(price * 10000) AS BIGINT)) AS DOUBLE) / CAST(count(price) AS DOUBLE) / 10000.0 AS avg_price,
     min(list_price) AS min_list_price,
     count(DISTINCT sku_id) AS sku_count,
     list(DISTINCT ean ORDER BY ean) FILTER (WHERE ean IS NOT NULL) AS eans,
@@ -344,11 +344,11 @@ def S(x: str) -> str:
 
 def MAVG(x: str) -> str:
     """Average of 2-decimal values from an exact integer sum (same as money_avg)."""
-    return f"CAST(sum(CAST(round({x} * 100) AS BIGINT)) AS DOUBLE) / CAST(count({x}) AS DOUBLE) / 100.0"
+    return f"CAST(sum(CAST(round({x} * 10000) AS BIGINT)) AS DOUBLE) / CAST(count({x}) AS DOUBLE) / 10000.0"
 
 
 def MSUM(x: str) -> str:
-    return f"CAST(sum(CAST(round({x} * 100) AS BIGINT)) AS DOUBLE) / 100.0"
+    return f"CAST(sum(CAST(round({x} * 10000) AS BIGINT)) AS DOUBLE) / 10000.0"
 
 
 def R(x: str, n: int = 2) -> str:
@@ -516,7 +516,7 @@ fct_price_comparison AS (
   m AS (SELECT product_id, scraped_date FROM dp GROUP BY product_id, scraped_date HAVING count(DISTINCT supermarket) >= 2),
   pc AS (
     SELECT p.*, min(p.min_price) OVER w AS lowest_price, max(p.min_price) OVER w AS highest_price,
-           CAST(sum(CAST(round(p.min_price * 100) AS BIGINT)) OVER w AS DOUBLE) / CAST(count(p.min_price) OVER w AS DOUBLE) / 100.0 AS market_avg_price,
+           CAST(sum(CAST(round(p.min_price * 10000) AS BIGINT)) OVER w AS DOUBLE) / CAST(count(p.min_price) OVER w AS DOUBLE) / 10000.0 AS market_avg_price,
            row_number() OVER (PARTITION BY p.product_id, p.scraped_date ORDER BY p.min_price, p.supermarket, p.region) AS price_rank
     FROM dp p JOIN m ON p.product_id = m.product_id AND p.scraped_date = m.scraped_date
     WINDOW w AS (PARTITION BY p.product_id, p.scraped_date))
@@ -533,7 +533,7 @@ fct_price_comparison_v2 AS (
   m AS (SELECT product_name_normalized, date_key FROM dp GROUP BY ALL HAVING count(DISTINCT store_key) >= 2),
   pc AS (
     SELECT p.*, min(p.min_price) OVER w AS lowest_price, max(p.min_price) OVER w AS highest_price,
-           CAST(sum(CAST(round(p.min_price * 100) AS BIGINT)) OVER w AS DOUBLE) / CAST(count(p.min_price) OVER w AS DOUBLE) / 100.0 AS market_avg_price,
+           CAST(sum(CAST(round(p.min_price * 10000) AS BIGINT)) OVER w AS DOUBLE) / CAST(count(p.min_price) OVER w AS DOUBLE) / 10000.0 AS market_avg_price,
            row_number() OVER (PARTITION BY p.product_name_normalized, p.date_key
                               ORDER BY p.min_price, p.store_key, p.region_key, p.product_key) AS price_rank
     FROM dp p JOIN m ON p.product_name_normalized = m.product_name_normalized AND p.date_key = m.date_key

@@ -42,11 +42,6 @@ def _dim(name, arrays=()):
     return run
 
 
-def _dim_sql(name, arrays=()):
-    from .oracle import CTE  # noqa: F401
-    return name, arrays
-
-
 for _id, _name, _arrays in [
     ("M-04", "dim_date", ()),
     ("M-06", "dim_product", ("stores_carrying",)),

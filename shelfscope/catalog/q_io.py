@@ -190,7 +190,7 @@ def src06(spark, sf):
     bad = base.where(F.col("_line") == "7").select(F.concat(F.lit('{"productId": "'), F.col("productId"),
                                                               F.lit('", broken')).alias("value"))
     good.unionByName(good).unionByName(bad).write.mode("overwrite").text(p)
-    landed, counts = B.migrate_legacy(spark, p, JSON_SCHEMA.add("_metadata_run_id", T.StringType()),
+    landed, counts = B.migrate_legacy(spark, p, B.with_field(JSON_SCHEMA, "_metadata_run_id", T.StringType()),
                                       dt.date(2026, 1, 15), AS_OF)
     return counts.where("state <> 'invalid' OR records > 0").unionByName(
         landed.agg(F.lit("landed").alias("state"), F.count(F.lit(1)).alias("records")))
@@ -302,7 +302,7 @@ def enr05(spark, sf):
     return E.enrichment_stats(_codes(w), w.reference().select(F.col("ean_code").alias("code")))
 
 
-@register("SRC-10", with_ctes(["eans_wanted", "part"] if False else ["eans_wanted"], """
+@register("SRC-10", with_ctes(["eans_wanted"], """
 SELECT lpad(CAST(p_partkey AS VARCHAR), 13, '0') AS code,
        CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE p_name END AS product_name,
        CAST(1700000000 + (p_partkey % 3) * 1000 AS BIGINT) AS last_modified_t
@@ -325,10 +325,10 @@ def src10(spark, sf):
                           F.lit("b").alias("brands"), F.lit("A").alias("nutriscore_grade"),
                           (F.lit(1700000000) + i * 1000).cast("long").alias("last_modified_t"))
         start, end = 1700000000 + i * 1000, 1700000000 + i * 1000 + 999
-        recs.coalesce(1).write.mode("overwrite").option("compression", "gzip").json(
+        recs.write.mode("overwrite").option("compression", "gzip").json(
             f"{base}/delta_{start}_{end}.json.gz")
     # files are directories here (one per delta); the name pattern is read from the path
-    recs, _ = B.read_barcode_deltas(spark, base + "/*", 1700000999, _codes(w))
+    recs, _, _ = B.read_barcode_deltas(spark, base + "/*", 1700000999, _codes(w))
     return recs.select("code", "product_name", "last_modified_t")
 
 
@@ -396,16 +396,18 @@ def _ckpt(w, name):
 
 
 @register("STR-01", with_ctes(["obs"], """
-SELECT supermarket, count(*) AS records FROM obs
-WHERE available_quantity >= 0 AND (line_number % 2 <> 0 OR floor(available_quantity / 2) >= 0)
-GROUP BY supermarket"""))
+SELECT supermarket, count(*) FILTER (WHERE ok) AS records, count(*) FILTER (WHERE NOT ok) AS rejected
+FROM (SELECT supermarket, available_quantity >= 0 AND (line_number % 2 <> 0 OR floor(available_quantity / 2) >= 0) AS ok
+      FROM obs) GROUP BY supermarket"""))
 def str01(spark, sf):
-    """Landed files -> validated bronze, availableNow with a checkpoint."""
+    """Landed files -> validated bronze and a table of rejects, availableNow with checkpoints."""
     w = _wh(spark, sf)
     landing = w.landed()
     schema = spark.read.parquet(landing).schema
-    out = J.ingest_validated(spark, landing, schema, w.path("validated"), _ckpt(w, "str01"))
-    return out.groupBy("supermarket").agg(F.count(F.lit(1)).alias("records"))
+    valid, rejects = J.ingest_validated(spark, landing, schema, w.path("validated"), w.path("rejects"), _ckpt(w, "str01"))
+    both = valid.select("supermarket", F.lit(1).alias("ok")).unionByName(rejects.select("supermarket", F.lit(0).alias("ok")))
+    return both.groupBy("supermarket").agg(F.count_if(F.col("ok") == 1).alias("records"),
+                                           F.count_if(F.col("ok") == 0).alias("rejected"))
 
 
 @register("STR-02", with_ctes(["tru"], """
@@ -419,7 +421,8 @@ def str02(spark, sf):
     s = spark.readStream.schema(schema).option("basePath", landing).parquet(landing)
     rows = stg_products(s).select("product_id", "supermarket", "region", F.to_date("scraped_at").alias("scraped_date"),
                                   "scraped_at", "run_id")
-    out = J.upsert_latest(spark, rows, GRAIN, "scraped_at", w.path("latest"), _ckpt(w, "str02"), w.path("late"))
+    out = J.upsert_latest(spark, rows, GRAIN, "scraped_at", w.path("latest"), _ckpt(w, "str02"), w.path("late"),
+                          ties=["run_id"])
     # prices of the surviving records, as rolled up by the trusted model
     t = w.tru().select("product_id", "supermarket", "region", "scraped_date", "scraped_at", "min_price")
     return out.select(*GRAIN, "scraped_at").distinct().join(t, [*GRAIN, "scraped_at"], "inner")
@@ -477,7 +480,7 @@ def str05(spark, sf):
 
 # ------------------------------------------------------------------ Q-00
 @register("Q-00", with_ctes(["silver_products"], f"""
-, d AS (SELECT supermarket AS store, price, list_price, (list_price - price) / list_price * 100 AS d
+, d AS (SELECT supermarket AS store, price, list_price, (list_price - price) / nullif(list_price, 0) * 100 AS d
         FROM silver_products WHERE price IS NOT NULL AND list_price IS NOT NULL),
 h AS (SELECT * FROM d WHERE d >= 20)
 SELECT 'invalid_price' AS section, NULL AS label, count(*) AS n, NULL::DOUBLE AS value FROM d WHERE price > list_price
@@ -493,8 +496,8 @@ def q00(spark, sf):
 
 
 @register("SRT-04", with_ctes(["silver_products"], """
-SELECT supermarket, sku, name, price, list_price, (list_price - price) / list_price * 100 AS discount_pct
-FROM silver_products WHERE (list_price - price) / list_price * 100 > 70
+SELECT supermarket, sku, name, price, list_price, (list_price - price) / nullif(list_price, 0) * 100 AS discount_pct
+FROM silver_products WHERE (list_price - price) / nullif(list_price, 0) * 100 > 70
 ORDER BY discount_pct DESC, sku, supermarket, region, collected_at LIMIT 10"""))
 def srt04(spark, sf):
     """Top-10 suspicious discounts of the bronze quality report (nlargest)."""

@@ -221,15 +221,15 @@ def dq11(spark, sf):
              "SELECT count(*) FROM (SELECT (SELECT count(*) FROM fct_daily_prices) AS a, (SELECT count(*) FROM tru) AS b) "
              "WHERE a <> b"),
     _sum_sql("reconcile_price_cents", "fct_daily_prices", "min_price",
-             "SELECT count(*) FROM (SELECT (SELECT sum(CAST(round(min_price * 100) AS BIGINT)) FROM fct_daily_prices) AS a, "
-             "(SELECT sum(CAST(round(min_price * 100) AS BIGINT)) FROM tru) AS b) WHERE a <> b")])))
+             "SELECT count(*) FROM (SELECT (SELECT sum(CAST(round(min_price * 10000) AS BIGINT)) FROM fct_daily_prices) AS a, "
+             "(SELECT sum(CAST(round(min_price * 10000) AS BIGINT)) FROM tru) AS b) WHERE a <> b")])))
 def dq12(spark, sf):
-    from ..functions.columns import cents
+    from ..functions.columns import money_units
     w = _wh(spark, sf)
     f, t = w.fact("fct_daily_prices"), w.tru()
     return Q.suite([
         Q.summarize(Q.reconcile(f, t, F.count(F.lit(1)), F.count(F.lit(1))), "reconcile_rows", "fct_daily_prices"),
-        Q.summarize(Q.reconcile(f, t, F.sum(cents("min_price")), F.sum(cents("min_price"))),
+        Q.summarize(Q.reconcile(f, t, F.sum(money_units("min_price")), F.sum(money_units("min_price"))),
                     "reconcile_price_cents", "fct_daily_prices", "min_price")])
 
 

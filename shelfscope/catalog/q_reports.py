@@ -76,11 +76,11 @@ def r01(spark, sf):
 
 @register("R-02", with_ctes(["snapshot"], f"""
 , common AS (SELECT ean FROM snapshot GROUP BY ean HAVING count(DISTINCT supermarket) >= 2),
-pe AS (SELECT supermarket, ean, min(price) AS price, sum(CAST(round(price * 100) AS BIGINT)) AS raw_cents
+pe AS (SELECT supermarket, ean, min(price) AS price, sum(CAST(round(price * 10000) AS BIGINT)) AS raw_cents
        FROM snapshot WHERE ean IN (SELECT ean FROM common) GROUP BY supermarket, ean),
 b AS (SELECT supermarket, count(*) AS comparable_items,
-             CAST(sum(CAST(round(price * 100) AS BIGINT)) AS DOUBLE) / 100.0 AS basket_cost,
-             CAST(sum(raw_cents) AS DOUBLE) / 100.0 AS basket_cost_raw
+             CAST(sum(CAST(round(price * 10000) AS BIGINT)) AS DOUBLE) / 10000.0 AS basket_cost,
+             CAST(sum(raw_cents) AS DOUBLE) / 10000.0 AS basket_cost_raw
       FROM pe GROUP BY supermarket)
 SELECT supermarket, comparable_items, {RND("basket_cost", 2)} AS basket_cost,
        {RND("basket_cost / min(basket_cost) OVER () * 100", 1)} AS price_index,
@@ -92,16 +92,17 @@ def r02(spark, sf):
 
 
 @register("R-03", with_ctes(["snapshot"], f"""
-, hist AS (
-  SELECT supermarket, ean, price AS old_price FROM silver_products
-  WHERE collected_at BETWEEN TIMESTAMP '{H_LO}' AND TIMESTAMP '{H_HI}'
-  QUALIFY row_number() OVER (PARTITION BY supermarket, ean ORDER BY collected_at DESC, sku DESC, region DESC) = 1)
-SELECT curr.supermarket, curr.region, curr.sku, curr.name AS product, hist.old_price, curr.price AS new_price,
-       {RND("((hist.old_price - curr.price) / hist.old_price) * 100", 1)} AS discount_pct
-FROM snapshot curr JOIN hist ON curr.supermarket = hist.supermarket
- AND curr.ean = regexp_replace(trim(coalesce(hist.ean, '')), '^0+', '')
-WHERE curr.price < hist.old_price AND ((hist.old_price - curr.price) / hist.old_price) >= 0.10
-ORDER BY discount_pct DESC, curr.supermarket, curr.region, curr.sku
+, week_before AS (
+  SELECT supermarket AS shop, ltrim(trim(coalesce(ean, '')), '0') AS code,
+         arg_max_null(price, ROW(collected_at, sku, region)) AS before
+  FROM silver_products WHERE collected_at >= TIMESTAMP '{H_LO}' AND collected_at <= TIMESTAMP '{H_HI}'
+  GROUP BY supermarket, ean),
+fall AS (SELECT s.*, before, (before - price) / before AS share
+         FROM week_before JOIN snapshot s ON shop = s.supermarket AND code = s.ean)
+SELECT supermarket, region, sku, name AS product, before AS old_price, price AS new_price,
+       {RND("share * 100", 1)} AS discount_pct
+FROM fall WHERE share >= 0.10 AND price < before
+ORDER BY 7 DESC, 1, 2, 3
 LIMIT 100"""))
 def r03(spark, sf):
     return R.r03_recent_drops(_silver(spark, sf), _snap(spark, sf), AS_OF)
@@ -112,8 +113,7 @@ SELECT ean, min(name) AS product, first(supermarket ORDER BY price, supermarket)
        min(price) AS min_price, first(supermarket ORDER BY price DESC, supermarket DESC) AS priciest_store,
        max(price) AS max_price, {RND("(max(price) - min(price)) / min(price) * 100", 1)} AS gap_pct
 FROM snapshot GROUP BY ean
-HAVING count(DISTINCT supermarket) >= 2 AND gap_pct > 30
-ORDER BY gap_pct DESC, ean LIMIT 10000"""))
+HAVING count(DISTINCT supermarket) >= 2 AND gap_pct > 30"""))
 def r04(spark, sf):
     return R.r04_arbitrage(_snap(spark, sf))
 
@@ -190,16 +190,15 @@ def d02(spark, sf):
 
 
 @register("D-03", with_ctes(["tru", "dim_store", "fct_active_promotions"], f"""
-SELECT * FROM (
-  SELECT 'price_leader' AS leader, s.store_name, {RND(MAVG("p.min_price"), 2)} AS value
-  FROM tru p JOIN dim_store s ON p.supermarket = s.store_id
-  WHERE p.min_price > 0 AND p.{P} AND s.is_active
-  GROUP BY s.store_name ORDER BY value, s.store_name LIMIT 1)
-UNION ALL
-SELECT * FROM (
-  SELECT 'promo_leader', ds.store_name, CAST(count(DISTINCT ap.product_id) AS DOUBLE) AS value
-  FROM fct_active_promotions ap JOIN dim_store ds ON ap.store_key = ds.store_key WHERE ds.is_active
-  GROUP BY ds.store_name ORDER BY value DESC, ds.store_name LIMIT 1)"""))
+, score AS (
+  SELECT store_id, 'price_leader' AS leader, -1 AS direction, {RND(MAVG("min_price"), 2)} AS value
+  FROM tru JOIN dim_store ON store_id = supermarket WHERE min_price > 0 AND {P} GROUP BY store_id
+  UNION ALL
+  SELECT store_id, 'promo_leader', 1, CAST(count(*) AS DOUBLE)
+  FROM (SELECT DISTINCT store_key, product_id FROM fct_active_promotions) JOIN dim_store USING (store_key) GROUP BY store_id)
+SELECT leader, store_name, value
+FROM score JOIN dim_store USING (store_id) WHERE is_active
+QUALIFY row_number() OVER (PARTITION BY leader ORDER BY value * direction DESC, store_name) = 1""".replace("\n, score", ", score", 1)))
 def d03(spark, sf):
     w = _wh(spark, sf)
     return D.d03_leaders(w.tru(), w.fact("fct_active_promotions"), w.dim("dim_store"), START, END)
@@ -210,10 +209,10 @@ _PREV = f"scraped_date BETWEEN {_d(PSTART)} AND {_d(PEND)}"
 
 
 @register("D-04", with_ctes(["tru"], f"""
-, c AS (SELECT CAST(sum(CAST(round(min_price * 100) AS BIGINT)) FILTER (WHERE {_CUR}) AS DOUBLE)
-               / CAST(count(min_price) FILTER (WHERE {_CUR}) AS DOUBLE) / 100.0 AS cur,
-             CAST(sum(CAST(round(min_price * 100) AS BIGINT)) FILTER (WHERE {_PREV}) AS DOUBLE)
-               / CAST(count(min_price) FILTER (WHERE {_PREV}) AS DOUBLE) / 100.0 AS prev
+, c AS (SELECT CAST(sum(CAST(round(min_price * 10000) AS BIGINT)) FILTER (WHERE {_CUR}) AS DOUBLE)
+               / CAST(count(min_price) FILTER (WHERE {_CUR}) AS DOUBLE) / 10000.0 AS cur,
+             CAST(sum(CAST(round(min_price * 10000) AS BIGINT)) FILTER (WHERE {_PREV}) AS DOUBLE)
+               / CAST(count(min_price) FILTER (WHERE {_PREV}) AS DOUBLE) / 10000.0 AS prev
         FROM tru WHERE min_price > 0)
 SELECT {RND("cur", 2)} AS current_avg_price, {RND("prev", 2)} AS previous_avg_price,
        {PCT("cur - prev", "prev")} AS change_pct FROM c""".replace("\n, c AS", ", c AS", 1)))
@@ -282,30 +281,30 @@ def d07(spark, sf):
 
 
 @register("D-08", with_ctes(["fct_daily_prices", "dim_store"], """
-SELECT ds.store_name AS supermarket, dp.product_id, dp.region, dp.scraped_date, dp.min_price
-FROM fct_daily_prices dp JOIN dim_store ds ON dp.store_key = ds.store_key
-WHERE ds.store_id IN ('bistek', 'fort', 'giassi') AND dp.min_price BETWEEN 1 AND 500"""))
+SELECT any_value(store_name) AS supermarket, product_id, region, scraped_date, unnest(list(min_price)) AS min_price
+FROM (SELECT * EXCLUDE (supermarket) FROM fct_daily_prices WHERE min_price >= 1 AND min_price <= 500)
+JOIN (SELECT store_key, store_name FROM dim_store WHERE list_contains(['bistek', 'fort', 'giassi'], store_id)) USING (store_key)
+GROUP BY store_key, product_id, region, scraped_date"""))
 def d08(spark, sf):
     w = _wh(spark, sf)
     return D.d08_price_rows(w.fact("fct_daily_prices"), w.dim("dim_store"))
 
 
 @register("D-08b", with_ctes(["fct_active_promotions", "dim_store"], f"""
-SELECT ap.product_id, ap.product_name, ds.store_name AS supermarket, ap.region, ap.scraped_date,
-       {RND("ap.promotional_price", 2)} AS promo_price, {RND("ap.discount_percentage", 1)} AS discount_pct
-FROM fct_active_promotions ap JOIN dim_store ds ON ap.store_key = ds.store_key
-WHERE ap.discount_percentage >= 30"""))
+, named AS (SELECT map_from_entries(list((store_key, store_name))) AS names FROM dim_store)
+SELECT product_id, product_name, names[store_key] AS supermarket, region, scraped_date,
+       {RND("promotional_price", 2)} AS promo_price, {RND("discount_percentage", 1)} AS discount_pct
+FROM named, fct_active_promotions WHERE discount_percentage >= 30""".replace("\n, named", ", named", 1)))
 def d08b(spark, sf):
     w = _wh(spark, sf)
     return D.d08_promotions(w.fact("fct_active_promotions"), w.dim("dim_store"))
 
 
 @register("D-08c", with_ctes(["fct_price_comparison_v2"], """
-SELECT product_id, product_name, count(DISTINCT store_key) AS store_count,
-       min(min_price) AS lowest_price, max(min_price) AS highest_price
-FROM fct_price_comparison_v2 GROUP BY product_id, product_name HAVING count(DISTINCT store_key) >= 2"""))
+SELECT product_id, product_name, CAST(len(stores) AS BIGINT) AS store_count, prices[1] AS lowest_price, prices[-1] AS highest_price
+FROM (SELECT product_id, product_name, list(DISTINCT store_key) AS stores, list_sort(list(min_price)) AS prices
+      FROM fct_price_comparison_v2 GROUP BY ALL)
+WHERE len(stores) >= 2"""))
 def d08c(spark, sf):
     return D.d08_competitiveness(_wh(spark, sf).fact("fct_price_comparison_v2"))
 
-
-_ = F

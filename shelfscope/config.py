@@ -29,8 +29,6 @@ class Params:
     snapshot_days: int = 7
     # run volume check
     min_run_volume: int = 500
-    # broadcast bound for dimension joins (bytes, from plan statistics)
-    broadcast_max_bytes: int = 64 * 1024 * 1024
 
 
 DEFAULT = Params()

@@ -20,20 +20,23 @@ def snap(x, scale: int = 6) -> Column:
     return c(x).cast(f"decimal(38,{scale})").cast("double")
 
 
-def cents(x) -> Column:
-    """Money (or any 2-decimal quantity) as an exact integer count of hundredths."""
-    return F.round(c(x) * 100).cast("bigint")
+MONEY_SCALE = 10_000
+
+
+def money_units(x) -> Column:
+    """Money as an exact integer count of ten-thousandths (DECIMAL(18,4) scaled)."""
+    return F.round(c(x) * MONEY_SCALE).cast("bigint")
 
 
 def money_sum(x) -> Column:
-    """Exact sum of 2-decimal values (integer hundredths), as double."""
-    return F.sum(cents(x)).cast("double") / 100.0
+    """Exact sum of 4-decimal values, as double."""
+    return F.sum(money_units(x)).cast("double") / float(MONEY_SCALE)
 
 
 def money_avg(x) -> Column:
-    """Average of 2-decimal values from an exact integer sum: the same bits in
+    """Average of 4-decimal values from an exact integer sum: the same bits in
     every engine and for every partitioning (a double sum is order-dependent)."""
-    return F.sum(cents(x)).cast("double") / F.count(c(x)).cast("double") / 100.0
+    return F.sum(money_units(x)).cast("double") / F.count(c(x)).cast("double") / float(MONEY_SCALE)
 
 
 def round_half_up(x, digits: int) -> Column:

@@ -1,19 +1,23 @@
-"""Latest-record-per-key as an aggregation.
+"""One record per key as ``row_number() = 1``.
 
-``row_number() over (partition by k order by ts desc) = 1`` sends every row of a
-key to one task. ``max_by(record, ordering)`` is a partial aggregate: each map
-task keeps only its best record per key before the shuffle, so a hot key
-costs one row per map task, not a third of the table in one task.
+Spark plans a WindowGroupLimit on both sides of the exchange: each map task sends
+one row per key, so a hot key costs one row per map task, and the rows are not
+sorted twice as a sort-based ``max_by`` over structs would.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _first(df: DataFrame, keys: Sequence[str], ords: list[Column]) -> DataFrame:
+    w = Window.partitionBy(*keys).orderBy(*ords)
+    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1")
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
                    keep: Sequence[str] | None = None) -> DataFrame:
     """One row per ``keys``: the row with the greatest ``order`` tuple (lexicographic).
@@ -22,21 +26,13 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column |
     tie-break column). Keeps ``keep`` columns (default: all non-key columns).
     """
     keep = [c for c in (keep or df.columns) if c not in keys]
-    rec = F.struct(*[F.col(c) for c in keep])
-    ords = [F.col(o) if isinstance(o, str) else o for o in order]
-    ordering = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(ords)])
-    return (df.groupBy(*keys)
-              .agg(F.max_by(rec, ordering).alias("_rec"))
-              .select(*keys, "_rec.*"))
+    ords = [(F.col(o) if isinstance(o, str) else o).desc_nulls_last() for o in order]
+    return _first(df, keys, ords).select(*keys, *keep)
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
                   keep: Sequence[str] | None = None) -> DataFrame:
     """One row per key: the row with the smallest ``order`` tuple."""
     keep = [c for c in (keep or df.columns) if c not in keys]
-    rec = F.struct(*[F.col(c) for c in keep])
-    ords = [F.col(o) if isinstance(o, str) else o for o in order]
-    ordering = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(ords)])
-    return (df.groupBy(*keys)
-              .agg(F.min_by(rec, ordering).alias("_rec"))
-              .select(*keys, "_rec.*"))
+    ords = [(F.col(o) if isinstance(o, str) else o).asc_nulls_first() for o in order]
+    return _first(df, keys, ords).select(*keys, *keep)

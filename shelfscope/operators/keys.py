@@ -4,8 +4,9 @@
 (partition by g order by k)`` runs each group in one task, so a group holding a
 third of the rows is a third of the job in one task. Here the rows are
 range-partitioned on (group, order) — a hot group is spread over several
-partitions — sorted within partitions and pinned with a reliable checkpoint
-(so a recomputation after executor loss cannot move rows between partitions).
+partitions, whose number AQE takes from the data's size — sorted within partitions and
+written as a Parquet table with each row's partition and place (so a recomputation after
+executor loss cannot move rows, and readers prune columns).
 A tiny table of (partition, group) counts gives each group's offset in each
 partition; rank = offset + position inside the partition. Only that count
 table (at most partitions x groups-per-partition boundary rows) is broadcast.
@@ -18,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import written
 
 
 def _cols(xs):
@@ -31,14 +32,12 @@ def rank_within_groups(df: DataFrame, group_cols: Sequence[str], order: Sequence
 
     ``order`` should make rows unique within a group (deterministic ranks).
     """
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sort_cols = _cols(group_cols) + _cols(order)
-    ranged = (df.repartitionByRange(n, *sort_cols)
+    ranged = (df.repartitionByRange(*([partitions] if partitions else []), *sort_cols)
                 .sortWithinPartitions(*sort_cols)
                 .withColumn("_pid", F.spark_partition_id())
                 .withColumn("_pos", F.monotonically_increasing_id()))
-    ranged = cut_lineage(ranged)
+    ranged = written(ranged, "ranked")
     g = list(group_cols)
     counts = (ranged.groupBy("_pid", *g)
                     .agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_p0")))
@@ -53,14 +52,12 @@ def rank_within_groups(df: DataFrame, group_cols: Sequence[str], order: Sequence
 
 def sequential_key(df: DataFrame, order: Sequence[Column | str], name: str) -> DataFrame:
     """Dense 1..N key by ``order`` (unique) without a single-task global window."""
-    spark = df.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     sort_cols = _cols(order)
-    ranged = (df.repartitionByRange(n, *sort_cols)
+    ranged = (df.repartitionByRange(*sort_cols)
                 .sortWithinPartitions(*sort_cols)
                 .withColumn("_pid", F.spark_partition_id())
                 .withColumn("_pos", F.monotonically_increasing_id()))
-    ranged = cut_lineage(ranged)
+    ranged = written(ranged, "ranked")
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_p0"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     # one row per partition: a proven bound, safe to broadcast

@@ -20,9 +20,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _row_hash(cols: Sequence[str]) -> Column:
-    # null-safe: xxhash64 hashes NULL as a value, so NULL -> x is a change
-    return F.xxhash64(*[F.col(c) for c in cols])
+def _changed(cols: Sequence[str], w) -> Column:
+    """A watched column differs from the previous row's (NULL compared as a value); the
+    first row of a key counts as a change."""
+    now = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)])
+    return ~F.lag(now).over(w).eqNullSafe(now)
 
 
 def _scd_id(key: Sequence[str], ts: str) -> Column:
@@ -40,11 +42,7 @@ def history_from_observations(obs: DataFrame, key: Sequence[str], ts: str, attrs
         v = base.withColumn("valid_from", F.col(ts))
     elif strategy == "check":
         cc = list(check_cols or attrs)
-        h = _row_hash(cc)
-        v = (base.withColumn("_h", h)
-                 .withColumn("_chg", F.coalesce(F.lag("_h").over(w) != F.col("_h"), F.lit(True)))
-                 .where("_chg")
-                 .drop("_h", "_chg")
+        v = (base.withColumn("_chg", _changed(cc, w)).where("_chg").drop("_chg")
                  .withColumn("valid_from", F.col(ts)))
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
@@ -61,35 +59,35 @@ def merge(history: DataFrame, batch: DataFrame, key: Sequence[str], ts: str, att
 
     hard_deletes: 'ignore' | 'invalidate' (close the current version of keys
     absent from the batch at ``as_of``) | 'new_record' (also add a version with
-    is_deleted = true). Timestamp strategy: only observations newer than the
-    current version count. Check strategy: a batch row opens a version only
-    when its watched columns differ from the previous version.
+    is_deleted = true). Timestamp strategy: every new observation is a version.
+    Check strategy: a row is a version only when its watched columns differ from
+    the row before it. Late observations take their place in the key's history: the
+    versions of every key in the batch are laid out again (one product in one store x
+    region, bounded by its scrape days); other keys keep theirs untouched.
     """
     k = list(key)
     cols = [*k, *[a for a in attrs if a != ts], ts]
-    closed = history.where(F.col("valid_to").isNotNull())
-    current = history.where(F.col("valid_to").isNull())
-    cur_rows = current.select(*cols).withColumn("_old", F.lit(True))
-    last = current.select(*k, F.col("valid_from").alias("_cur_from"))
-    fresh = (batch.select(*cols).join(last, k, "left")
-                  .where(F.col("_cur_from").isNull() | (F.col(ts) > F.col("_cur_from")))
-                  .drop("_cur_from").withColumn("_old", F.lit(False)))
-    both = cur_rows.unionByName(fresh)
+    seen_keys = batch.select(*k).distinct()
+    deleted = F.col("is_deleted") if "is_deleted" in history.columns else F.lit(False)
+    closed = history.join(seen_keys, k, "left_anti").unionByName(history.join(seen_keys, k, "left_semi").where(deleted))
+    old = history.join(seen_keys, k, "left_semi").where(~deleted)
+    old = old.select(*cols, F.col("valid_to").alias("_end"))
+    known = old.select(*k, F.col(ts))
+    fresh = batch.select(*cols).join(known, [*k, ts], "left_anti").withColumn("_end", F.lit(None).cast("timestamp"))
+    both = old.unionByName(fresh)
     w = Window.partitionBy(*k).orderBy(ts)
     if strategy == "check":
         cc = list(check_cols or attrs)
-        both = (both.withColumn("_h", _row_hash(cc))
-                    .withColumn("_chg", F.coalesce(F.lag("_h").over(w) != F.col("_h"), F.lit(True)))
-                    .where(F.col("_old") | F.col("_chg"))
-                    .drop("_h", "_chg"))
+        both = both.withColumn("_chg", _changed(cc, w)).where("_chg").drop("_chg")
     both = (both.withColumn("valid_from", F.col(ts))
-                .withColumn("valid_to", F.lead(ts).over(w))
+                # an end set by a deletion stays unless a version comes before it
+                .withColumn("valid_to", F.least(F.lead(ts).over(w), "_end"))
                 .withColumn("scd_id", _scd_id(k, "valid_from"))
                 .withColumn("updated_at", F.col(ts)))
     out_cols = closed.columns
     if "is_deleted" not in out_cols:
         both = both.drop("is_deleted")
-    merged = closed.unionByName(both.drop("_old"), allowMissingColumns=True)
+    merged = closed.unionByName(both.drop("_end"), allowMissingColumns=True)
     if hard_deletes == "ignore":
         return merged.select(*out_cols)
     if as_of is None:

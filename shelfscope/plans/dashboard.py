@@ -13,7 +13,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import cents, money_avg, money_sum, pct, round_half_up
+from ..functions.columns import money_units, money_avg, money_sum, pct, round_half_up
 
 
 def period(as_of: dt.date, days: int = 30) -> tuple[dt.date, dt.date]:
@@ -77,8 +77,8 @@ def d04_period_change(tru: DataFrame, start: dt.date, end: dt.date) -> DataFrame
     prev = in_period("scraped_date", pstart, pend)
     c = F.col("min_price")
     agg = t.agg(
-        (F.sum(F.when(cur, cents(c))).cast("double") / F.count(F.when(cur, c)).cast("double") / 100.0).alias("cur"),
-        (F.sum(F.when(prev, cents(c))).cast("double") / F.count(F.when(prev, c)).cast("double") / 100.0).alias("prev"),
+        (F.sum(F.when(cur, money_units(c))).cast("double") / F.count(F.when(cur, c)).cast("double") / 10000.0).alias("cur"),
+        (F.sum(F.when(prev, money_units(c))).cast("double") / F.count(F.when(prev, c)).cast("double") / 10000.0).alias("prev"),
     )
     return agg.select(round_half_up("cur", 2).alias("current_avg_price"),
                       round_half_up("prev", 2).alias("previous_avg_price"),

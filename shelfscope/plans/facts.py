@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..config import DEFAULT, Params
-from ..functions.columns import cents, first_of, money_avg, money_sum, pct, round_half_up, snap
+from ..functions.columns import money_units, first_of, money_avg, money_sum, pct, round_half_up, snap
 from ..operators.keys import rank_within_groups
 
 
@@ -109,16 +109,14 @@ def fct_hot_deals_validated(promos: DataFrame, params: Params = DEFAULT) -> Data
           .withColumn("persistence_days", F.size(F.collect_set("scraped_date").over(days7)).cast("bigint")))
     h = h.withColumn("is_flash_deal", F.col("deal_persistence_days") == 1)
 
-    day = Window.partitionBy("store_key", "date_key")
+    day = ["store_key", "date_key"]  # a group grows with the catalogue: ranked across tasks
     tie = [F.col("product_key"), F.col("region_key")]
     legit_rank = F.coalesce(F.try_element_at(
         F.create_map(*[x for k, v in LEGITIMACY_ORDER.items() for x in (F.lit(k), F.lit(v))]),
         F.col("legitimacy_level")), F.lit(4))
-    h = (h.withColumn("quality_rank", F.row_number().over(
-            day.orderBy(F.col("quality_score").desc(), d.desc(), *tie)))
-          .withColumn("savings_rank", F.row_number().over(
-            day.orderBy(F.col("absolute_discount").desc(), *tie)))
-          .withColumn("overall_rank", F.row_number().over(day.orderBy(legit_rank, d.desc(), *tie))))
+    h = rank_within_groups(h, day, [F.col("quality_score").desc(), d.desc(), *tie], "quality_rank")
+    h = rank_within_groups(h, day, [F.col("absolute_discount").desc(), *tie], "savings_rank")
+    h = rank_within_groups(h, day, [legit_rank, d.desc(), *tie], "overall_rank")
     rec = (F.col("legitimacy_level").isin("High Quality", "Good Quality") & ~F.col("is_suspicious_discount")
            & ~F.col("is_flash_deal") & (F.col("quality_score") >= params.recommended_min_score))
     return h.select(
@@ -137,12 +135,9 @@ def fct_hot_deals_validated(promos: DataFrame, params: Params = DEFAULT) -> Data
 
 
 # ---------------------------------------------------------------- M-15
-PRIORITY_ORDER = ["CRITICAL", "HIGH", "MEDIUM", "LOW"]
-
-
 def vw_suspicious_hot_deals(validated: DataFrame) -> DataFrame:
-    """Suspicious deals with reasons, severity and review priority, ordered by
-    priority rank (decision: not alphabetically), severity, discount."""
+    """Suspicious deals with reasons, severity and review priority. A view has no order of
+    its own; readers sort what they show."""
     d = F.col("discount_percentage")
     s, inv, fl, q = (F.col("is_suspicious_discount"), F.col("has_invalid_price"),
                      F.col("is_flash_deal"), F.col("quality_score"))
@@ -154,7 +149,6 @@ def vw_suspicious_hot_deals(validated: DataFrame) -> DataFrame:
                 + F.when(fl & (d > 50), 3).otherwise(0) + F.when(q < 30, 2).otherwise(0))
     priority = (F.when(s & fl, "CRITICAL").when(s | inv, "HIGH").when(fl & (d > 50), "MEDIUM")
                  .otherwise("LOW"))
-    prio_rank = F.array_position(F.array(*[F.lit(p) for p in PRIORITY_ORDER]), priority)
     out = v.select(
         "product_id", "product_name", "brand", "supermarket", "region", "scraped_date",
         "promotional_price", "regular_price", "discount_percentage", "absolute_discount",
@@ -162,9 +156,8 @@ def vw_suspicious_hot_deals(validated: DataFrame) -> DataFrame:
         reasons.alias("suspicious_reasons"), severity.cast("int").alias("suspicion_severity"),
         priority.alias("review_priority"),
         "is_suspicious_discount", "has_invalid_price", "is_flash_deal",
-        prio_rank.alias("_prio"),
     )
-    return out.orderBy("_prio", F.col("suspicion_severity").desc(), d.desc(), "product_id", "region").drop("_prio")
+    return out
 
 
 # ---------------------------------------------------------------- M-16
@@ -257,7 +250,7 @@ def fct_price_comparison(tru: DataFrame) -> DataFrame:
         F.size(F.collect_set("supermarket").over(g)).alias("_stores"),
         F.min(p).over(g).alias("lowest_price"),
         F.max(p).over(g).alias("highest_price"),
-        (F.sum(cents(p)).over(g).cast("double") / F.count(p).over(g).cast("double") / 100.0)
+        (F.sum(money_units(p)).over(g).cast("double") / F.count(p).over(g).cast("double") / 10000.0)
          .alias("market_avg_price"),
         F.row_number().over(g.orderBy(p, "supermarket", "region")).cast("bigint").alias("price_rank"),
     ).where(F.col("_stores") >= 2).drop("_stores")

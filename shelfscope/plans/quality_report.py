@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import round_half_up
+from ..functions.columns import round_half_up, safe_div
 
 
 def hot_deal_quality(silver: DataFrame, min_discount: float = 20, max_discount: float = 70) -> DataFrame:
@@ -13,7 +13,7 @@ def hot_deal_quality(silver: DataFrame, min_discount: float = 20, max_discount:
     (min-30, 30-50, 50-max, max+) and per-store average discount of hot deals."""
     d = silver.where(F.col("price").isNotNull() & F.col("list_price").isNotNull()).select(
         F.col("supermarket").alias("store"), "price", "list_price",
-        ((F.col("list_price") - F.col("price")) / F.col("list_price") * 100).alias("d"))
+        (safe_div(F.col("list_price") - F.col("price"), "list_price") * 100).alias("d"))
     h = d.where(F.col("d") >= min_discount)
     dd = F.col("d")
     band = (F.when(dd <= 30, f"{int(min_discount)}-30%").when(dd <= 50, "30-50%")
@@ -42,7 +42,7 @@ def hot_deal_quality(silver: DataFrame, min_discount: float = 20, max_discount:
 def suspicious_top(silver: DataFrame, n: int = 10, max_discount: float = 70) -> DataFrame:
     """The n largest discounts above ``max_discount`` (nlargest, with a tie-break)."""
     d = silver.select("supermarket", "sku", "name", "price", "list_price", "region", "collected_at",
-                      ((F.col("list_price") - F.col("price")) / F.col("list_price") * 100).alias("discount_pct"))
+                      (safe_div(F.col("list_price") - F.col("price"), "list_price") * 100).alias("discount_pct"))
     top = (d.where(F.col("discount_pct") > max_discount)
             .orderBy(F.col("discount_pct").desc(), "sku", "supermarket", "region", "collected_at").limit(n))
     return top.drop("region", "collected_at")

@@ -14,7 +14,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import cents, money_avg, round_half_up, strip_leading_zeros
+from ..functions.columns import money_units, money_avg, round_half_up, strip_leading_zeros
 
 
 def silver_products(bronze: DataFrame) -> DataFrame:
@@ -66,11 +66,11 @@ def r02_competitiveness(snap: DataFrame) -> DataFrame:
     rows = snap.join(common, "ean", "left_semi")
     # one price per barcode per store (its lowest) — and the reference's row sum as *_raw
     per_ean = rows.groupBy("supermarket", "ean").agg(
-        F.min("price").alias("price"), F.sum(cents("price")).alias("_raw_cents"))
+        F.min("price").alias("price"), F.sum(money_units("price")).alias("_raw_cents"))
     basket = per_ean.groupBy("supermarket").agg(
         F.count(F.lit(1)).alias("comparable_items"),
-        (F.sum(cents("price")).cast("double") / 100.0).alias("basket_cost"),
-        (F.sum("_raw_cents").cast("double") / 100.0).alias("basket_cost_raw"),
+        (F.sum(money_units("price")).cast("double") / 10000.0).alias("basket_cost"),
+        (F.sum("_raw_cents").cast("double") / 10000.0).alias("basket_cost_raw"),
     )
     allw = Window.partitionBy()  # over the per-store result: one row per store
     return basket.select(
@@ -98,7 +98,8 @@ def r03_recent_drops(silver: DataFrame, snap: DataFrame, as_of: dt.date, limit:
     return out.orderBy(F.col("discount_pct").desc(), "supermarket", "region", "sku").limit(limit)
 
 
-def r04_arbitrage(snap: DataFrame, limit: int = 10000) -> DataFrame:
+def r04_arbitrage(snap: DataFrame, limit: int | None = None) -> DataFrame:
+    """Price gaps over 30 % between stores, all of them unless the caller wants a top-k."""
     g = snap.groupBy("ean").agg(
         F.min("name").alias("product"),
         F.min_by("supermarket", F.struct("price", "supermarket")).alias("cheapest_store"),
@@ -109,7 +110,7 @@ def r04_arbitrage(snap: DataFrame, limit: int = 10000) -> DataFrame:
     )
     g = g.withColumn("gap_pct", round_half_up((F.col("max_price") - F.col("min_price")) / F.col("min_price") * 100, 1))
     g = g.where((F.col("_stores") >= 2) & (F.col("gap_pct") > 30)).drop("_stores")
-    return g.orderBy(F.col("gap_pct").desc(), "ean").limit(limit)
+    return g if limit is None else g.orderBy(F.col("gap_pct").desc(), "ean").limit(limit)
 
 
 def r05_price_bands(snap: DataFrame) -> DataFrame:

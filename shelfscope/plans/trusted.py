@@ -54,8 +54,8 @@ def tru_product(stg: DataFrame) -> DataFrame:
     lists = F.transform(items, lambda i: offer(i)["ListPrice"])
     qtys = F.filter(F.transform(items, lambda i: offer(i)["AvailableQuantity"].cast("bigint")),
                     lambda x: x.isNotNull())
-    # exact: integer cents, then one division (same bits in every engine)
-    price_cents = F.aggregate(F.transform(prices, lambda x: F.round(x * 100).cast("bigint")),
+    # exact: integer ten-thousandths, then one division (same bits in every engine)
+    price_units = F.aggregate(F.transform(prices, lambda x: F.round(x * 10000).cast("bigint")),
                               F.lit(0).cast("bigint"), lambda a, x: a + x)
     skus = F.array_distinct(F.filter(F.transform(items, lambda i: i["itemId"]), lambda x: x.isNotNull()))
     eans = F.array_sort(F.array_distinct(F.filter(F.transform(items, lambda i: i["ean"]),
@@ -67,7 +67,7 @@ def tru_product(stg: DataFrame) -> DataFrame:
         (items.isNotNull() & (F.size(items) > 0)).alias("_has_items"),
         F.array_min(prices).alias("min_price"),
         F.array_max(prices).alias("max_price"),
-        F.when(F.size(prices) > 0, price_cents.cast("double") / F.size(prices).cast("double") / 100.0)
+        F.when(F.size(prices) > 0, price_units.cast("double") / F.size(prices).cast("double") / 10000.0)
          .alias("avg_price"),
         F.array_min(lists).alias("min_list_price"),
         F.size(skus).cast("bigint").alias("sku_count"),

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import re
+import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -69,7 +72,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
     Read from the session (``spark.checkpoint.dir``, set by the cluster). Only
-    when unset — local runs and tests — a private scratch folder is created.
+    when unset on a local master — tests, trial runs — a private scratch folder is
+    created, and removed when the process ends; a cluster without it is an error.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -77,7 +81,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not is_local(spark):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="shelfscope-ckpt-")
+        atexit.register(shutil.rmtree, d, ignore_errors=True)
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
 
@@ -88,22 +95,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tables/{name}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (written to the shared folder; survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: computed once, column-pruned by its
+    readers, and safe when executors are lost."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def local_path(p: str) -> str:
-    return p[len("file:"):] if p.startswith("file:") else p
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there. Other errors (permissions, a store that is down) are raised."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
 def is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
-
-
-def env_cpus(default: int = 8) -> int:
-    try:
-        return int(os.environ.get("BENCH_CPUS", default))
-    except ValueError:
-        return default
+    """One process: local[...], but not local-cluster[...]."""
+    return re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master) is not None

@@ -10,6 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import valid_barcode_length
+from ..session import path_exists
+
+
+def with_field(schema: T.StructType, name: str, kind: T.DataType) -> T.StructType:
+    """A new schema with one more field (``StructType.add`` changes its own object)."""
+    return T.StructType([*schema.fields, T.StructField(name, kind)])
 
 
 def read_bronze(spark: SparkSession, base: str, schema: T.StructType | None = None,
@@ -42,13 +48,10 @@ def discover_jsonl(spark: SparkSession, base: str, schema: T.StructType, batch_g
         return (spark.read.schema(schema).option("recursiveFileLookup", True)
                 .option("pathGlobFilter", glob).option("ignoreMissingFiles", True).json(base)
                 .withColumn("filename", F.col("_metadata.file_path")))
-    try:
-        full = read("*_full.jsonl")
-        if not full.isEmpty():
-            return full
-        return read(batch_glob)
-    except Exception:  # noqa: BLE001 - missing folder
-        return spark.createDataFrame([], schema.add("filename", T.StringType()))
+    if not path_exists(spark, base):
+        return spark.createDataFrame([], with_field(schema, "filename", T.StringType()))
+    full = read("*_full.jsonl")
+    return read(batch_glob) if full.isEmpty() else full
 
 
 def backfill_metadata(df: DataFrame) -> DataFrame:
@@ -76,7 +79,7 @@ def migrate_legacy(spark: SparkSession, paths: str | Sequence[str], schema: T.St
     scraped_at) keep the first (smallest file, then line position); then the
     date range filter.
     """
-    s = schema.add("_corrupt", T.StringType())
+    s = with_field(schema, "_corrupt", T.StringType())
     raw = (spark.read.schema(s).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt")
            .json(paths).withColumn("_file", F.col("_metadata.file_path"))
            .withColumn("_pos", F.monotonically_increasing_id()))
@@ -114,8 +117,8 @@ def read_barcode_tsv(spark: SparkSession, path: str, codes: DataFrame) -> DataFr
     """SRC-09: bulk barcode-DB TSV (optionally gzip: not splittable, so the read is
     repartitioned before the join); every column read as text."""
     df = spark.read.option("sep", "\t").option("header", True).csv(path)
-    if path.endswith(".gz"):
-        df = df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    if any(f.endswith((".gz", ".zst")) for f in df.inputFiles()):
+        df = df.hint("rebalance")
     g = F.lower(F.col("nutriscore_grade"))
     out = df.select("code", "product_name", "brands", "categories", "quantity", "countries",
                     F.when(g.isin(*GRADES), g).alias("nutriscore_grade"), "image_url")
@@ -125,15 +128,20 @@ def read_barcode_tsv(spark: SparkSession, path: str, codes: DataFrame) -> DataFr
 DELTA_RE = r"_(\d+)_(\d+)\.json(?:\.gz)?(?:/[^/]*)?$"
 
 
-def read_barcode_deltas(spark: SparkSession, base: str, watermark: int, codes: DataFrame) -> tuple[DataFrame, DataFrame]:
+def read_barcode_deltas(spark: SparkSession, base: str, watermark: int,
+                        codes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """SRC-10: delta files named ``..._<start>_<end>.json.gz``; only files ending
-    after the watermark; product_name array-or-string; 'unknown' -> NULL; bad
-    lines dropped. Returns (records, new watermark as a one-row frame)."""
-    schema = "code string, product_name string, brands string, nutriscore_grade string, last_modified_t long"
-    raw = (spark.read.schema(schema).option("mode", "DROPMALFORMED").json(base)
+    after the watermark; product_name array-or-string; 'unknown' -> NULL. Returns
+    (records, new watermark as a one-row frame, malformed lines with their file)."""
+    schema = ("code string, product_name string, brands string, nutriscore_grade string, last_modified_t long, "
+              "_corrupt string")
+    raw = (spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").json(base)
            .withColumn("_file", F.col("_metadata.file_path")))
     end = F.nullif(F.regexp_extract("_file", DELTA_RE, 2), F.lit("")).try_cast("long")
     raw = raw.withColumn("_end", end).where(F.col("_end") > watermark)
+    bad = raw.where(F.col("_corrupt").isNotNull()).select(F.col("_corrupt").alias("line"), F.col("_file").alias("file"),
+                                                          F.col("code"))
+    raw = raw.where(F.col("_corrupt").isNull())
     name = F.coalesce(F.get_json_object("product_name", "$[0].text"), F.col("product_name"))
     name = F.when(F.col("product_name").startswith("["), F.get_json_object("product_name", "$[0].text")).otherwise(name)
     clean = lambda c: F.when(F.lower(F.trim(c)) == "unknown", None).otherwise(c)
@@ -141,4 +149,4 @@ def read_barcode_deltas(spark: SparkSession, base: str, watermark: int, codes: D
                       F.lower("nutriscore_grade").alias("nutriscore_grade"), "last_modified_t", "_end")
     recs = recs.join(codes.select("code"), "code", "left_semi")
     new_wm = raw.agg(F.coalesce(F.max("_end"), F.lit(watermark)).alias("last_timestamp"))
-    return recs.drop("_end"), new_wm
+    return recs.drop("_end"), new_wm, bad.drop("code")
