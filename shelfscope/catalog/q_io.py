@@ -149,7 +149,7 @@ def _land_json(w, name, partition=True):
     p = w.path(name)
     df = w.bronze().select("productId", "productName", "brand", "link", "_metadata_supermarket", "_metadata_region",
                            "_metadata_scraped_at", F.col("_metadata_supermarket").alias("supermarket"))
-    (df.repartition("supermarket").write.mode("overwrite").partitionBy("supermarket").json(p) if partition
+    (df.hint("rebalance", "supermarket").write.mode("overwrite").partitionBy("supermarket").json(p) if partition
      else df.drop("supermarket").write.mode("overwrite").json(p))
     return p
 
@@ -204,7 +204,7 @@ def src07(spark, sf):
     w = _wh(spark, sf)
     p = w.path("no_metadata")
     (w.bronze().select("productId", "productName", "supermarket", "region")
-       .repartition("supermarket", "region").write.mode("overwrite").partitionBy("supermarket", "region").parquet(p))
+       .hint("rebalance", "supermarket", "region").write.mode("overwrite").partitionBy("supermarket", "region").parquet(p))
     df = B.backfill_metadata(spark.read.parquet(p))
     return df.groupBy("_metadata_supermarket", "_metadata_region").agg(
         F.count(F.lit(1)).alias("records"), F.count_if(F.col("_metadata_run_id").startswith("backfill_"))

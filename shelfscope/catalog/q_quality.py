@@ -196,11 +196,23 @@ def dq09(spark, sf):
                     "scraped_at", "error")])
 
 
-# ------------------------------------------------------------------ DQ-10 (schema only: no SQL twin)
-@register("DQ-10")
+# ------------------------------------------------------------------ DQ-10
+_DUCK = {"string": "VARCHAR", "double": "DOUBLE", "bigint": "BIGINT", "boolean": "BOOLEAN", "date": "DATE",
+         "timestamp": "TIMESTAMP", "array<string>": "VARCHAR[]"}
+
+
+def _contract_sql(f):
+    kind = f.dataType.simpleString()
+    ok = f"typeof(any_value({f.name})) IN ('{_DUCK[kind]}', '\"NULL\"')"
+    return (f"SELECT '{f.name}' AS column_name, '{kind}' AS expected, CASE WHEN {ok} THEN '{kind}' END AS actual, "
+            f"count(*) AS checked, count(*) - count({f.name}) AS nulls, "
+            f"{ok} AND {'true' if f.nullable else f'count(*) = count({f.name})'} AS holds FROM tru")
+
+
+@register("DQ-10", with_ctes(["tru"], _union([_contract_sql(f) for f in CONTRACT.fields])))
 def dq10(spark, sf):
-    t = _wh(spark, sf).tru()
-    return Q.summarize(Q.schema_contract(t, CONTRACT), "schema_contract", "tru_product")
+    """The trusted table's files against the contract: types as written, nulls as counted."""
+    return Q.schema_contract(_wh(spark, sf).tru(), CONTRACT)
 
 
 # ------------------------------------------------------------------ DQ-11

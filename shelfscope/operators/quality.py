@@ -16,8 +16,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def _rows(df: DataFrame, bad: Column) -> DataFrame:
+    """The rows of ``df`` that fail; a suite finds the condition again and counts all
+    row-level tests of one table in one aggregate."""
+    out = df.where(bad)
+    out.row_test = (df, bad)
+    return out
+
+
 def not_null(df: DataFrame, column: str) -> DataFrame:
-    return df.where(F.col(column).isNull())
+    return _rows(df, F.col(column).isNull())
 
 
 def unique(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -28,7 +36,7 @@ def unique(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def accepted_values(df: DataFrame, column: str, values: Sequence) -> DataFrame:
-    return df.where(F.col(column).isNotNull() & ~F.col(column).isin(*values))
+    return _rows(df, F.col(column).isNotNull() & ~F.col(column).isin(*values))
 
 
 def relationships(df: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
@@ -44,12 +52,12 @@ def accepted_range(df: DataFrame, column: str, min_value=None, max_value=None, i
         bad = bad | ((c < min_value) if inclusive else (c <= min_value))
     if max_value is not None:
         bad = bad | ((c > max_value) if inclusive else (c >= max_value))
-    return df.where(c.isNotNull() & bad)
+    return _rows(df, c.isNotNull() & bad)
 
 
 def expression_is_true(df: DataFrame, expression: str | Column) -> DataFrame:
     e = F.expr(expression) if isinstance(expression, str) else expression
-    return df.where(~F.coalesce(e, F.lit(False)))
+    return _rows(df, ~F.coalesce(e, F.lit(False)))
 
 
 def fewer_rows_than(df: DataFrame, other: DataFrame, group_by: Sequence[str],
@@ -68,18 +76,23 @@ def recency(df: DataFrame, ts_column: str, as_of: dt.datetime, max_age: dt.timed
 
 
 def schema_contract(df: DataFrame, contract: T.StructType) -> DataFrame:
-    """DQ-10: contract columns that are missing or of another type (computed on the driver
-    from the schema — no data is read)."""
-    spark = df.sparkSession
+    """DQ-10: per contract column the expected type, the type in the files, rows, nulls, and
+    whether it holds (same type, no null where none is allowed). One aggregate."""
     actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    rows = [(f.name, f.dataType.simpleString(), actual.get(f.name))
-            for f in contract.fields if actual.get(f.name) != f.dataType.simpleString()]
-    return spark.createDataFrame(rows, "column_name string, expected string, actual string")
+    n = F.count(F.lit(1))
+
+    def row(f: T.StructField) -> Column:
+        same = F.lit(actual.get(f.name) == f.dataType.simpleString())
+        nulls = F.count_if(F.col(f.name).isNull()) if f.name in actual else n
+        return F.struct(F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("expected"),
+                        F.lit(actual.get(f.name)).cast("string").alias("actual"), n.alias("checked"), nulls.alias("nulls"),
+                        (same & (F.lit(f.nullable) | (nulls == 0))).alias("holds"))
+    return df.agg(F.array(*[row(f) for f in contract.fields]).alias("r")).select(F.explode("r").alias("s")).select("s.*")
 
 
 def non_negative(df: DataFrame, column: str) -> DataFrame:
     """DQ-11: custom generic test."""
-    return df.where(F.col(column) < 0)
+    return _rows(df, F.col(column) < 0)
 
 
 def reconcile(model: DataFrame, source: DataFrame, measure_model: Column, measure_source: Column,
@@ -100,17 +113,35 @@ def duplicate_ids(df: DataFrame, key: str) -> DataFrame:
 def summarize(failing: DataFrame, test: str, model: str, column: str | None = None,
               severity: str = "error", warn_if: int = 0, error_if: int = 0) -> DataFrame:
     """One summary row; status 'fail' above error_if (error severity), 'warn' above warn_if."""
-    n = F.count(F.lit(1))
+    row = (test, model, column, severity, warn_if, error_if)
+    out = failing.agg(_summary(F.count(F.lit(1)), *row).alias("s")).select("s.*")
+    if hasattr(failing, "row_test"):
+        out.row_test = (*failing.row_test, row)
+    return out
+
+
+def _summary(n: Column, test, model, column, severity, warn_if, error_if) -> Column:
     status = (F.when((F.lit(severity) == "error") & (n > error_if), "fail")
                .when(n > warn_if, "warn").otherwise("pass"))
-    return failing.agg(
-        F.lit(test).alias("test"), F.lit(model).alias("model"),
-        F.lit(column).cast("string").alias("column_name"), F.lit(severity).alias("severity"),
-        n.alias("failures"), status.alias("status"))
+    return F.struct(F.lit(test).alias("test"), F.lit(model).alias("model"),
+                    F.lit(column).cast("string").alias("column_name"), F.lit(severity).alias("severity"),
+                    n.alias("failures"), status.alias("status"))
 
 
 def suite(summaries: Sequence[DataFrame]) -> DataFrame:
-    out = summaries[0]
-    for s in summaries[1:]:
-        out = out.unionByName(s)
+    """All summaries; row-level tests of the same table share one scan."""
+    tables: dict[int, tuple[DataFrame, list]] = {}
+    parts = []
+    for s in summaries:
+        if hasattr(s, "row_test"):
+            df, bad, row = s.row_test
+            tables.setdefault(id(df), (df, []))[1].append((bad, row))
+        else:
+            parts.append(s)
+    for df, tests in tables.values():
+        rows = F.array(*[_summary(F.count_if(bad), *row) for bad, row in tests])
+        parts.append(df.agg(rows.alias("r")).select(F.explode("r").alias("s")).select("s.*"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
     return out

@@ -9,6 +9,7 @@ from .. import config
 from ..config import DEFAULT, Params
 from ..functions.columns import money_units, first_of, money_avg, money_sum, pct, round_half_up, snap
 from ..operators.keys import rank_within_groups
+from ..operators.quantiles import group_quantiles
 
 
 # ---------------------------------------------------------------- M-12
@@ -194,28 +195,30 @@ def fct_promotion_summary(promos: DataFrame, daily: DataFrame) -> DataFrame:
 def fct_daily_price_index(tru: DataFrame, exact_quantiles: bool = True) -> DataFrame:
     """Price distribution per store x region x day.
 
-    ``exact_quantiles`` uses percentile_cont (checkable against any engine);
-    False switches to percentile_approx (bounded memory per group at scale).
+    ``exact_quantiles`` interpolates over counted distinct values (no value map in
+    memory); False uses mergeable sketches for every quantile, the median included.
     """
     p = F.col("min_price")
-    q = (lambda x: snap(F.percentile(p, x))) if exact_quantiles else \
-        (lambda x: F.percentile_approx(p, x, 10000))
+    keys = ["supermarket", "region", "scraped_date"]
+    probs = {"median_product_price": 0.5, "p25_product_price": 0.25, "p75_product_price": 0.75,
+             "p90_product_price": 0.9, "p95_product_price": 0.95}
     t = tru.where(p.isNotNull())
-    a = t.groupBy("supermarket", "region", "scraped_date").agg(
+    sketches = [] if exact_quantiles else [F.percentile_approx(p, x, 10000).alias(n) for n, x in probs.items()]
+    a = t.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("total_products"),
         F.count_if(F.col("is_available")).alias("available_products"),
         F.count_if(~F.col("is_available")).alias("unavailable_products"),
         F.min(p).alias("min_product_price"),
         F.max(p).alias("max_product_price"),
         money_avg(p).alias("avg_product_price"),
-        snap(F.median(p)).alias("median_product_price"),
         snap(F.stddev_samp(p)).alias("stddev_product_price"),
-        q(0.25).alias("p25_product_price"),
-        q(0.75).alias("p75_product_price"),
-        q(0.90).alias("p90_product_price"),
-        q(0.95).alias("p95_product_price"),
         F.sum("total_available_quantity").alias("total_inventory_units"),
+        *sketches,
     )
+    if exact_quantiles:
+        q = group_quantiles(t, keys, "min_price", probs).select(
+            *[F.col(k).alias(f"_{k}") for k in keys], *[snap(n).alias(n) for n in probs])
+        a = a.join(q, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]).drop(*[f"_{k}" for k in keys])
     return a.withColumn("availability_rate_pct", pct("available_products", "total_products"))
 
 

@@ -26,18 +26,18 @@ def inject_metadata(df: DataFrame, metadata: Mapping[str, object]) -> DataFrame:
 def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str] = BRONZE_PARTITIONS,
                       compression: str = "snappy", mode: str = "overwrite") -> str:
     """SNK-01: Hive-partitioned Parquet. Rows are clustered on the partition
-    columns first, so each partition directory gets one file per writing task
-    instead of one per (task, partition) pair."""
-    (df.repartition(*partition_cols).write.mode(mode).option("compression", compression)
+    columns first, so a directory gets few files; the rebalance hint lets AQE split
+    large partitions over several writers."""
+    (df.hint("rebalance", *partition_cols).write.mode(mode).option("compression", compression)
        .partitionBy(*partition_cols).parquet(path))
     return path
 
 
 def consolidate(spark: SparkSession, src: str, dst: str, partition_cols: Sequence[str] = BRONZE_PARTITIONS) -> str:
-    """SNK-02: compaction — many small batch files -> one file per partition, rows
+    """SNK-02: compaction — many small batch files -> few files per partition, rows
     sorted within it; written to a new location (atomic swap by path)."""
     df = spark.read.option("basePath", src).parquet(src)
-    (df.repartition(*partition_cols).sortWithinPartitions(*partition_cols)
+    (df.hint("rebalance", *partition_cols).sortWithinPartitions(*partition_cols)
        .write.mode("overwrite").partitionBy(*partition_cols).parquet(dst))
     return dst
 

@@ -132,15 +132,16 @@ def read_barcode_deltas(spark: SparkSession, base: str, watermark: int,
                         codes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """SRC-10: delta files named ``..._<start>_<end>.json.gz``; only files ending
     after the watermark; product_name array-or-string; 'unknown' -> NULL. Returns
-    (records, new watermark as a one-row frame, malformed lines with their file)."""
+    (records, new watermark as a one-row frame, malformed lines with their file and what code they show)."""
     schema = ("code string, product_name string, brands string, nutriscore_grade string, last_modified_t long, "
               "_corrupt string")
     raw = (spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").json(base)
            .withColumn("_file", F.col("_metadata.file_path")))
     end = F.nullif(F.regexp_extract("_file", DELTA_RE, 2), F.lit("")).try_cast("long")
     raw = raw.withColumn("_end", end).where(F.col("_end") > watermark)
+    new_wm = raw.agg(F.coalesce(F.max("_end"), F.lit(watermark)).alias("last_timestamp"))
     bad = raw.where(F.col("_corrupt").isNotNull()).select(F.col("_corrupt").alias("line"), F.col("_file").alias("file"),
-                                                          F.col("code"))
+                                                          "code")
     raw = raw.where(F.col("_corrupt").isNull())
     name = F.coalesce(F.get_json_object("product_name", "$[0].text"), F.col("product_name"))
     name = F.when(F.col("product_name").startswith("["), F.get_json_object("product_name", "$[0].text")).otherwise(name)
@@ -148,5 +149,4 @@ def read_barcode_deltas(spark: SparkSession, base: str, watermark: int,
     recs = raw.select("code", clean(name).alias("product_name"), clean(F.col("brands")).alias("brands"),
                       F.lower("nutriscore_grade").alias("nutriscore_grade"), "last_modified_t", "_end")
     recs = recs.join(codes.select("code"), "code", "left_semi")
-    new_wm = raw.agg(F.coalesce(F.max("_end"), F.lit(watermark)).alias("last_timestamp"))
-    return recs.drop("_end"), new_wm, bad.drop("code")
+    return recs.drop("_end"), new_wm, bad

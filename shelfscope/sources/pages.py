@@ -20,24 +20,29 @@ def _j(block: Column, path: str) -> Column:
     return F.get_json_object(block, path)
 
 
+def product_block() -> Column:
+    """The first JSON-LD Product block of ``html``, else NULL."""
+    blocks = F.regexp_extract_all("html", F.lit(LD_RE), 1)
+    return F.get(F.filter(blocks, lambda x: F.coalesce(_j(x, "$['@type']") == "Product", F.lit(False))), 0)
+
+
 def jsonld_products(pages: DataFrame) -> DataFrame:
-    """SRC-15: the first JSON-LD block whose @type is Product, per page.
+    """SRC-15: the first JSON-LD block whose @type is Product, per page (row-local)."""
+    return pages.select("page_id", "url", product_block().alias("block")).where(F.col("block").isNotNull())
+
+
+def _ld_price(b: Column) -> Column:
+    return F.coalesce(_j(b, "$.offers.price"), _j(b, "$.offers[0].price")).try_cast("double")
 
-    Blocks are exploded with their position; the first Product block per page
-    is picked with min_by over the position — per-page work only.
-    """
-    blocks = pages.select("page_id", "url", F.posexplode(F.regexp_extract_all("html", F.lit(LD_RE), 1))
-                          .alias("pos", "block"))
-    prod = blocks.where(_j(F.col("block"), "$['@type']") == "Product")
-    return prod.groupBy("page_id", "url").agg(F.min_by("block", "pos").alias("block"))
+
+def _ld_high(b: Column) -> Column:
+    return F.coalesce(_j(b, "$.offers.highPrice"), _j(b, "$.offers[0].highPrice")).try_cast("double")
 
 
 def normalize_jsonld(products: DataFrame) -> DataFrame:
     """SRC-20: offers object-or-list, brand object-or-string, image list-or-string,
     id from sku or URL, stock 999 (in stock) / 0."""
     b = F.col("block")
-    price = F.coalesce(_j(b, "$.offers.price"), _j(b, "$.offers[0].price"))
-    high = F.coalesce(_j(b, "$.offers.highPrice"), _j(b, "$.offers[0].highPrice"))
     avail = F.coalesce(_j(b, "$.offers.availability"), _j(b, "$.offers[0].availability"))
     brand = F.coalesce(_j(b, "$.brand.name"), _j(b, "$.brand"))
     image = F.coalesce(_j(b, "$.image[0]"), _j(b, "$.image"))
@@ -48,8 +53,8 @@ def normalize_jsonld(products: DataFrame) -> DataFrame:
         pid.alias("product_id"),
         _j(b, "$.name").alias("name"),
         brand.alias("brand"),
-        price.try_cast("double").alias("price"),
-        high.try_cast("double").alias("list_price"),
+        _ld_price(b).alias("price"),
+        _ld_high(b).alias("list_price"),
         _j(b, "$.gtin13").alias("ean"),
         force_https(image).alias("image_url"),
         in_stock.alias("available"),
@@ -73,12 +78,16 @@ def microdata(pages: DataFrame) -> DataFrame:
     ).where(F.col("name").isNotNull() | F.col("price").isNotNull())
 
 
+def _css() -> tuple[Column, Column, Column]:
+    return (F.nullif(F.trim(F.regexp_extract("html", r"<h1[^>]*>(.*?)</h1>", 1)), F.lit("")),
+            parse_price_text(F.regexp_extract("html", r'class="price-selling"[^>]*>([^<]*)<', 1)),
+            parse_price_text(F.regexp_extract("html", r'class="price-list"[^>]*>([^<]*)<', 1)))
+
+
 def css_prices(pages: DataFrame) -> DataFrame:
     """SRC-17: h1 name and the selling / list price text ("R$ 1.234,56" -> 1234.56);
     keeps pages with a name and a positive price."""
-    name = F.nullif(F.trim(F.regexp_extract("html", r"<h1[^>]*>(.*?)</h1>", 1)), F.lit(""))
-    sell = parse_price_text(F.regexp_extract("html", r'class="price-selling"[^>]*>([^<]*)<', 1))
-    lst = parse_price_text(F.regexp_extract("html", r'class="price-list"[^>]*>([^<]*)<', 1))
+    name, sell, lst = _css()
     out = pages.select("page_id", "url", name.alias("name"), sell.alias("price"), lst.alias("list_price"))
     return out.where(F.col("name").isNotNull() & (F.col("price") > 0))
 
@@ -86,11 +95,12 @@ def css_prices(pages: DataFrame) -> DataFrame:
 def live_prices(pages: DataFrame) -> DataFrame:
     """SRC-18: current price and discount of a fetched page for deal re-checks:
     JSON-LD price/highPrice, else the CSS selling/list prices."""
-    ld = normalize_jsonld(jsonld_products(pages)).select("page_id", F.col("price").alias("ld_price"),
-                                                         F.col("list_price").alias("ld_high"))
-    css = css_prices(pages).select("page_id", F.col("price").alias("css_price"),
-                                   F.col("list_price").alias("css_list"))
-    j = pages.select("page_id", "url", "status").join(ld, "page_id", "left").join(css, "page_id", "left")
+    b = F.col("block")
+    name, sell, lst = _css()
+    shown = name.isNotNull() & (sell > 0)
+    j = pages.withColumn("block", product_block()).select(
+        "page_id", "url", "status", _ld_price(b).alias("ld_price"), _ld_high(b).alias("ld_high"),
+        F.when(shown, sell).alias("css_price"), F.when(shown, lst).alias("css_list"))
     use_ld = F.col("ld_price").isNotNull()
     price = F.when(use_ld, F.col("ld_price")).otherwise(F.col("css_price"))
     high = F.when(use_ld, F.col("ld_high")).otherwise(F.col("css_list"))

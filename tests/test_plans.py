@@ -21,12 +21,39 @@ def test_in_flight_exclusion_is_a_partition_filter(spark):
 
 
 def test_price_index_pushes_filter_and_prunes_columns(spark):
-    p = _plan(entry.queries()["M-17"](spark, SF_SMALL))
+    from shelfscope.plans import facts
+    from shelfscope.plans.warehouse import warehouse
+    p = _plan(facts.fct_daily_price_index(warehouse(spark, SF_SMALL).tru()))
+    assert "ObjectHashAggregate" not in p  # no map of a group's values
     assert "PushedFilters: [IsNotNull(min_price)]" in p
     schema = [l for l in p.splitlines() if l.startswith("ReadSchema")][0]
     assert "product_url" not in schema and "eans" not in schema
 
 
+def test_deal_ranks_need_no_window_over_a_store_day(spark):
+    from shelfscope.plans import facts
+    from shelfscope.plans.warehouse import warehouse
+    p = _plan(facts.fct_hot_deals_validated(warehouse(spark, SF_SMALL).fact("fct_active_promotions")))
+    assert "Window" not in p or "row_number" not in p
+
+
+def test_quality_suite_scans_once(spark):
+    assert _plan(entry.queries()["DQ-01"](spark, SF_SMALL)).count("Scan parquet") == 2  # once, and its details
+
+
+def test_page_extraction_is_row_local(spark):
+    from shelfscope.sources import pages
+    d = spark.createDataFrame([(1, "u", "<h1>x</h1>", 200)], "page_id long, url string, html string, status int")
+    for f in (pages.jsonld_products, pages.live_prices):
+        assert "Exchange" not in _plan(f(d))
+
+
+def test_trusted_dedup_sorts_no_aggregate(spark):
+    from shelfscope.plans.trusted import tru_product
+    from shelfscope.plans.warehouse import warehouse
+    assert "SortAggregate" not in _plan(tru_product(warehouse(spark, SF_SMALL).stg()))
+
+
 def test_star_join_plan(spark):
     from shelfscope.plans import facts
     from shelfscope.plans.warehouse import warehouse
