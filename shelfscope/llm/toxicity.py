@@ -8,10 +8,11 @@ valued 1 + log(count).
 Severity grades are learned from labels: grade 0 is "not toxic"; toxic documents are graded
 by the share of their words that stand out in toxic documents, cut at quantiles.
 
-The classifier is fitted on the driver on a bounded sample of labelled documents
-(``max_rows``, those with the lowest hash of their id) and a bounded vocabulary
-(``max_features``, ``min_docs``, and a chi-square of at least ``min_chi`` against the label); all documents are scored, each batch as one sparse sum over
-the broadcast weights.
+Words are counted against the labels by Spark; the classifier is fitted on the driver on the
+known words of a bounded sample of labelled documents (``max_rows``, those with the lowest
+hash of their id) and a bounded vocabulary (``max_features``, ``min_docs``, and a chi-square
+of at least ``min_chi`` against the label). All documents are scored, each batch as one
+sparse sum over the broadcast weights.
 
 Defined results: null or wordless text has the intercepts alone; documents without a label
 are not learned from; a document labelled twice counts as toxic if any label says so; without
@@ -22,13 +23,15 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents
+from .common import documents, written
 
 
 STEM = 6
+FLAG = 0.3  # least probability of any toxicity that flags a document; clean ones lie far below
 
 
 def with_features(df: DataFrame, text: str, out: str = "h") -> DataFrame:
@@ -56,7 +59,7 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * z))
 
 
-def fit_ordinal(row, col, val, grade: np.ndarray, width: int, penalty: float = 2e-4, rounds: int = 400,
+def fit_ordinal(row, col, val, grade: np.ndarray, width: int, penalty: float = 5e-5, rounds: int = 600,
                 rate: float = 0.05) -> tuple[np.ndarray, np.ndarray]:
     """Weights and ordered thresholds by maximum likelihood (Adam on the full sample)."""
     n, k = len(grade), int(grade.max())
@@ -94,32 +97,47 @@ def train(docs: DataFrame, labels: DataFrame, grades: int = 3, max_rows: int = 2
     pick = F.shiftrightunsigned(F.xxhash64(F.lit(5), "_id"), 33) / F.lit(float(1 << 31)) < min(1.0, 0.95 * max_rows / max(1, n))
     rows = docs.select("doc_id", "text").join(lab.where(pick), F.col("doc_id") == F.col("_id")).groupBy("_id").agg(
         F.min("text").alias("text"), F.max("toxic").alias("toxic"))
-    # each word once a document with its count, so the sample's size on the driver is bounded by its words
-    sample = with_features(rows, "text").select("_id", "toxic", "h").orderBy("_id").toArrow()
-    toxic = sample.column("toxic").to_numpy() > 0
-    if not toxic.any() or toxic.all():
+    rows = written(with_features(rows, "text").select("_id", "toxic", "h"), "toxicity-sample")
+    n1, n0 = (int(x or 0) for x in rows.agg(F.sum("toxic"), F.sum(1 - F.col("toxic"))).first())
+    if not n1 or not n0:
         return np.zeros(0, np.int64), np.zeros(0), np.zeros(0)
-    h = sample.column("h").combine_chunks()
-    offsets = np.concatenate(([0], np.cumsum(np.array([len(x) for x in h]))))
-    flat = h.flatten().to_numpy()
-    lists = [flat[a:b] for a, b in zip(offsets[:-1], offsets[1:])]
-    once = [np.unique(x) for x in lists]
-    word, inverse = np.unique(np.concatenate(once), return_inverse=True)
-    owner = np.repeat(toxic, [len(x) for x in once])
-    bad, good = np.bincount(inverse, owner, len(word)), np.bincount(inverse, ~owner, len(word))
     # chi-square of word against label: what chance explains would only be fitted as noise
-    n1, n0, seen = toxic.sum(), (~toxic).sum(), bad + good
-    chi = (n1 + n0) * (bad * n0 - good * n1) ** 2 / (n1 * n0 * seen * np.maximum(n1 + n0 - seen, 0.5))
-    ok = np.flatnonzero((seen >= min_docs) & (chi >= min_chi))
-    vocabulary = np.sort(word[ok[np.argsort(-chi[ok], kind="stable")[:max_features]]])
-    odds = np.log((bad + 0.5) / (toxic.sum() + 1)) - np.log((good + 0.5) / ((~toxic).sum() + 1))
-    marks = np.sort(word[(odds > 3) & (bad >= max(min_docs, 0.02 * toxic.sum()))])  # stand out in toxic documents
-    share = np.array([np.isin(x, marks).mean() if len(x) else 0.0 for x in lists])
-    grade = np.zeros(len(lists), int)
+    seen, bad = F.col("seen"), F.col("bad")
+    chi = (F.lit(float(n1 + n0)) * F.pow(bad * n0 - (seen - bad) * n1, 2)
+           / (F.lit(float(n1) * n0) * seen * F.greatest(n1 + n0 - seen, F.lit(0.5))))
+    words = (rows.select("toxic", F.explode(F.array_distinct("h")).alias("w")).groupBy("w")
+             .agg(F.count("*").alias("seen"), F.sum("toxic").alias("bad")).where(seen >= min_docs)
+             .withColumn("chi", chi).where(F.col("chi") >= min_chi)
+             .orderBy(F.col("chi").desc(), "w").limit(max_features).toArrow())
+    word, seen, bad = (words.column(k).to_numpy() for k in ("w", "seen", "bad"))
+    by = np.argsort(word)
+    vocabulary, seen, bad = word[by], seen[by], bad[by]
+    odds = np.log((bad + 0.5) / (n1 + 1)) - np.log((seen - bad + 0.5) / (n0 + 1))
+    marks = vocabulary[(odds > 3) & (bad >= max(min_docs, 0.02 * n1))]  # stand out in toxic documents
+    shared = docs.sparkSession.sparkContext.broadcast((vocabulary, marks))
+
+    def known(batches):
+        vocabulary, marks = shared.value
+        for b in batches:
+            lists = [np.asarray(x, np.int64) for x in b.column(2).to_pylist()]
+            row, col, val = sparse(lists, vocabulary)
+            cut = np.searchsorted(row, np.arange(len(lists) + 1))
+            yield pa.RecordBatch.from_arrays([
+                b.column(0), b.column(1), pa.array([np.isin(x, marks).mean() if len(x) else 0.0 for x in lists], pa.float64()),
+                pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(col, pa.int64())),
+                pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(val, pa.float64()))],
+                ["_id", "toxic", "share", "col", "val"])
+    sample = rows.mapInArrow(known, "_id long, toxic int, share double, col array<long>, val array<double>").toArrow()
+    order = np.argsort(sample.column("_id").to_numpy(), kind="stable")
+    sample = sample.take(pa.array(order))
+    toxic, share = sample.column("toxic").to_numpy() > 0, sample.column("share").to_numpy()
+    col, val = (sample.column(k).combine_chunks() for k in ("col", "val"))
+    row = np.repeat(np.arange(len(toxic)), pc.list_value_length(col).to_numpy())
+    grade = np.zeros(len(toxic), int)
     cuts = np.quantile(share[toxic], np.arange(1, grades) / grades)
     grade[toxic] = 1 + np.searchsorted(np.unique(cuts), share[toxic], side="left")
     _, grade = np.unique(grade, return_inverse=True)
-    w, b = fit_ordinal(*sparse(lists, vocabulary), grade, len(vocabulary))
+    w, b = fit_ordinal(row, col.flatten().to_numpy(), val.flatten().to_numpy(), grade, len(vocabulary))
     return vocabulary, w, b
 
 
@@ -152,4 +170,4 @@ def op1_toxicity(spark, sf_dir):
     docs = documents(spark, sf_dir)
     labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
     return score(docs, train(docs, labels)).select(
-        "doc_id", "severity", "p_toxic", (F.col("p_toxic") >= 0.5).alias("toxic"))
+        "doc_id", "severity", "p_toxic", (F.col("p_toxic") >= FLAG).alias("toxic"))
