@@ -233,9 +233,11 @@ def dsc01(spark, sf):
     return DC.new_only(_sitemap(spark, sf), warehouse(spark, sf).stg())
 
 
-@register("DSC-03")
+@register("DSC-03", with_ctes(["sitemap_urls"], f"""
+SELECT *, regexp_matches(url, '-1[0-9]*/p$') AS priority FROM sitemap_urls
+WHERE priority OR left(md5(url || '|42'), 8) < '{DC.sample_bound(0.1)}'"""))
 def dsc03(spark, sf):
-    """Sampling: priority URLs plus a deterministic hash sample of the rest (no SQL twin: hash differs)."""
+    """Sampling: priority URLs plus a deterministic hash sample of the rest."""
     return DC.sample_urls(_sitemap(spark, sf), priority=[r"-1\d*/p$"], rate=0.1, seed=42)
 
 

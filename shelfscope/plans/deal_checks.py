@@ -63,13 +63,19 @@ def new_only(urls: DataFrame, stg: DataFrame) -> DataFrame:
     return urls.join(seen, "url", "left_anti")
 
 
+def sample_bound(rate: float) -> str:
+    """The least 8-digit hexadecimal number beyond share ``rate`` of all."""
+    return f"{min(int(rate * 2**32), 2**32 - 1):08x}"
+
+
 def sample_urls(urls: DataFrame, priority: list[str], rate: float, seed: int = 42) -> DataFrame:
     """DSC-03 / SRT-05: every URL matching a priority pattern plus a deterministic
-    hash sample of the rest (same URL -> same decision on every run)."""
+    hash sample of the rest (same URL -> same decision on every run, in any engine that
+    has md5)."""
     prio = F.lit(False)
     for p in priority:
         prio = prio | F.col("url").rlike(p)
-    sampled = F.pmod(F.xxhash64(F.col("url"), F.lit(seed)), F.lit(10000)) < int(rate * 10000)
+    sampled = F.substring(F.md5(F.concat(F.col("url"), F.lit(f"|{seed}"))), 1, 8) < sample_bound(rate)
     return urls.where(prio | sampled).withColumn("priority", prio)
 
 
