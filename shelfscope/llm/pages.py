@@ -2,8 +2,10 @@
 
 Every page is cut into tokens: tags with the path of containers they stand in, and words
 with that path. Tokens of a host's pages whose occurrence vectors (how often in which page)
-are equal form a class; a class that is large, frequent and valid (its tokens keep one order
-on every page) belongs to the host's template. What lies between template tokens are slots.
+are equal form a class. Large, frequent classes nest into the host's template: the largest is
+its frame, and another belongs to it if all its tokens stand in one gap of the frame. On a
+page, a class counts if it is valid there: its tokens keep the host's order. What lies between
+template tokens are slots.
 Slots inside menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
 comments (by element or by class, id and role words) are boilerplate, as is text made of
 template words alone; text inside an article or main element is never taken for template.
@@ -12,7 +14,7 @@ element, those inside it.
 
 Occurrence vectors are compared by 64-bit sums of (page, count) hashes, so a class is a
 group-by with map-side combining: no host's pages meet in one task. The template is sent to
-the extraction as a set of 64-bit token keys when it has at most ``max_broadcast`` tokens in
+the extraction as 64-bit token keys when it has at most ``max_broadcast`` tokens in
 all, else by a join on the host.
 
 Defined results: null or empty html gives an empty text; pages without a usable URL share
@@ -123,7 +125,8 @@ def tokens(where: str, html: str):
 
 
 def templates(pages: DataFrame, min_pages: int = 4, support: float = 0.9, min_class: int = 3) -> DataFrame:
-    """(host, token): the template tokens of every host."""
+    """(host, token, cls, place): the template tokens of every host, their class and their mean
+    place on a page."""
     def occurrences(batches):
         for b in batches:
             at: dict[tuple[str, int], list] = {}
@@ -159,27 +162,59 @@ def templates(pages: DataFrame, min_pages: int = 4, support: float = 0.9, min_cl
                 .where((F.col("pages") >= min_pages) & (F.col("n") >= support * F.col("pages"))))
     large = frequent.groupBy(F.col("host").alias("_h2"), F.col("sig").alias("_s2")).agg(
         F.count("*").alias("members")).where(F.col("members") >= min_class)
-    return frequent.join(large, (F.col("host") == F.col("_h2")) & (F.col("sig") == F.col("_s2"))).select(
-        "host", "token", F.col("sig").alias("cls"), (F.col("place") / F.col("n")).alias("place"))
-
-
-def main_text(where: str, html: str, template: set[int]) -> str:
-    """The page's main text under its host's template."""
+    members = frequent.join(large, (F.col("host") == F.col("_h2")) & (F.col("sig") == F.col("_s2"))).select(
+        "host", "token", F.col("sig").alias("cls"), (F.col("place") / F.col("n")).alias("place"), "members")
+    top = members.groupBy("host").agg(F.max(F.struct("members", "cls")).alias("t")).select(
+        F.col("host").alias("_th"), F.col("t.cls").alias("top"))
+    members = members.join(top, F.col("host") == F.col("_th")).drop("_th", "members")
+    frame = members.where("cls = top").groupBy(F.col("host").alias("_fh")).agg(
+        F.sort_array(F.collect_list("place")).alias("frame"))     # one class's tokens
+    gap = F.size(F.filter("frame", lambda x: x < F.col("place")))
+    nested = (members.join(frame, F.col("host") == F.col("_fh")).withColumn("gap", gap)
+              .groupBy(F.col("host").alias("_nh"), F.col("cls").alias("_nc"))
+              .agg(F.min("gap").alias("g0"), F.max("gap").alias("g1"), F.max(F.col("cls") == F.col("top")).alias("is_top"))
+              .where("is_top or g0 = g1").select("_nh", "_nc"))
+    return members.join(nested, (F.col("host") == F.col("_nh")) & (F.col("cls") == F.col("_nc")), "left_semi").select(
+        "host", "token", "cls", "place")
+
+
+def valid_here(where: str, html: str, template: dict) -> set[int]:
+    """The template tokens whose class keeps its order on this page."""
+    places: dict[int, list] = {}
+    for t, _, first in tokens(where, html):
+        if t in template:
+            cls, place = template[t]
+            places.setdefault(cls, []).append((place, first, t))
+    good = set()
+    for seen in places.values():
+        seen.sort()
+        if all(a[1] <= b[1] for a, b in zip(seen, seen[1:])):
+            good.update(t for _, _, t in seen)
+    return good
+
+
+def main_text(where: str, html: str, template: dict) -> str:
+    """The page's main text under its host's template (token: class and place)."""
     parts, any_main = [], False
     for kind, path, value, out, main in walk(html):
         any_main |= main
         if kind == "t":
             if value.lstrip("/").split(".")[0] not in INLINE:
-                parts.append((" ", True, True))
+                parts.append((" ", path, True))
         elif not out:
-            fixed = bool(template) and not main and value.strip() != "" and all(
-                key(where, f"{path}>{w}") in template for w in value.split())
-            if not fixed:
-                parts.append((value, main, False))
-    text = "".join(v for v, main, tag in parts if tag or main or not any_main)
+            parts.append((value, path, main))
+    if not any_main and template:                      # inside an article nothing is template
+        fixed = valid_here(where, html, template)
+        parts = [(v, path, True) for v, path, _ in parts
+                 if v == " " or not v.split() or not all(key(where, f"{path}>{w}") in fixed for w in v.split())]
+    text = "".join(v for v, _, main in parts if main or not any_main)
     return " ".join(entities.unescape(text).split())
 
 
+def entry(token: np.ndarray, cls: np.ndarray, place: np.ndarray) -> dict:
+    return dict(zip(token.view(np.uint64).tolist(), zip(cls.tolist(), place.tolist())))
+
+
 def extract(pages: DataFrame, max_broadcast: int = 2_000_000, **params) -> DataFrame:
     """(page_id, url, text)."""
     from .common import written
@@ -194,23 +229,24 @@ def extract(pages: DataFrame, max_broadcast: int = 2_000_000, **params) -> DataF
         return pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.string())], ["page_id", "url", "text"])
 
     if tpl.count() <= max_broadcast:
-        known = tpl.select("token").toArrow().column(0).to_numpy().view(np.uint64)
-        shared = spark.sparkContext.broadcast(np.unique(known))
+        known = tpl.select("token", "cls", "place").toArrow()
+        shared = spark.sparkContext.broadcast([known.column(k).to_numpy() for k in range(3)])
 
         def with_all(batches):
-            every = set(shared.value.tolist())        # keys hold the host
+            every = entry(*shared.value)              # keys hold the host
             for b in batches:
                 yield rows(b, lambda i: every)
         return d.mapInArrow(with_all, fields)
 
-    own = tpl.groupBy(F.col("host").alias("_h")).agg(F.collect_list("token").alias("tpl"))
+    own = tpl.groupBy(F.col("host").alias("_h")).agg(
+        F.collect_list("token").alias("tokens"), F.collect_list("cls").alias("classes"), F.collect_list("place").alias("places"))
 
     def with_own(batches):
         for b in batches:
-            lists = b.column(4).to_pylist()
-            yield rows(b, lambda i: {t & M64 for t in lists[i] or ()})
-    return d.join(own, F.col("host") == F.col("_h"), "left").select("page_id", "url", "host", "html", "tpl").mapInArrow(
-        with_own, fields)
+            own = [b.column(k).to_pylist() for k in (4, 5, 6)]
+            yield rows(b, lambda i: entry(*(np.array(x[i] or [], k) for x, k in zip(own, (np.int64, np.int64, float)))))
+    return d.join(own, F.col("host") == F.col("_h"), "left").select(
+        "page_id", "url", "host", "html", "tokens", "classes", "places").mapInArrow(with_own, fields)
 
 
 def op6_pages(spark, sf_dir):

@@ -435,7 +435,7 @@ def test_rotations_keep_length():
 # -- 6 pages ---------------------------------------------------------------------------------------------
 
 def test_main_text_cases():
-    f = lambda h: pages.main_text("h", h, set())
+    f = lambda h: pages.main_text("h", h, {})
     assert f("<body><nav>menu</nav><article><h1>T &amp; U</h1><p><b>a</b>b\n c<br>d<p>e</article><footer>x</footer>") == "T & U ab c d e"
     assert f("<div class='cookie-notice'>we</div><div>one</div><div id=sidebar>side<div>in</div></div>two") == "one two"
     assert f("<script>var t='</p>';</script><p>x &lt; y<form>f</form><div class=comments>c</div>") == "x < y"
