@@ -188,9 +188,9 @@ def parse_location(code: Column) -> tuple[Column, Column, Column]:
     m = F.get(cand, 0)
     pos = F.instr(code, "_")
     city = F.coalesce(m, F.when(pos > 0, F.substring(code, 1, pos - 1)).otherwise(code))
-    after_m = F.substring(code, F.length(m) + 2, 1 << 20)
+    after_m = F.substr(code, F.length(m) + 2)
     nb = F.when(m.isNotNull(), F.when(code == m, F.lit("centro")).otherwise(after_m)) \
-          .otherwise(F.when(pos > 0, F.substring(code, pos + 1, 1 << 20)).otherwise(F.lit("centro")))
+          .otherwise(F.when(pos > 0, F.substr(code, pos + 1)).otherwise(F.lit("centro")))
     return city, nb, m.isNotNull()
 
 

@@ -46,12 +46,18 @@ def cluster_conf(input_bytes: int, cores: int) -> dict:
 
 
 def build_session(master: str | None = None, app: str = "shelfscope",
-                  shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
+                  shuffle_partitions: int | None = None, extra: dict | None = None,
+                  input_bytes: int | None = None, cores: int | None = None) -> SparkSession:
+    """A session with the settings above; ``input_bytes`` and ``cores`` size its shuffles
+    (``cluster_conf``), ``shuffle_partitions`` overrides that."""
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
     for k, v in BASE_CONF.items():
         b = b.config(k, v)
+    if input_bytes and cores:
+        for k, v in cluster_conf(input_bytes, cores).items():
+            b = b.config(k, v)
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():
