@@ -1,14 +1,16 @@
 """HTML extraction by equivalence-class template deduction.
 
 Every page is cut into tokens: tags with the path of containers they stand in, and words
-with that path. Tokens of a host's pages whose occurrence vectors (how often in which page)
+with that path; inside an article or main element, where any word may come again by chance, a
+word's role is told by its whole line, so a line (a text between two tags) is one token that
+weighs as many as its words. Tokens of a host's pages whose occurrence vectors (how often in which page)
 are equal form a class. Large, frequent classes nest into the host's template: the largest is
 its frame, and another belongs to it if all its tokens stand in one gap of the frame. On a
 page, a class counts if it is valid there: its tokens keep the host's order. What lies between
 template tokens are slots.
 Slots inside menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
 comments (by element or by class, id and role words) are boilerplate, as is text made of
-template words alone; text inside an article or main element is never taken for template.
+template words alone and, inside an article or main element, a line that is a template token.
 The remaining slots, in page order, are the main text; where a page has an article or main
 element, those inside it.
 
@@ -34,6 +36,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import written
+
 RAW = "script|style|textarea|title|iframe|noscript|template|svg|xmp|noembed|noframes"
 PART = re.compile(rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*>|<(?=[a-zA-Z])[^>]*\Z|[^<]+|<",
                   re.S | re.I)
@@ -106,22 +110,26 @@ def key(where: str, token: str) -> int:
     return xxhash.xxh64_intdigest(f"{where}\0{token}".encode("utf-8", "replace"))
 
 
-def tokens(where: str, html: str):
-    """Counter of the page's token keys, and each key's first place. Words inside an article
-    or main element are never template, so only tags count there."""
-    seen: dict[str, int] = {}
+def text_tokens(path: str, value: str, main: bool) -> list[str]:
+    """The tokens of a text: its words, or inside an article or main element its line."""
+    ws = value.split()
+    return [f"{path}>{w}" for w in ws] if not main else [f"{path}={' '.join(ws)}"] if ws else []
+
+
+def tokens(where: str, steps: list):
+    """(key, count, first place, weight) of the page's tokens."""
+    seen: dict[str, tuple[int, int]] = {}
     count: Counter = Counter()
-    for n, (kind, path, value, out, main) in enumerate(walk(html)):
+    for n, (kind, path, value, out, main) in enumerate(steps):
         if kind == "t":
-            items = [f"{path}<{value}"]
-        elif main:
-            continue
+            items, weight = [f"{path}<{value}"], 1
         else:
-            items = [f"{path}>{w}" for w in value.split()]
+            items = text_tokens(path, value, main)
+            weight = len(value.split()) if main else 1
         for t in items:
-            seen.setdefault(t, n)
+            seen.setdefault(t, (n, weight))
         count.update(items)
-    return [(key(where, t), c, seen[t]) for t, c in count.items()]
+    return [(key(where, t), c, *seen[t]) for t, c in count.items()]
 
 
 def templates(pages: DataFrame, min_pages: int = 4, support: float = 0.9, min_class: int = 3) -> DataFrame:
@@ -134,9 +142,9 @@ def templates(pages: DataFrame, min_pages: int = 4, support: float = 0.9, min_cl
                 if not text:
                     continue
                 page = xxhash.xxh64_intdigest(text.encode("utf-8", "replace"))
-                for t, c, first in [*tokens(h, text), (0, 1, 0)]:      # token 0 counts the host's pages
+                for t, c, first, weight in [*tokens(h, list(walk(text))), (0, 1, 0, 1)]:      # token 0 counts the host's pages
                     mixed = ((page ^ (c * 0x9E3779B97F4A7C15)) * 0xC2B2AE3D27D4EB4F) & M64
-                    r = at.setdefault((h, t), [0, 0, page, page, 0])
+                    r = at.setdefault((h, t), [0, 0, page, page, 0, weight])
                     r[0] += 1
                     r[1] = (r[1] + (mixed ^ (mixed >> 31))) & M64
                     r[2], r[3] = min(r[2], page), max(r[3], page)
@@ -147,21 +155,25 @@ def templates(pages: DataFrame, min_pages: int = 4, support: float = 0.9, min_cl
                     "host": pa.array([k[0] for k in at], pa.string()),
                     "token": pa.array(np.array([k[1] for k in at], np.uint64).view(np.int64)),
                     "n": pa.array([r[0] for r in at.values()], pa.int64()), "sig": u(1), "low": u(2), "high": u(3),
-                    "place": pa.array([r[4] for r in at.values()], pa.int64())})
+                    "place": pa.array([r[4] for r in at.values()], pa.int64()),
+                    "weight": pa.array([r[5] for r in at.values()], pa.int64())})
 
     # sums of signatures wrap around: split so that ANSI addition can't overflow
     occ = pages.select(host(F.col("url")).alias("host"), "html").mapInArrow(
-        occurrences, "host string, token long, n long, sig long, low long, high long, place long")
+        occurrences, "host string, token long, n long, sig long, low long, high long, place long, weight long")
     occ = occ.groupBy("host", "token").agg(
         F.sum("n").alias("n"), F.sum(F.col("sig").bitwiseAND(F.lit(0xFFFFFFFF))).alias("s0"),
         F.sum(F.shiftrightunsigned("sig", 32)).alias("s1"),
-        F.min("low").alias("low"), F.max("high").alias("high"), F.sum("place").alias("place"))
+        F.min("low").alias("low"), F.max("high").alias("high"), F.sum("place").alias("place"),
+        F.max("weight").alias("weight"))
     occ = occ.withColumn("sig", F.xxhash64((F.col("s0") + F.col("s1") % (1 << 31) * (1 << 31)) , "s1"))
+    # read several times below, so that the pages are cut once; rarer tokens can't be frequent
+    occ = written(occ.where((F.col("token") == 0) | (F.col("n") >= support * min_pages)), "page-tokens")
     total = occ.where("token = 0").select(F.col("host").alias("_h"), F.col("n").alias("pages"))
     frequent = (occ.where("token != 0 and low != high").join(total, F.col("host") == F.col("_h"))
                 .where((F.col("pages") >= min_pages) & (F.col("n") >= support * F.col("pages"))))
     large = frequent.groupBy(F.col("host").alias("_h2"), F.col("sig").alias("_s2")).agg(
-        F.count("*").alias("members")).where(F.col("members") >= min_class)
+        F.sum("weight").alias("members")).where(F.col("members") >= min_class)
     members = frequent.join(large, (F.col("host") == F.col("_h2")) & (F.col("sig") == F.col("_s2"))).select(
         "host", "token", F.col("sig").alias("cls"), (F.col("place") / F.col("n")).alias("place"), "members")
     top = members.groupBy("host").agg(F.max(F.struct("members", "cls")).alias("t")).select(
@@ -178,10 +190,10 @@ def templates(pages: DataFrame, min_pages: int = 4, support: float = 0.9, min_cl
         "host", "token", "cls", "place")
 
 
-def valid_here(where: str, html: str, template: dict) -> set[int]:
+def valid_here(where: str, steps: list, template: dict) -> set[int]:
     """The template tokens whose class keeps its order on this page."""
     places: dict[int, list] = {}
-    for t, _, first in tokens(where, html):
+    for t, _, first, _ in tokens(where, steps):
         if t in template:
             cls, place = template[t]
             places.setdefault(cls, []).append((place, first, t))
@@ -195,18 +207,18 @@ def valid_here(where: str, html: str, template: dict) -> set[int]:
 
 def main_text(where: str, html: str, template: dict) -> str:
     """The page's main text under its host's template (token: class and place)."""
-    parts, any_main = [], False
-    for kind, path, value, out, main in walk(html):
+    parts, any_main, steps = [], False, list(walk(html))
+    for kind, path, value, out, main in steps:
         any_main |= main
         if kind == "t":
             if value.lstrip("/").split(".")[0] not in INLINE:
                 parts.append((" ", path, True))
         elif not out:
             parts.append((value, path, main))
-    if not any_main and template:                      # inside an article nothing is template
-        fixed = valid_here(where, html, template)
-        parts = [(v, path, True) for v, path, _ in parts
-                 if v == " " or not v.split() or not all(key(where, f"{path}>{w}") in fixed for w in v.split())]
+    if template:
+        fixed = valid_here(where, steps, template)
+        parts = [(v, path, main) for v, path, main in parts if not v.strip() or (any_main and not main)
+                 or not all(key(where, t) in fixed for t in text_tokens(path, v, main))]
     text = "".join(v for v, _, main in parts if main or not any_main)
     return " ".join(entities.unescape(text).split())
 
@@ -217,7 +229,6 @@ def entry(token: np.ndarray, cls: np.ndarray, place: np.ndarray) -> dict:
 
 def extract(pages: DataFrame, max_broadcast: int = 2_000_000, **params) -> DataFrame:
     """(page_id, url, text)."""
-    from .common import written
     spark = pages.sparkSession
     tpl = written(templates(pages, **params), "page-templates")
     fields = "page_id long, url string, text string"

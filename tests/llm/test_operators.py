@@ -459,6 +459,19 @@ def test_template_words_go(spark):
     assert rows_of(pages.extract(d.limit(0))) == []
 
 
+def test_template_lines_inside_articles_go(spark):
+    rng = random.Random(8)
+    own = {i: prose(rng, 30) for i in range(20)}
+    rows = [(i, f"http://h.example/{i}", f"<html><body><article><h1>{own[i][:9]}</h1><div>Share this with your friends</div>"
+             f"<div><p>{own[i]}</p></div><div>Advert: buy one</div></article></body></html>") for i in own]
+    rows += [(100 + i, f"http://m.example/{i}", f"<body><main><p>{own[i]}</p><div>Read on in our app</div></main></body>") for i in own]
+    d = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for limit in (2_000_000, 0):
+        got = {i: t for i, _, t in rows_of(pages.extract(d, max_broadcast=limit))}
+        assert {i: got[i] for i in own} == {i: " ".join(f"{own[i][:9]} {own[i]}".split()) for i in own}
+        assert {i: got[100 + i] for i in own} == own
+
+
 # -- 3 repeats -------------------------------------------------------------------------------------------
 
 def slow_removal(rows, window):
