@@ -9,7 +9,7 @@ its frame, and another belongs to it if all its tokens stand in one gap of the f
 page, a class counts if it is valid there: its tokens keep the host's order. What lies between
 template tokens are slots.
 Slots inside menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
-comments (by element or by class, id and role words) are boilerplate, as is text made of
+comments (by element or by a whole class, id or role) are boilerplate, as is text made of
 template words alone and, inside an article or main element, a line that is a template token.
 The remaining slots, in page order, are the main text; where a page has an article or main
 element, those inside it.
@@ -63,11 +63,40 @@ def marked(attributes: str) -> str:
     return " ".join(a or b or c for a, b, c in MARK.findall(attributes)) if "=" in attributes else ""
 
 
-def walk(html: str):
+def named(mark: str, main: bool) -> bool:
+    """Whether a whole class, id or role is a boilerplate name or made of such names alone
+    (cookie-notice, not has-sidebar); what an article calls its header is its own."""
+    known = NAMES - {"header"} if main else NAMES
+    return any((w := WORDS.findall(t)) and known.issuperset(w) for t in mark.lower().split())
+
+
+def steps_of(html: str) -> list:
+    """The steps of ``walk``, where no element cut by its name, nor a form or header, holds the
+    page's main element or, if all its articles stand in such elements and hold more words
+    than the live text outside, its articles."""
+    held: list[tuple[str, frozenset]] = []
+    steps = list(walk(html, held=held))
+    if not held:
+        return steps
+    sure = frozenset().union(*[at for name, at in held if name == "main"])
+    if sure:
+        return list(walk(html, sure))
+    if any(main and not out for _, _, _, out, main in steps):
+        return steps
+    size = lambda ss, inside: sum(len(v.split()) for kind, _, v, out, main in ss
+                                  if kind == "x" and not out and main == inside)
+    lifted = list(walk(html, frozenset().union(*[at for _, at in held])))
+    return lifted if size(lifted, True) > size(steps, False) else steps
+
+
+def walk(html: str, lifted: frozenset = frozenset(), held: list | None = None):
     """(kind, path, value, out, main) of every tag and text: kind t(ag) or x (text), the path of
     open containers, whether it is boilerplate, and whether it is inside an article or main
-    element. Tags come with their name."""
+    element. Tags come with their name. Elements that start at a place in ``lifted`` are not
+    cut by their name; ``held`` gathers the articles and main elements that stand only in
+    elements so cut, with the places of these."""
     stack: list[tuple[str, str, bool, bool]] = []    # name, path, boilerplate, main
+    cuts: list[int | None] = []                        # start of a cut by name, -1 of another, beside the stack
     path, out, main = "", False, False
     for m in PART.finditer(html):
         name = m[3]
@@ -82,22 +111,26 @@ def walk(html: str):
         if m[2]:
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == name:
-                    del stack[k:]
+                    del stack[k:], cuts[k:]
                     path, out, main = stack[-1][1:] if stack else ("", False, False)
                     break
             yield "t", path, "/" + name, out, main
             continue
         if stack and stack[-1][0] == "p" and name not in INLINE and name not in VOID:
-            stack.pop()                               # a block ends an open paragraph
+            stack.pop(), cuts.pop()                   # a block ends an open paragraph
             path, out, main = stack[-1][1:] if stack else ("", False, False)
         mark = marked(m[4])
         yield "t", path, name + ("." + mark if mark else ""), out, main
-        words = set(WORDS.findall(mark.lower())) if mark else ()
-        bad = name in BOILERPLATE or bool(words and words & NAMES) or (name == "header" and not main)
+        hard = name in BOILERPLATE and name != "form"
+        bad = hard or (m.start() not in lifted and (
+            name == "form" or (name == "header" and not main) or bool(mark and named(mark, main))))
         if name not in VOID and (name in CONTAINERS or bad) and not m[4].endswith("/"):
             if name in ("html", "body"):
                 bad = False
             path = f"{path}/{name}" + ("." + mark if mark else "")
+            cuts.append(None if not bad else -1 if hard else m.start())
+            if held is not None and name in MAIN and (out or bad) and -1 not in cuts:
+                held.append((name, frozenset(c for c in cuts if c is not None)))
             out, main = out or bad, main or (name in MAIN and not out and not bad)
             stack.append((name, path, out, main))
 
@@ -142,7 +175,7 @@ def templates(pages: DataFrame, min_pages: int = 4, support: float = 0.9, min_cl
                 if not text:
                     continue
                 page = xxhash.xxh64_intdigest(text.encode("utf-8", "replace"))
-                for t, c, first, weight in [*tokens(h, list(walk(text))), (0, 1, 0, 1)]:      # token 0 counts the host's pages
+                for t, c, first, weight in [*tokens(h, steps_of(text)), (0, 1, 0, 1)]:      # token 0 counts the host's pages
                     mixed = ((page ^ (c * 0x9E3779B97F4A7C15)) * 0xC2B2AE3D27D4EB4F) & M64
                     r = at.setdefault((h, t), [0, 0, page, page, 0, weight])
                     r[0] += 1
@@ -207,7 +240,7 @@ def valid_here(where: str, steps: list, template: dict) -> set[int]:
 
 def main_text(where: str, html: str, template: dict) -> str:
     """The page's main text under its host's template (token: class and place)."""
-    parts, any_main, steps = [], False, list(walk(html))
+    parts, any_main, steps = [], False, steps_of(html)
     for kind, path, value, out, main in steps:
         any_main |= main
         if kind == "t":

@@ -472,6 +472,18 @@ def test_template_lines_inside_articles_go(spark):
         assert {i: got[100 + i] for i in own} == own
 
 
+def test_names_do_not_cut_the_article():
+    f = lambda h: pages.main_text("h", h, {})
+    assert f("<div class='layout has-sidebar'><article>a b</article></div>") == "a b"
+    assert f("<div class='elementor-widget-container'><p>a</p></div><section id='search-results'>b</section><div class=social-studies>c</div>") == "a b c"
+    assert f("<article><header class='entry-header'><h1>T</h1></header><p>b</p></article>") == "T b"
+    assert f("<div class='widget'><main><p>m</p></main></div><div class=sidebar><article>teaser</article></div>") == "m"
+    assert f("<form><div class=search><article>all the text</article></div></form><footer>f</footer>") == "all the text"
+    assert f("<div class=sidebar><article>teaser</article></div><article>a b</article>") == "a b"
+    assert f("<div>the page is without an article</div><div class=comments><article>me too</article></div>") == "the page is without an article"
+    assert f("<aside><article>teaser</article></aside><div class='ad-1'>x</div>one") == "one"
+
+
 # -- 3 repeats -------------------------------------------------------------------------------------------
 
 def slow_removal(rows, window):
