@@ -4,8 +4,10 @@ Every source gets a target share of all words by weight, held at a multiple of i
 the excess reshared. A source then runs through as many complete epochs as its target holds;
 what is left of the target is filled with documents in the order of exponential keys scaled
 by a quality weight (-ln(u) / w, u from a hash of the document): weighted sampling without
-replacement, prefix-summed up to the budget. The gap below the budget is closed by the one
-further document whose size comes nearest to it.
+replacement, prefix-summed up to the budget. Documents larger than the gap that is left are
+passed over and the prefix sum goes on with the others, until none fits; that is each
+document in turn, taken if it fits. The last gap is closed by the one further document whose
+size comes nearest to it.
 
 The prefix sum is distributed: keys fall into buckets that keep their order, buckets are
 summed, and only rows of one bucket (about ``bucket_rows``) are sorted together, so a source
@@ -89,9 +91,14 @@ def mix(docs: DataFrame, weights: tuple = (5, 2, 1), most: float = 3.0, seed: in
         .withColumn("picked", (F.col("_before") + F.col("_in") <= rest) & (F.col("size") > 0))
         .select("doc_id", "source", "size", "source_size", "target", "epochs", "key", "bucket", "place", "picked"),
         "mix-picked")
-    # one more document a source, the one that comes nearest to what the prefix left open
     gap = d.groupBy("source").agg(F.max(rest).alias("_rest"), F.sum(F.when(F.col("picked"), F.col("size"))).alias("_got"))
     gap = gap.select(F.col("source").alias("_gs"), (F.col("_rest") - F.coalesce("_got", F.lit(0))).alias("_gap"))
+    gap, more = filled(d.where(~F.col("picked")).select("source", "size", "bucket", "place"), gap)
+    more = more.select(F.col("source").alias("_ms"), F.col("bucket").alias("_mb"), F.col("place").alias("_mp"))
+    d = written(d.join(more, F.col("source").eqNullSafe(F.col("_ms")) & (F.col("bucket") == F.col("_mb"))
+                       & (F.col("place") == F.col("_mp")), "left")
+                .withColumn("picked", F.col("picked") | F.col("_mp").isNotNull()).drop("_ms", "_mb", "_mp"), "mix-filled")
+    # one more document a source, the one that comes nearest to what is still open
     miss = F.abs(F.col("_gap") - F.col("size"))
     last = (d.where(~F.col("picked")).join(gap, F.col("source").eqNullSafe(F.col("_gs"))).where(miss < F.col("_gap"))
             .groupBy(F.col("source").alias("_ls"))
@@ -103,6 +110,40 @@ def mix(docs: DataFrame, weights: tuple = (5, 2, 1), most: float = 3.0, seed: in
         (F.col("copies") * F.col("size")).cast("long").alias("taken"))
 
 
+def filled(open_: DataFrame, gap: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(gap, picked): what stays open of every source's ``gap`` (_gs, _gap), and the rows of
+    ``open_`` (source, size, bucket, place) that fill it, in order of bucket and place, each if
+    it fits what those before it left. A round passes over the rows larger than the gap and
+    takes the others up to the first that crosses it, so it takes one row at least."""
+    here = F.col("source").eqNullSafe(F.col("_gs"))
+    gap = written(gap, "mix-gap")
+    picked = []
+    while True:
+        left = written(open_.join(gap, here).where((F.col("size") > 0) & (F.col("size") <= F.col("_gap")))
+                       .drop("_gs"), "mix-open")
+        if left.isEmpty():
+            break
+        own = Window.partitionBy("source", "bucket").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+        before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+        sums = left.groupBy("source", "bucket").agg(F.sum("size").alias("_s"))
+        sums = sums.select(F.col("source").alias("_bs"), F.col("bucket").alias("_bb"),
+                           F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_before"))
+        left = written(
+            left.withColumn("_in", F.sum("size").over(own))
+            .join(sums, F.col("source").eqNullSafe(F.col("_bs")) & (F.col("bucket") == F.col("_bb")))
+            .withColumn("took", F.col("_before") + F.col("_in") <= F.col("_gap"))
+            .select("source", "size", "bucket", "place", "took"), "mix-round")
+        picked.append(left.where("took").drop("took"))
+        open_ = left.where("not took").drop("took")
+        got = picked[-1].groupBy(F.col("source").alias("_ps")).agg(F.sum("size").alias("_got"))
+        gap = written(gap.join(got, F.col("_gs").eqNullSafe(F.col("_ps")), "left").select(
+            "_gs", (F.col("_gap") - F.coalesce("_got", F.lit(0))).alias("_gap")), "mix-gap")
+    more = open_.limit(0)
+    for p in picked:
+        more = more.unionByName(p)
+    return gap, more
+
+
 def mixed_documents(docs: DataFrame, **params) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them, columns unchanged."""
     n = mix(docs, **params).groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_src")).agg(

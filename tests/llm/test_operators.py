@@ -228,6 +228,29 @@ def test_mixing_prefers_heavy_documents(spark):
     assert n[True] > 1.5 * n.get(False, 0)
 
 
+def test_mixing_fills_the_gap_behind_long_documents(spark):
+    rng = random.Random(12)
+    rows = [(i, "a " * rng.choice((3, 5, 8, 13, 21, 700, 900)), f"s{i % 4}") for i in range(240)]
+    rows += [(i, "a " * 50, None) for i in range(1000, 1010)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = rows_of(mixing.mix(d, bucket_rows=9).select("doc_id", "source", "size", "target", "copies"))
+    u = {r[0]: r[1] for r in rows_of(d.select("doc_id", (F.shiftrightunsigned(F.xxhash64(F.lit(20), "doc_id"), 11) + 0.5)))}
+    for s in ("s0", "s1", "s2", "s3", None):
+        mine = sorted((g for g in got if g[1] == s), key=lambda g: -u[g[0]])
+        total, target = sum(g[2] for g in mine), mine[0][3]
+        epochs = int(target // total)
+        gap, want, left = target - epochs * total, {}, []
+        for g in mine:                                  # each in turn, taken if it fits
+            fits = g[2] <= gap
+            want[g[0]] = epochs + fits
+            gap -= g[2] * fits
+            left += [g] * (not fits)
+        miss, k = min(((abs(gap - g[2]), i) for i, g in enumerate(left)), default=(gap, 0))
+        if miss < gap:
+            want[left[k][0]] += 1
+        assert {g[0]: g[4] for g in mine} == want
+
+
 # -- 10 packing ----------------------------------------------------------------------------------------
 
 def test_packing_round_trip(docs, empty):
