@@ -24,18 +24,25 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies; of rows that share
-    this id, one."""
+    """One document of each group of near copies: the one with the smallest id, one without an
+    id only where none has one; of different rows with this id, the one with the least row
+    hash. A row is known by two 64-bit hashes of all its columns, so ids may be null or shared."""
     prepare(spark)
     d, name = positional(docs)
-    key = name["doc_id"]
-    first = simhash.simhash_groups(docs).select(F.col("component_id").alias(key)).distinct()
-    kept = d.join(first, key, "left_semi")
-    many = kept.groupBy(key).count().where("count > 1").select(key)
-    once = kept.join(many, key, "left_anti").select(*d.columns)
-    again = (kept.join(many, key, "left_semi").groupBy(F.col(key).alias("_id"))
-             .agg(F.min(F.struct(*d.columns)).alias("_r")).select("_r.*"))
-    return once.unionByName(again).toDF(*docs.columns)
+    h = ["_h1", "_h2"]
+    cols = [*d.columns, *[F.col(c).isNull() for c in d.columns]]   # xxhash64 passes over nulls
+    rows = d.select("*", *[F.xxhash64(F.lit(k), *cols).alias(k) for k in h])
+    fps = written(simhash.fingerprints(
+        rows.select(F.col(name["doc_id"]).alias("doc_id"), F.col(name["text"]).alias("text"), *h), keep=tuple(h)),
+        "pipeline-fingerprints")
+    group = simhash.fingerprint_groups(fps).select("fp", "c")
+    same = fps.groupBy("fp", "doc_id", *h).agg(F.count("*").alias("n"))
+    first = written(same.join(group, "fp").groupBy("c").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *h, "n")).alias("_f")).select(
+        *[f"_f.{k}" for k in h], "_f.n"), "pipeline-survivors")
+    once = rows.join(first.where("n = 1"), h, "left_semi")
+    again = rows.join(first.where("n > 1"), h, "left_semi").dropDuplicates(h)
+    return once.unionByName(again).select(*d.columns).toDF(*docs.columns)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

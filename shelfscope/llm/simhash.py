@@ -46,13 +46,15 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     return int.from_bytes(np.packbits(votes * 2 > n).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """(doc_id, fp): fingerprints as signed longs."""
+def fingerprints(docs: DataFrame, shingle: int = 3, keep: tuple = ()) -> DataFrame:
+    """(doc_id, fp) and the long columns ``keep``: fingerprints as signed longs."""
     def run(batches):
         for b in batches:
             fp = np.array([fingerprint(t, shingle) for t in b.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64)), *[b.column(k) for k in keep]],
+                                             ["doc_id", "fp", *keep])
+    return docs.select(F.col("doc_id").cast("long"), "text", *keep).mapInArrow(
+        run, ", ".join(f"{c} long" for c in ("doc_id", "fp", *keep)))
 
 
 def covering_masks(bits: int = 64, radius: int = 3, seed: int = 11) -> list[int]:
@@ -99,14 +101,20 @@ def near_links(fps: DataFrame, radius: int = 3) -> DataFrame:
                       compare, "a long, b long")
 
 
+def fingerprint_groups(fps: DataFrame, radius: int = 3) -> DataFrame:
+    """(fp, rep, c): every distinct fingerprint, the smallest doc_id that has it and its group,
+    named by a fingerprint."""
+    reps = written(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-rep")
+    comp = components(near_links(reps, radius))
+    return reps.join(comp, reps["fp"] == comp["node"], "left").select(
+        "fp", "rep", F.coalesce("component", "fp").alias("c"))
+
+
 def simhash_groups(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
     """(doc_id, fp, component_id): the smallest doc_id reachable over links of at most
     ``radius`` differing bits."""
     fps = written(fingerprints(docs, shingle), "simhash-fp")
-    reps = written(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-rep")
-    comp = components(near_links(reps, radius))
-    named = reps.join(comp, reps["fp"] == comp["node"], "left").select(
-        "fp", "rep", F.coalesce("component", "fp").alias("c"))
+    named = fingerprint_groups(fps, radius)
     first = named.groupBy("c").agg(F.min("rep").alias("component_id"))
     where = written(named.join(first, "c").select("fp", "component_id"), "simhash-component")
     return fps.join(where, "fp").select("doc_id", "fp", "component_id")

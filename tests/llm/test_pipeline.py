@@ -51,6 +51,17 @@ def test_stages(spark):
         cur = nxt
 
 
+def test_near_dedup_keeps_one_of_each_group_without_ids(spark):
+    text = ["".join(f"{c}{i} " for i in range(40)) for c in "abcdef"]
+    rows = [(None, text[0], None, "x", 1), (None, text[0], None, "x", 1), (None, text[0], "x", None, 1),
+            (None, text[1], "en", "x", 2), (7, text[2], "en", "x", 3), (7, text[3], "en", "x", 4), (7, text[3], "de", "x", 4),
+            (None, text[4], "en", "x", 5), (9, text[4], "en", "x", 5), (8, text[4], "en", "x", 5), (8, text[4], "en", "x", 5)]
+    d = spark.createDataFrame(rows, spark.read.parquet(f"{SF}/documents.parquet").schema)
+    got = corpus_pipeline.near_duplicates(spark, d, SF).collect()
+    assert all(tuple(g) in rows for g in got)
+    assert sorted((text.index(g["text"]), g["doc_id"]) for g in got) == [(0, None), (1, None), (2, 7), (3, 7), (4, 8)]
+
+
 def test_empty_pipeline(spark):
     cur = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
