@@ -8,6 +8,7 @@ return the columns of ``documents``.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +20,10 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that have a language: null texts and texts without a letter go."""
     prepare(spark)
     d, name = positional(docs)
-    kept = langid.predict(d, langid.train(docs, where=~langid.held_out()), d.columns, text=name["text"])
+    model = langid.train(docs, where=~langid.held_out())
+    if not model[0]:                                  # nothing to learn from: one language for all
+        model = (["any"], np.zeros(1), np.zeros((1, len(langid.ORDERS) << langid.BITS), np.float32))
+    kept = langid.predict(d, model, d.columns, text=name["text"])
     return kept.where("lang_pred != 'und'").select(*d.columns).toDF(*docs.columns)
 
 

@@ -62,6 +62,12 @@ def test_near_dedup_keeps_one_of_each_group_without_ids(spark):
     assert sorted((text.index(g["text"]), g["doc_id"]) for g in got) == [(0, None), (1, None), (2, 7), (3, 7), (4, 8)]
 
 
+def test_language_keeps_texts_without_any_label(spark):
+    d = spark.createDataFrame([(1, "some words"), (2, "12 34"), (3, None)], "doc_id long, text string").withColumn(
+        "lang", F.lit(None).cast("string")).withColumn("source", F.lit("x")).withColumn("n_chars", F.lit(0).cast("long"))
+    assert [r["doc_id"] for r in corpus_pipeline.language(spark, d, SF).collect()] == [1]
+
+
 def test_empty_pipeline(spark):
     cur = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
