@@ -3,10 +3,13 @@ expressions only.
 
 Each document becomes a vector of transformed text statistics. Within every (language,
 source) group the minimum-covariance-determinant estimate is found by concentration steps:
-start from the half nearest to a scaled coordinate-wise centre, take mean and covariance of
-the current half, rank all documents by Mahalanobis distance, take the nearer half again.
-Each step lowers the determinant. Documents whose final squared distance, scaled so that its
-median fits the chi-square median, lies beyond the cutoff are rejected.
+start from the half nearest to the coordinate-wise median scaled by the MAD, and from the half
+nearest by the classical mean and covariance; take mean and covariance of the current half,
+rank all documents by Mahalanobis distance, take the nearer half again, until no estimate
+changes. Of a group's starts the lowest determinant counts; as usual, the documents within the
+cutoff of it make the final (reweighted) estimate. Documents whose final squared
+distance, scaled so that its median fits the chi-square median, lies beyond the cutoff are
+rejected.
 
 A step is one aggregation of sums and cross products (map-side combined) plus a histogram of
 distances on a fixed logarithmic grid for the half's radius, so a group of any size costs
@@ -15,8 +18,8 @@ statistics is inverted in closed form by Cholesky expressions, with a floor on e
 for statistics that hardly vary in a group.
 
 Defined results: null text has no words, fails the base rules and takes no part in the
-estimates; null lang or source is a group of its own; groups with fewer than ``min_rows``
-eligible documents reject nobody; ties share a distance; repeated rows count as often as
+estimates; null lang or source is a group of its own; a half has at least ``min_rows`` / 2
+documents or all there are, so a table of so few rejects nobody; ties share a distance; repeated rows count as often as
 they come; an empty table gives no rows.
 """
 
@@ -107,14 +110,15 @@ def distances(d: DataFrame, est: DataFrame, group: list[str]) -> DataFrame:
         "bin", F.floor(F.log2(F.col("d2") + F.lit(1e-6)) * BINS_PER_OCTAVE).cast("int"))
 
 
-def radius(d: DataFrame, group: list[str], share: float) -> DataFrame:
-    """The first distance bin within which ``share`` of each group's rows lie (_rbin)."""
+def radius(d: DataFrame, group: list[str], share: float, least: int = 0) -> DataFrame:
+    """The first distance bin within which ``share`` of each group's rows lie (_rbin), and
+    ``least`` rows or all."""
     from pyspark.sql import Window
     bins = d.groupBy(*group, "bin").count()          # a few hundred bins a group at most
     w = Window.partitionBy(*group)
     upto = w.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
     bins = bins.withColumn("_c", F.sum("count").over(upto)).withColumn("_n", F.sum("count").over(w))
-    return (bins.where(F.col("_c") >= F.ceil(F.col("_n") * share)).groupBy(*group).agg(F.min("bin").alias("_rbin"))
+    return (bins.where(F.col("_c") >= F.greatest(F.ceil(F.col("_n") * share), F.least("_n", F.lit(least)))).groupBy(*group).agg(F.min("bin").alias("_rbin"))
             .select(*[F.col(g).alias(f"_{g}") for g in group], "_rbin"))
 
 
@@ -134,6 +138,97 @@ def mcd(rows: DataFrame, group: list[str], share: float = 0.75, steps: int = 3)
     return est, scale.drop("_rbin")
 
 
+GRID = 256  # bins of a statistic's unit for medians
+
+
+def medians(rows: DataFrame, group: list[str]) -> DataFrame:
+    """m0..m3: the median of each coordinate by a histogram, a row per group."""
+    long = rows.select(*group, F.posexplode(F.array(*[f"x{i}" for i in range(P)])).alias("i", "x")).withColumn(
+        "bin", F.floor(F.col("x") * GRID).cast("int"))
+    return radius(long, [*group, "i"], 0.5).groupBy(*[f"_{g}" for g in group]).agg(
+        *[F.max(F.when(F.col("_i") == i, (F.col("_rbin") + 0.5) / GRID)).alias(f"m{i}") for i in range(P)])
+
+
+def median_start(rows: DataFrame, group: list[str]) -> DataFrame:
+    """Coordinate-wise median and MAD in the form of ``moments``."""
+    med = written(medians(rows, group), "mcd-median")
+    on = [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in group]
+    off = rows.join(med, on).select(*group, *[F.abs(F.col(f"x{i}") - F.col(f"m{i}")).alias(f"x{i}") for i in range(P)])
+    mad = medians(off, group).select(*[F.col(f"_{g}").alias(g) for g in group],
+                                     *[F.col(f"m{i}").alias(f"s{i}") for i in range(P)])
+    return med.join(mad, on).select(
+        *[f"_{g}" for g in group], *[f"m{i}" for i in range(P)],
+        *[(F.greatest(1.4826 * F.col(f"s{i}"), F.lit(FLOOR[i])) if i == j else F.lit(0.0)).alias(f"l{i}{j}")
+          for i in range(P) for j in range(i + 1)])
+
+
+def robust_mcd(rows: DataFrame, group: list[str], share: float, least: int, cutoff: float) -> tuple[DataFrame, DataFrame]:
+    """(estimate, scale) per group as ``mcd``, from a robust and the classical start, with
+    concentration steps until nothing changes, and reweighted."""
+    est = median_start(rows, group).withColumn("_start", F.lit(0)).unionByName(
+        moments(rows, group).withColumn("_start", F.lit(1)))
+    est = written(est, "mcd-start")
+    both = rows.withColumn("start", F.explode(F.array(F.lit(0), F.lit(1))))
+    by, keys = ["start", *group], ["_start", *[f"_{g}" for g in group]]
+    det = F.round(sum((F.log(f"l{i}{i}") for i in range(P)), F.lit(0.0)), 6)
+    last = None
+    for _ in range(50):
+        d = distances(both, est, by)
+        est = written(moments(within(d, radius(d, by, share, least), by), by), "mcd-estimate")
+        state = F.xxhash64(*keys, det, *[F.round(f"m{i}", 6) for i in range(P)]) % 1_000_000_007
+        now = est.agg(F.count("*"), F.sum(state)).first()
+        if now == last:
+            break
+        last = now
+    best = est.groupBy(*[F.col(f"_{g}").alias(g) for g in group]).agg(
+        F.min(F.struct(det.alias("det"), F.col("_start"))).alias("_b")).select(
+        *group, F.col("_b._start").alias("_best"))
+    est = written(est.join(best, [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in group]).where("_start = _best")
+                  .drop("_start", "_best", *group), "mcd-best")
+    d = distances(rows, est, group)
+    inner = d.join(scales(d, group), [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in group]).where(
+        F.col("d2") <= cutoff * F.greatest("_scale", F.lit(1.0))).select(*rows.columns)
+    est = written(moments(inner, group), "mcd-reweighted")
+    return est, scales(distances(rows, est, group), group)
+
+
+def scales(d: DataFrame, group: list[str]) -> DataFrame:
+    """_scale: each group's median distance over the chi-square median."""
+    return radius(d, group, 0.5).withColumn(
+        "_scale", F.pow(F.lit(2.0), (F.col("_rbin") + 0.5) / BINS_PER_OCTAVE) / CHI2_MEDIAN).drop("_rbin")
+
+
+def verdicts(docs: DataFrame, share: float = 0.5, cutoff: float = 40.0, min_rows: int = 50) -> DataFrame:
+    """Statistics, base_failed, d2 (scaled squared distance, null only where base rules fail)
+    and kept, a row per document. Each is judged by the narrowest of its language and source
+    (level 0), its language (1) and all documents (2) with ``min_rows`` eligible documents."""
+    stats = written(text_statistics(docs.select("doc_id", "lang", "source", "text")).drop("text")
+                    .withColumn("base_failed", base_failed())
+                    .select("*", *[x.alias(f"x{i}") for i, x in enumerate(vector())]), "quality-statistics")
+    n = stats.where("not base_failed").groupBy("lang", "source").agg(F.count("*").alias("_n"))
+    langs = n.groupBy(F.col("lang").alias("_ln")).agg(
+        F.sum("_n").alias("_lang_n"), F.min("_n").alias("_lang_least"))
+    level = (F.when(F.col("_n") >= min_rows, 0))
+    n = written(n.join(langs, F.col("lang").eqNullSafe(F.col("_ln"))).select(
+        F.col("lang").alias("_lang"), F.col("source").alias("_source"), level.alias("level"),
+        F.lit(False).alias("_wide")), "quality-groups")
+    on = [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in ("lang", "source")]
+    place = [F.when(F.col("level") < 2, F.col("lang")).alias("g_lang"),
+             F.when(F.col("level") < 1, F.col("source")).alias("g_source")]
+    group = ["level", "g_lang", "g_source"]
+    used = F.array_compact(F.array(F.when(F.col("level") == 0, 0), F.when(F.col("_wide"), 1),
+                                   *([] if n.where("level = 2").isEmpty() else [F.lit(2)])))
+    fit = written(stats.where("not base_failed").join(n, on).withColumn("level", F.explode(used))
+                  .select(F.col("level"), *place, *[f"x{i}" for i in range(P)]), "quality-fit")
+    est, scale = robust_mcd(fit, group, share, min_rows // 2, cutoff)
+    stats = stats.join(n, on, "left").select(*stats.columns, "level", *place)
+    scale = scale.select(*[F.col(f"_{g}").alias(f"_{g}3") for g in group], F.greatest("_scale", F.lit(1.0)).alias("_scale"))
+    d = distances(stats, est, group).join(scale, [F.col(g).eqNullSafe(F.col(f"_{g}3")) for g in group], "left")
+    return d.withColumn("d2", F.when(~F.col("base_failed"), F.col("d2") / F.col("_scale"))).withColumn(
+        "kept", ~F.col("base_failed") & F.coalesce(F.col("d2") <= cutoff, F.lit(True))).drop(
+        "_scale", "bin", *[f"_{g}3" for g in group], *group, *[f"x{i}" for i in range(P)])
+
+
 def quality(docs: DataFrame, share: float = 0.75, steps: int = 3, cutoff: float = 40.0,
             min_rows: int = 50) -> DataFrame:
     """Statistics, base_failed, d2 (scaled squared distance, null where no verdict is given)
@@ -159,5 +254,5 @@ def quality(docs: DataFrame, share: float = 0.75, steps: int = 3, cutoff: float
 
 
 def op5_outliers(spark, sf_dir):
-    return quality(documents(spark, sf_dir)).select(
+    return verdicts(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "d2")

@@ -369,6 +369,16 @@ def test_outliers_follow_the_estimator(spark, empty):
     assert rows_of(outliers.quality(empty)) == []
 
 
+@pytest.mark.parametrize("junk", [18, 24, 35])
+def test_outliers_with_much_junk_of_one_kind(spark, junk):
+    rng = random.Random(junk)
+    rows = [(i, prose(rng, rng.randint(40, 90)), "en", "s") for i in range(200 - 2 * junk)]
+    rows += [(1000 + i, " ".join(w + "###%%%" for w in prose(rng, 60).split()), "en", "s") for i in range(2 * junk)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r["doc_id"]: r["kept"] for r in outliers.verdicts(d).collect()}
+    assert [i for i, kept in got.items() if kept != (i < 1000)] == []
+
+
 def test_native_operators_plan_no_python(spark):
     for name in ("op5_outliers", "op7_secrets"):
         plan = queries.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
