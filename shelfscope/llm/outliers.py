@@ -9,7 +9,8 @@ rank all documents by Mahalanobis distance, take the nearer half again, until no
 changes. Of a group's starts the lowest determinant counts; as usual, the documents within the
 cutoff of it make the final (reweighted) estimate. Documents whose final squared
 distance, scaled so that its median fits the chi-square median, lies beyond the cutoff are
-rejected.
+rejected. A group of fewer than ``min_rows`` eligible documents is judged by its language's
+estimate, and that of a language with fewer by the estimate of all documents.
 
 A step is one aggregation of sums and cross products (map-side combined) plus a histogram of
 distances on a fixed logarithmic grid for the half's radius, so a group of any size costs
@@ -208,10 +209,10 @@ def verdicts(docs: DataFrame, share: float = 0.5, cutoff: float = 40.0, min_rows
     n = stats.where("not base_failed").groupBy("lang", "source").agg(F.count("*").alias("_n"))
     langs = n.groupBy(F.col("lang").alias("_ln")).agg(
         F.sum("_n").alias("_lang_n"), F.min("_n").alias("_lang_least"))
-    level = (F.when(F.col("_n") >= min_rows, 0))
+    level = (F.when(F.col("_n") >= min_rows, 0).when(F.col("_lang_n") >= min_rows, 1).otherwise(2))
     n = written(n.join(langs, F.col("lang").eqNullSafe(F.col("_ln"))).select(
         F.col("lang").alias("_lang"), F.col("source").alias("_source"), level.alias("level"),
-        F.lit(False).alias("_wide")), "quality-groups")
+        ((F.col("_lang_least") < min_rows) & (F.col("_lang_n") >= min_rows)).alias("_wide")), "quality-groups")
     on = [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in ("lang", "source")]
     place = [F.when(F.col("level") < 2, F.col("lang")).alias("g_lang"),
              F.when(F.col("level") < 1, F.col("source")).alias("g_source")]
@@ -225,7 +226,7 @@ def verdicts(docs: DataFrame, share: float = 0.5, cutoff: float = 40.0, min_rows
     scale = scale.select(*[F.col(f"_{g}").alias(f"_{g}3") for g in group], F.greatest("_scale", F.lit(1.0)).alias("_scale"))
     d = distances(stats, est, group).join(scale, [F.col(g).eqNullSafe(F.col(f"_{g}3")) for g in group], "left")
     return d.withColumn("d2", F.when(~F.col("base_failed"), F.col("d2") / F.col("_scale"))).withColumn(
-        "kept", ~F.col("base_failed") & F.coalesce(F.col("d2") <= cutoff, F.lit(True))).drop(
+        "kept", ~F.col("base_failed") & F.coalesce(F.col("d2") <= cutoff, F.lit(False))).drop(
         "_scale", "bin", *[f"_{g}3" for g in group], *group, *[f"x{i}" for i in range(P)])
 
 

@@ -379,6 +379,22 @@ def test_outliers_with_much_junk_of_one_kind(spark, junk):
     assert [i for i, kept in got.items() if kept != (i < 1000)] == []
 
 
+def test_outliers_in_small_groups(spark, empty):
+    rng = random.Random(13)
+    junk = lambda: " ".join(w + "###%%%" for w in prose(rng, 60).split())
+    rows = [(i, prose(rng, rng.randint(40, 90)), "en", f"s{i % 20}") for i in range(200)]
+    rows += [(500 + i, prose(rng, rng.randint(40, 90)), None, None) for i in range(8)]
+    rows += [(900, junk(), "en", "s3"), (901, junk(), "en", "alone"), (902, junk(), None, None), (903, junk(), "xx", "few"),
+             (990, "too short", "en", "s1"), (991, None, None, None)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r["doc_id"]: r for r in outliers.verdicts(d).collect()}
+    assert len(got) == len(rows)
+    assert all((r["d2"] is None) == (i >= 990) and r["kept"] == (i < 900) for i, r in got.items())
+    few = outliers.verdicts(d.where("doc_id < 5 or doc_id = 900")).collect()
+    assert len(few) == 6 and all(r["d2"] is not None and r["kept"] for r in few)
+    assert rows_of(outliers.verdicts(empty)) == []
+
+
 def test_native_operators_plan_no_python(spark):
     for name in ("op5_outliers", "op7_secrets"):
         plan = queries.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
