@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import functools
 
-from . import langid, mixing, outliers, packing, pages, repeats, secrets, simhash, toxicity, vectors
+from . import langid, mixing, outliers, packing, pages, phrases, repeats, secrets, simhash, toxicity, vectors
 from .common import prepare
 
 _QUERIES = {
@@ -18,9 +18,10 @@ _QUERIES = {
     "op8_langid": langid.op8_langid,
     "op9_simhash": simhash.op9_simhash,
     "op10_packing": packing.op10_packing,
+    "op13_collocations": phrases.op13_collocations,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op13_collocations": phrases.ORACLE}
 
 
 def _prepared(fn):
