@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import functools
 
-from . import langid, mixing, outliers, packing, pages, phrases, repeats, secrets, simhash, toxicity, vectors
+from . import langid, mixing, outliers, packing, pages, phrases, quality, repeats, secrets, simhash, toxicity, tries, vectors
 from .common import prepare
 
 _QUERIES = {
@@ -18,10 +18,12 @@ _QUERIES = {
     "op8_langid": langid.op8_langid,
     "op9_simhash": simhash.op9_simhash,
     "op10_packing": packing.op10_packing,
+    "op11_tries": tries.op11_tries,
+    "op12_quality": quality.op12_quality,
     "op13_collocations": phrases.op13_collocations,
 }
 
-ORACLE: dict[str, str] = {"op13_collocations": phrases.ORACLE}
+ORACLE: dict[str, str] = {"op11_tries": tries.ORACLE, "op13_collocations": phrases.ORACLE}
 
 
 def _prepared(fn):
