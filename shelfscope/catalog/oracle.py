@@ -25,7 +25,9 @@ CTE["offers"] = f"""
 offers AS (
   SELECT
     CAST(l_partkey AS VARCHAR) AS product_id,
-    CASE l_suppkey % 5 WHEN 1 THEN upper(p_name) WHEN 3 THEN replace(p_name, ' ', '  ') ELSE p_name END AS product_name,
+    CASE WHEN l_suppkey % 5 = 1 THEN upper(p_name) WHEN l_suppkey % 5 = 3 THEN replace(p_name, ' ', '  ')
+         WHEN l_suppkey % 5 = 4 AND l_partkey % 17 = 0 THEN p_name || ' giassi ' || CAST(l_partkey AS VARCHAR)
+         ELSE p_name END AS product_name,
     CASE WHEN l_partkey % 11 <> 0 THEN p_brand END AS brand,
     'https://www.' || ({STORES})[l_suppkey % 5 + 1] || '.com.br/' || replace(lower(p_name), ' ', '-') || '-' || CAST(l_partkey AS VARCHAR) || '/p' AS product_url,
     ({STORES})[l_suppkey % 5 + 1] AS supermarket,
@@ -185,7 +187,7 @@ dim_store AS (
 
 register("region_seed", f"""
 region_seed AS (
-  SELECT * FROM {_values([(s, *r) for s in config.ADAPTER_STORES for r in config.REGION_SEED],
+  SELECT * FROM {_values([(s, r, *v) for s, rs in config.STORE_REGIONS.items() for r, v in rs.items()],
                           "store, region_code, postal_code, sc_code, hub_id")}
 )""", [])
 

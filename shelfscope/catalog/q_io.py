@@ -11,13 +11,16 @@ from pyspark.sql import types as T
 
 from .. import config
 from ..functions import validate as V
+from ..operators.dedup import latest_per_key
 from ..plans import enrichment as E
 from ..plans import incremental as I
-from ..plans.history import ATTRS as SNAP_ATTRS, KEY as SNAP_KEY, WATCHED
+from ..plans.history import ATTRS as SNAP_ATTRS, KEY as SNAP_KEY, WATCHED, with_rescrapes
+from ..plans.dims import region_seed
 from ..plans.staging import stg_products
-from ..plans.trusted import GRAIN
+from ..plans.trusted import GRAIN, record_rollup
 from ..plans.warehouse import warehouse
 from ..sinks import writers as W
+from ..sinks.published import Published
 from ..sources import adapter
 from ..sources import bronze as B
 from ..streaming import jobs as J
@@ -50,6 +53,114 @@ def snk01(spark, sf):
     return _part_counts(spark.read.parquet(w.landed()))
 
 
+REPORT_SQL = {
+    "R-01": "SELECT supermarket FROM snapshot GROUP BY supermarket",
+    "R-05": "SELECT supermarket FROM snapshot GROUP BY supermarket",
+    "R-06": f"SELECT 1 FROM silver_products WHERE collected_at >= TIMESTAMP '{(AS_OF - dt.timedelta(days=7)).isoformat()}' "
+            "GROUP BY supermarket, CAST(collected_at AS DATE), region",
+    "R-07": "SELECT supermarket FROM silver_products GROUP BY supermarket",
+}
+
+RUN_AT = dt.datetime.combine(AS_OF, dt.time(6))
+
+
+@register("SNK-01b", with_ctes(["obs"], f"""
+SELECT supermarket AS _metadata_supermarket, supermarket || '_load' AS _metadata_run_id,
+       TIMESTAMP '{RUN_AT.isoformat(sep=' ')}' AS _metadata_scraped_at, count(*) AS records
+FROM obs GROUP BY supermarket"""))
+def snk01b(spark, sf):
+    """Batches without lineage, one load per configured store: the load's metadata is added as it is written."""
+    w = _wh(spark, sf)
+    raw = w.bronze().drop(*[c for c in w.bronze().columns if c.startswith("_metadata_")])
+    out = w.path("loads")
+    for store in config.ADAPTER_STORES:
+        rows = W.inject_metadata(raw.where(F.col("supermarket") == store),
+                                 {"supermarket": store, "run_id": f"{store}_load", "scraped_at": RUN_AT})
+        W.write_partitioned(rows, out, ("supermarket",), mode="append")
+    return spark.read.parquet(out).groupBy("_metadata_supermarket", "_metadata_run_id", "_metadata_scraped_at").agg(
+        F.count(F.lit(1)).alias("records"))
+
+
+ROUTED = {"fct_promotion_summary": "pricing_marts", "fct_product_availability": "ops_marts"}
+
+
+@register("SNK-05", with_ctes(["fct_promotion_summary", "fct_product_availability"], " UNION ALL ".join(
+    f"SELECT '{m}' AS model, '{s}' AS prod_schema, 'ana_{s}' AS dev_schema, count(*) AS prod_rows, "
+    f"count(*) FILTER (WHERE region <> 'poa_nilo') AS dev_rows, "
+    f"count(*) FILTER (WHERE region = 'poa_nilo') AS only_in_prod, 0 AS only_in_dev FROM {m}" for m, s in ROUTED.items())))
+def snk05(spark, sf):
+    """One model graph built for two targets: a developer's build (without one region, as under
+    development) goes to a schema of its own and leaves the production tables as they are."""
+    w = _wh(spark, sf)
+    models = {m: (s, w.fact(m)) for m, s in ROUTED.items()}
+    base = w.path("targets")
+    prod, dev = W.Target(spark, base, "prod"), W.Target(spark, base, "dev", user="ana")
+    prod.build(models)
+    dev.build({m: (s, df.where("region <> 'poa_nilo'")) for m, (s, df) in models.items()})
+    out = None
+    for m, s in ROUTED.items():
+        a, b = prod.read(s, m), dev.read(s, m)
+        count = lambda df, name: df.agg(F.count(F.lit(1)).alias(name), F.lit(m).alias("model"))
+        row = count(a, "prod_rows")
+        for other in (count(b, "dev_rows"), count(a.exceptAll(b), "only_in_prod"), count(b.exceptAll(a), "only_in_dev")):
+            row = row.join(other, "model")
+        row = row.withColumn("prod_schema", F.lit(W.schema_for("prod", s))).withColumn("dev_schema", F.lit(W.schema_for("dev", s, "ana")))
+        out = row if out is None else out.unionByName(row)
+    return out.select("model", "prod_schema", "dev_schema", "prod_rows", "dev_rows", "only_in_prod", "only_in_dev")
+
+
+_QUALITY = """
+, d AS (SELECT supermarket AS store, price, list_price, (list_price - price) / nullif(list_price, 0) * 100 AS pct FROM silver_products),
+h AS (SELECT * FROM d WHERE pct >= 20),
+s AS (SELECT store, count(*) AS count, CAST(round(CAST(sum(CAST(round(pct * 1000000) AS BIGINT))::DOUBLE / count(*) / 1e6 AS DECIMAL(38,6)), 1) AS DOUBLE) AS av,
+             CAST(round(CAST(max(pct) AS DECIMAL(38,6)), 1) AS DOUBLE) AS mx FROM h GROUP BY store),
+p AS (SELECT count(*) AS n FROM d WHERE price IS NOT NULL AND list_price IS NOT NULL)"""
+
+
+def _r4(x):
+    return f"CAST(round(CAST({x} AS DECIMAL(38,6)), 4) AS DOUBLE)"
+
+
+@register("SNK-08", with_ctes(["silver_products"], _QUALITY + f"""
+SELECT '{RUN_AT.isoformat()}' AS generated_at, 20.0 AS min_discount, 70.0 AS max_allowed, (SELECT count(*) FROM d) AS total_products,
+       (SELECT n FROM p) AS products_with_pricing, (SELECT count(*) FROM h) AS total_hot_deals,
+       {_r4("(SELECT count(*) FROM h) / (SELECT n FROM p) * 100")} AS hot_deals_percentage,
+       {_r4("(SELECT sum(CAST(round(pct * 1000000) AS BIGINT))::DOUBLE / count(*) / 1e6 FROM h)")} AS average_discount,
+       {_r4("(SELECT median(pct) FROM h)")} AS median_discount, {_r4("(SELECT max(pct) FROM h)")} AS max_discount,
+       (SELECT count(*) FROM d WHERE price > list_price) AS invalid_pricing_count, (SELECT count(*) FROM d WHERE pct > 70) AS suspicious_deals_count,
+       store, count AS deals, av AS avg_discount, mx AS store_max_discount FROM s"""))
+def snk08(spark, sf):
+    """The hot-deal quality report as JSON (parameters, summary, quality, by_store), read back."""
+    from ..plans.quality_report import json_report
+    w = _wh(spark, sf)
+    p = W.write_json_report(json_report(w.silver(), RUN_AT), w.path("quality_report"))
+    r = spark.read.schema(json_report(w.silver(), RUN_AT).schema).json(p).withColumn("s", F.explode("by_store"))
+    return r.select("generated_at", "parameters.min_discount", F.col("parameters.max_discount").alias("max_allowed"), "summary.*", "quality.*",
+                    "s.store", F.col("s.count").alias("deals"), "s.avg_discount", F.col("s.max_discount").alias("store_max_discount"))
+
+
+@register("SNK-10", with_ctes(["snapshot"], " UNION ALL ".join(
+    f"SELECT TIMESTAMP '{RUN_AT.isoformat(sep=' ')}' AS last_pipeline_run, 'completed' AS status, '1.0' AS version, "
+    f"'{k}' AS output, (SELECT count(*) FROM ({v})) AS rows" for k, v in REPORT_SQL.items() if k != "R-06")))
+def snk10(spark, sf):
+    """A run's reports and its freshness marker, visible in one step. The next day's run fails in
+    one report, so the marker and all reports stay those of the first."""
+    from ..plans import reports as R
+    w = _wh(spark, sf)
+    s = w.silver()
+    snap = R.build_snapshot(s, AS_OF)
+    reports = {"R-01": R.r01_scorecard(snap), "R-05": R.r05_price_bands(snap), "R-07": R.r07_stats(s)}
+    state = Published(spark, w.path("published_run"))
+    W.publish_run(state, reports, RUN_AT, "1.0")
+    broken = s.select(F.assert_true(F.col("price") < 0, "no such price").alias("x"), "supermarket")
+    try:
+        W.publish_run(state, {**reports, "R-09": broken}, RUN_AT + dt.timedelta(days=1), "1.1")
+    except Exception as e:  # noqa: BLE001 - the failing report is the point
+        if "no such price" not in str(e):
+            raise
+    return W.read_marker(state)
+
+
 @register("SRC-01", with_ctes(["obs"], """
 SELECT supermarket, region, count(*) AS records FROM obs WHERE supermarket IN ('bistek', 'fort')
 GROUP BY supermarket, region"""))
@@ -113,15 +224,6 @@ def snk07(spark, sf):
     return spark.read.option("header", True).csv(p)
 
 
-REPORT_SQL = {
-    "R-01": "SELECT supermarket FROM snapshot GROUP BY supermarket",
-    "R-05": "SELECT supermarket FROM snapshot GROUP BY supermarket",
-    "R-06": f"SELECT 1 FROM silver_products WHERE collected_at >= TIMESTAMP '{(AS_OF - dt.timedelta(days=7)).isoformat()}' "
-            "GROUP BY supermarket, CAST(collected_at AS DATE), region",
-    "R-07": "SELECT supermarket FROM silver_products GROUP BY supermarket",
-}
-
-
 @register("SNK-09", with_ctes(["snapshot"], " UNION ALL ".join(
     f"SELECT '{k}' AS report, (SELECT count(*) FROM ({v})) AS rows, "
     f"CASE WHEN (SELECT count(*) FROM ({v})) > 0 THEN 'written' ELSE 'empty' END AS status"
@@ -171,6 +273,19 @@ def src04(spark, sf):
     return df.groupBy(F.col("_metadata_supermarket").alias("supermarket")).agg(F.count(F.lit(1)).alias("records"))
 
 
+@register("SRC-04b", with_ctes(["obs"], "SELECT supermarket, count(*) AS records FROM obs GROUP BY supermarket"))
+def src04b(spark, sf):
+    """File discovery where consolidated files exist: they alone are read, the batch files beside
+    them would count every record twice."""
+    w = _wh(spark, sf)
+    base = w.path("jsonl_full")
+    rows = w.bronze().select("productId", "productName", "brand", "link", "_metadata_supermarket", "_metadata_region", "_metadata_scraped_at")
+    rows.write.json(f"{base}/batches")
+    W.write_full_jsonl(rows, f"{base}/full")
+    df = B.discover_jsonl(spark, base, JSON_SCHEMA)
+    return df.groupBy(F.col("_metadata_supermarket").alias("supermarket")).agg(F.count(F.lit(1)).alias("records"))
+
+
 @register("SRC-06", with_ctes(["obs"], f"""
 SELECT 'valid' AS state, count(*) * 2 AS records FROM obs
 UNION ALL SELECT 'malformed', (SELECT count(*) FROM obs WHERE line_number = 7)
@@ -218,8 +333,8 @@ eans_wanted AS (SELECT DISTINCT unnest(eans) AS code FROM tru WHERE eans IS NOT
 
 cte("bulk_ref", """
 bulk_ref AS (
-  SELECT code, trim(product_name) AS product_name, lower(nutriscore_grade) AS g
-  FROM refraw WHERE run_id = 'ref_2026_02'
+  SELECT code, trim(product_name) AS product_name, lower(nutriscore_grade) AS g, trim(brands) AS brands, run_id
+  FROM refraw
 )""", ["refraw"])
 
 
@@ -228,10 +343,10 @@ def _codes(w):
 
 
 def _bulk_records(w):
-    r = adapter.reference_products(w.spark, w.sf_dir).where(F.col("_metadata_run_id") == "ref_2026_02")
+    r = adapter.reference_products(w.spark, w.sf_dir)
     return r.select("code", F.array(F.struct(F.lit("pt").alias("lang"), F.trim("product_name").alias("text")))
                     .alias("product_name"), "brands", "categories", "quantity", "countries", "nutriscore_grade",
-                    "image_url")
+                    "image_url", F.col("_metadata_run_id").alias("_run"))
 
 
 @register("ENR-01", with_ctes(["tru"], """
@@ -264,21 +379,28 @@ def src09(spark, sf):
 
 
 @register("ENR-02", with_ctes(["eans_wanted", "refraw"], """
-SELECT code FROM eans_wanted WHERE code NOT IN (SELECT code FROM refraw WHERE run_id = 'ref_2026_01')"""))
+SELECT code AS ean, 1 AS requested_in FROM refraw WHERE run_id = 'ref_2026_01' GROUP BY code
+UNION ALL
+SELECT code, 2 FROM eans_wanted WHERE code NOT IN (SELECT code FROM refraw WHERE run_id = 'ref_2026_01')"""))
 def enr02(spark, sf):
-    """Barcodes never requested: the watermark holds every code requested by the first run."""
+    """The watermark of requested barcodes, written by a run and read back by the next: the
+    first run requests the older import's barcodes, the second the products' new ones, the
+    third finds none and leaves the watermark as it is."""
     w = _wh(spark, sf)
-    first = adapter.reference_products(spark, sf).where(F.col("_metadata_run_id") == "ref_2026_01") \
-        .select(F.col("code").alias("ean"))
-    return E.new_barcodes(_codes(w), first)
+    state = Published(spark, w.path("requested"))
+    first = adapter.reference_products(spark, sf).where(F.col("_metadata_run_id") == "ref_2026_01").select("code")
+    E.request_new(state, first)
+    E.request_new(state, _codes(w))
+    E.request_new(state, _codes(w))
+    return E.requested_barcodes(state)
 
 
 @register("ENR-03", with_ctes(["bulk_ref", "eans_wanted"], f"""
 , f AS ({_SRC08})
-SELECT (SELECT count(*) FROM eans_wanted) AS requested, (SELECT count(*) FROM f) AS found,
-       (SELECT count(*) FROM eans_wanted) - (SELECT count(*) FROM f) AS missing,
-       CAST(round(CAST((SELECT count(*) FROM f) / (SELECT count(*) FROM eans_wanted) * 100 AS DECIMAL(38,6)), 2) AS DOUBLE)
-         AS success_rate_pct"""))
+SELECT (SELECT count(*) FROM eans_wanted) AS requested, (SELECT count(DISTINCT code) FROM f) AS found,
+       (SELECT count(*) FROM eans_wanted) - (SELECT count(DISTINCT code) FROM f) AS missing,
+       CAST(round(CAST((SELECT count(DISTINCT code) FROM f) / (SELECT count(*) FROM eans_wanted) * 100 AS DECIMAL(38,6)), 2)
+         AS DOUBLE) AS success_rate_pct"""))
 def enr03(spark, sf):
     """Bulk import: read the bulk file, keep wanted valid codes, land them, report coverage (ENR-05)."""
     w = _wh(spark, sf)
@@ -302,36 +424,80 @@ def enr05(spark, sf):
     return E.enrichment_stats(_codes(w), w.reference().select(F.col("ean_code").alias("code")))
 
 
-@register("SRC-10", with_ctes(["eans_wanted"], """
-SELECT lpad(CAST(p_partkey AS VARCHAR), 13, '0') AS code,
-       CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE p_name END AS product_name,
-       CAST(1700000000 + (p_partkey % 3) * 1000 AS BIGINT) AS last_modified_t
-FROM part
-WHERE p_partkey % 3 <> 0 AND (p_partkey % 3) * 1000 + 1000 > 1000
-  AND lpad(CAST(p_partkey AS VARCHAR), 13, '0') IN (SELECT code FROM eans_wanted)"""))
+cte("delta_records", """
+delta_records AS (
+  SELECT lpad(CAST(p_partkey AS VARCHAR), 13, '0') AS code,
+         CASE WHEN p_partkey % 4 = 2 THEN p_name WHEN p_partkey % 5 = 0 THEN NULL ELSE 'new ' || p_name END AS product_name,
+         p_brand AS brands,
+         CASE WHEN p_partkey % 4 <> 2 THEN 'a' WHEN p_partkey % 6 = 0 THEN 'a' WHEN p_partkey % 6 = 2 THEN 'c'
+              WHEN p_partkey % 6 = 4 THEN 'e' END AS nutriscore_grade,
+         (p_partkey // 3) % 3 AS file,
+         CAST(1700000000 + ((p_partkey // 3) % 3) * 1000 + p_partkey % 100 AS BIGINT) AS last_modified_t
+  FROM part WHERE lpad(CAST(p_partkey AS VARCHAR), 13, '0') IN (SELECT code FROM eans_wanted)
+)""", ["eans_wanted"])
+
+OLD_DELTA = adapter.DELTA_RANGES[0][1]
+
+
+@register("SRC-10", with_ctes(["delta_records"], """
+SELECT code, product_name, last_modified_t FROM delta_records WHERE file <> 0"""))
 def src10(spark, sf):
-    """Delta files: only files ending after the watermark (file 1 is older), names as
-    list or text, 'unknown' -> NULL."""
+    """Delta files: the first one ends at the watermark and isn't read, though it holds wanted
+    barcodes too; names as list or text, 'unknown' -> NULL."""
     w = _wh(spark, sf)
-    base = w.path("deltas")
-    part = adapter.read_table(spark, sf, "part", "p_partkey", "p_name")
-    for i in range(3):
-        sub = part.where(F.pmod("p_partkey", F.lit(3)) == i)
-        name = (F.when(F.pmod("p_partkey", F.lit(5)) == 0, F.lit("unknown"))
-                 .when(F.pmod("p_partkey", F.lit(2)) == 0,
-                       F.to_json(F.array(F.struct(F.lit("pt").alias("lang"), F.col("p_name").alias("text")))))
-                 .otherwise(F.col("p_name")))
-        recs = sub.select(F.lpad(F.col("p_partkey").cast("string"), 13, "0").alias("code"), name.alias("product_name"),
-                          F.lit("b").alias("brands"), F.lit("A").alias("nutriscore_grade"),
-                          (F.lit(1700000000) + i * 1000).cast("long").alias("last_modified_t"))
-        start, end = 1700000000 + i * 1000, 1700000000 + i * 1000 + 999
-        recs.write.mode("overwrite").option("compression", "gzip").json(
-            f"{base}/delta_{start}_{end}.json.gz")
-    # files are directories here (one per delta); the name pattern is read from the path
-    recs, _, _ = B.read_barcode_deltas(spark, base + "/*", 1700000999, _codes(w))
+    recs, _, _ = B.read_barcode_deltas(spark, adapter.land_deltas(spark, sf, w.path("deltas")), OLD_DELTA, _codes(w))
     return recs.select("code", "product_name", "last_modified_t")
 
 
+def _synced(spark, sf):
+    """A state after the bulk import, a synchronisation, a refresh and a second synchronisation."""
+    w = _wh(spark, sf)
+    codes = _codes(w)
+    state = Published(spark, w.path("reference_state"))
+    bulk = _bulk_records(w).select("code", F.get("product_name", 0)["text"].alias("product_name"), F.trim("brands").alias("brands"),
+                                   F.lower("nutriscore_grade").alias("nutriscore_grade"), "_run")
+    bulk = latest_per_key(bulk, ["code"], ["_run"], keep=["product_name", "brands", "nutriscore_grade"])
+    E.import_reference(state, V.normalize_reference(bulk.where(V.reference_rules()["VAL-09 code"])), OLD_DELTA)
+    deltas = adapter.land_deltas(spark, sf, w.path("deltas"))
+    log = [E.delta_sync(state, deltas, codes)]
+    E.refresh_if_changed(state, "names", lambda r: r.groupBy("nutriscore_grade").agg(F.count("product_name").alias("names")))
+    log.append(E.delta_sync(state, deltas, codes))
+    return state, log
+
+
+_ENR04 = """
+, imported AS (
+  SELECT code, product_name, brands, CASE WHEN g IN ('a','b','c','d','e') THEN g END AS nutriscore_grade FROM bulk_ref
+  WHERE length(code) IN (8, 13, 14) QUALIFY row_number() OVER (PARTITION BY code ORDER BY run_id DESC) = 1),
+changed AS (
+  SELECT d.* FROM delta_records d LEFT JOIN imported i ON i.code = d.code
+  WHERE d.file <> 0 AND (i.code IS NULL OR d.product_name IS DISTINCT FROM i.product_name
+                         OR d.brands IS DISTINCT FROM i.brands OR d.nutriscore_grade IS DISTINCT FROM i.nutriscore_grade)),
+synced AS (
+  SELECT code, product_name, brands, nutriscore_grade, CAST(1700000000 + file * 1000 + 999 AS BIGINT) AS as_of_delta FROM changed
+  UNION ALL
+  SELECT code, product_name, brands, nutriscore_grade, CAST(1700000999 AS BIGINT) FROM imported
+  WHERE code NOT IN (SELECT code FROM changed))"""
+
+
+@register("ENR-04", with_ctes(["bulk_ref", "delta_records"], _ENR04 + "\nSELECT * FROM synced"))
+def enr04(spark, sf):
+    """Delta synchronisation: imported records, those that the new deltas changed replaced."""
+    return E.latest_reference(_synced(spark, sf)[0])
+
+
+@register("ENR-04b", with_ctes(["bulk_ref", "delta_records"], _ENR04 + """
+SELECT 1 AS run, 2 AS files, (SELECT count(*) FROM changed) AS changed, 0 AS malformed, 1700002999 AS last_timestamp,
+       (SELECT count(*) > 0 FROM changed) AS refresh
+UNION ALL SELECT 2, 0, 0, 0, 1700002999, false"""))
+def enr04b(spark, sf):
+    """What the two synchronisations report: the second finds no new file and asks for no refresh."""
+    _, log = _synced(spark, sf)
+    cols = ["files", "changed", "malformed", "last_timestamp", "refresh"]
+    return spark.createDataFrame([(i + 1, *[r[c] for c in cols]) for i, r in enumerate(log)],
+                                 "run long, files long, changed long, malformed long, last_timestamp long, refresh boolean")
+
+
 # ------------------------------------------------------------------ incremental
 CUT = AS_OF - dt.timedelta(days=7)
 TRU_COLS = ["product_id", "supermarket", "region", "scraped_date", "scraped_at", "min_price", "run_id"]
@@ -379,15 +545,89 @@ def inc05(spark, sf):
     return I.lookback_window(t, t.where(F.col("scraped_date") < F.lit(CUT)), 3)
 
 
+EVOLVING = [*TRU_COLS, "sku_count"]
+_EV = ", ".join(EVOLVING)
+_OLD, _NEW = f"scraped_date < DATE '{CUT.isoformat()}'", f"scraped_date >= DATE '{CUT.isoformat()}'"
+
+
+def _evolving(spark, sf):
+    """A table of the days before the cut, and the later days as a batch with a new column, one
+    missing and one of a narrower type."""
+    w = _wh(spark, sf)
+    t = w.tru().withColumn("price_range", F.col("max_price") - F.col("min_price"))
+    table = I.EvolvingTable(spark, w.path("evolving"), "scraped_date")
+    table.append(t.where(F.col("scraped_date") < F.lit(CUT)).select(*EVOLVING))
+    later = t.where(F.col("scraped_date") >= F.lit(CUT))
+    batch = later.select(*[c for c in EVOLVING if c not in ("run_id", "sku_count")], F.col("sku_count").cast("int").alias("sku_count"),
+                         "price_range")
+    return table, batch, later
+
+
 @register("INC-06", with_ctes(["tru"], f"""
-SELECT {_TC}, CASE WHEN scraped_date >= DATE '{CUT.isoformat()}' THEN max_price - min_price END AS price_range FROM tru"""))
+SELECT {_EV.replace("run_id", f"CASE WHEN {_OLD} THEN run_id END AS run_id")},
+       CASE WHEN {_NEW} THEN max_price - min_price END AS price_range FROM tru"""))
 def inc06(spark, sf):
-    """on_schema_change = append_new_columns: the new batch brings price_range."""
-    t = _wh(spark, sf).tru()
-    old = t.where(F.col("scraped_date") < F.lit(CUT)).select(*TRU_COLS)
-    new = t.where(F.col("scraped_date") >= F.lit(CUT)).select(*TRU_COLS, (F.col("max_price") - F.col("min_price"))
-                                                              .alias("price_range"))
-    return I.apply_schema_change(old, new, "append_new_columns")
+    """on_schema_change = append_new_columns: price_range is added, run_id is NULL where the
+    batch lacks it, sku_count keeps the wider type."""
+    table, batch, _ = _evolving(spark, sf)
+    table.append(batch, "append_new_columns")
+    return table.read()
+
+
+@register("INC-06b", with_ctes(["tru"], f"""
+SELECT {_EV}, 'added price_range; removed run_id; changed sku_count bigint to int' AS refused FROM tru WHERE {_OLD}"""))
+def inc06b(spark, sf):
+    """on_schema_change = fail: the batch is refused, the table is what it was."""
+    table, batch, _ = _evolving(spark, sf)
+    try:
+        table.append(batch, "fail")
+        refused = ""
+    except I.SchemaRefused as e:
+        refused = str(e)
+    return table.read().withColumn("refused", F.lit(refused))
+
+
+@register("INC-06c", with_ctes(["tru"], f"SELECT {_EV}, true AS refused FROM tru"))
+def inc06c(spark, sf):
+    """on_schema_change = ignore: a batch that lacks run_id is refused; with it, its new column
+    is left out and its narrower type widened."""
+    table, batch, later = _evolving(spark, sf)
+    try:
+        table.append(batch, "ignore")
+        refused = False
+    except I.SchemaRefused:
+        refused = True
+    table.append(later.select(*TRU_COLS, F.col("sku_count").cast("int").alias("sku_count"), "price_range"), "ignore")
+    return table.read().withColumn("refused", F.lit(refused))
+
+
+@register("INC-06d", with_ctes(["tru"], f"""
+SELECT {_EV.replace("run_id", "CAST(NULL AS VARCHAR) AS run_id").replace("sku_count", "CAST(sku_count AS INTEGER) AS sku_count")},
+       CASE WHEN {_NEW} THEN max_price - min_price END AS price_range FROM tru
+UNION ALL
+SELECT {_EV.replace("sku_count", "CAST(sku_count AS INTEGER)")}, max_price - min_price FROM tru WHERE {_NEW}"""))
+def inc06d(spark, sf):
+    """on_schema_change = sync_all_columns: run_id goes with the first batch; when a second one
+    brings it back, only that batch's rows have it, not the older partitions that stored it."""
+    table, batch, later = _evolving(spark, sf)
+    table.append(batch, "sync_all_columns")
+    table.append(later.select(*TRU_COLS, F.col("sku_count").cast("int").alias("sku_count"), "price_range"), "sync_all_columns")
+    return table.read()
+
+
+@register("SRC-12", with_ctes(["obs", "region_seed"], """
+SELECT coalesce(o.supermarket, r.store) AS store, coalesce(o.region, r.region_code) AS region_code, r.postal_code, r.sc_code, r.hub_id,
+       r.store IS NOT NULL AS configured, coalesce(o.records, 0) AS records
+FROM (SELECT supermarket, region, count(*) AS records FROM obs GROUP BY ALL) o
+FULL JOIN region_seed r ON r.store = o.supermarket AND r.region_code = o.region"""))
+def src12(spark, sf):
+    """The stores' region configuration against what was collected, by store and region."""
+    seen = _wh(spark, sf).stg().groupBy(F.col("supermarket").alias("store"), F.col("region").alias("region_code")).agg(
+        F.count(F.lit(1)).alias("records"))
+    seed = region_seed(spark).withColumn("configured", F.lit(True))
+    return seen.join(seed, ["store", "region_code"], "full").select(
+        "store", "region_code", "postal_code", "sc_code", "hub_id", F.coalesce("configured", F.lit(False)).alias("configured"),
+        F.coalesce("records", F.lit(0)).alias("records"))
 
 
 # ------------------------------------------------------------------ streaming
@@ -411,21 +651,19 @@ def str01(spark, sf):
 
 
 @register("STR-02", with_ctes(["tru"], """
-SELECT product_id, supermarket, region, scraped_date, scraped_at, min_price FROM tru"""))
+SELECT product_id, supermarket, region, scraped_date, scraped_at, run_id, min_price, max_price, sku_count FROM tru"""))
 def str02(spark, sf):
-    """Latest record per product x store x region x day from the landed stream; a
-    3-day watermark bounds state, rows behind it go to a late table."""
+    """Latest record per product x store x region x day from the landed stream, with the
+    prices rolled up from the streamed record itself; a 3-day watermark closes days."""
     w = _wh(spark, sf)
     landing = w.landed()
     schema = spark.read.parquet(landing).schema
     s = spark.readStream.schema(schema).option("basePath", landing).parquet(landing)
-    rows = stg_products(s).select("product_id", "supermarket", "region", F.to_date("scraped_at").alias("scraped_date"),
-                                  "scraped_at", "run_id")
+    rows = record_rollup(stg_products(s)).select(*GRAIN, "scraped_at", "run_id", "_first_item", "min_price", "max_price",
+                                                 "sku_count", "_has_items")
     out = J.upsert_latest(spark, rows, GRAIN, "scraped_at", w.path("latest"), _ckpt(w, "str02"), w.path("late"),
-                          ties=["run_id"])
-    # prices of the surviving records, as rolled up by the trusted model
-    t = w.tru().select("product_id", "supermarket", "region", "scraped_date", "scraped_at", "min_price")
-    return out.select(*GRAIN, "scraped_at").distinct().join(t, [*GRAIN, "scraped_at"], "inner")
+                          ties=["run_id", "_first_item"])
+    return out.where("_has_items").select(*GRAIN, "scraped_at", "run_id", "min_price", "max_price", "sku_count")
 
 
 @register("STR-03", with_ctes(["batches"], """
@@ -470,7 +708,7 @@ def str05(spark, sf):
     """Price-change feed: SCD-2 history merged per micro-batch (check strategy)."""
     w = _wh(spark, sf)
     src = w.path("tru_stream")
-    w.tru().select(*SNAP_KEY, *SNAP_ATTRS).write.mode("overwrite").partitionBy("scraped_date").parquet(src)
+    with_rescrapes(w.tru()).select(*SNAP_KEY, *SNAP_ATTRS).write.mode("overwrite").partitionBy("scraped_date").parquet(src)
     schema = spark.read.parquet(src).schema
     s = spark.readStream.schema(schema).option("basePath", src).parquet(src)
     h = J.price_change_feed(spark, s, SNAP_KEY, "scraped_at", SNAP_ATTRS, w.path("history"), _ckpt(w, "str05"),

@@ -241,11 +241,14 @@ def dsc03(spark, sf):
     return DC.sample_urls(_sitemap(spark, sf), priority=[r"-1\d*/p$"], rate=0.1, seed=42)
 
 
-cte("failed_urls", """
+cte("failed_urls", f"""
 failed_urls AS (
   SELECT url, TIMESTAMP '2026-03-01 00:00:00' - to_days(CAST(page_id % 20 AS INTEGER)) AS failed_at,
          CASE WHEN page_id % 2 = 0 THEN 404 ELSE 500 END AS status
-  FROM main.pages
+  FROM (SELECT page_id, url FROM main.pages UNION ALL
+        SELECT p_partkey, 'https://www.' || ({STORES})[p_partkey % 5 + 1] || '.com.br/' || replace(lower(p_name), ' ', '-') || '-'
+               || CAST(p_partkey AS VARCHAR) || '/p'
+        FROM part WHERE p_partkey % 9 = 0)
 )""", [])
 
 

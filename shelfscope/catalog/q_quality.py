@@ -13,7 +13,7 @@ from ..plans.trusted import CONTRACT, NOT_NULL
 from ..plans.warehouse import warehouse
 from ..sources import adapter
 from . import q_reports  # noqa: F401  (registers the silver_products CTE)
-from .oracle import with_ctes
+from .oracle import register as cte, with_ctes
 from .registry import register
 
 AS_OF = config.DEFAULT_AS_OF
@@ -311,6 +311,86 @@ for _vid in ("VAL-01", "VAL-03", "VAL-04", "VAL-06"):
         (lambda p: (lambda spark, sf: _product_rule_counts(spark, sf, p)))(_vid))
 
 
+# the full payload: order key o, line l, suppliers as sellers; prices in whole cents
+cte("payload", """
+payload AS (
+  SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS record_id, l_orderkey AS o, l_linenumber AS l,
+         CAST(l_suppkey AS VARCHAR) AS seller_id, i AS items_pos,
+         (CAST(round(l_extendedprice * 100) AS BIGINT) // CAST(l_quantity AS BIGINT)) / 100.0 AS price,
+         round(l_discount * 100, 0) AS pct, l_discount
+  FROM lineitem, range(1, 3) r(i) WHERE i = 1 OR l_linenumber % 2 = 0
+)""", [])
+
+_REJECTS = """
+SELECT record_id, CAST(items_pos AS INTEGER) AS items_pos, 1 AS sellers_pos, seller_id AS "sellerId", rule FROM (
+  SELECT *, 'Price' AS rule FROM payload WHERE price <= 0
+  UNION ALL SELECT *, 'PriceWithoutDiscount' FROM payload WHERE o % 13 = 0
+  UNION ALL SELECT *, 'RewardValue' FROM payload WHERE o % 19 = 0
+  UNION ALL SELECT *, 'Tax' FROM payload WHERE o % 17 = 0)"""
+
+
+@register("VAL-01b", with_ctes(["payload"], _REJECTS))
+def val01b(spark, sf):
+    """Offers of the full payload: the places that break a price, reward or tax rule."""
+    return V.offer_rejects(adapter.full_offers(spark, sf), ["record_id"])
+
+
+@register("VAL-02", with_ctes(["payload"], """
+SELECT record_id, CAST(items_pos AS INTEGER) AS items_pos, 1 AS sellers_pos, CAST(p AS INTEGER) AS "Promotions_pos",
+       'P' || p || '-' || o AS "promotionId", rule FROM (
+  SELECT *, 1 AS p, 'discountValue' AS rule FROM payload WHERE o % 29 = 0 AND l % 3 >= 1
+  UNION ALL SELECT *, 2, 'discountPercentage' FROM payload WHERE o % 23 = 0 AND l % 3 >= 2)"""))
+def val02(spark, sf):
+    """Promotions, nested three deep: the places that break a rule."""
+    return V.promotion_rejects(adapter.full_offers(spark, sf), ["record_id"])
+
+
+@register("VAL-05", with_ctes(["payload"], """
+SELECT record_id, CAST(items_pos AS INTEGER) AS items_pos, 2 AS images_pos,
+       record_id || '-' || items_pos || '-b' AS "imageId", 'imageUrl' AS rule
+FROM payload WHERE o % 31 = 0 AND items_pos = 2"""))
+def val05(spark, sf):
+    """Images without an address."""
+    return V.image_rejects(adapter.full_offers(spark, sf), ["record_id"])
+
+
+@register("VAL-05b", with_ctes(["payload"], """
+SELECT count(*) AS items, sum(CASE WHEN l % 2 = 0 THEN 0 ELSE 2 END)::BIGINT AS https_before, (count(*) * 2)::BIGINT AS https_after
+FROM payload WHERE record_id NOT IN (SELECT record_id FROM payload WHERE o % 31 = 0 AND items_pos = 2)"""))
+def val05b(spark, sf):
+    """Images of the records whose images are all in order, with http turned into https."""
+    df = adapter.full_offers(spark, sf)
+    good = df.where(F.forall("items", lambda i: V.image_rules(i["images"])))
+    https = lambda images: F.size(F.filter(images, lambda im: im["imageUrl"].startswith("https:")))
+    i = good.select(F.explode("items").alias("i"))
+    return i.agg(F.count(F.lit(1)).alias("items"), F.sum(https(F.col("i.images"))).alias("https_before"),
+                 F.sum(https(V.normalize_images(F.col("i.images")))).alias("https_after"))
+
+
+@register("VAL-07", """
+WITH w AS (
+  SELECT *, string_split(p_name, ' ')[1] AS first, string_split(p_name, ' ')[2] AS second,
+         CASE WHEN p_partkey % 11 = 0 THEN '  ' ELSE 'size ' || p_size END AS size FROM part),
+node AS (
+  SELECT p_partkey AS doc_id, 1 AS depth, p_type AS path, p_partkey * 10 + 1 AS id, p_type AS name FROM w
+  UNION ALL SELECT p_partkey, 2, p_type || ' > ' || p_brand, p_partkey * 10 + 2, p_brand FROM w
+  UNION ALL SELECT p_partkey, 2, p_type || ' > Other', p_partkey * 10 + 6, 'Other' FROM w
+  UNION ALL SELECT p_partkey, 3, p_type || ' > ' || p_brand || ' > ' || second, p_partkey * 10 + 3, second FROM w
+  UNION ALL SELECT p_partkey, 4, p_type || ' > ' || p_brand || ' > ' || second || ' > ' || first,
+                   CASE WHEN p_partkey % 7 = 0 THEN -p_partkey ELSE p_partkey * 10 + 4 END, first FROM w WHERE p_partkey % 5 <> 0
+  UNION ALL SELECT p_partkey, 4, p_type || ' > ' || p_brand || ' > ' || second || ' > ' || size, p_partkey * 10 + 5, size
+            FROM w WHERE p_partkey % 5 <> 0)
+SELECT doc_id, depth, path, id, concat_ws(', ', CASE WHEN id <= 0 THEN 'VAL-07 id' END, CASE WHEN trim(name) = '' THEN 'VAL-07 name' END)
+       AS failed_rules FROM node""")
+def val07(spark, sf):
+    """Category trees of four levels, flattened; bad ids and names stand at the bottom."""
+    nodes = V.flatten_categories(adapter.category_trees(spark, sf), ["doc_id"])
+    valid, rejects = V.validate(nodes, V.category_rules())
+    cols = ["doc_id", "depth", "path", "id"]
+    return valid.select(*cols, F.lit("").alias("failed_rules")).unionByName(
+        rejects.select(*cols, F.array_join("failed_rules", ", ").alias("failed_rules")))
+
+
 def flat_products(spark, sf):
     """Flat product records (second platform shape) from the offers: text-typed
     numbers, http image URLs, barcodes with punctuation."""

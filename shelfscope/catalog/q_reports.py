@@ -299,30 +299,26 @@ def d07(spark, sf):
 
 
 @register("D-08", with_ctes(["fct_daily_prices", "dim_store"], """
-SELECT any_value(store_name) AS supermarket, product_id, region, scraped_date, unnest(list(min_price)) AS min_price
-FROM (SELECT * EXCLUDE (supermarket) FROM fct_daily_prices WHERE min_price >= 1 AND min_price <= 500)
-JOIN (SELECT store_key, store_name FROM dim_store WHERE list_contains(['bistek', 'fort', 'giassi'], store_id)) USING (store_key)
-GROUP BY store_key, product_id, region, scraped_date"""))
+SELECT s.store_name AS supermarket, p.product_id, p.region, p.scraped_date, p.min_price
+FROM fct_daily_prices p JOIN dim_store s ON s.store_key = p.store_key
+WHERE s.store_id IN ('bistek', 'fort', 'giassi') AND p.min_price BETWEEN 1 AND 500"""))
 def d08(spark, sf):
     w = _wh(spark, sf)
     return D.d08_price_rows(w.fact("fct_daily_prices"), w.dim("dim_store"))
 
 
 @register("D-08b", with_ctes(["fct_active_promotions", "dim_store"], f"""
-, named AS (SELECT map_from_entries(list((store_key, store_name))) AS names FROM dim_store)
-SELECT product_id, product_name, names[store_key] AS supermarket, region, scraped_date,
-       {RND("promotional_price", 2)} AS promo_price, {RND("discount_percentage", 1)} AS discount_pct
-FROM named, fct_active_promotions WHERE discount_percentage >= 30""".replace("\n, named", ", named", 1)))
+SELECT p.product_id, p.product_name, s.store_name AS supermarket, p.region, p.scraped_date,
+       {RND("p.promotional_price", 2)} AS promo_price, {RND("p.discount_percentage", 1)} AS discount_pct
+FROM fct_active_promotions p JOIN dim_store s ON s.store_key = p.store_key WHERE p.discount_percentage >= 30"""))
 def d08b(spark, sf):
     w = _wh(spark, sf)
     return D.d08_promotions(w.fact("fct_active_promotions"), w.dim("dim_store"))
 
 
 @register("D-08c", with_ctes(["fct_price_comparison_v2"], """
-SELECT product_id, product_name, CAST(len(stores) AS BIGINT) AS store_count, prices[1] AS lowest_price, prices[-1] AS highest_price
-FROM (SELECT product_id, product_name, list(DISTINCT store_key) AS stores, list_sort(list(min_price)) AS prices
-      FROM fct_price_comparison_v2 GROUP BY ALL)
-WHERE len(stores) >= 2"""))
+SELECT product_id, product_name, count(DISTINCT store_key) AS store_count, min(min_price) AS lowest_price, max(min_price) AS highest_price
+FROM fct_price_comparison_v2 GROUP BY product_id, product_name HAVING count(DISTINCT store_key) >= 2"""))
 def d08c(spark, sf):
     return D.d08_competitiveness(_wh(spark, sf).fact("fct_price_comparison_v2"))
 

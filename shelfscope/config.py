@@ -54,7 +54,7 @@ STORE_TYPE_DESCRIPTION = {
     "wholesale": "Cash & carry format",
 }
 
-# Region config (region code -> postal code, sales channel, hub id).
+# Regions the adapter deals rows to (region code, postal code, sales channel, hub id).
 REGION_SEED = [
     ("florianopolis_costeira", "88047-010", "1", "v2.1E10CE150EA319FED789DC6BE7C290F5"),
     ("florianopolis_santa_monica", "88035-000", "1", None),
@@ -66,6 +66,67 @@ REGION_SEED = [
     ("joinville_aventureiro", "89226-000", "1", "v2.D64E8C3CDDA81BB086AFE28286D484E6"),
 ]
 
+# Region configuration of each store: region code -> (postal code, sales channel, hub id).
+STORE_REGIONS = {
+    "bistek": {
+        "florianopolis_costeira": ("88047-010", "1", "v2.1E10CE150EA319FED789DC6BE7C290F5"),
+        "criciuma_centro": ("88802-000", "1", "v2.1ACA29C622CF7C99ED59045C6074B6C9"),
+        "lages_coral": ("88523-000", "1", "v2.191BE3A849CD16A9CEFF2AB55E90E6D7"),
+        "blumenau_itoupava": ("89052-050", "1", "v2.314053D5BCFB5A6D4C5EA7ED6DF3C455"),
+        "itajai_saojoao": ("88304-101", "1", "v2.2FD273C409C15EF7E16637C23820F3AB"),
+        "saojose_belavista": ("88110-798", "1", "v2.471E6D82FC2AF1E3546612023788DC31"),
+        "brusque_saoluiz": ("88350-210", "1", "v2.B8B2CA3F13B9BBBEF48E30DF6FB1C5C3"),
+        "palhoca_passavinte": ("88132-149", "1", "v2.03F2FCD02C257443A10705733B2AD7ED"),
+        "poa_guadix": ("91770-010", "1", "v2.C59E7778E80DE611066F17ABDE1DDCCE"),
+        "poa_nilo": ("90470-000", "1", "v2.5549A69410A3F0219D7BCDA860C9D267"),
+        "torres_centro": ("95560-000", "1", "v2.BEDC77227E6E64A871B09C032812BAA7"),
+        "balneario_camboriu": ("88330-110", "1", "v2.D55FE45FC956CF3452F53FF1829D38B9"),
+        "joinville_aventureiro": ("89226-000", "1", "v2.D64E8C3CDDA81BB086AFE28286D484E6"),
+    },
+    "fort": {
+        "balneario_camboriu": ("88330-110", "6", None),
+        "itajai_saojoao": ("88304-101", "4", None),
+        "blumenau_itoupava": ("89052-050", "5", "v2.1BB18CE648B5111D0933734ED83EC783"),
+        "florianopolis_costeira": ("88047-010", "2", "v2.1BB18CE648B5111D0933734ED83EC783"),
+        "palhoca_passavinte": ("88132-149", "3", "v2.1BB18CE648B5111D0933734ED83EC783"),
+        "saojose_belavista": ("88110-798", "3", "v2.1BB18CE648B5111D0933734ED83EC783"),
+        "porto_belo": ("88210-000", "1", "v2.1BB18CE648B5111D0933734ED83EC783"),
+    },
+    "giassi": {
+        "florianopolis_santa_monica": ("88035-000", "1", None),
+        "joinville_america": ("89204-000", "1", None),
+        "blumenau_victor_konder": ("89012-000", "1", None),
+        "palhoca_pagani": ("88132-000", "1", None),
+        "florianopolis_sacogrande": ("88032-005", "1", "v2.7F2A3943DBF84750AACFC84F88A37547"),
+        "sao_jose_areias": ("88113-600", "1", "v2.ABCBB60D0ACAFE91572B611D519E9FB8"),
+        "joinville_bucarein": ("89202-310", "1", "v2.3F129C77C9E351893874B20DA972497D"),
+        "jaragua_centro": ("89251-000", "1", "v2.F7650946A1CE616593F5473A688636B9"),
+        "tubarao_oficinas": ("88701-000", "1", "v2.B38B0AA3929BDF670A0DB9B723107C2E"),
+        "tubarao_vila_moema": ("88705-001", "1", "v2.B38B0AA3929BDF670A0DB9B723107C2E"),
+        "icara_centro": ("88820-000", "1", "v2.05909B625571D35E8E2AB27B22D4BE56"),
+        "criciuma_santa_barbara": ("88804-000", "1", "v2.05909B625571D35E8E2AB27B22D4BE56"),
+        "criciuma_centenario": ("88801-001", "1", "v2.05909B625571D35E8E2AB27B22D4BE56"),
+        "ararangua_centro": ("88900-045", "1", "v2.7515F347D55C9E8D142E1F03D061CB4E"),
+        "ararangua_cidade_alta": ("88901-026", "1", "v2.7515F347D55C9E8D142E1F03D061CB4E"),
+        "morro_da_fumaca": ("88830-000", "1", "v2.1BB18CE648B5111D0933734ED83EC783"),
+        "sombrio_centro": ("88960-000", "1", "v2.1BB18CE648B5111D0933734ED83EC783"),
+    },
+    "carrefour": {
+        "florianopolis_centro": ("88010-000", "1", None),
+        "florianopolis_trindade": ("88036-003", "1", None),
+        "saojose_kobrasol": ("88102-600", "1", None),
+        "palhoca_pedra_branca": ("88137-270", "1", None),
+        "joinville_centro": ("89201-400", "1", None),
+    },
+    "angeloni": {
+        "florianopolis_centro": ("88010-000", "1", "v2.6470C9DD8410520F44B2C757ECBDE327"),
+        "florianopolis_continente": ("88085-000", "1", "v2.6EA065AD64AA626F42DFCA6CBE33D035"),
+        "saojose_kobrasol": ("88102-000", "1", "v2.6470C9DD8410520F44B2C757ECBDE327"),
+    },
+    "superkoch": {"balneario_camboriu": ("88340-152", None, None)},
+    "hippo": {"florianopolis_centro": ("88015-420", None, None)},
+}
+
 # dim_region city names (keyed by the part before the first underscore)
 REGION_CITY_NAMES = [
     ("florianopolis", "Florianópolis"),

@@ -14,6 +14,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import written
 from .columns import blank, clean_barcode, digits_only, force_https
 
 
@@ -43,41 +44,136 @@ def _offer(s):
     return s["commertialOffer"]
 
 
-def offer_ok(o) -> Column:
-    """VAL-01: Price > 0; quantity >= 0; list price (NULL -> price) >= price; non-negative extras."""
-    lp = F.coalesce(o["ListPrice"], o["Price"])
-    return ((o["Price"] > 0) & (F.coalesce(o["AvailableQuantity"], F.lit(0)) >= 0) & (lp >= 0) & (lp >= o["Price"]))
+def _fields(kind) -> list[str]:
+    """Field names at a struct, or of an array's structs."""
+    kind = getattr(kind, "elementType", kind)
+    return kind.fieldNames() if hasattr(kind, "fieldNames") else []
+
+
+def _kind(df: DataFrame, *path: str):
+    """The type at a path of field names through structs and arrays; None where it ends."""
+    kind = df.schema
+    for name in path:
+        kind = getattr(kind, "elementType", kind)
+        if name not in _fields(kind):
+            return None
+        kind = kind[name].dataType
+    return kind
+
+
+def _not_negative(c) -> Column:
+    return c.isNull() | (c >= 0)
+
+
+def offer_checks(o, fields: list[str] | None = None) -> dict[str, Column]:
+    """VAL-01: Price > 0; quantity >= 0; list price (NULL -> price) and price without discount
+    not below the price; list price, price without discount, reward and tax not negative.
+    ``fields``: those the offers have (all if None)."""
+    out = {
+        "Price": o["Price"] > 0,
+        "AvailableQuantity": F.coalesce(o["AvailableQuantity"], F.lit(0)) >= 0,
+        "ListPrice": _not_negative(o["ListPrice"]) & (F.coalesce(o["ListPrice"], o["Price"]) >= o["Price"]),
+    }
+    if fields is None or "PriceWithoutDiscount" in fields:
+        w = o["PriceWithoutDiscount"]
+        out["PriceWithoutDiscount"] = _not_negative(w) & (w.isNull() | (w >= o["Price"]))
+    for name in ("RewardValue", "Tax"):
+        if fields is None or name in fields:
+            out[name] = _not_negative(o[name])
+    return out
+
+
+def _all(checks: Mapping[str, Column]) -> Column:
+    ok = F.lit(True)
+    for c in checks.values():
+        ok = ok & _ok(c)
+    return ok
+
+
+def offer_ok(o, fields: list[str] | None = None) -> Column:
+    return _all(offer_checks(o, fields))
+
+
+def promotion_checks(p) -> dict[str, Column]:
+    """VAL-02: discountValue >= 0; discountPercentage within [0, 100]; either may be absent."""
+    return {"discountValue": _not_negative(p["discountValue"]),
+            "discountPercentage": p["discountPercentage"].isNull() | p["discountPercentage"].between(0, 100)}
 
 
 def promotion_ok(p) -> Column:
-    """VAL-02: discountValue >= 0; discountPercentage within [0, 100]."""
-    return ((F.coalesce(p["discountValue"], F.lit(0.0)) >= 0)
-            & F.coalesce(p["discountPercentage"].between(0, 100), F.lit(True)))
+    return _all(promotion_checks(p))
+
+
+def image_checks(im) -> dict[str, Column]:
+    """VAL-05: the address is there and not blank."""
+    return {"imageUrl": ~blank(im["imageUrl"])}
+
+
+def _list(c) -> Column:
+    return F.coalesce(c, F.array())
+
+
+def nested_rejects(df: DataFrame, keep: list[str], path: list[str], label: str, checks, on: str | None = None) -> DataFrame:
+    """One row per broken rule of an element inside nested arrays.
+
+    ``path``: the arrays from the outside in, each named from the element around it (a dot goes
+    through a struct). ``checks`` gives the rules of an element, or of its struct ``on``. Rows have
+    ``keep``, the element's place at each level (``<array>_pos``, from 1), its ``label`` field
+    and the rule's name. Only broken rules leave the row: nothing is exploded for elements
+    in order.
+    """
+    def get(c: Column, name: str) -> Column:
+        for part in name.split("."):
+            c = c[part]
+        return c
+
+    def level(arr: Column, steps: list[str], places: list[Column]) -> Column:
+        def one(x, i):
+            here = [*places, (i + 1).cast("int").alias(steps[0].split(".")[-1] + "_pos")]
+            if steps[1:]:
+                return level(get(x, steps[1]), steps[1:], here)
+            rules = checks(get(x, on) if on else x)
+            broken = F.filter(F.array(*[F.when(~_ok(c), F.lit(n)) for n, c in rules.items()]), lambda r: r.isNotNull())
+            return F.transform(broken, lambda r: F.struct(*here, x[label].cast("string").alias(label), r.alias("rule")))
+        return F.flatten(F.transform(_list(arr), one))
+
+    return df.select(*keep, F.explode(level(F.col(path[0]), path, [])).alias("_x")).select(*keep, "_x.*")
+
+
+def offer_rejects(df: DataFrame, keep: list[str]) -> DataFrame:
+    """VAL-01 with positions: item, seller and the rule its offer breaks."""
+    fields = _fields(_kind(df, "items", "sellers", "commertialOffer"))
+    return nested_rejects(df, keep, ["items", "sellers"], "sellerId", lambda o: offer_checks(o, fields), on="commertialOffer")
+
+
+def promotion_rejects(df: DataFrame, keep: list[str]) -> DataFrame:
+    """VAL-02 with positions: item, seller, promotion and the rule it breaks."""
+    return nested_rejects(df, keep, ["items", "sellers", "commertialOffer.Promotions"], "promotionId", promotion_checks)
+
+
+def image_rejects(df: DataFrame, keep: list[str]) -> DataFrame:
+    """VAL-05 with positions: item, image and the rule it breaks."""
+    return nested_rejects(df, keep, ["items", "images"], "imageId", image_checks)
 
 
 def product_rules(df: DataFrame) -> dict[str, Column]:
-    items = F.coalesce(F.col("items"), F.array())
-    has_promos = False
-    try:
-        offer_type = df.schema["items"].dataType.elementType["sellers"].dataType.elementType["commertialOffer"].dataType
-        has_promos = "Promotions" in offer_type.fieldNames()
-    except (KeyError, AttributeError):
-        pass
+    """Rules of a whole product; those on promotions and images where the shape has them."""
+    items = _list(F.col("items"))
+    fields = _fields(_kind(df, "items", "sellers", "commertialOffer"))
+    sellers = lambda ok: F.forall(items, lambda i: F.forall(_list(i["sellers"]), ok))
     rules = {
         "VAL-06 productId": ~blank(F.col("productId")),
         "VAL-06 productName": ~blank(F.col("productName")) & (F.length(F.trim("productName")) <= 500),
         "VAL-06 link": ~blank(F.col("link")),
         "VAL-06 items": F.size(items) >= 1,
-        "VAL-04 item": F.forall(items, lambda i: ~blank(i["itemId"]) & (F.size(F.coalesce(i["sellers"], F.array())) >= 1)),
-        "VAL-03 seller": F.forall(items, lambda i: F.forall(F.coalesce(i["sellers"], F.array()),
-                                                             lambda s: ~blank(s["sellerId"]))),
-        "VAL-01 offer": F.forall(items, lambda i: F.forall(F.coalesce(i["sellers"], F.array()),
-                                                            lambda s: offer_ok(_offer(s)))),
+        "VAL-04 item": F.forall(items, lambda i: ~blank(i["itemId"]) & (F.size(_list(i["sellers"])) >= 1)),
+        "VAL-03 seller": sellers(lambda s: ~blank(s["sellerId"])),
+        "VAL-01 offer": sellers(lambda s: offer_ok(_offer(s), fields)),
     }
-    if has_promos:
-        rules["VAL-02 promotion"] = F.forall(items, lambda i: F.forall(
-            F.coalesce(i["sellers"], F.array()),
-            lambda s: F.forall(F.coalesce(_offer(s)["Promotions"], F.array()), promotion_ok)))
+    if "Promotions" in fields:
+        rules["VAL-02 promotion"] = sellers(lambda s: F.forall(_list(_offer(s)["Promotions"]), promotion_ok))
+    if "images" in _fields(_kind(df, "items")):
+        rules["VAL-05 image"] = F.forall(items, lambda i: image_rules(i["images"]))
     return rules
 
 
@@ -96,7 +192,7 @@ def normalize_product(df: DataFrame) -> DataFrame:
 
 def image_rules(images: Column) -> Column:
     """VAL-05: every image has a non-blank url."""
-    return F.forall(F.coalesce(images, F.array()), lambda im: ~blank(im["imageUrl"]))
+    return F.forall(_list(images), lambda im: _all(image_checks(im)))
 
 
 def normalize_images(images: Column) -> Column:
@@ -108,6 +204,31 @@ def category_rules() -> dict[str, Column]:
     return {"VAL-07 id": F.col("id") > 0, "VAL-07 name": ~blank(F.col("name"))}
 
 
+NODE = "array<struct<id: long, name: string, hasChildren: boolean, children: string>>"
+
+
+def flatten_categories(trees: DataFrame, keep: list[str], json: str = "json") -> DataFrame:
+    """The nodes of category trees of any depth: ``keep``, depth (from 1), path (names from the
+    root down, ' > ' between), id, name and whether the node has children.
+
+    A tree is JSON text. Each round parses one level, leaving the children as text for the
+    next, until no node has any; a level is written, so the plan doesn't grow with the
+    depth and a lost executor costs no level above."""
+    level = trees.select(*keep, F.lit("").alias("_above"), F.col(json).alias("_json"))
+    out, depth = None, 0
+    while True:
+        depth += 1
+        nodes = level.select(*keep, "_above", F.explode(F.from_json("_json", NODE)).alias("n"))
+        name = F.coalesce("n.name", F.lit(""))
+        nodes = written(nodes.select(
+            *keep, F.lit(depth).alias("depth"), F.when(F.col("_above") == "", name).otherwise(F.concat("_above", F.lit(" > "), name)).alias("path"),
+            "n.id", "n.name", "n.hasChildren", F.col("n.children").alias("_json")), "categories")
+        out = nodes.drop("_json") if out is None else out.unionByName(nodes.drop("_json"))
+        level = nodes.where("_json is not null and _json <> '[]'").select(*keep, F.col("path").alias("_above"), "_json")
+        if level.limit(1).isEmpty():
+            return out
+
+
 # ------------------------------------------------------------------ flat product
 def flat_product_rules() -> dict[str, Column]:
     """VAL-08 (after ``normalize_flat``): ids and names present, price > 0,

@@ -14,7 +14,7 @@ table (at most partitions x groups-per-partition boundary rows) is broadcast.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -43,13 +43,33 @@ def rank_within_groups(df: DataFrame, group_cols: Sequence[str], order: Sequence
                     .agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_p0")))
     w = Window.partitionBy(*g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    # |counts| <= partitions x (groups starting/ending in a partition + groups inside it);
-    # it is small when groups are large, and it is never broadcast blindly.
-    joined = ranged.join(counts.select("_pid", *g, "_off", "_p0"), ["_pid", *g], "inner")
+    # |counts| <= partitions x (groups starting/ending in a partition + groups inside it). Written,
+    # so its size is known: Spark joins it by broadcast below its threshold, else by shuffle.
+    counts = written(counts.select("_pid", *g, "_off", "_p0"), "rank-offsets")
+    joined = ranged.join(counts, ["_pid", *g], "inner")
     return (joined.withColumn(name, (F.col("_off") + F.col("_pos") - F.col("_p0") + 1).cast("bigint"))
                   .drop("_pid", "_pos", "_off", "_p0"))
 
 
+def ranks_within_groups(df: DataFrame, group_cols: Sequence[str],
+                        ranks: Mapping[str, Sequence[str | tuple[Column, bool]]], key: Sequence[str]) -> DataFrame:
+    """Several ranks of the same rows. ``ranks`` names each with its order: column names
+    (ascending) and pairs of a column and whether it descends. ``key`` tells the rows of ``df`` apart and
+    holds the group columns.
+
+    The rows are written once. Each rank is found on a narrow copy (key and order columns), and
+    the copies are joined to the rows on the key, which shuffles the wide rows once for all."""
+    rows = written(df, "rows-to-rank")
+    out = rows
+    for name, order in ranks.items():
+        parts = [(F.col(o), False) if isinstance(o, str) else o for o in order]
+        narrow = rows.select(*key, *[c.alias(f"_o{i}") for i, (c, _) in enumerate(parts)])
+        ranked = rank_within_groups(narrow, group_cols,
+                                    [F.col(f"_o{i}").desc() if down else F.col(f"_o{i}") for i, (_, down) in enumerate(parts)], name)
+        out = out.join(ranked.select(*key, name), list(key))
+    return out
+
+
 def sequential_key(df: DataFrame, order: Sequence[Column | str], name: str) -> DataFrame:
     """Dense 1..N key by ``order`` (unique) without a single-task global window."""
     sort_cols = _cols(order)

@@ -58,8 +58,10 @@ def merge(history: DataFrame, batch: DataFrame, key: Sequence[str], ts: str, att
     """Apply ``batch`` observations to ``history``; returns the new full history.
 
     hard_deletes: 'ignore' | 'invalidate' (close the current version of keys
-    absent from the batch at ``as_of``) | 'new_record' (also add a version with
-    is_deleted = true). Timestamp strategy: every new observation is a version.
+    absent from the batch at ``as_of``) | 'new_record' (also add a deletion version, a copy
+    of the closed one with is_deleted = true). A key that comes back ends its deletion version
+    at its first new observation, which is a version whatever its values; a key that stays
+    away gets no second deletion version. Timestamp strategy: every new observation is a version.
     Check strategy: a row is a version only when its watched columns differ from
     the row before it. Late observations take their place in the key's history: the
     versions of every key in the batch are laid out again (one product in one store x
@@ -67,45 +69,40 @@ def merge(history: DataFrame, batch: DataFrame, key: Sequence[str], ts: str, att
     """
     k = list(key)
     cols = [*k, *[a for a in attrs if a != ts], ts]
-    seen_keys = batch.select(*k).distinct()
-    deleted = F.col("is_deleted") if "is_deleted" in history.columns else F.lit(False)
-    closed = history.join(seen_keys, k, "left_anti").unionByName(history.join(seen_keys, k, "left_semi").where(deleted))
-    old = history.join(seen_keys, k, "left_semi").where(~deleted)
-    old = old.select(*cols, F.col("valid_to").alias("_end"))
-    known = old.select(*k, F.col(ts))
-    fresh = batch.select(*cols).join(known, [*k, ts], "left_anti").withColumn("_end", F.lit(None).cast("timestamp"))
+    out_cols = list(history.columns)
+    flagged = "is_deleted" in out_cols
+    h = history if flagged else history.withColumn("is_deleted", F.lit(False))
+    seen = batch.select(*k).distinct()
+    old = h.join(seen, k, "left_semi").select(*cols, "is_deleted", F.col("valid_from").alias("_at"), F.col("valid_to").alias("_end"))
+    known = old.where(~F.col("is_deleted")).select(*k, F.col(ts))
+    fresh = batch.select(*cols).join(known, [*k, ts], "left_anti").select(
+        *cols, F.lit(False).alias("is_deleted"), F.col(ts).cast("timestamp").alias("_at"), F.lit(None).cast("timestamp").alias("_end"))
     both = old.unionByName(fresh)
-    w = Window.partitionBy(*k).orderBy(ts)
+    w = Window.partitionBy(*k).orderBy("_at", F.desc("is_deleted"))
     if strategy == "check":
-        cc = list(check_cols or attrs)
-        both = both.withColumn("_chg", _changed(cc, w)).where("_chg").drop("_chg")
-    both = (both.withColumn("valid_from", F.col(ts))
+        both = both.withColumn("_chg", _changed(["is_deleted", *(check_cols or attrs)], w)).where("_chg").drop("_chg")
+    both = (both.withColumn("valid_from", F.col("_at"))
                 # an end set by a deletion stays unless a version comes before it
-                .withColumn("valid_to", F.least(F.lead(ts).over(w), "_end"))
+                .withColumn("valid_to", F.least(F.lead("_at").over(w), "_end"))
                 .withColumn("scd_id", _scd_id(k, "valid_from"))
-                .withColumn("updated_at", F.col(ts)))
-    out_cols = closed.columns
-    if "is_deleted" not in out_cols:
-        both = both.drop("is_deleted")
-    merged = closed.unionByName(both.drop("_end"), allowMissingColumns=True)
+                .withColumn("updated_at", F.col("_at")).drop("_at", "_end"))
+    merged = h.join(seen, k, "left_anti").unionByName(both, allowMissingColumns=True)
     if hard_deletes == "ignore":
         return merged.select(*out_cols)
     if as_of is None:
         raise ValueError("as_of is required to invalidate deleted keys")
-    seen = batch.select(*k).distinct()
-    gone = merged.where(F.col("valid_to").isNull()).join(seen, k, "left_anti").select(*k).withColumn("_gone", F.lit(True))
-    m = merged.join(gone, k, "left")
     close_at = F.lit(as_of).cast("timestamp")
-    is_gone_open = F.col("_gone").isNotNull() & F.col("valid_to").isNull()
-    m = m.withColumn("valid_to", F.when(is_gone_open, close_at).otherwise(F.col("valid_to")))
-    out = m.drop("_gone").withColumn("is_deleted", F.lit(False))
+    live = F.col("valid_to").isNull() & ~F.col("is_deleted")
+    m = merged.join(seen.withColumn("_seen", F.lit(True)), k, "left").withColumn("_gone", live & F.col("_seen").isNull()).drop("_seen")
+    closed = m.withColumn("valid_to", F.when(F.col("_gone"), close_at).otherwise(F.col("valid_to")))
     if hard_deletes == "new_record":
-        tomb = (merged.where(F.col("valid_to").isNull()).join(gone, k, "inner").drop("_gone")
-                      .withColumn("valid_from", close_at).withColumn("valid_to", F.lit(None).cast("timestamp"))
-                      .withColumn("scd_id", _scd_id(k, "valid_from")).withColumn("updated_at", close_at)
-                      .withColumn("is_deleted", F.lit(True)))
-        out = out.unionByName(tomb)
-    return out.select(*out_cols, "is_deleted")
+        tombs = (m.where("_gone").withColumn("valid_from", close_at).withColumn("valid_to", F.lit(None).cast("timestamp"))
+                 .withColumn("scd_id", _scd_id(k, "valid_from")).withColumn("updated_at", close_at)
+                 .withColumn("is_deleted", F.lit(True)))
+        closed = closed.unionByName(tombs)
+    elif hard_deletes != "invalidate":
+        raise ValueError(f"unknown hard_deletes {hard_deletes!r}")
+    return closed.select(*out_cols, *([] if flagged else ["is_deleted"]))
 
 
 # ------------------------------------------------------------------ SCD-05

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .. import config
 from ..functions.columns import round_half_up
 from ..sources.tables import read_table
 
@@ -80,13 +81,19 @@ def sample_urls(urls: DataFrame, priority: list[str], rate: float, seed: int = 4
 
 
 def failed_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Failed-fetch cache derived from the driver's pages: one failure per page,
-    spread over the last 20 days."""
-    p = read_table(spark, sf_dir, "pages", "page_id", "url")
-    return p.select("url",
-                    (F.lit("2026-03-01 00:00:00").cast("timestamp")
-                     - F.make_dt_interval(F.pmod("page_id", F.lit(20)).cast("int"))).alias("failed_at"),
-                    F.when(F.pmod("page_id", F.lit(2)) == 0, 404).otherwise(500).alias("status"))
+    """Failed-fetch cache derived from the driver's pages and from the product pages of every
+    ninth part: one failure per page, spread over the last 20 days."""
+    pages = read_table(spark, sf_dir, "pages", "page_id", "url")
+    parts = read_table(spark, sf_dir, "part", "p_partkey", "p_name").where(F.pmod("p_partkey", F.lit(9)) == 0)
+    k = F.col("p_partkey")
+    store = F.get(F.array(*[F.lit(x) for x in config.ADAPTER_STORES]), F.pmod(k, F.lit(5)).cast("int"))
+    products = parts.select(k.alias("page_id"), F.concat(
+        F.lit("https://www."), store, F.lit(".com.br/"), F.replace(F.lower("p_name"), F.lit(" "), F.lit("-")), F.lit("-"),
+        k.cast("string"), F.lit("/p")).alias("url"))
+    return pages.unionByName(products).select(
+        "url", (F.lit("2026-03-01 00:00:00").cast("timestamp")
+                - F.make_dt_interval(F.pmod("page_id", F.lit(20)).cast("int"))).alias("failed_at"),
+        F.when(F.pmod("page_id", F.lit(2)) == 0, 404).otherwise(500).alias("status"))
 
 
 def exclude_cached_failures(urls: DataFrame, failed: DataFrame, now: dt.datetime, ttl_days: int = 7) -> DataFrame:

@@ -44,13 +44,16 @@ def dim_store(spark: SparkSession) -> DataFrame:
     )
 
 
-REGION_SEED_SCHEMA = "region_code string, postal_code string, sc_code string, hub_id string"
+STORE_REGION_SCHEMA = ("store string, regions map<string, struct<postal_code: string, sc_code: string, hub_id: string>>")
 
 
 def region_seed(spark: SparkSession) -> DataFrame:
-    """SRC-12: store/region configuration as a table (same config for every store)."""
-    rows = [(s, *r) for s in config.ADAPTER_STORES for r in config.REGION_SEED]
-    return spark.createDataFrame(rows, "store string, " + REGION_SEED_SCHEMA)
+    """SRC-12: the stores' nested configuration as a table keyed by (store, region). Each
+    store has regions of its own; a code that two stores share has each store's sales
+    channel and hub."""
+    nested = spark.createDataFrame(list(config.STORE_REGIONS.items()), STORE_REGION_SCHEMA)
+    return nested.select("store", F.explode("regions").alias("region_code", "r")).select(
+        "store", "region_code", "r.postal_code", "r.sc_code", "r.hub_id")
 
 
 # ---------------------------------------------------------------- M-04 / SRC-13

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .. import config
 from ..config import DEFAULT, Params
 from ..functions.columns import money_units, first_of, money_avg, money_sum, pct, round_half_up, snap
-from ..operators.keys import rank_within_groups
+from ..operators.keys import ranks_within_groups
 from ..operators.quantiles import group_quantiles
 
 
@@ -111,13 +111,14 @@ def fct_hot_deals_validated(promos: DataFrame, params: Params = DEFAULT) -> Data
     h = h.withColumn("is_flash_deal", F.col("deal_persistence_days") == 1)
 
     day = ["store_key", "date_key"]  # a group grows with the catalogue: ranked across tasks
-    tie = [F.col("product_key"), F.col("region_key")]
+    tie = ["product_key", "region_key"]
     legit_rank = F.coalesce(F.try_element_at(
         F.create_map(*[x for k, v in LEGITIMACY_ORDER.items() for x in (F.lit(k), F.lit(v))]),
         F.col("legitimacy_level")), F.lit(4))
-    h = rank_within_groups(h, day, [F.col("quality_score").desc(), d.desc(), *tie], "quality_rank")
-    h = rank_within_groups(h, day, [F.col("absolute_discount").desc(), *tie], "savings_rank")
-    h = rank_within_groups(h, day, [legit_rank, d.desc(), *tie], "overall_rank")
+    h = ranks_within_groups(h, day, {
+        "quality_rank": [(F.col("quality_score"), True), (d, True), *tie],
+        "savings_rank": [(F.col("absolute_discount"), True), *tie],
+        "overall_rank": [(legit_rank, False), (d, True), *tie]}, key=[*day, *tie])
     rec = (F.col("legitimacy_level").isin("High Quality", "Good Quality") & ~F.col("is_suspicious_discount")
            & ~F.col("is_flash_deal") & (F.col("quality_score") >= params.recommended_min_score))
     return h.select(
@@ -285,8 +286,8 @@ def fct_price_comparison_v2(daily: DataFrame) -> DataFrame:
         money_avg("min_price").alias("market_avg_price"),
     ).where(F.col("_stores") >= 2).drop("_stores")
     j = t.join(stats, gk, "inner")
-    j = rank_within_groups(j, gk, ["min_price", "store_key", "region_key", "product_key"], "price_rank")
-    return _comparison_measures(j)
+    tie = ["store_key", "region_key", "product_key"]
+    return _comparison_measures(ranks_within_groups(j, gk, {"price_rank": ["min_price", *tie]}, key=[*gk, *tie]))
 
 
 # ---------------------------------------------------------------- M-20

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import scd
+from ..session import written
 
 KEY = ["product_id", "supermarket", "region"]
 ATTRS = ["product_name", "brand", "min_price", "avg_price", "max_price", "min_list_price", "is_available",
@@ -30,3 +31,32 @@ def incremental_snapshot(tru: DataFrame, cutoff: dt.date, strategy: str = "times
     hist = snap_product_prices(before, strategy)
     return scd.merge(hist, after, KEY, "scraped_at", ATTRS, strategy=strategy, check_cols=WATCHED,
                      hard_deletes=hard_deletes, as_of=as_of)
+
+
+def snapshot_batches(tru: DataFrame, bounds: list[dt.date], strategy: str = "timestamp",
+                     hard_deletes: str = "ignore") -> DataFrame:
+    """History built up to the first bound, then merged with the days up to each next one; a
+    batch is complete at its upper bound, where keys that it lacks count as deleted. Each
+    step's history is written, as a run would, so the plan doesn't grow with the steps."""
+    day = F.col("scraped_date")
+    hist = snap_product_prices(tru.where(day < F.lit(bounds[0])), strategy)
+    for low, high in zip(bounds, bounds[1:]):
+        batch = tru.where((day >= F.lit(low)) & (day < F.lit(high)))
+        hist = written(scd.merge(hist, batch, KEY, "scraped_at", ATTRS, strategy=strategy, check_cols=WATCHED,
+                                 hard_deletes=hard_deletes, as_of=dt.datetime.combine(high, dt.time(0))), "snapshot")
+    return hist
+
+
+def with_rescrapes(tru: DataFrame) -> DataFrame:
+    """The trusted rows and two later looks at each of them: a day and a half hour later nothing has
+    changed; another 24 hours and a quarter later products with a number divisible by three cost 10 cents more."""
+    shift = lambda minutes: F.timestamp_micros(F.unix_micros("scraped_at") + minutes * 60_000_000)
+    dearer = F.pmod(F.col("product_id").cast("bigint"), F.lit(3)) == 0
+    out = tru
+    for minutes, more in ((1470, 0), (2925, 10)):
+        again = tru.withColumn("scraped_at", shift(minutes)).withColumn("scraped_date", F.to_date("scraped_at"))
+        if more:
+            cents = F.round(F.col("min_price") * 100).cast("bigint")
+            again = again.withColumn("min_price", F.when(dearer, (cents + more) / 100.0).otherwise(F.col("min_price")))
+        out = out.unionByName(again)
+    return out

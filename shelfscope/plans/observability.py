@@ -108,30 +108,29 @@ def o06_breakdown(runs: DataFrame, batches: DataFrame, run_ids: DataFrame | None
     b = batches.groupBy("run_id").agg(
         F.count(F.lit(1)).alias("total_batches"), F.avg(rt).alias("avg_response_time_ms"),
         F.min(rt).alias("min_response_time_ms"), F.max(rt).alias("max_response_time_ms"),
-        snap(F.percentile(rt, 0.95)).alias("p95_response_time_ms"),
         F.sum("products_count").alias("total_products"),
         F.count_if(~F.col("success")).alias("failed_batches"))
+    q = group_quantiles(batches, ["run_id"], "response_time_ms", {"p95_response_time_ms": 0.95})
+    b = b.join(q.withColumn("p95_response_time_ms", snap("p95_response_time_ms")), "run_id", "left")
     return r.select("run_id", "store", "region", "started_at", "finished_at", "status", "discovery_mode",
                     "discovery_duration_seconds", "duration_seconds", "products_discovered",
                     "products_scraped").join(b, "run_id", "left")
 
 
-def o07_recommendations(runs: DataFrame, batches: DataFrame, as_of, days: int = 7) -> DataFrame:
-    """Three rule sets unioned: slow discovery, slow regions, low success."""
-    o1 = o01_discovery_performance(runs, as_of, days)
+def o07_recommendations(o1: DataFrame, o3: DataFrame, o5: DataFrame) -> DataFrame:
+    """Three rule sets unioned: slow discovery (over O-01), slow regions (over O-03), low
+    success (over O-05). The inputs are those results as stored, a few rows per store or region."""
     share = F.col("avg_discovery_duration") / (F.col("avg_discovery_duration") + 100) * 100
     disc = (o1.where(share > 30)
               .select(F.lit("discovery").alias("area"), F.col("store").alias("subject"),
                       share.alias("metric"),
                       F.lit("discovery takes over 30% of the run: cache the product list").alias("recommendation")))
-    o3 = o03_batch_performance(batches, runs, as_of, days)
     med = o3.agg(F.median("p95_response_time_ms").alias("_med"))  # one row
     slow = (o3.withColumn("_k", F.lit(1)).join(med.withColumn("_k", F.lit(1)), "_k")
               .where(F.col("p95_response_time_ms") > 2 * F.col("_med"))
               .select(F.lit("region").alias("area"), F.col("region").alias("subject"),
                       F.col("p95_response_time_ms").alias("metric"),
                       F.lit("p95 latency above twice the median region: lower concurrency").alias("recommendation")))
-    o5 = o05_run_summary(runs, as_of, days)
     low = (o5.where(F.col("success_rate") < 0.95)
              .select(F.lit("success").alias("area"), F.col("store").alias("subject"),
                      F.col("success_rate").alias("metric"),
@@ -162,6 +161,13 @@ def o09_discovery_modes(runs: DataFrame) -> DataFrame:
         F.count_if(F.col("discovery_mode") != "sitemap").alias("fallback_runs"))
 
 
+def o09_latest_runs_like(runs: DataFrame, pattern: str, limit: int = 5) -> DataFrame:
+    """FLT-08: the latest runs whose id matches a LIKE pattern."""
+    return (runs.where(F.col("run_id").like(pattern))
+                .select("run_id", "store", "discovery_mode", "discovery_duration_seconds", "products_discovered", "started_at")
+                .orderBy(F.desc("started_at"), "run_id").limit(limit))
+
+
 def k02_operational(runs: DataFrame, as_of: dt.datetime) -> DataFrame:
     """Freshness (hours since the last run), success rate and products per day, per store."""
     per_store = runs.groupBy("store").agg(

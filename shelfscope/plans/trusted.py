@@ -48,6 +48,15 @@ def tru_product(stg: DataFrame) -> DataFrame:
     A record whose items are NULL or empty still wins the dedup and is dropped
     afterwards, as in the reference.
     """
+    latest = latest_per_key(record_rollup(stg), GRAIN, order=["scraped_at", "run_id", "_first_item"])
+    return latest.where("_has_items").select(
+        "product_id", "product_name", "brand", "product_url", "supermarket", "region", "postal_code", "hub_id",
+        "min_price", "max_price", "avg_price", "min_list_price", "sku_count", "eans", "is_available",
+        "total_available_quantity", "run_id", "scraped_date", "scraped_at")
+
+
+def record_rollup(stg: DataFrame) -> DataFrame:
+    """Each staged record with its SKUs' prices rolled up, row by row (batch or stream)."""
     offer = lambda i: F.get(i["sellers"], 0)["commertialOffer"]
     items = F.col("items")
     prices = F.filter(F.transform(items, lambda i: offer(i)["Price"]), lambda x: x.isNotNull())
@@ -60,7 +69,7 @@ def tru_product(stg: DataFrame) -> DataFrame:
     skus = F.array_distinct(F.filter(F.transform(items, lambda i: i["itemId"]), lambda x: x.isNotNull()))
     eans = F.array_sort(F.array_distinct(F.filter(F.transform(items, lambda i: i["ean"]),
                                                   lambda x: x.isNotNull())))
-    rec = stg.select(
+    return stg.select(
         "product_id", "supermarket", "region", F.to_date("scraped_at").alias("scraped_date"),
         "product_name", "brand", "product_url", "postal_code", "hub_id", "run_id", "scraped_at",
         F.get(items, 0)["itemId"].alias("_first_item"),
@@ -76,11 +85,6 @@ def tru_product(stg: DataFrame) -> DataFrame:
         F.when(F.size(qtys) > 0, F.aggregate(qtys, F.lit(0).cast("bigint"), lambda a, x: a + x))
          .alias("total_available_quantity"),
     )
-    latest = latest_per_key(rec, GRAIN, order=["scraped_at", "run_id", "_first_item"])
-    return latest.where("_has_items").select(
-        "product_id", "product_name", "brand", "product_url", "supermarket", "region", "postal_code", "hub_id",
-        "min_price", "max_price", "avg_price", "min_list_price", "sku_count", "eans", "is_available",
-        "total_available_quantity", "run_id", "scraped_date", "scraped_at")
 
 
 def enforce_contract(df: DataFrame, contract: T.StructType = CONTRACT) -> DataFrame:

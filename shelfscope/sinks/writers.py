@@ -7,11 +7,13 @@ Every writer takes an explicit target path and is idempotent for a given input
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .published import Published, Version
+
 BRONZE_PARTITIONS = ("supermarket", "region", "year", "month", "day")
 
 
@@ -66,6 +68,21 @@ def write_json_report(report: DataFrame, path: str) -> str:
     return path
 
 
+def write_full_jsonl(df: DataFrame, path: str) -> str:
+    """Consolidated JSON lines: the files SRC-04 prefers, named ``..._full.jsonl``."""
+    df.write.mode("overwrite").json(path)
+    spark = df.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for f in fs.listStatus(folder):
+        name = f.getPath().getName()
+        if name.endswith(".json"):
+            to = spark._jvm.org.apache.hadoop.fs.Path(folder, name.removesuffix(".json") + "_full.jsonl")
+            if not fs.rename(f.getPath(), to):
+                raise OSError(f"cannot name {to}")
+    return path
+
+
 def write_bundle(spark: SparkSession, reports: Mapping[str, DataFrame], base: str) -> DataFrame:
     """SNK-09: one directory per named result set; empty ones are skipped and a
     failing one does not stop the rest. Returns (report, rows, status)."""
@@ -77,18 +94,53 @@ def write_bundle(spark: SparkSession, reports: Mapping[str, DataFrame], base: st
             n = spark.read.parquet(out).count()
             rows.append((name, n, "written" if n else "empty"))
         except Exception as e:  # noqa: BLE001 - one report must not stop the bundle
-            rows.append((name, None, f"failed: {type(e).__name__}"))
+            rows.append((name, None, f"failed: {type(e).__name__}: {str(e).splitlines()[0] if str(e) else ''}"))
     return spark.createDataFrame(rows, "report string, rows long, status string")
 
 
-def write_marker(spark: SparkSession, path: str, run_at: dt.datetime, status: str, version: str) -> str:
-    """SNK-10: freshness marker, a one-row table overwritten per run."""
-    spark.createDataFrame([(run_at, status, version)],
-                          "last_pipeline_run timestamp, status string, version string") \
-         .write.mode("overwrite").parquet(path)
-    return path
+# -- SNK-08 with SNK-10: a run's outputs and its marker ---------------------------------------
+
+def publish_run(state: Published, outputs: Mapping[str, Callable[[], DataFrame] | DataFrame], run_at: dt.datetime,
+                version: str, status: str = "completed") -> Version:
+    """Writes all outputs of a run, then makes them and the freshness marker visible in one step.
+
+    An output that fails raises, and readers keep seeing the run before: its outputs, its
+    marker. The marker has the run's time, status and version, and the rows of each output."""
+    now = state.current()
+    parts = {name: state.stage(name, df() if callable(df) else df) for name, df in outputs.items()}
+    rows = {name: state.spark.read.parquet(f"{state.base}/{p}").count() for name, p in parts.items()}
+    return state.commit(now, {name: [p] for name, p in parts.items()}, {
+        "marker": {"last_pipeline_run": run_at.isoformat(), "status": status, "version": version, "rows": rows}})
+
 
+def read_marker(state: Published) -> DataFrame:
+    """SNK-10: (last_pipeline_run, status, version, output, rows) of the last published run."""
+    m = state.current().values.get("marker")
+    rows = [(dt.datetime.fromisoformat(m["last_pipeline_run"]), m["status"], m["version"], name, n)
+            for name, n in sorted(m["rows"].items())] if m else []
+    return state.spark.createDataFrame(rows, "last_pipeline_run timestamp, status string, version string, output string, rows long")
+
+
+# -- SNK-05: schema routing ----------------------------------------------------------------------
 
 def schema_for(target: str, custom: str, user: str = "dev") -> str:
     """SNK-05: prod / ci write to the custom schema, dev to a personal one."""
     return custom if target in ("prod", "ci") else f"{user}_{custom}"
+
+
+class Target:
+    """Where a build's models go: ``base``/<schema>/<model>, the schema by target and user."""
+
+    def __init__(self, spark: SparkSession, base: str, target: str, user: str = "dev"):
+        self.spark, self.base, self.target, self.user = spark, base.rstrip("/"), target, user
+
+    def path(self, schema: str, model: str) -> str:
+        return f"{self.base}/{schema_for(self.target, schema, self.user)}/{model}"
+
+    def build(self, models: Mapping[str, tuple[str, DataFrame]]) -> None:
+        """Writes every model (name -> its custom schema and rows) to this target."""
+        for name, (schema, df) in models.items():
+            df.write.mode("overwrite").parquet(self.path(schema, name))
+
+    def read(self, schema: str, model: str) -> DataFrame:
+        return self.spark.read.parquet(self.path(schema, model))

@@ -55,6 +55,9 @@ def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
     list_cents = F.expr("cast(round(l_extendedprice * 100) as bigint) div cast(l_quantity as bigint)")
     name = (F.when(sidx == 1, F.upper("p_name"))
             .when(sidx == 3, F.replace(F.col("p_name"), F.lit(" "), F.lit("  ")))
+            # own-brand names that no other store has
+            .when((sidx == 4) & (F.pmod("l_partkey", F.lit(17)) == 0),
+                  F.concat("p_name", F.lit(" giassi "), F.col("l_partkey").cast("string")))
             .otherwise(F.col("p_name")))
     pid = F.col("l_partkey").cast("string")
     return df.select(
@@ -354,3 +357,104 @@ def graphql_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
                            F.concat(F.lit("http://img.example/"), k.cast("string")).alias("imageUrl"),
                            F.array(F.struct(F.col("p_type").alias("name"))).alias("categories")))
     return part.select(k.alias("doc_id"), F.when(F.pmod(k, F.lit(2)) == 0, a).otherwise(b).alias("json"))
+
+
+# Delta files of the barcode database: their time ranges. Every product changes in one of them.
+DELTA_RANGES = [(1700000000, 1700000999), (1700001000, 1700001999), (1700002000, 1700002999)]
+
+
+def reference_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of the delta files, with the number of their file (``file``).
+
+    Product k is in file (k div 3) mod 3, so every file holds wanted barcodes. Every fifth
+    one (k mod 5 = 0) has the name 'unknown'; of the rest, even ones carry a list of names and
+    odd ones a text. k mod 4 = 2 repeats what the database already says.
+    """
+    part = read_table(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand")
+    k = F.col("p_partkey")
+    grade = F.get(F.array(*[F.lit(x) for x in "abcdef"]), F.pmod(k, F.lit(6)).cast("int"))
+    same = F.pmod(k, F.lit(4)) == 2
+    name = (F.when(same, F.col("p_name"))
+            .when(F.pmod(k, F.lit(5)) == 0, F.lit("unknown"))
+            .when(F.pmod(k, F.lit(2)) == 0,
+                  F.to_json(F.array(F.struct(F.lit("pt").alias("lang"), F.concat(F.lit("new "), "p_name").alias("text")))))
+            .otherwise(F.concat(F.lit("new "), "p_name")))
+    number = F.pmod(F.floor(k / 3), F.lit(3)).cast("int")
+    return part.select(
+        number.alias("file"), F.lpad(k.cast("string"), 13, "0").alias("code"), name.alias("product_name"),
+        F.col("p_brand").alias("brands"), F.when(same, F.when(grade != "f", grade)).otherwise("a").alias("nutriscore_grade"),
+        (F.lit(1700000000) + number * 1000 + F.pmod(k, F.lit(100))).cast("long").alias("last_modified_t"))
+
+
+def land_deltas(spark: SparkSession, sf_dir: str, base: str) -> str:
+    """The delta files under ``base``, one folder of gzipped JSON lines per time range."""
+    recs = reference_deltas(spark, sf_dir)
+    for i, (start, end) in enumerate(DELTA_RANGES):
+        (recs.where(F.col("file") == i).drop("file").write.mode("overwrite").option("compression", "gzip")
+         .json(f"{base}/delta_{start}_{end}.json.gz"))
+    return base
+
+
+def category_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Category trees as JSON text, one per part: its type, below it its brand, below that the
+    second word of its name, and below that the first word and the size. Bad nodes stand at the
+    bottom: the first word's id is not positive where k mod 7 = 0, the size's name is blank where
+    k mod 11 = 0; the second level has a leaf of its own, and every fifth tree has no fourth level."""
+    part = read_table(spark, sf_dir, "part", "p_partkey", "p_name", "p_type", "p_brand", "p_size")
+    k = F.col("p_partkey")
+    word = lambda i: F.get(F.split("p_name", " "), F.lit(i))
+
+    def node(number: int, name: Column, children: Column | None = None, id_: Column | None = None) -> Column:
+        fields = [(id_ if id_ is not None else k * 10 + number).alias("id"), name.alias("name"),
+                  (F.lit(False) if children is None else F.size(children) > 0).alias("hasChildren")]
+        return F.struct(*fields, *([] if children is None else [children.alias("children")]))
+
+    leaves = F.array(node(4, word(0), id_=F.when(F.pmod(k, F.lit(7)) == 0, -k).otherwise(k * 10 + 4)),
+                     node(5, F.when(F.pmod(k, F.lit(11)) == 0, F.lit("  ")).otherwise(F.concat(F.lit("size "), F.col("p_size").cast("string")))))
+    # arrays hold nodes of one type, so a leaf beside them has an empty list of children
+    third = F.array(node(3, word(1), F.slice(leaves, 1, F.when(F.pmod(k, F.lit(5)) != 0, 2).otherwise(0))))
+    second = F.array(node(2, F.col("p_brand"), third), node(6, F.lit("Other"), F.slice(third, 1, 0)))
+    return part.select(k.alias("doc_id"), F.to_json(F.array(node(1, F.col("p_type"), second))).alias("json"))
+
+
+def full_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed product records in the full payload shape: offers with price without discount,
+    reward, tax and a list of promotions, items with images. One record per lineitem row,
+    built row by row. Faulty values, by order key o and line l: price without discount below the
+    price (o mod 13 = 0), a negative tax (o mod 17 = 0), a negative reward (o mod 19 = 0), a
+    percentage above 100 in the second promotion (o mod 23 = 0), a negative discount in the
+    first (o mod 29 = 0), a blank image address (o mod 31 = 0); even lines have images by http."""
+    li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
+                    "l_extendedprice", "l_discount")
+    o, ln = F.col("l_orderkey"), F.col("l_linenumber")
+    hit = lambda n: F.pmod(o, F.lit(n)) == 0
+    price = F.expr("(cast(round(l_extendedprice * 100) as bigint) div cast(l_quantity as bigint)) / 100.0")
+    pct = F.round(F.col("l_discount") * 100, 0)
+
+    def promotion(number: int, value: Column, percentage: Column) -> Column:
+        return F.struct(F.concat(F.lit(f"P{number}-"), o.cast("string")).alias("promotionId"),
+                        value.alias("discountValue"), percentage.alias("discountPercentage"))
+
+    promos = F.slice(F.array(
+        promotion(1, F.when(hit(29), F.lit(-1.0)).otherwise(F.col("l_discount")), pct),
+        promotion(2, F.lit(None).cast("double"), F.when(hit(23), pct + 101).otherwise(pct))),
+        1, (F.pmod(ln, F.lit(3))).cast("int"))
+    offer = F.struct(
+        price.alias("Price"), price.alias("ListPrice"),
+        F.when(hit(13), price - 0.01).when(F.pmod(ln, F.lit(2)) == 0, price).alias("PriceWithoutDiscount"),
+        F.when(hit(19), F.lit(-0.5)).otherwise(0.0).alias("RewardValue"),
+        F.when(hit(17), F.lit(-1.0)).when(F.pmod(ln, F.lit(2)) == 1, 0.0).alias("Tax"),
+        F.col("l_quantity").cast("int").alias("AvailableQuantity"), promos.alias("Promotions"))
+
+    def item(number: int) -> Column:
+        iid = F.concat(o.cast("string"), F.lit("-"), ln.cast("string"), F.lit(f"-{number}"))
+        url = F.concat(F.when(F.pmod(ln, F.lit(2)) == 0, "http").otherwise("https"), F.lit("://img.example/"), iid, F.lit(".jpg"))
+        images = F.array(F.struct(F.concat(iid, F.lit("-a")).alias("imageId"), url.alias("imageUrl")),
+                         F.struct(F.concat(iid, F.lit("-b")).alias("imageId"),
+                                  (F.when(hit(31), F.lit(" ")).otherwise(url) if number == 2 else url).alias("imageUrl")))
+        seller = F.struct(F.col("l_suppkey").cast("string").alias("sellerId"), offer.alias("commertialOffer"))
+        return F.struct(iid.alias("itemId"), F.array(seller).alias("sellers"), images.alias("images"))
+
+    return li.select(
+        F.concat(o.cast("string"), F.lit("-"), ln.cast("string")).alias("record_id"), F.col("l_partkey").cast("string").alias("productId"),
+        F.slice(F.array(item(1), item(2)), 1, F.when(F.pmod(ln, F.lit(2)) == 0, 2).otherwise(1)).alias("items"))

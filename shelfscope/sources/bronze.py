@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -125,28 +126,51 @@ def read_barcode_tsv(spark: SparkSession, path: str, codes: DataFrame) -> DataFr
     return out.where(valid_barcode_length(F.col("code"))).join(codes.select("code"), "code", "left_semi")
 
 
-DELTA_RE = r"_(\d+)_(\d+)\.json(?:\.gz)?(?:/[^/]*)?$"
+DELTA_NAME = re.compile(r"_(\d+)_(\d+)\.json(\.gz)?$")
+DELTA_SCHEMA = ("code string, product_name string, brands string, nutriscore_grade string, last_modified_t long, "
+                "_corrupt string")
+
+
+def delta_files(spark: SparkSession, base: str, after: int) -> list[tuple[int, int, str]]:
+    """(start, end, path) of the delta files ``..._<start>_<end>.json[.gz]`` whose time range
+    ends after ``after``, oldest first. Chosen by name from one listing: no file is opened."""
+    if not path_exists(spark, base):
+        return []
+    p = spark._jvm.org.apache.hadoop.fs.Path(base)
+    out = []
+    for f in p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p):
+        m = DELTA_NAME.search(f.getPath().getName())
+        if m and int(m[2]) > after:
+            out.append((int(m[1]), int(m[2]), f.getPath().toString()))
+    return sorted(out)
+
+
+def delta_records(spark: SparkSession, files: Sequence[tuple[int, int, str]],
+                  codes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The wanted records of delta files with their file's end (``delta_end``), and the
+    malformed lines with their file and what code they show. Names come as a list or a text;
+    'unknown' is no value."""
+    reader = spark.read.schema(DELTA_SCHEMA).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt")
+    if files:
+        raw = reader.json([f[2] for f in files]).withColumn("_file", F.col("_metadata.file_path"))
+    else:
+        raw = spark.createDataFrame([], DELTA_SCHEMA + ", _file string")
+    bad = raw.where(F.col("_corrupt").isNotNull()).select(F.col("_corrupt").alias("line"), F.col("_file").alias("file"), "code")
+    end = F.regexp_extract("_file", r"_\d+_(\d+)\.json(?:\.gz)?(?:/[^/]*)?$", 1).try_cast("long")
+    clean = lambda c: F.when(F.lower(F.trim(c)) == "unknown", None).otherwise(c)
+    name = F.when(F.col("product_name").startswith("["), F.get_json_object("product_name", "$[0].text")).otherwise(
+        F.col("product_name"))
+    recs = raw.where(F.col("_corrupt").isNull()).select(
+        "code", clean(name).alias("product_name"), clean(F.col("brands")).alias("brands"),
+        clean(F.lower("nutriscore_grade")).alias("nutriscore_grade"), "last_modified_t", end.alias("delta_end"))
+    return recs.join(codes.select("code"), "code", "left_semi"), bad
 
 
 def read_barcode_deltas(spark: SparkSession, base: str, watermark: int,
                         codes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """SRC-10: delta files named ``..._<start>_<end>.json.gz``; only files ending
-    after the watermark; product_name array-or-string; 'unknown' -> NULL. Returns
-    (records, new watermark as a one-row frame, malformed lines with their file and what code they show)."""
-    schema = ("code string, product_name string, brands string, nutriscore_grade string, last_modified_t long, "
-              "_corrupt string")
-    raw = (spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").json(base)
-           .withColumn("_file", F.col("_metadata.file_path")))
-    end = F.nullif(F.regexp_extract("_file", DELTA_RE, 2), F.lit("")).try_cast("long")
-    raw = raw.withColumn("_end", end).where(F.col("_end") > watermark)
-    new_wm = raw.agg(F.coalesce(F.max("_end"), F.lit(watermark)).alias("last_timestamp"))
-    bad = raw.where(F.col("_corrupt").isNotNull()).select(F.col("_corrupt").alias("line"), F.col("_file").alias("file"),
-                                                          "code")
-    raw = raw.where(F.col("_corrupt").isNull())
-    name = F.coalesce(F.get_json_object("product_name", "$[0].text"), F.col("product_name"))
-    name = F.when(F.col("product_name").startswith("["), F.get_json_object("product_name", "$[0].text")).otherwise(name)
-    clean = lambda c: F.when(F.lower(F.trim(c)) == "unknown", None).otherwise(c)
-    recs = raw.select("code", clean(name).alias("product_name"), clean(F.col("brands")).alias("brands"),
-                      F.lower("nutriscore_grade").alias("nutriscore_grade"), "last_modified_t", "_end")
-    recs = recs.join(codes.select("code"), "code", "left_semi")
-    return recs.drop("_end"), new_wm, bad
+    """SRC-10: only delta files ending after the watermark are read. Returns (records, new
+    watermark as a one-row frame, malformed lines)."""
+    files = delta_files(spark, base, watermark)
+    recs, bad = delta_records(spark, files, codes)
+    new = max([watermark, *[f[1] for f in files]])
+    return recs.drop("delta_end"), spark.createDataFrame([(new,)], "last_timestamp long"), bad
