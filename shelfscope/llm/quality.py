@@ -3,8 +3,8 @@
 Every token has a sparse random index vector of a few +1 and -1. A token's word vector is the
 sum of the index vectors around it over all documents, scaled to length one; a document is
 the mean of its tokens' vectors. Tokens are runs of letters (case folded), of digits and of
-other signs; a word in capitals and a word that repeats the one before leave a mark after them, which
-is a token as well. Tokens are hashed to ``1 << BITS`` buckets, so the vectors' table has one
+other signs; a word all in capitals and a token that repeats the one before leave a mark after them,
+which is a token as well. Tokens are hashed to ``1 << BITS`` buckets, so the vectors' table has one
 size whatever the corpus, and may be broadcast; the sums are whole numbers, so a rerun agrees
 to the bit.
 
@@ -22,9 +22,6 @@ id and text columns are read, so others may have any name.
 
 from __future__ import annotations
 
-import re
-from array import array
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -38,21 +35,24 @@ DIM = 64
 SIGNS = 4                # non-zero places of an index vector
 WINDOW = 2
 BATCH = 2_000_000        # tokens gathered at once in a task
-STRETCH = 1 << 20        # characters split into tokens at once
+STRETCH = 1 << 18        # characters split into tokens at once
 PARTS = 256              # rows the table of sums travels in
 GOOD = 0.3               # least score of a good document
-TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
-CAPITALS, REPEAT = "\x01capitals", "\x01repeat"
+SPACE, LETTER, DIGIT, LINE, SIGN = range(5)
+FACTOR = 0x9E3779B97F4A7C15
+CAPITALS, REPEAT = 0, 1   # buckets of the two marks; tokens have the others
+
 
+def char_tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(class, small letter, is capital) of every character of the basic plane."""
+    chars = [chr(i) for i in range(1 << 16)]
+    kind = np.array([SPACE if x.isspace() else DIGIT if x.isdecimal() else LINE if x == "_" else LETTER if x.isalnum() else SIGN
+                     for x in chars], np.uint8)
+    low = np.array([ord(y) if len(y := x.lower()) == 1 else ord(x) for x in chars], np.uint64)
+    return kind, low, np.array([x.isupper() for x in chars])
 
-class Buckets(dict):
-    """Tokens to their buckets; forgets all when it holds too many."""
 
-    def __missing__(self, token: str) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        self[token] = b = xxhash.xxh32_intdigest(token) & ((1 << BITS) - 1)
-        return b
+KIND, LOW, CAPITAL = char_tables()
 
 
 def stretches(text: str):
@@ -64,18 +64,51 @@ def stretches(text: str):
     yield text[lo:] if lo else text
 
 
-def tokens(text: str | None, buckets: Buckets) -> np.ndarray:
-    out, before = array("i"), None
-    for part in stretches(text) if text else ():
-        for t in TOKEN.findall(part):
-            low = t.lower()
-            out.append(buckets[low])
-            if low == before:
-                out.append(buckets[REPEAT])
-            if len(t) > 1 and t.isupper():
-                out.append(buckets[CAPITALS])
-            before = low
-    return np.array(out, np.int64)
+def tokens(texts: list[str | None]):
+    """(text number, bucket) arrays of the tokens and marks of all texts, in order, for some
+    ``STRETCH`` characters at a time."""
+    parts, held, last = [], 0, (-1, 0)
+    for i, t in enumerate(texts):
+        for part in stretches(t) if t else ():
+            parts.append((i, part))
+            held += len(part)
+            if held > STRETCH:
+                doc, ids, last = split(parts, last)
+                yield doc, ids
+                parts, held = [], 0
+    if parts:
+        yield split(parts, last)[:2]
+
+
+def split(parts: list[tuple[int, str]], last: tuple[int, int]):
+    """Tokens of some texts; ``last`` is the text number and hash of the token before them."""
+    c = np.frombuffer("".join([t + "\n" for _, t in parts]).encode("utf-32-le", "surrogatepass"), np.uint32)
+    basic = np.minimum(c, 0xFFFF)            # characters beyond the basic plane are signs
+    kind = KIND[basic]
+    at = np.concatenate(([0], np.flatnonzero(kind[1:] != kind[:-1]) + 1))
+    size = np.diff(np.concatenate((at, [len(c)])))
+    power = np.full(int(size.max()), FACTOR, np.uint64)
+    power[0] = 1
+    power = np.cumprod(power)
+    place = np.arange(len(c)) - np.repeat(at, size)
+    h = np.add.reduceat((np.where(c > 0xFFFF, c, LOW[basic]) + np.uint64(7)) * power[place], at)
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
+    h ^= h >> np.uint64(32)
+    capital = (np.add.reduceat(CAPITAL[basic].astype(np.int32), at) == size) & (size > 1)
+    word = kind[at] != SPACE
+    start = np.cumsum([0] + [len(t) + 1 for _, t in parts])[:-1]
+    doc = np.array([i for i, _ in parts])[np.searchsorted(start, at[word], side="right") - 1]
+    h, capital = h[word], capital[word]
+    if not len(h):
+        return doc, np.zeros(0, np.int64), last
+    again = np.concatenate(([doc[0] == last[0] and int(h[0]) == last[1]], (h[1:] == h[:-1]) & (doc[1:] == doc[:-1])))
+    n = 1 + again.astype(np.int64) + capital
+    put = np.cumsum(n) - n
+    ids = np.empty(int(n.sum()), np.int64)
+    ids[put] = 2 + (h % np.uint64((1 << BITS) - 2)).astype(np.int64)
+    ids[put[again] + 1] = REPEAT
+    ids[(put + n - 1)[capital]] = CAPITALS
+    return np.repeat(doc, n), ids, (int(doc[-1]), int(h[-1]))
 
 
 def index_vectors() -> tuple[np.ndarray, np.ndarray]:
@@ -84,16 +117,20 @@ def index_vectors() -> tuple[np.ndarray, np.ndarray]:
     return rng.integers(0, DIM, (1 << BITS, SIGNS)), rng.choice([-1, 1], (1 << BITS, SIGNS))
 
 
-def around(ids: np.ndarray, doc: np.ndarray, place: np.ndarray, sign: np.ndarray) -> np.ndarray:
+def around(doc: np.ndarray, ids: np.ndarray, place: np.ndarray, sign: np.ndarray) -> np.ndarray:
     """Sums of index vectors within ``WINDOW`` of each bucket's tokens, and their number."""
     out = np.zeros(DIM << BITS)
     for gap in range(1, WINDOW + 1):
-        same = doc[gap:] == doc[:-gap]
+        same = (doc[gap:] == doc[:-gap]) & (doc[gap:] >= 0)
         a, b = ids[:-gap][same], ids[gap:][same]
         for x, y in ((a, b), (b, a)):
             for k in range(SIGNS):
                 out += np.bincount(x * DIM + place[y, k], sign[y, k], DIM << BITS)
-    return np.concatenate([out.reshape(-1, DIM), np.bincount(ids, minlength=1 << BITS)[:, None]], axis=1).astype(np.int64)
+    return np.concatenate([out.reshape(-1, DIM), np.bincount(ids[doc >= 0], minlength=1 << BITS)[:, None]], axis=1).astype(np.int64)
+
+
+def gathered(held: list[tuple[np.ndarray, np.ndarray]], place: np.ndarray, sign: np.ndarray) -> np.ndarray:
+    return around(np.concatenate([d for d, _ in held]), np.concatenate([i for _, i in held]), place, sign)
 
 
 def word_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
@@ -103,23 +140,18 @@ def word_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
 
     def count(batches):
         place, sign = shared.value
-        total, held, size, buckets = np.zeros((1 << BITS, DIM + 1), np.int64), [], 0, Buckets()
-
-        def gather():
-            nonlocal total, held, size
-            if size:
-                doc = np.repeat(np.arange(len(held)), [len(x) for x in held])
-                total += around(np.concatenate(held), doc, place, sign)
-            held, size = [], 0
-
+        total, held, size = np.zeros((1 << BITS, DIM + 1), np.int64), [], 0
         for b in batches:
-            for t in b.column(0):
-                ids = tokens(t.as_py(), buckets)
-                held.append(ids)
+            for doc, ids in tokens(b.column(0).to_pylist()):
+                held.append((doc, ids))
                 size += len(ids)
-                if size > BATCH:
-                    gather()
-        gather()
+            if size > BATCH:                      # a batch of rows ends with a whole text
+                total += gathered(held, place, sign)
+                held, size = [], 0
+            elif held:
+                held.append((np.full(WINDOW, -1), np.zeros(WINDOW, np.int64)))   # between texts of two batches
+        if held:
+            total += gathered(held, place, sign)
         part = total.reshape(PARTS, -1)
         used = [i for i in range(PARTS) if part[i].any()]
         yield pa.RecordBatch.from_pydict({
@@ -146,16 +178,15 @@ def word_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
     return (v / np.maximum(np.sqrt((v * v).sum(axis=1, keepdims=True)), 1)).astype(np.float32)
 
 
-def pooled(text: list[str | None], vectors: np.ndarray, buckets: Buckets) -> np.ndarray:
+def pooled(texts: list[str | None], vectors: np.ndarray) -> np.ndarray:
     """The mean vector of every text's tokens."""
-    out = np.zeros((len(text), DIM))
-    for i, t in enumerate(text):
-        ids = tokens(t, buckets)
-        if len(ids) > 1 << BITS:             # more tokens than buckets
-            out[i] = np.bincount(ids, minlength=1 << BITS) @ vectors.astype(np.float64) / len(ids)
-        elif len(ids):
-            out[i] = vectors[ids].sum(axis=0, dtype=np.float64) / len(ids)
-    return out
+    out, n = np.zeros((len(texts), DIM)), np.zeros(len(texts))
+    for doc, ids in tokens(texts):
+        if len(ids):
+            at = np.concatenate(([0], np.flatnonzero(doc[1:] != doc[:-1]) + 1))
+            out[doc[at]] += np.add.reduceat(vectors[ids], at, axis=0, dtype=np.float64)
+            n[doc[at]] += np.diff(np.concatenate((at, [len(ids)])))
+    return out / np.maximum(n, 1)[:, None]
 
 
 def sigmoid(z: np.ndarray) -> np.ndarray:
@@ -213,9 +244,8 @@ def train(docs: DataFrame, labels: DataFrame, vectors: np.ndarray, where: Column
     shared = docs.sparkSession.sparkContext.broadcast(vectors)
 
     def pool(batches):
-        buckets = Buckets()
         for b in batches:
-            x = pooled(b.column(2).to_pylist(), shared.value, buckets)
+            x = pooled(b.column(2).to_pylist(), shared.value)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array([r.tobytes() for r in x.astype("<f8")], pa.binary())], ["_id", "y", "x"])
 
@@ -238,13 +268,12 @@ def scored(docs: DataFrame, vectors: np.ndarray, net, id_col: str = "doc_id", te
     shared = docs.sparkSession.sparkContext.broadcast((vectors, net))
 
     def run(batches):
-        buckets = Buckets()
         vectors, net = shared.value
         for b in batches:
             if isinstance(net, float):
                 p = np.full(b.num_rows, net)
             else:
-                p = sigmoid(forward(pooled(b.column(1).to_pylist(), vectors, buckets), net))
+                p = sigmoid(forward(pooled(b.column(1).to_pylist(), vectors), net))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(p)], ["doc_id", "score"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(

@@ -231,11 +231,19 @@ def test_a_batch_with_a_very_large_vocabulary(monkeypatch):
 
 # -- quality -----------------------------------------------------------------------------------
 
+def all_tokens(texts):
+    """Bucket lists per text."""
+    out = [[] for _ in texts]
+    for doc, ids in quality.tokens(texts):
+        for d, i in zip(doc.tolist(), ids.tolist()):
+            out[d].append(i)
+    return out
+
+
 def slow_vectors(texts):
     place, sign = quality.index_vectors()
-    buckets, v = quality.Buckets(), np.zeros((1 << quality.BITS, quality.DIM))
-    for t in texts:
-        ids = quality.tokens(t, buckets)
+    v = np.zeros((1 << quality.BITS, quality.DIM))
+    for ids in all_tokens(texts):
         for i, a in enumerate(ids):
             for j in range(max(0, i - quality.WINDOW), min(len(ids), i + quality.WINDOW + 1)):
                 if i != j:
@@ -262,19 +270,46 @@ def test_word_vectors_against_brute_force(spark):
     texts = [r[1] for r in rows] + [None, "", "AB ab ab 12 __ #!"]
     want = slow_vectors(texts)
     assert np.allclose(quality.word_vectors(odd), want, atol=1e-6)
-    x = quality.pooled(texts, want.astype(np.float32), quality.Buckets())
-    for t, v in zip(texts, x):
-        ids = quality.tokens(t, quality.Buckets())
-        assert np.allclose(v, np.mean([want[i] for i in ids], axis=0) if len(ids) else 0, atol=1e-6)
-    long = " ".join(texts[:3]) * 900
-    assert np.allclose(quality.pooled([long], want, quality.Buckets())[0], want[quality.tokens(long, quality.Buckets())].mean(axis=0))
-
-
-def test_tokens_of_stretches(monkeypatch):
-    text = "AB ab! cd__1  Ef ef EF ## xy" * 9
-    whole = quality.tokens(text, quality.Buckets()).tolist()
-    monkeypatch.setattr(quality, "STRETCH", 3)
-    assert quality.tokens(text, quality.Buckets()).tolist() == whole and len(whole) > 80
+    x = quality.pooled(texts, want.astype(np.float32))
+    for ids, v in zip(all_tokens(texts), x):
+        assert np.allclose(v, np.mean([want[i] for i in ids], axis=0) if ids else 0, atol=1e-6)
+
+
+def slow_tokens(text):
+    """Tokens as texts, with the marks' buckets between them."""
+    kinds = "space letter digit line sign".split()
+    kind = lambda x: kinds[quality.KIND[ord(x)]] if ord(x) < 1 << 16 else "sign"
+    out, before, i = [], None, 0
+    while i < len(text):
+        j = i
+        while j < len(text) and kind(text[j]) == kind(text[i]):
+            j += 1
+        t, i = text[i:j], j
+        if kind(t[0]) == "space":
+            continue
+        low = "".join(x.lower() if len(x.lower()) == 1 else x for x in t)
+        out.append(low)
+        if low == before:
+            out.append(quality.REPEAT)
+        if len(t) > 1 and all(x.isupper() for x in t):
+            out.append(quality.CAPITALS)
+        before = low
+    return out
+
+
+@pytest.mark.parametrize("stretch", [1 << 18, 5])
+def test_tokens_against_brute_force(monkeypatch, stretch):
+    monkeypatch.setattr(quality, "STRETCH", stretch)
+    rng = random.Random(12)
+    texts = ["".join(rng.choice("aaBB1_#! \n\u00a0\u00e9\u00c9\u00bd\u0301\u0130x\U0001f600") for _ in range(rng.randint(0, 40)))
+             for _ in range(400)] + [None, "", " ", "ab " * 50]
+    number = {}
+    for text, ids in zip(texts, all_tokens(texts)):
+        want = slow_tokens(text or "")
+        assert len(ids) == len(want)
+        for w, i in zip(want, ids):
+            assert number.setdefault(w, i) == i if isinstance(w, str) else w == i
+    assert len(set(number.values())) >= len(number) - 1 and len(number) > 80
 
 
 def test_network_gradient_and_temperature():
