@@ -1,27 +1,30 @@
 """Quality rules: robust multivariate outliers per language and source, in DataFrame
 expressions only.
 
-Each document becomes a vector of transformed text statistics. Within every (language,
-source) group the minimum-covariance-determinant estimate is found by concentration steps:
-start from the half nearest to the coordinate-wise median scaled by the MAD, and from the half
-nearest by the classical mean and covariance; take mean and covariance of the current half,
-rank all documents by Mahalanobis distance, take the nearer half again, until no estimate
-changes. Of a group's starts the lowest determinant counts; as usual, the documents within the
-cutoff of it make the final (reweighted) estimate. Documents whose final squared
-distance, scaled so that its median fits the chi-square median, lies beyond the cutoff are
-rejected. A group of fewer than ``min_rows`` eligible documents is judged by its language's
-estimate, and that of a language with fewer by the estimate of all documents.
-
-A step is one aggregation of sums and cross products (map-side combined) plus a histogram of
-distances on a fixed logarithmic grid for the half's radius, so a group of any size costs
-the same in each task; nothing is sorted or gathered by group. The covariance of p = 4
-statistics is inverted in closed form by Cholesky expressions, with a floor on each variance
-for statistics that hardly vary in a group.
+Each document becomes a vector of p = 4 transformed text statistics. The documents are first
+summed per (language, source) and cell of a fine grid over the four statistics (count, sums,
+cross products; combined map-side), and that is all the estimates need: a group of any size is
+as many cells as its documents use, a few thousand.
+
+On the cells the minimum-covariance-determinant estimate of every group is found by
+concentration steps: take the nearest cells that hold half of the documents, their mean and covariance,
+the nearest half by these, and so on until nothing changes. A step is one projection over a row
+per group, without a shuffle. Starts are the coordinate-wise median scaled by the MAD, the
+classical estimate and the fullest cell; the lowest determinant counts, of the covariance drawn halfway to
+the squared MADs; as usual, the documents within the cutoff of it make the final (reweighted)
+estimate. Documents whose squared distance, scaled so that its median fits the chi-square
+median, lies beyond the cutoff are rejected.
+
+No size decides which estimate judges a document: every group's estimate and scale lean on the
+wider group's (source on language, language on all documents, these on their medians and MADs) as if
+``prior`` of its documents were as the wider estimate says, which fades as the group grows. The
+covariance is inverted in closed form by Cholesky expressions, with a floor on each variance for
+statistics that hardly vary in a group.
 
 Defined results: null text has no words, fails the base rules and takes no part in the
-estimates; null lang or source is a group of its own; a half has at least ``min_rows`` / 2
-documents or all there are, so a table of so few rejects nobody; ties share a distance; repeated rows count as often as
-they come; an empty table gives no rows.
+estimates; null lang or source is a group of its own; ties share a cell and a distance; repeated rows
+count as often as they come; texts are read whole, whatever their length; an empty table gives no rows; only the four
+columns named are read, so others may have any name.
 """
 
 from __future__ import annotations
@@ -35,7 +38,8 @@ SYMBOLS = "#*$%&|<>"
 P = 4
 CHI2_MEDIAN = 3.3567  # chi-square, 4 degrees of freedom
 FLOOR = (0.1, 0.1, 0.05, 0.1)  # least standard deviations
-BINS_PER_OCTAVE = 16
+RESOLUTION = (16, 32, 32, 32)   # cells in a unit of each statistic
+STEPS_A_JOB, MOST_JOBS = 3, 50
 
 
 def text_statistics(docs: DataFrame, text: str = "text", window: int = 8) -> DataFrame:
@@ -78,180 +82,161 @@ def vector() -> list[Column]:
             F.sqrt((F.col("n_repeat_words") + F.col("n_dup_lines")) / n)]
 
 
-def moments(d: DataFrame, group: list[str]) -> DataFrame:
-    """Mean and inverse Cholesky factor of the rows' covariance, a row per group."""
-    pairs = [(i, j) for i in range(P) for j in range(i + 1)]
-    s = d.groupBy(*group).agg(
-        F.count("*").alias("n"), *[F.sum(f"x{i}").alias(f"s{i}") for i in range(P)],
-        *[F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"q{i}{j}") for i, j in pairs])
-    s = s.select(*group, *[(F.col(f"s{i}") / F.col("n")).alias(f"m{i}") for i in range(P)],
-                 *[(F.col(f"q{i}{j}") / F.col("n") - F.col(f"s{i}") / F.col("n") * F.col(f"s{j}") / F.col("n"))
-                   .alias(f"c{i}{j}") for i, j in pairs])
-    # covariance = L L'
-    for i in range(P):
-        for j in range(i):
-            dot = sum((F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j)), F.lit(0.0))
-            s = s.withColumn(f"l{i}{j}", (F.col(f"c{i}{j}") - dot) / F.col(f"l{j}{j}"))
-        own = sum((F.col(f"l{i}{k}") * F.col(f"l{i}{k}") for k in range(i)), F.lit(0.0))
-        s = s.withColumn(f"l{i}{i}", F.sqrt(F.greatest(F.col(f"c{i}{i}") - own, F.lit(FLOOR[i] ** 2))))
-    return s.select(*[F.col(g).alias(f"_{g}") for g in group], *[f"m{i}" for i in range(P)],
-                    *[f"l{i}{j}" for i, j in pairs])
-
-
-def distances(d: DataFrame, est: DataFrame, group: list[str]) -> DataFrame:
-    """Column ``d2``: squared Mahalanobis distance by forward substitution."""
-    on = [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in group]
-    keep = [c for c in d.columns if c not in ("d2", "bin")]
-    j = d.select(*keep).join(est, on, "left")
-    for i in range(P):
-        y = (F.col(f"x{i}") - F.col(f"m{i}")) - sum((F.col(f"l{i}{k}") * F.col(f"y{k}") for k in range(i)), F.lit(0.0))
-        j = j.withColumn(f"y{i}", y / F.col(f"l{i}{i}"))
-    d2 = sum((F.col(f"y{i}") * F.col(f"y{i}") for i in range(P)), F.lit(0.0))
-    return j.select(*keep, d2.alias("d2")).withColumn(
-        "bin", F.floor(F.log2(F.col("d2") + F.lit(1e-6)) * BINS_PER_OCTAVE).cast("int"))
-
-
-def radius(d: DataFrame, group: list[str], share: float, least: int = 0) -> DataFrame:
-    """The first distance bin within which ``share`` of each group's rows lie (_rbin), and
-    ``least`` rows or all."""
-    from pyspark.sql import Window
-    bins = d.groupBy(*group, "bin").count()          # a few hundred bins a group at most
-    w = Window.partitionBy(*group)
-    upto = w.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-    bins = bins.withColumn("_c", F.sum("count").over(upto)).withColumn("_n", F.sum("count").over(w))
-    return (bins.where(F.col("_c") >= F.greatest(F.ceil(F.col("_n") * share), F.least("_n", F.lit(least)))).groupBy(*group).agg(F.min("bin").alias("_rbin"))
-            .select(*[F.col(g).alias(f"_{g}") for g in group], "_rbin"))
-
-
-def within(d: DataFrame, r: DataFrame, group: list[str]) -> DataFrame:
-    on = [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in group]
-    return d.join(r, on).where("bin <= _rbin").drop("_rbin", *[f"_{g}" for g in group])
-
-
-def mcd(rows: DataFrame, group: list[str], share: float = 0.75, steps: int = 3) -> tuple[DataFrame, DataFrame]:
-    """(estimate, scale) per group of ``rows`` (columns x0..x3) after concentration steps."""
-    est = moments(rows, group)
-    for _ in range(steps):
-        d = distances(rows, est, group)
-        est = written(moments(within(d, radius(d, group, share), group), group), "mcd-estimate")
-    d = distances(rows, est, group)
-    scale = radius(d, group, 0.5).withColumn("_scale", F.pow(F.lit(2.0), (F.col("_rbin") + 0.5) / BINS_PER_OCTAVE) / CHI2_MEDIAN)
-    return est, scale.drop("_rbin")
-
-
-GRID = 256  # bins of a statistic's unit for medians
-
-
-def medians(rows: DataFrame, group: list[str]) -> DataFrame:
-    """m0..m3: the median of each coordinate by a histogram, a row per group."""
-    long = rows.select(*group, F.posexplode(F.array(*[f"x{i}" for i in range(P)])).alias("i", "x")).withColumn(
-        "bin", F.floor(F.col("x") * GRID).cast("int"))
-    return radius(long, [*group, "i"], 0.5).groupBy(*[f"_{g}" for g in group]).agg(
-        *[F.max(F.when(F.col("_i") == i, (F.col("_rbin") + 0.5) / GRID)).alias(f"m{i}") for i in range(P)])
-
-
-def median_start(rows: DataFrame, group: list[str]) -> DataFrame:
-    """Coordinate-wise median and MAD in the form of ``moments``."""
-    med = written(medians(rows, group), "mcd-median")
-    on = [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in group]
-    off = rows.join(med, on).select(*group, *[F.abs(F.col(f"x{i}") - F.col(f"m{i}")).alias(f"x{i}") for i in range(P)])
-    mad = medians(off, group).select(*[F.col(f"_{g}").alias(g) for g in group],
-                                     *[F.col(f"m{i}").alias(f"s{i}") for i in range(P)])
-    return med.join(mad, on).select(
-        *[f"_{g}" for g in group], *[f"m{i}" for i in range(P)],
-        *[(F.greatest(1.4826 * F.col(f"s{i}"), F.lit(FLOOR[i])) if i == j else F.lit(0.0)).alias(f"l{i}{j}")
-          for i in range(P) for j in range(i + 1)])
-
-
-def robust_mcd(rows: DataFrame, group: list[str], share: float, least: int, cutoff: float) -> tuple[DataFrame, DataFrame]:
-    """(estimate, scale) per group as ``mcd``, from a robust and the classical start, with
-    concentration steps until nothing changes, and reweighted."""
-    est = median_start(rows, group).withColumn("_start", F.lit(0)).unionByName(
-        moments(rows, group).withColumn("_start", F.lit(1)))
-    est = written(est, "mcd-start")
-    both = rows.withColumn("start", F.explode(F.array(F.lit(0), F.lit(1))))
-    by, keys = ["start", *group], ["_start", *[f"_{g}" for g in group]]
-    det = F.round(sum((F.log(f"l{i}{i}") for i in range(P)), F.lit(0.0)), 6)
-    last = None
-    for _ in range(50):
-        d = distances(both, est, by)
-        est = written(moments(within(d, radius(d, by, share, least), by), by), "mcd-estimate")
-        state = F.xxhash64(*keys, det, *[F.round(f"m{i}", 6) for i in range(P)]) % 1_000_000_007
-        now = est.agg(F.count("*"), F.sum(state)).first()
-        if now == last:
-            break
-        last = now
-    best = est.groupBy(*[F.col(f"_{g}").alias(g) for g in group]).agg(
-        F.min(F.struct(det.alias("det"), F.col("_start"))).alias("_b")).select(
-        *group, F.col("_b._start").alias("_best"))
-    est = written(est.join(best, [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in group]).where("_start = _best")
-                  .drop("_start", "_best", *group), "mcd-best")
-    d = distances(rows, est, group)
-    inner = d.join(scales(d, group), [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in group]).where(
-        F.col("d2") <= cutoff * F.greatest("_scale", F.lit(1.0))).select(*rows.columns)
-    est = written(moments(inner, group), "mcd-reweighted")
-    return est, scales(distances(rows, est, group), group)
+# -- cells: what is left of the documents for the estimates ------------------------------------
+
+PAIRS = [(i, j) for i in range(P) for j in range(i + 1)]
+FIELDS = ["n", *[f"s{i}" for i in range(P)], *[f"q{i}{j}" for i, j in PAIRS]]
+EST = [*[f"m{i}" for i in range(P)], *[f"c{i}{j}" for i, j in PAIRS]]
+
+
+def cells_of(rows: DataFrame, group: list[str]) -> DataFrame:
+    """Rows (x0..x3) summed per cell of the grid: count, sums and cross products."""
+    cell = [F.floor(F.col(f"x{i}") * RESOLUTION[i]).cast("int").alias(f"b{i}") for i in range(P)]
+    return rows.groupBy(*group, *cell).agg(
+        F.count("*").cast("double").alias("n"), *[F.sum(f"x{i}").alias(f"s{i}") for i in range(P)],
+        *[F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"q{i}{j}") for i, j in PAIRS])
+
+
+def wider(cells: DataFrame, group: list[str]) -> DataFrame:
+    """Cells of a wider group from those of its parts."""
+    return cells.groupBy(*group, *[f"b{i}" for i in range(P)]).agg(*[F.sum(f).alias(f) for f in FIELDS])
 
 
-def scales(d: DataFrame, group: list[str]) -> DataFrame:
-    """_scale: each group's median distance over the chi-square median."""
-    return radius(d, group, 0.5).withColumn(
-        "_scale", F.pow(F.lit(2.0), (F.col("_rbin") + 0.5) / BINS_PER_OCTAVE) / CHI2_MEDIAN).drop("_rbin")
+def gathered(cells: DataFrame, group: list[str]) -> DataFrame:
+    """A row per group: ``total`` rows and the array ``cells``, as long as the grid has cells in use."""
+    cell = F.struct("n", *[(F.col(f"s{i}") / F.col("n")).alias(f"x{i}") for i in range(P)], *FIELDS[1:])
+    return cells.groupBy(*group).agg(F.sum("n").alias("total"), F.sort_array(F.collect_list(cell)).alias("cells"))
 
 
-def verdicts(docs: DataFrame, share: float = 0.5, cutoff: float = 40.0, min_rows: int = 50) -> DataFrame:
+def weighted(value: str, share: str = "total / 2", cells: str = "cells") -> Column:
+    """The least ``value`` of a cell x that, with all smaller ones, has ``share`` of the rows."""
+    return F.expr(f"aggregate(sort_array(transform({cells}, x -> struct({value} as v, x.n as n))), "
+                  f"named_struct('n', 0D, 'v', cast(null as double)), "
+                  f"(a, e) -> if(a.n >= {share}, a, named_struct('n', a.n + e.n, 'v', e.v)), a -> a.v)")
+
+
+def distance() -> str:
+    """Squared Mahalanobis distance of a cell x from columns m and the factor l."""
+    y = []
+    for i in range(P):
+        y.append(f"((x.x{i} - m{i}" + "".join(f" - l{i}{k} * {y[k]}" for k in range(i)) + f") / l{i}{i})")
+    return " + ".join(f"{v} * {v}" for v in y)
+
+
+def factor(d: DataFrame, c: str = "c", l: str = "l") -> DataFrame:
+    """Cholesky factor of the covariance columns, column by column, pivots not below the floor."""
+    for j in range(P):
+        dot = lambda i: sum((F.col(f"{l}{i}{k}") * F.col(f"{l}{j}{k}") for k in range(j)), F.lit(0.0))  # noqa: E731, B023
+        d = d.withColumns({f"{l}{j}{j}": F.sqrt(F.greatest(F.col(f"{c}{j}{j}") - dot(j), F.lit(FLOOR[j] ** 2)))})
+        if j < P - 1:
+            d = d.withColumns({f"{l}{i}{j}": (F.col(f"{c}{i}{j}") - dot(i)) / F.col(f"{l}{j}{j}") for i in range(j + 1, P)})
+    return d
+
+
+def estimate(d: DataFrame, some: str, prior: float) -> DataFrame:
+    """Columns m and c: mean and covariance of the sums in struct ``some`` and of ``prior`` rows that
+    are as the wider group's estimate (columns p and r) says."""
+    w = F.col(f"{some}.n") + prior
+    d = d.withColumns({f"m{i}": (F.col(f"{some}.s{i}") + prior * F.col(f"p{i}")) / w for i in range(P)})
+    more = lambda i, j: prior * (F.col(f"r{i}{j}") + F.col(f"p{i}") * F.col(f"p{j}"))
+    return d.withColumns({f"c{i}{j}": (F.col(f"{some}.q{i}{j}") + more(i, j)) / w - F.col(f"m{i}") * F.col(f"m{j}") for i, j in PAIRS})
+
+
+def nearest(condition: str) -> Column:
+    """Sums over the cells, nearest first, while ``condition`` on (a: the sums so far, e: the next) holds."""
+    zero = ", ".join(f"'{f}', 0D" for f in FIELDS)
+    more = ", ".join(f"'{f}', a.{f} + e.x.{f}" for f in FIELDS)
+    return F.expr(f"aggregate(sort_array(transform(cells, x -> struct({distance()} as d, x as x))), named_struct({zero}), "
+                  f"(a, e) -> if({condition}, named_struct({more}), a))")
+
+
+def scale_of(prior: float) -> Column:
+    """The median distance over the chi-square median, at least 1; a small group's is the wider
+    group's as well, by the same weights."""
+    own = F.greatest(weighted(distance()) / CHI2_MEDIAN, F.lit(1.0))
+    return F.exp((F.col("total") * F.log(own) + prior * F.log("ps")) / (F.col("total") + prior))
+
+
+def robust(groups: DataFrame, prior: float, share: float, cutoff: float) -> DataFrame:
+    """Minimum-covariance-determinant estimates: columns m, c and scale for every row of
+    ``groups`` (id, total, cells, the wider group's estimate p, r and scale ps)."""
+    spread = groups.withColumns({f"_med{i}": weighted(f"x.x{i}") for i in range(P)})
+    spread = written(spread.withColumns({f"_var{i}": F.pow(F.greatest(1.4826 * weighted(f"abs(x.x{i} - _med{i})"), F.lit(FLOOR[i])), 2)
+                                         for i in range(P)}), "mcd-groups")
+    med, var = [f"_med{i}" for i in range(P)], [f"_var{i}" for i in range(P)]
+    whole = spread.withColumn("_all", F.expr("aggregate(cells, named_struct({}), (a, x) -> named_struct({}))".format(
+        ", ".join(f"'{f}', 0D" for f in FIELDS), ", ".join(f"'{f}', a.{f} + x.{f}" for f in FIELDS))))
+    mode = F.expr("array_max(transform(cells, x -> struct(x.n as n, x.x0 as x0, x.x1 as x1, x.x2 as x2, x.x3 as x3)))")
+    diagonal = [(F.col(var[i]) if i == j else F.lit(0.0)).alias(f"c{i}{j}") for i, j in PAIRS]
+    starts = (spread.select("id", F.lit(0).alias("start"), *[F.col(c).alias(f"m{i}") for i, c in enumerate(med)], *diagonal)
+              .unionByName(estimate(whole, "_all", prior).select("id", F.lit(1).alias("start"), *EST))
+              .unionByName(spread.withColumn("_mode", mode).select("id", F.lit(2).alias("start"),
+                                                                   *[F.col(f"_mode.x{i}").alias(f"m{i}") for i in range(P)], *diagonal)))
+    est, last = written(starts, "mcd-estimate"), None
+    for _ in range(MOST_JOBS):
+        d = spread.join(est, "id")
+        for k in range(STEPS_A_JOB):
+            d = estimate(factor(d).withColumn(f"_half{k}", nearest(f"a.n < total * {share}")), f"_half{k}", prior)
+        est = written(d.select("id", "start", *EST), "mcd-estimate")
+        now = est.agg(F.sum(F.xxhash64("id", "start", *[F.round(c, 6) for c in EST]) % 1_000_000_007)).first()
+        if now == last:
+            break
+        last = now
+    else:
+        raise RuntimeError("concentration steps didn't settle")
+    # of the starts the lowest determinant, of the covariance drawn halfway to the squared MADs:
+    # else a flat half with junk in it may look smaller than a whole one without
+    mixed = spread.join(est, "id").select("id", "start", *EST, *[
+        (0.5 * F.col(f"c{i}{j}") + (0.5 * F.col(var[i]) if i == j else F.lit(0.0))).alias(f"v{i}{j}") for i, j in PAIRS])
+    det = F.round(sum((F.log(f"w{i}{i}") for i in range(P)), F.lit(0.0)), 6)
+    best = factor(mixed, "v", "w").groupBy("id").agg(F.min(F.struct(det.alias("d"), "start", *EST)).alias("b")).select("id", *[f"b.{c}" for c in EST])
+    fit = factor(spread.join(best, "id")).withColumn("_scale", scale_of(prior))
+    fit = fit.withColumn("_inner", nearest(f"e.d <= {cutoff} * _scale"))
+    keep = [c for c in spread.columns if c not in med + var]
+    fit = written(estimate(fit, "_inner", prior).select(*keep, *EST), "mcd-reweighted")
+    return written(factor(fit).withColumn("scale", scale_of(prior)).select("id", *[c for c in keep if c not in ("id", "cells")], *EST, "scale"), "mcd-final")
+
+
+def group_estimates(rows: DataFrame, prior: float, share: float, cutoff: float) -> DataFrame:
+    """(lang, source, m, c, scale): all documents first, then languages that lean on them, then
+    sources that lean on their language."""
+    narrow = written(cells_of(rows, ["lang", "source"]), "quality-cells")
+    lang = wider(narrow, ["lang"])
+    levels = [(wider(lang, []), []), (lang, ["lang"]), (narrow, ["lang", "source"])]
+    above = None
+    for cells, group in levels:
+        g = gathered(cells, group).withColumn("id", F.monotonically_increasing_id()).where("total > 0")
+        if above is None:
+            g = g.withColumns({f"p{i}": weighted(f"x.x{i}") for i in range(P)})
+            g = g.withColumns({f"r{i}{i}": F.pow(F.greatest(1.4826 * weighted(f"abs(x.x{i} - p{i})"), F.lit(FLOOR[i])), 2) for i in range(P)})
+            g = g.select("*", *[F.lit(0.0).alias(f"r{i}{j}") for i, j in PAIRS if i != j], F.lit(1.0).alias("ps"))
+        else:
+            up = above.select(*[F.col(c).alias(f"_{c}") for c in group[:-1]], *[F.col(f"m{i}").alias(f"p{i}") for i in range(P)],
+                              *[F.col(f"c{i}{j}").alias(f"r{i}{j}") for i, j in PAIRS], F.col("scale").alias("ps"))
+            on = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in group[:-1]] or [F.lit(True)]
+            g = (g.join(up, on) if group[:-1] else g.withColumn("_k", F.lit(1)).join(up.withColumn("_k", F.lit(1)), "_k").drop("_k"))
+            g = g.drop(*[f"_{c}" for c in group[:-1]])
+        above = robust(written(g, "quality-groups"), prior, share, cutoff)
+    return above
+
+
+def verdicts(docs: DataFrame, share: float = 0.5, cutoff: float = 40.0, prior: float = 100.0) -> DataFrame:
     """Statistics, base_failed, d2 (scaled squared distance, null only where base rules fail)
-    and kept, a row per document. Each is judged by the narrowest of its language and source
-    (level 0), its language (1) and all documents (2) with ``min_rows`` eligible documents."""
-    stats = written(text_statistics(docs.select("doc_id", "lang", "source", "text")).drop("text")
-                    .withColumn("base_failed", base_failed())
-                    .select("*", *[x.alias(f"x{i}") for i, x in enumerate(vector())]), "quality-statistics")
-    n = stats.where("not base_failed").groupBy("lang", "source").agg(F.count("*").alias("_n"))
-    langs = n.groupBy(F.col("lang").alias("_ln")).agg(
-        F.sum("_n").alias("_lang_n"), F.min("_n").alias("_lang_least"))
-    level = (F.when(F.col("_n") >= min_rows, 0).when(F.col("_lang_n") >= min_rows, 1).otherwise(2))
-    n = written(n.join(langs, F.col("lang").eqNullSafe(F.col("_ln"))).select(
-        F.col("lang").alias("_lang"), F.col("source").alias("_source"), level.alias("level"),
-        ((F.col("_lang_least") < min_rows) & (F.col("_lang_n") >= min_rows)).alias("_wide")), "quality-groups")
-    on = [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in ("lang", "source")]
-    place = [F.when(F.col("level") < 2, F.col("lang")).alias("g_lang"),
-             F.when(F.col("level") < 1, F.col("source")).alias("g_source")]
-    group = ["level", "g_lang", "g_source"]
-    used = F.array_compact(F.array(F.when(F.col("level") == 0, 0), F.when(F.col("_wide"), 1),
-                                   *([] if n.where("level = 2").isEmpty() else [F.lit(2)])))
-    fit = written(stats.where("not base_failed").join(n, on).withColumn("level", F.explode(used))
-                  .select(F.col("level"), *place, *[f"x{i}" for i in range(P)]), "quality-fit")
-    est, scale = robust_mcd(fit, group, share, min_rows // 2, cutoff)
-    stats = stats.join(n, on, "left").select(*stats.columns, "level", *place)
-    scale = scale.select(*[F.col(f"_{g}").alias(f"_{g}3") for g in group], F.greatest("_scale", F.lit(1.0)).alias("_scale"))
-    d = distances(stats, est, group).join(scale, [F.col(g).eqNullSafe(F.col(f"_{g}3")) for g in group], "left")
-    return d.withColumn("d2", F.when(~F.col("base_failed"), F.col("d2") / F.col("_scale"))).withColumn(
-        "kept", ~F.col("base_failed") & F.coalesce(F.col("d2") <= cutoff, F.lit(False))).drop(
-        "_scale", "bin", *[f"_{g}3" for g in group], *group, *[f"x{i}" for i in range(P)])
-
-
-def quality(docs: DataFrame, share: float = 0.75, steps: int = 3, cutoff: float = 40.0,
-            min_rows: int = 50) -> DataFrame:
-    """Statistics, base_failed, d2 (scaled squared distance, null where no verdict is given)
     and kept, a row per document."""
-    group = ["lang", "source"]
     stats = written(text_statistics(docs.select("doc_id", "lang", "source", "text")).drop("text")
                     .withColumn("base_failed", base_failed())
                     .select("*", *[x.alias(f"x{i}") for i, x in enumerate(vector())]), "quality-statistics")
-    sized = stats.where("not base_failed").groupBy(*group).count().where(F.col("count") >= min_rows).select(
-        *[F.col(g).alias(f"_{g}") for g in group])
-    fit = stats.where("not base_failed").join(
-        sized, [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in group], "left_semi")
-    est, scale = mcd(fit, group, share, steps)
-    est = est.join(scale.select(*[F.col(f"_{g}").alias(f"_{g}2") for g in group], "_scale"),
-                   [F.col(f"_{g}").eqNullSafe(F.col(f"_{g}2")) for g in group]).drop(*[f"_{g}2" for g in group])
-    scales = est.select(*[F.col(f"_{g}").alias(f"_{g}3") for g in group], F.greatest("_scale", F.lit(1.0)).alias("_scale"))
-    d = distances(stats, est.drop("_scale"), group).join(
-        scales, [F.col(g).eqNullSafe(F.col(f"_{g}3")) for g in group], "left")
-    d2 = F.when(~F.col("base_failed"), F.col("d2") / F.col("_scale"))
-    return d.withColumn("d2", d2).withColumn(
-        "kept", ~F.col("base_failed") & (F.coalesce(F.col("d2"), F.lit(0.0)) <= cutoff)).drop(
-        "_scale", "bin", *[f"_{g}3" for g in group], *[f"x{i}" for i in range(P)])
+    est = group_estimates(stats.where("not base_failed"), prior, share, cutoff)
+    est = factor(est).select(F.col("lang").alias("_lang"), F.col("source").alias("_source"), *[f"m{i}" for i in range(P)],
+                             *[f"l{i}{j}" for i, j in PAIRS], "scale")
+    d = stats.join(est, [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in ("lang", "source")], "left")
+    for i in range(P):
+        y = (F.col(f"x{i}") - F.col(f"m{i}")) - sum((F.col(f"l{i}{k}") * F.col(f"y{k}") for k in range(i)), F.lit(0.0))
+        d = d.withColumn(f"y{i}", y / F.col(f"l{i}{i}"))
+    d2 = sum((F.col(f"y{i}") * F.col(f"y{i}") for i in range(P)), F.lit(0.0)) / F.col("scale")
+    d = d.withColumn("d2", F.when(~F.col("base_failed"), d2))
+    return d.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("d2") <= cutoff, F.lit(False))).select(
+        *[c for c in stats.columns if c not in {f"x{i}" for i in range(P)}], "d2", "kept")
 
 
 def op5_outliers(spark, sf_dir):

@@ -326,47 +326,96 @@ def test_statistics(spark, docs):
     assert got == want
 
 
-def slow_mcd(x, share, steps):
-    def moments(y):
-        m = y.mean(axis=0)
-        c = (y - m).T @ (y - m) / len(y)
+class SlowMcd:
+    """The estimator by its description, over the cells of a group's vectors."""
+
+    def __init__(self, x, parent=None, prior=100.0, cutoff=40.0):
+        cell = {}
+        for row in np.asarray(x):
+            cell.setdefault(tuple(np.floor(row * np.array(outliers.RESOLUTION)).astype(int)), []).append(row)
+        self.cells = [np.array(v) for v in cell.values()]
+        self.mean = np.array([v.mean(axis=0) for v in self.cells])
+        self.n = np.array([len(v) for v in self.cells])
+        self.prior = prior
+        med = np.array([self.middle(self.mean[:, i]) for i in range(4)])
+        var = np.array([max(1.4826 * self.middle(abs(self.mean[:, i] - med[i])), outliers.FLOOR[i]) ** 2 for i in range(4)])
+        self.above = (parent.m, parent.c, parent.scale) if parent else (med, np.diag(var), 1.0)
+        order = sorted(range(len(self.n)), key=lambda i: (self.n[i], *self.mean[i]))
+        starts = [(med, np.diag(var)), self.moments(range(len(self.n))), (self.mean[order[-1]], np.diag(var))]
+        ends = []
+        for m, c in starts:
+            for _ in range(100):
+                d, upto, pick = self.d2(m, c), 0, []
+                for i in np.argsort(d, kind="stable"):
+                    if upto < len(x) * 0.5:
+                        pick.append(i)
+                        upto += self.n[i]
+                nm, nc = self.moments(pick)
+                if np.allclose(nm, m, atol=1e-9) and np.allclose(nc, c, atol=1e-9):
+                    break
+                m, c = nm, nc
+            low = self.factor(0.5 * c + 0.5 * np.diag(var))
+            ends.append((round(np.log(np.diag(low)).sum(), 6), len(ends), m, c))
+        _, _, m, c = min(ends, key=lambda e: e[:2])
+        d = self.d2(m, c)
+        self.m, self.c = self.moments(np.flatnonzero(d <= cutoff * self.scaled(d)))
+        self.scale = self.scaled(self.d2(self.m, self.c))
+
+    def scaled(self, d):
+        n, own = self.n.sum(), max(1.0, self.middle(d) / outliers.CHI2_MEDIAN)
+        return np.exp((n * np.log(own) + self.prior * np.log(self.above[2])) / (n + self.prior))
+
+    def middle(self, v):
+        by = np.argsort(v, kind="stable")
+        return v[by][np.searchsorted(np.cumsum(self.n[by]), self.n.sum() / 2)]
+
+    def moments(self, pick):
+        y, (pm, pc, _) = np.concatenate([np.zeros((0, 4)), *[self.cells[i] for i in pick]]), self.above
+        w = len(y) + self.prior
+        m = (y.sum(axis=0) + self.prior * pm) / w
+        return m, (y.T @ y + self.prior * (pc + np.outer(pm, pm))) / w - np.outer(m, m)
+
+    @staticmethod
+    def factor(c):
         low = np.zeros((4, 4))
         for i in range(4):
             for j in range(i):
                 low[i, j] = (c[i, j] - low[i, :j] @ low[j, :j]) / low[j, j]
             low[i, i] = np.sqrt(max(c[i, i] - low[i, :i] @ low[i, :i], outliers.FLOOR[i] ** 2))
-        return m, low
-    m, low = moments(x)
-    for k in range(steps + 1):
-        d2 = (np.linalg.solve(low, (x - m).T) ** 2).sum(axis=0)
-        if k < steps:
-            bins = np.floor(np.log2(d2 + 1e-6) * outliers.BINS_PER_OCTAVE)
-            edge = np.sort(bins)[int(np.ceil(share * len(x))) - 1]
-            m, low = moments(x[bins <= edge])
-    return d2
+        return low
+
+    def d2(self, m, c, x=None):
+        x = self.mean if x is None else np.asarray(x)
+        return (np.linalg.solve(self.factor(c), (x - m).T) ** 2).sum(axis=0)
 
 
 def test_outliers_follow_the_estimator(spark, empty):
     rng = random.Random(6)
-    rows = [(i, prose(rng, rng.randint(40, 90)), "en", None) for i in range(150)]
-    rows += [(900 + i, " ".join(w + "###%%%" for w in prose(rng, 50).split()), "en", None) for i in range(12)]
-    rows += [(990, "too short", "en", None), (991, None, "en", None), (992, prose(rng, 60), "xx", "few")]
-    d = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
-    got = {r["doc_id"]: r for r in outliers.quality(d).collect()}
+    rows = [(i, prose(rng, rng.randint(25, 120)), ["en", "de"][i % 3 == 0], ["a", "b", None][i % 7 % 3]) for i in range(260)]
+    rows += [(900 + i, " ".join(w + "###%%%" for w in prose(rng, 50).split()), "en", "a") for i in range(12)]
+    rows += [(990, "too short", "en", None), (991, None, "en", None), (992, prose(rng, 60), None, "few")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(4)
+    got = {r["doc_id"]: r for r in outliers.verdicts(d).collect()}
     assert len(got) == len(rows)
-    assert all(got[i]["kept"] for i in range(150)) and not any(got[900 + i]["kept"] for i in range(12))
-    assert not got[990]["kept"] and not got[991]["kept"] and got[992]["kept"] and got[992]["d2"] is None
-    x, ids = [], []
-    for i, t, *_ in rows[:162]:
+    x, where = {}, {}
+    for i, t, lang, source in rows:
+        if i in (990, 991):
+            continue
         w = WORD.findall(t)
         c = sum(map(len, w))
-        x.append([np.log(len(w)), np.log(c / len(w)), np.sqrt(len(re.findall(r"[#*$%&|<>]", t)) / c), 0.0])
-        ids.append(i)
-    d2 = slow_mcd(np.array(x), 0.75, 3)
-    bins = np.sort(np.floor(np.log2(d2 + 1e-6) * outliers.BINS_PER_OCTAVE))
-    scale = max(1.0, 2 ** ((bins[int(np.ceil(0.5 * len(x))) - 1] + 0.5) / outliers.BINS_PER_OCTAVE) / outliers.CHI2_MEDIAN)
-    assert np.allclose([got[i]["d2"] for i in ids], d2 / scale, rtol=1e-6)
-    assert rows_of(outliers.quality(empty)) == []
+        x[i] = np.array([np.log(len(w)), np.log(c / len(w)), np.sqrt(len(re.findall(r"[#*$%&|<>]", t)) / c), 0.0])
+        where.setdefault((lang, source), []).append(i)
+    top = SlowMcd([x[i] for i in x])
+    for lang in {g[0] for g in where}:
+        mid = SlowMcd([x[i] for g, ids in where.items() if g[0] == lang for i in ids], top)
+        for g, ids in where.items():
+            if g[0] == lang:
+                est = SlowMcd([x[i] for i in ids], mid)
+                want = est.d2(est.m, est.c, [x[i] for i in ids]) / est.scale
+                assert np.allclose([got[i]["d2"] for i in ids], want, rtol=1e-5)
+    assert all(got[i]["kept"] == (i < 900 or i == 992) for i in x)
+    assert not got[990]["kept"] and not got[991]["kept"] and got[990]["d2"] is None
+    assert rows_of(outliers.verdicts(empty)) == []
 
 
 @pytest.mark.parametrize("junk", [18, 24, 35])
@@ -391,7 +440,7 @@ def test_outliers_in_small_groups(spark, empty):
     assert len(got) == len(rows)
     assert all((r["d2"] is None) == (i >= 990) and r["kept"] == (i < 900) for i, r in got.items())
     few = outliers.verdicts(d.where("doc_id < 5 or doc_id = 900")).collect()
-    assert len(few) == 6 and all(r["d2"] is not None and r["kept"] for r in few)
+    assert len(few) == 6 and all(r["d2"] is not None and r["kept"] == (r["doc_id"] < 900) for r in few)
     assert rows_of(outliers.verdicts(empty)) == []
 
 
