@@ -38,7 +38,7 @@ SYMBOLS = "#*$%&|<>"
 P = 4
 CHI2_MEDIAN = 3.3567  # chi-square, 4 degrees of freedom
 FLOOR = (0.1, 0.1, 0.05, 0.1)  # least standard deviations
-RESOLUTION = (16, 32, 32, 32)   # cells in a unit of each statistic
+RESOLUTION = (4, 16, 16, 16)   # cells in a unit of each statistic
 STEPS_A_JOB, MOST_JOBS = 3, 50
 
 
