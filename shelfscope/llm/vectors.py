@@ -14,8 +14,11 @@ a block is one edge, or one count, per vector.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components
 link with nothing and are their own component, kept; vectors of different lengths never
-link; repeated rows (same id, same vector) count as links of one another; an empty table
-gives no rows.
+link; components of any finite size count (each vector is scaled before it is squared);
+repeated rows (same id, same vector) count as links of one another, and rows that share an id
+but not the vector are compared like any others. A null id is no smallest id: rows without
+an id are kept only where no vector they reach has one, and their component_id is then null.
+Columns beside the two named are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -79,7 +82,10 @@ def buckets(x: np.ndarray, tables: int, axes: int, probes: int, seed: int):
 
 
 def unit(x: np.ndarray) -> np.ndarray:
+    """The rows at length one. They are scaled by a power of two first, which is exact, so that
+    no square overflows or vanishes."""
     x = x.astype(np.float64)
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
@@ -113,10 +119,11 @@ def near_vectors(rows: DataFrame, threshold: float = 0.95, tables: int = 10, axe
             & F.coalesce(F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))), F.lit(False))
             & F.coalesce(F.exists(v, lambda x: x != 0), F.lit(False)))
     d = rows.select(F.col(id_col).cast("long").alias("vec_id"), F.when(fine, v).alias("v"))
-    # equal vectors once, known by their smallest id; -0.0 counts as 0.0
+    # equal vectors once, known by a number of their own (ids may be null or shared); -0.0 counts as 0.0
     whole = written(d.withColumn("v", F.transform("v", lambda x: x + 0.0)), "vectors")
     reps = written(whole.where("v is not null").groupBy("v").agg(
-        F.min("vec_id").alias("rep"), F.count("*").alias("copies")).withColumn("dim", F.size("v")), "vectors-distinct")
+        F.min("vec_id").alias("low"), F.count("*").alias("copies")).select(
+        F.monotonically_increasing_id().alias("rep"), "v", "low", "copies", F.size("v").alias("dim")), "vectors-distinct")
 
     def hashed(batches):
         for b in batches:
@@ -161,14 +168,16 @@ def near_vectors(rows: DataFrame, threshold: float = 0.95, tables: int = 10, axe
     by2 = ["component", "dim", "bi", "bj"]
     links = map_groups(inside.select(*by2, "blk", "rep", "copies", "v"), by2, counts, "rep long, links long").groupBy(
         "rep").agg(F.sum("links").alias("links"))
-    facts = (reps.select("v", "rep", "copies").join(links, "rep", "left")
-             .join(comp.withColumnRenamed("node", "rep"), "rep", "left")
+    lowest = (comp.join(reps.select(F.col("rep").alias("node"), "low"), "node").groupBy("component")
+              .agg(F.min("low").alias("least")))
+    facts = (reps.select("v", "rep", "low", "copies").join(links, "rep", "left")
+             .join(comp.join(lowest, "component").select(F.col("node").alias("rep"), "component", "least"), "rep", "left")
              .select("v", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
-                     F.coalesce("component", "rep").alias("component_id")))
+                     F.when(F.col("component").isNull(), F.col("low")).otherwise(F.col("least")).alias("least")))
     return (whole.join(facts, "v", "left")
             .select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-                    F.coalesce("component_id", "vec_id").alias("component_id"))
-            .withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True))))
+                    F.when(F.col("v").isNull(), F.col("vec_id")).otherwise(F.col("least")).alias("component_id"))
+            .withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id"))))
 
 
 def op4_vectors(spark, sf_dir):

@@ -509,8 +509,9 @@ def test_vectors(spark):
     rows += [(200 + k, (base[k % 10] + rng.normal(scale=s, size=24)).tolist()) for k, s in enumerate(np.linspace(0.02, 0.5, 150))]
     rows += [(400 + k, base[7].tolist()) for k in range(60)] + [(500, (base[7] * 3).tolist()), (0, base[0].tolist())]
     rows += [(600, None), (601, [0.0] * 24), (602, [float("nan")] * 24), (603, [1.0, None]), (604, []), (605, [1.0, 0.0]), (606, [2.0, 0.0])]
+    rows += [(0, base[90].tolist()), (0, (-base[91]).tolist())]              # an id that other vectors have too
     d = spark.createDataFrame([(*r, 1, "x") for r in rows], "vec_id long, embedding array<double>, rep int, v string")
-    got = rows_of(vectors.near_vectors(d, tables=12))
+    got = rows_of(vectors.near_vectors(d))
     ok = [(i, np.array(v)) for i, v in rows if v and None not in v and np.isfinite(v).all() and np.any(v)]
     cos = lambda a, b: len(a) == len(b) and a @ b / np.sqrt((a @ a) * (b @ b)) >= 0.95
     link = [[j for j in range(len(ok)) if j != i and cos(ok[i][1], ok[j][1])] for i in range(len(ok))]
@@ -524,6 +525,20 @@ def test_vectors(spark):
     assert rows_of(vectors.near_vectors(d.limit(0))) == []
 
 
+def test_vectors_without_ids_and_of_any_size(spark):
+    rng = np.random.default_rng(6)
+    a, b, c, e = rng.normal(size=(4, 16))
+    near = lambda x: x + rng.normal(scale=0.01, size=16)
+    rows = [(5, a * 1e200), (3, near(a) * 1e307), (None, near(a) * 1e-300), (None, b), (None, near(b)), (None, b), (9, c * 5e-310),
+            (8, near(c)), (None, e), (7, None), (None, None)]
+    d = spark.createDataFrame([(i, None if v is None else v.tolist()) for i, v in rows], "vec_id long, embedding array<double>")
+    want = [(5, 2, 3, False), (3, 2, 3, True), (None, 2, 3, False), *[(None, 2, None, True)] * 3, (9, 1, 8, False), (8, 1, 8, True),
+            (None, 0, None, True), (7, 0, 7, True), (None, 0, None, True)]
+    assert Counter(rows_of(vectors.near_vectors(d))) == Counter(want)
+    assert Counter(rows_of(vectors.near_vectors(d.where("vec_id is null")))) == Counter(
+        [(None, 0, None, True)] * 3 + [(None, 2, None, True)] * 3)
+
+
 def test_rotations_keep_length():
     x = np.random.default_rng(1).normal(size=(5, 20))
     for y in vectors.rotations(x, 3, 7):
