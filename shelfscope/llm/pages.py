@@ -9,7 +9,8 @@ its frame, and another belongs to it if all its tokens stand in one gap of the f
 page, a class counts if it is valid there: its tokens keep the host's order. What lies between
 template tokens are slots.
 Slots inside menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
-comments (by element or by a whole class, id or role) are boilerplate, as is text made of
+comments (by element, or by a class, id or role made of such names and of words for place and
+layout alone) are boilerplate, as is text made of
 template words alone and, inside an article or main element, a line that is a template token.
 The remaining slots, in page order, are the main text; where a page has an article or main
 element, those inside it.
@@ -21,7 +22,11 @@ all, else by a join on the host.
 
 Defined results: null or empty html gives an empty text; pages without a usable URL share
 the host ''; hosts with fewer than ``min_pages`` pages have no template; unclosed elements end
-with the page; repeated rows are extracted one by one; an empty table gives no rows.
+with the page; a ``>`` in a quoted attribute doesn't end a tag, a quote that is never closed
+doesn't count; where all text stands in forms, headers or elements with a name that may
+hold an article (``legal``), the one that holds most words is the main text; very long and very deep
+pages take memory in proportion to their length; repeated rows are extracted one by one, rows
+with a null page_id or url like any others; other columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -39,8 +44,9 @@ from pyspark.sql import functions as F
 from .common import written
 
 RAW = "script|style|textarea|title|iframe|noscript|template|svg|xmp|noembed|noframes"
-PART = re.compile(rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*>|<(?=[a-zA-Z])[^>]*\Z|[^<]+|<",
-                  re.S | re.I)
+ATTRIBUTES = r"""(?:[^>=]|=\s*(?:"[^"]*"|'[^']*')?)*+"""
+PART = re.compile(rf"<!--.*?(?:-->|\Z)|<({RAW})\b{ATTRIBUTES}>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)({ATTRIBUTES})>|"
+                  r"<[!?/][^>]*>|<(?=[a-zA-Z])[^>]*\Z|[^<]+|<", re.S | re.I)
 CONTAINERS = {"html", "body", "div", "section", "article", "main", "nav", "header", "footer", "aside", "form", "ul", "ol",
               "dl", "table", "figure", "fieldset", "details", "dialog", "head", "menu", "blockquote", "center"}
 BOILERPLATE = {"head", "nav", "footer", "aside", "form", "menu", "dialog", "button", "select", "option", "label", "object"}
@@ -52,8 +58,18 @@ NAMES = {"nav", "navbar", "navigation", "menu", "header", "masthead", "footer",
          "notices", "alert", "popup", "modal", "overlay", "newsletter", "subscribe", "signup", "login", "share", "sharing", "social",
          "comment", "comments", "disqus", "reply", "replies", "breadcrumb", "breadcrumbs", "pagination", "pager", "related",
          "recommended", "widget", "toolbar", "search", "copyright", "legal", "disclaimer", "contentinfo", "complementary"}
-MARK = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-WORDS = re.compile(r"[a-z]+")
+# names of what readers and advertisers put on a page, known beside more words than the others
+GUESTS = {"ad", "ads", "advert", "adverts", "advertisement", "sponsor", "sponsored", "promo", "comment", "comments", "commentlist",
+          "disqus", "reply", "replies", "related", "recommended"}
+PLACES = {"site", "page", "main", "primary", "secondary", "global", "mobile", "desktop", "top", "bottom", "left", "right", "upper",
+          "lower", "sticky", "fixed", "floating", "user", "area", "bar", "block", "box", "container", "list", "panel", "section", "slot",
+          "thread", "unit", "wrap", "wrapper", "zone", "links", "buttons", "button", "icons", "row", "inner", "outer"}
+GUEST_PLACES = PLACES | {"article", "articles", "author", "blog", "body", "content", "count", "entry", "form", "item", "items", "label",
+                         "meta", "post", "posts", "reader", "readers", "respond", "stories", "story", "text", "title"}
+# names that a page's only text may stand in
+MAY_HOLD = {"legal", "disclaimer", "copyright", "notice", "notices", "header", "search", "widget", "side", "modal", "overlay", "alert"}
+MARK = re.compile(r"""(?<![\w:-])(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 MAIN = {"article", "main"}
 M64 = (1 << 64) - 1
 
@@ -63,76 +79,99 @@ def marked(attributes: str) -> str:
     return " ".join(a or b or c for a, b, c in MARK.findall(attributes)) if "=" in attributes else ""
 
 
-def named(mark: str, main: bool) -> bool:
-    """Whether a whole class, id or role is a boilerplate name or made of such names alone
-    (cookie-notice, not has-sidebar); what an article calls its header is its own."""
+def named(mark: str, main: bool) -> set[str]:
+    """The boilerplate names of the classes, id and role that are made of such names alone or of
+    them and words for place and layout (cookie-notice, comment-list, adSlot, not has-sidebar);
+    what an article calls its header is its own."""
     known = NAMES - {"header"} if main else NAMES
-    return any((w := WORDS.findall(t)) and known.issuperset(w) for t in mark.lower().split())
+    found: set[str] = set()
+    for t in mark.split():
+        w = {x.lower() for x in WORDS.findall(t)}
+        own = w & (known | GUESTS)
+        if own and w - own <= (GUEST_PLACES if own & GUESTS else PLACES):
+            found |= own
+    return found
 
 
 def steps_of(html: str) -> list:
     """The steps of ``walk``, where no element cut by its name, nor a form or header, holds the
     page's main element or, if all its articles stand in such elements and hold more words
-    than the live text outside, its articles."""
+    than the live text outside, its articles. Where no live text is left at all, the outermost
+    form, header or element of a name in ``MAY_HOLD`` with most words isn't cut either."""
     held: list[tuple[str, frozenset]] = []
-    steps = list(walk(html, held=held))
-    if not held:
-        return steps
-    sure = frozenset().union(*[at for name, at in held if name == "main"])
-    if sure:
-        return list(walk(html, sure))
-    if any(main and not out for _, _, _, out, main in steps):
-        return steps
-    size = lambda ss, inside: sum(len(v.split()) for kind, _, v, out, main in ss
-                                  if kind == "x" and not out and main == inside)
-    lifted = list(walk(html, frozenset().union(*[at for _, at in held])))
-    return lifted if size(lifted, True) > size(steps, False) else steps
-
-
-def walk(html: str, lifted: frozenset = frozenset(), held: list | None = None):
-    """(kind, path, value, out, main) of every tag and text: kind t(ag) or x (text), the path of
-    open containers, whether it is boilerplate, and whether it is inside an article or main
-    element. Tags come with their name. Elements that start at a place in ``lifted`` are not
+    words: Counter = Counter()
+    steps = list(walk(html, held=held, words=words))
+    if held:
+        sure = frozenset().union(*[at for name, at in held if name == "main"])
+        if sure:
+            return list(walk(html, sure))
+        if any(main and not out for _, _, _, out, main in steps):
+            return steps
+        size = lambda ss, inside: sum(len(v.split()) for kind, _, v, out, main in ss
+                                      if kind == "x" and not out and main == inside)
+        lifted = list(walk(html, frozenset().union(*[at for _, at in held])))
+        return lifted if size(lifted, True) > size(steps, False) else steps
+    if words and not any(kind == "x" and not out and value.strip() for kind, _, value, out, _ in steps):
+        most = max(words, key=lambda at: (words[at], -at))
+        return list(walk(html, frozenset([most])))
+    return steps
+
+
+def walk(html: str, lifted: frozenset = frozenset(), held: list | None = None, words: Counter | None = None):
+    """(kind, path, value, out, main) of every tag and text: kind t(ag) or x (text), the digest of
+    the path of open containers, whether it is boilerplate, and whether it is inside an article
+    or main element. Tags come with their name. Elements that start at a place in ``lifted`` are not
     cut by their name; ``held`` gathers the articles and main elements that stand only in
-    elements so cut, with the places of these."""
+    elements so cut, with the places of these; ``words`` counts the words that one cut alone
+    takes away, by the place of that cut, if its name may hold a page's text."""
     stack: list[tuple[str, str, bool, bool]] = []    # name, path, boilerplate, main
     cuts: list[int | None] = []                        # start of a cut by name, -1 of another, beside the stack
+    takes: list[int | None] = [None]                   # the only cut that takes the text here away, -1 if more or other
+    live: Counter = Counter()                          # open elements by name
     path, out, main = "", False, False
     for m in PART.finditer(html):
         name = m[3]
         if name is None:
             s = m[0]
             if s[0] != "<" or s == "<":
+                if words is not None and (takes[-1] or -1) >= 0 and not s.isspace():
+                    words[takes[-1]] += len(s.split())
                 yield "x", path, s, out, main
             elif m[1]:                                # a raw element breaks nothing but holds no text
                 yield "t", path, m[1].lower(), out, main
             continue
         name = name.lower()
         if m[2]:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    del stack[k:], cuts[k:]
-                    path, out, main = stack[-1][1:] if stack else ("", False, False)
+            while live[name]:                          # what is open inside it ends with it
+                last = stack.pop()[0]
+                cuts.pop(), takes.pop()
+                live[last] -= 1
+                path, out, main = stack[-1][1:] if stack else ("", False, False)
+                if last == name:
                     break
             yield "t", path, "/" + name, out, main
             continue
         if stack and stack[-1][0] == "p" and name not in INLINE and name not in VOID:
-            stack.pop(), cuts.pop()                   # a block ends an open paragraph
+            stack.pop(), cuts.pop(), takes.pop()      # a block ends an open paragraph
+            live["p"] -= 1
             path, out, main = stack[-1][1:] if stack else ("", False, False)
         mark = marked(m[4])
         yield "t", path, name + ("." + mark if mark else ""), out, main
         hard = name in BOILERPLATE and name != "form"
-        bad = hard or (m.start() not in lifted and (
-            name == "form" or (name == "header" and not main) or bool(mark and named(mark, main))))
+        names = named(mark, main) if mark else set()
+        soft = m.start() not in lifted and (name == "form" or (name == "header" and not main) or bool(names))
+        bad = hard or soft
         if name not in VOID and (name in CONTAINERS or bad) and not m[4].endswith("/"):
             if name in ("html", "body"):
                 bad = False
-            path = f"{path}/{name}" + ("." + mark if mark else "")
+            path = xxhash.xxh64_hexdigest(f"{path}/{name}.{mark}".encode("utf-8", "replace"))
             cuts.append(None if not bad else -1 if hard else m.start())
             if held is not None and name in MAIN and (out or bad) and -1 not in cuts:
                 held.append((name, frozenset(c for c in cuts if c is not None)))
+            takes.append(takes[-1] if not bad else -1 if hard or out or not names <= MAY_HOLD else m.start())
             out, main = out or bad, main or (name in MAIN and not out and not bad)
             stack.append((name, path, out, main))
+            live[name] += 1
 
 
 def host(url) -> object:
@@ -260,7 +299,7 @@ def entry(token: np.ndarray, cls: np.ndarray, place: np.ndarray) -> dict:
     return dict(zip(token.view(np.uint64).tolist(), zip(cls.tolist(), place.tolist())))
 
 
-def extract(pages: DataFrame, max_broadcast: int = 2_000_000, **params) -> DataFrame:
+def extract(pages: DataFrame, max_broadcast: int = 200_000, **params) -> DataFrame:
     """(page_id, url, text)."""
     spark = pages.sparkSession
     tpl = written(templates(pages, **params), "page-templates")

@@ -565,7 +565,7 @@ def test_template_words_go(spark):
     rows += [(100 + i, "http://hot.example/x", "<body><div>same page text here</div></body>") for i in range(50)]
     rows += [(200, None, None), (201, "nonsense", ""), (202, "http://one.example", "<div>only page</div>")]
     d = spark.createDataFrame([(*r, "z") for r in rows], "page_id long, url string, html string, host string")
-    for limit in (2_000_000, 0):                       # template broadcast, and joined by host
+    for limit in (200_000, 0):                       # template broadcast, and joined by host
         got = {i: t for i, _, t in rows_of(pages.extract(d, max_broadcast=limit))}
         assert {i: got[i] for i in own} == own
         assert got[100] == "same page text here" and got[200] == got[201] == "" and got[202] == "only page"
@@ -579,7 +579,7 @@ def test_template_lines_inside_articles_go(spark):
              f"<div><p>{own[i]}</p></div><div>Advert: buy one</div></article></body></html>") for i in own]
     rows += [(100 + i, f"http://m.example/{i}", f"<body><main><p>{own[i]}</p><div>Read on in our app</div></main></body>") for i in own]
     d = spark.createDataFrame(rows, "page_id long, url string, html string")
-    for limit in (2_000_000, 0):
+    for limit in (200_000, 0):
         got = {i: t for i, _, t in rows_of(pages.extract(d, max_broadcast=limit))}
         assert {i: got[i] for i in own} == {i: " ".join(f"{own[i][:9]} {own[i]}".split()) for i in own}
         assert {i: got[100 + i] for i in own} == own
@@ -597,6 +597,42 @@ def test_names_do_not_cut_the_article():
     assert f("<aside><article>teaser</article></aside><div class='ad-1'>x</div>one") == "one"
 
 
+def test_comments_adverts_and_quoted_marks():
+    f = lambda h: pages.main_text("h", h, {})
+    for name in ("comment-list", "comments-area", "commentlist", "disqus_thread", "ad-slot", "adSlot", "user-comments", "site-header",
+                 "post-comments", "related-posts", "cookieBar", "ad_unit_3"):
+        for mark in (f"class='x {name}'", f"id={name}", f'role = "{name}"'):
+            assert f(f"<div><p>own text</p></div><div {mark}><p>he said</p></div>") == "own text"
+            if name != "site-header":
+                assert f(f"<article><p>own text</p><div {mark}><p>he said</p></div></article>") == "own text"
+    for name in ("post-header", "entry-content", "comments-open", "no-sidebar", "page-content", "adaptive", "threads", "main-body"):
+        assert f(f"<div class={name}><p>own</p></div><div>text</div>") == "own text"
+    assert f("<div data-id=comments title='class of ads'>own</div>") == "own"
+    assert f('<p title="a > b" class="x">Hello <a href=\'?q=">"\'>you</a></p>') == "Hello you"
+    assert f("<p title='it is>n't>Hello") == "Hello" and f('<p title="open>Hello') == "Hello"
+    assert f('<script data-x="a>b">var x</script><p a = "1>2">Hello') == "Hello"
+
+
+def test_text_that_stands_in_a_named_element_only():
+    f = lambda h: pages.main_text("h", h, {})
+    assert f("<nav>menu</nav><div class=legal><h1>T</h1><p>a b</p><form>f</form><div class=ads>x y z</div></div><footer>f</footer>") == "T a b"
+    assert f("<body><form><div>a b c</div><input></form><div class=search>s</div></body>") == "a b c"
+    assert f("<div class=cookies>we use them</div><nav>menu</nav>") == ""
+    assert f("<div class=legal>by me</div><p>text") == "text"
+
+
+def test_deep_pages_take_linear_memory():
+    import tracemalloc
+    def peak(n):
+        tracemalloc.start()
+        steps = pages.steps_of("<div class=a>" * n + "<p>x</b>" * n)
+        size = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return size, len(steps)
+    (a, n), (b, m) = peak(2000), peak(8000)
+    assert m == 4 * n and b < 6 * a
+
+
 # -- 3 repeats -------------------------------------------------------------------------------------------
 
 def slow_removal(rows, window):
