@@ -18,9 +18,13 @@ own, worked through in blocks). Three facts keep the work in proportion to the i
 Texts are written once as a table bucketed by shard; later steps bring the small lists of
 anchors and hits to it, so no text is shuffled.
 
+The sorted runs are dealt and shuffled once, without being written; what is written are the
+texts with their anchors, the anchors found twice, and the hits.
+
 Defined results: null and empty texts have 0 bytes and the digest of nothing; texts shorter
 than the window keep all; repeated rows repeat each other; ties (equal hashes in a window) go
-to the first; an empty table gives no rows.
+to the first; a very long text is worked through in blocks; rows with a null doc_id are rows like
+any others; columns beside doc_id and text are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -47,6 +51,7 @@ BASE = 0x9E3779B97F4A7C15 | 1
 M64 = (1 << 64) - 1
 TABLE = np.random.default_rng(97).integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
 MERGE = 1 << 20        # hashes a merge task holds
+MOST_BUCKETS = 20_000  # of the table of texts; beyond 16 MB x this a bucket grows (Spark takes up to 100,000)
 
 _powers: list[np.ndarray] = []
 
@@ -249,7 +254,7 @@ def repeated_inside(b: Block) -> np.ndarray:
 # -- jobs ------------------------------------------------------------------------------------
 
 SHARDS = ("shard long, block int, ids array<long>, sizes array<long>, body binary, "
-          "anchors array<long>, segments array<long>, counts array<int>")
+          "anchors array<long>, segments array<long>")
 
 
 def blocks(text: np.ndarray, ends: np.ndarray, window: int, gram: int):
@@ -263,15 +268,13 @@ def gather(docs: DataFrame, window: int, gram: int) -> DataFrame:
         sizes = [len(x) for x in bodies]
         text, ends = np.frombuffer(body, np.uint8), np.cumsum(sizes, dtype=np.int64)
         for k, b in blocks(text, ends, window, gram):
-            pair, n = np.unique(np.stack([b.anchor, b.segment], axis=1), axis=0, return_counts=True) if len(b.anchor) else (
-                np.zeros((0, 2), np.uint64), np.zeros(0, int))
+            pair = np.unique(np.stack([b.anchor, b.segment], axis=1), axis=0) if len(b.anchor) else np.zeros((0, 2), np.uint64)
             yield pa.RecordBatch.from_arrays([
                 pa.array([shard], pa.int64()), pa.array([k], pa.int32()), pa.array([ids if not k else []], pa.list_(pa.int64())),
                 pa.array([sizes if not k else []], pa.list_(pa.int64())), pa.array([body if not k else None], pa.binary()),
                 pa.array([pair[:, 0].copy().view(np.int64)], pa.list_(pa.int64())),
-                pa.array([pair[:, 1].copy().view(np.int64)], pa.list_(pa.int64())),
-                pa.array([n.astype(np.int32)], pa.list_(pa.int32()))],
-                ["shard", "block", "ids", "sizes", "body", "anchors", "segments", "counts"])
+                pa.array([pair[:, 1].copy().view(np.int64)], pa.list_(pa.int64()))],
+                ["shard", "block", "ids", "sizes", "body", "anchors", "segments"])
 
     def run(batches):
         shard, ids, bodies, size = TaskContext.get().partitionId() << 32, [], [], 0
@@ -305,9 +308,11 @@ def pieces_of(row: dict, window: int, gram: int):
     return text, np.cumsum(row["sizes"], dtype=np.int64)
 
 
-def look(shards: DataFrame, orders: DataFrame, window: int, gram: int) -> DataFrame:
-    """Second pass over the texts: windows known to repeat as (shard, hits), and sorted runs of
-    hashes to merge as (shard, hashes, places)."""
+def look(shards: DataFrame, orders: DataFrame, window: int, gram: int, parts: int) -> DataFrame:
+    """Second pass over the texts: windows known to repeat as (shard, hits), and for each of
+    ``parts`` ranges of hashes the shard's sorted run to merge, as (part, shard, hashes, places)."""
+    edge = np.array([(k << 64) // parts for k in range(1, parts)], np.uint64)
+
     def run(batches):
         for b in batches:
             for row in b.to_pylist():
@@ -336,13 +341,22 @@ def look(shards: DataFrame, orders: DataFrame, window: int, gram: int) -> DataFr
                 fp = np.concatenate(fps) if fps else np.zeros(0, np.uint64)
                 order = np.argsort(fp, kind="stable")
                 place = np.concatenate(places)[order] if fps else np.zeros(0, np.int64)
-                yield pa.RecordBatch.from_pydict({
-                    "shard": pa.array([row["shard"]], pa.int64()), "hits": pa.array([runs(hit)], pa.binary()),
-                    "n": pa.array([len(fp)], pa.int64()), "hashes": pa.array([fp[order].tobytes()], pa.binary()),
-                    "places": pa.array([place.astype(np.int64).tobytes()], pa.binary())})
+                fp, place, shard = fp[order], place.astype(np.uint32), row["shard"]
+                cut = np.concatenate(([0], np.searchsorted(fp, edge), [len(fp)]))
+                live = np.flatnonzero(cut[1:] > cut[:-1])
+                for some in np.split(live, range(10_000, len(live), 10_000)) if len(live) else ():
+                    yield pa.RecordBatch.from_pydict({
+                        "part": pa.array(some.astype(np.int32)), "shard": pa.array(np.full(len(some), shard)),
+                        "hashes": pa.array([fp[cut[k]:cut[k + 1]].tobytes() for k in some], pa.binary()),
+                        "places": pa.array([place[cut[k]:cut[k + 1]].tobytes() for k in some], pa.binary()),
+                        "hits": pa.nulls(len(some), pa.binary())})
+                if len(hit):
+                    yield pa.RecordBatch.from_pydict({
+                        "part": pa.array([shard % parts], pa.int32()), "shard": pa.array([shard], pa.int64()),
+                        "hashes": pa.nulls(1, pa.binary()), "places": pa.nulls(1, pa.binary()), "hits": pa.array([runs(hit)], pa.binary())})
     d = shards.where("block = 0").select("shard", "sizes", "body").join(orders, "shard", "left")
     return d.select("shard", "sizes", "body", "keys", "acts").mapInArrow(
-        run, "shard long, hits binary, n long, hashes binary, places binary")
+        run, "part int, shard long, hashes binary, places binary, hits binary")
 
 
 def runs(s: np.ndarray) -> bytes:
@@ -354,24 +368,15 @@ def runs(s: np.ndarray) -> bytes:
 
 
 def merged(found: DataFrame, parts: int) -> DataFrame:
-    """(shard, hits): places whose hash is in the runs of two shards (or twice in one)."""
-    edge = np.array([(k << 64) // parts for k in range(1, parts)], np.uint64)
-
-    def deal(batches):
-        for b in batches:
-            for shard, h, p in zip(*(b.column(c).to_pylist() for c in range(3))):
-                h, p = np.frombuffer(h, np.uint64), np.frombuffer(p, np.int64)
-                cut = [0, *np.searchsorted(h, edge).tolist(), len(h)]
-                live = [k for k in range(parts) if cut[k + 1] > cut[k]]
-                yield pa.RecordBatch.from_pydict({
-                    "part": pa.array(live, pa.int32()), "shard": pa.array([shard] * len(live), pa.int64()),
-                    "hashes": pa.array([h[cut[k]:cut[k + 1]].tobytes() for k in live], pa.binary()),
-                    "places": pa.array([p[cut[k]:cut[k + 1]].tobytes() for k in live], pa.binary())})
-
+    """(shard, hits): the hits known already, and places whose hash is in the runs of two shards
+    (or twice in one). A task takes its ranges of hashes one after another."""
     def join(batches):
         part, held = None, []
         for b in batches:
             for row in zip(*(c.to_pylist() for c in b.columns)):
+                if row[4] is not None:
+                    yield pa.RecordBatch.from_pydict({"shard": pa.array([row[1]], pa.int64()), "hits": pa.array([row[4]], pa.binary())})
+                    continue
                 if row[0] != part and held:
                     yield from common(held)
                     held = []
@@ -392,11 +397,9 @@ def merged(found: DataFrame, parts: int) -> DataFrame:
             if ok.any():
                 yield pa.RecordBatch.from_pydict({
                     "shard": pa.array([r[1]], pa.int64()),
-                    "hits": pa.array([runs(np.sort(np.frombuffer(r[3], np.int64)[ok]))], pa.binary())})
+                    "hits": pa.array([runs(np.sort(np.frombuffer(r[3], np.uint32)[ok].astype(np.int64)))], pa.binary())})
 
-    dealt = found.where("n > 0").select("shard", "hashes", "places").mapInArrow(
-        deal, "part int, shard long, hashes binary, places binary")
-    return dealt.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(join, "shard long, hits binary")
+    return found.repartition(min(parts, MOST_BUCKETS), "part").sortWithinPartitions("part").mapInArrow(join, "shard long, hits binary")
 
 
 def remove(shards: DataFrame, hits: DataFrame, window: int, with_text: bool) -> DataFrame:
@@ -435,10 +438,11 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, with
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept): ``kept`` is what is left, as
     bytes (null unless ``with_text``; a cut may fall inside a character)."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = bucketed(gather(docs, window, gram), "shard", max(4, int(size >> 24)))
-    one = (shards.select("shard", "block", F.explode(F.arrays_zip("anchors", "segments", "counts")).alias("a"))
-           .select("shard", "block", F.col("a.anchors").alias("anchor"), F.col("a.segments").alias("segment")))
-    place = F.struct("shard", "block")
+    shards = bucketed(gather(docs, window, gram), "shard", min(MOST_BUCKETS, max(4, int(size >> 24))))
+    # a place is a shard and its block (a text has fewer than 2 ** 31 bytes, so fewer than 2 ** 12 blocks)
+    one = (shards.select((F.col("shard") * 4096 + F.col("block")).alias("place"), F.explode(F.arrays_zip("anchors", "segments")).alias("a"))
+           .select("place", F.col("a.anchors").alias("anchor"), F.col("a.segments").alias("segment")))
+    place = F.col("place")
     shared = one.groupBy("anchor").agg(F.min(place).alias("p"), F.max(place).alias("q"),
                                        F.min("segment").alias("s"), F.max("segment").alias("t"))
     shared = shared.where("p != q").select("anchor", (F.col("s") != F.col("t")).alias("differ"))
@@ -446,23 +450,22 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, with
     same = met.where("differ").groupBy(F.col("anchor").alias("_a"), F.col("segment").alias("_s")).agg(
         F.min(place).alias("owner"), F.count("*").alias("places"))
     told = met.where("differ").join(same, (F.col("anchor") == F.col("_a")) & (F.col("segment") == F.col("_s"))).select(
-        "shard", "block", "anchor", "segment",
+        "place", "anchor", "segment",
         ((F.col("places") > 1).cast("long") + 2 * (F.col("owner") == place).cast("long")).alias("act"))
     told = told.where("act > 0").unionByName(met.where("not differ").select(
-        "shard", "block", "anchor", "segment", F.lit(1).cast("long").alias("act")))
+        "place", "anchor", "segment", F.lit(1).cast("long").alias("act")))
 
     def keyed(batches):
         for b in batches:
-            block, anchor, segment = (b.column(k).to_numpy() for k in (1, 2, 3))
-            own = mix(anchor.view(np.uint64) + block.astype(np.uint64) * np.uint64(BASE)) ^ segment.view(np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(own.view(np.int64)), b.column(4)], ["shard", "key", "act"])
-    told = told.mapInArrow(keyed, "shard long, key long, act long")
+            at, anchor, segment = (b.column(k).to_numpy() for k in (0, 1, 2))
+            own = mix(anchor.view(np.uint64) + (at % 4096).astype(np.uint64) * np.uint64(BASE)) ^ segment.view(np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(at // 4096), pa.array(own.view(np.int64)), b.column(3)], ["shard", "key", "act"])
+    told = written(told.mapInArrow(keyed, "shard long, key long, act long"), "repeats-told")
     orders = told.groupBy("shard").agg(F.collect_list(F.struct("key", "act")).alias("o")).select(
         "shard", F.col("o.key").alias("keys"), F.col("o.act").alias("acts"))
-    found = written(look(shards, orders, window, gram), "repeats-found")
-    total = found.agg(F.sum("n")).first()[0] or 0
-    hits = merged(found, max(1, int(total // MERGE) + 1)).unionByName(
-        found.where("length(hits) > 0").select("shard", "hits"))
+    # a segment has at most window - gram + 1 windows; the hashes are only shuffled, never written
+    parts = told.where("act >= 2").count() * (window - gram + 1) // MERGE + 1
+    hits = written(merged(look(shards, orders, window, gram, parts), parts), "repeats-hits")
     return remove(shards, hits, window, with_text)
 
 
