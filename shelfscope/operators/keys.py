@@ -19,7 +19,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import written
+from ..session import together, written
 
 
 def _cols(xs):
@@ -60,13 +60,17 @@ def ranks_within_groups(df: DataFrame, group_cols: Sequence[str],
     The rows are written once. Each rank is found on a narrow copy (key and order columns), and
     the copies are joined to the rows on the key, which shuffles the wide rows once for all."""
     rows = written(df, "rows-to-rank")
-    out = rows
-    for name, order in ranks.items():
+
+    def ranked(name: str, order: Sequence) -> DataFrame:
         parts = [(F.col(o), False) if isinstance(o, str) else o for o in order]
         narrow = rows.select(*key, *[c.alias(f"_o{i}") for i, (c, _) in enumerate(parts)])
-        ranked = rank_within_groups(narrow, group_cols,
-                                    [F.col(f"_o{i}").desc() if down else F.col(f"_o{i}") for i, (_, down) in enumerate(parts)], name)
-        out = out.join(ranked.select(*key, name), list(key))
+        return rank_within_groups(narrow, group_cols,
+                                  [F.col(f"_o{i}").desc() if down else F.col(f"_o{i}") for i, (_, down) in enumerate(parts)],
+                                  name).select(*key, name)
+
+    out = rows
+    for r in together(df.sparkSession, *[lambda n=n, o=o: ranked(n, o) for n, o in ranks.items()]):
+        out = out.join(r, list(key))
     return out
 
 

@@ -1,6 +1,7 @@
 """Exact quantiles of groups of any size, by selection across tasks.
 
-Nothing orders a group. Each round cuts the value range that still holds a wanted position
+Groups of at most ``SMALL`` rows are sorted as one array each: a bound that holds whatever the
+input. Nothing orders a larger group. Each round cuts the value range that still holds a wanted position
 into ``CELLS`` equal cells and counts the rows per cell (combined map-side, so a hot group is a few
 thousand rows per task); of a cell only count, least and greatest value are kept. The cell that
 holds the position is the next round's range, until its least and greatest value are the same: the
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from ..session import written
 
 CELLS = 2048
+SMALL = 4096
 RUNNING = ("aggregate(_cells, named_struct('s', cast(array() as array<struct<lo: double, hi: double, below: bigint, n: bigint>>), 'm', _below), "
            "(a, c) -> named_struct('s', concat(a.s, array(named_struct('lo', c.lo, 'hi', c.hi, 'below', a.m, 'n', c.n))), 'm', a.m + c.n), "
            "a -> a.s)")
@@ -33,6 +35,15 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mappi
     places = F.array_distinct(F.array(*[f(at(p)).cast("long") for p in probs.values() for f in (F.floor, F.ceil)]))
     whole = rows.groupBy(*mine).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
     sizes = written(whole.withColumn("_at", places), "quantile-groups")
+    named = lambda d, pick: d.select(*[F.col(m).alias(c) for m, c in zip(mine, k)], *[
+        (pick(p, F.floor) + (pick(p, F.ceil) - pick(p, F.floor)) * (at(p) - F.floor(at(p)))).alias(name) for name, p in probs.items()])
+    few = sizes.where(F.col("_n") <= SMALL).select(*[F.col(m).alias(f"_f{i}") for i, m in enumerate(mine)])
+    sorted_ = rows.join(few, [F.col(m).eqNullSafe(F.col(f"_f{i}")) for i, m in enumerate(mine)], "left_semi").groupBy(*mine).agg(
+        F.count(F.lit(1)).alias("_n"), F.sort_array(F.collect_list("_v")).alias("_s"))
+    small = written(named(sorted_, lambda p, f: F.get("_s", f(at(p)).cast("int"))), "quantile-small")
+    sizes = sizes.where(F.col("_n") > SMALL)
+    if sizes.isEmpty():
+        return small
     # a range: its bounds, the rows of its group below it, the positions it holds
     ranges = sizes.select(*mine, "_lo", "_hi", F.lit(0).cast("long").alias("_below"), "_at")
     found = None
@@ -58,6 +69,4 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mappi
     values = found.groupBy(*mine).agg(F.map_from_entries(F.collect_list(F.struct("_p", "_x"))).alias("_values"))
     j = sizes.join(values.select(*[F.col(m).alias(f"_j{i}") for i, m in enumerate(mine)], "_values"),
                    [F.col(m).eqNullSafe(F.col(f"_j{i}")) for i, m in enumerate(mine)])
-    pick = lambda p, f: F.col("_values")[f(at(p)).cast("long")]
-    return j.select(*[F.col(m).alias(c) for m, c in zip(mine, k)], *[
-        (pick(p, F.floor) + (pick(p, F.ceil) - pick(p, F.floor)) * (at(p) - F.floor(at(p)))).alias(name) for name, p in probs.items()])
+    return small.unionByName(named(j, lambda p, f: F.col("_values")[f(at(p)).cast("long")]))

@@ -14,7 +14,7 @@ import threading
 from pyspark.sql import DataFrame, SparkSession
 
 from ..config import DEFAULT, Params
-from ..session import scratch_path
+from ..session import scratch_path, together
 from ..sources import adapter
 
 _LOCK = threading.RLock()
@@ -29,14 +29,15 @@ class Warehouse:
         self.p = params
         self.materialize = materialize
         self._tables: dict[str, DataFrame] = {}
+        self._locks: dict[str, threading.RLock] = {}
         tag = hashlib.sha1(f"{sf_dir}|{params.as_of}".encode()).hexdigest()[:10]
         self._prefix = f"wh-{tag}-{spark.sparkContext.applicationId}"
 
     # -- materialisation ---------------------------------------------------
     def table(self, name: str, build) -> DataFrame:
-        if name in self._tables:
-            return self._tables[name]
         with _LOCK:
+            lock = self._locks.setdefault(name, threading.RLock())
+        with lock:  # a table is built once; different ones may be built side by side
             if name in self._tables:
                 return self._tables[name]
             df = build()
@@ -112,9 +113,10 @@ class Warehouse:
     def fact(self, name: str) -> DataFrame:
         from . import facts
         if name == "fct_daily_prices":
+            self.tru()  # all dimensions read it
+            dims = ["dim_product", "dim_store", "dim_region", "dim_date", "dim_brand", "dim_ean"]
             return self.table(name, lambda: facts.fct_daily_prices(
-                self.tru(), self.dim("dim_product"), self.dim("dim_store"), self.dim("dim_region"),
-                self.dim("dim_date"), self.dim("dim_brand"), self.dim("dim_ean")))
+                self.tru(), *together(self.spark, *[lambda d=d: self.dim(d) for d in dims])))
         builders = {
             "fct_active_promotions": lambda: facts.fct_active_promotions(self.fact("fct_daily_prices")),
             "fct_hot_deals_validated": lambda: facts.fct_hot_deals_validated(

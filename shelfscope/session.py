@@ -7,7 +7,10 @@ import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 # Session settings every job relies on: UTC wall clock (timestamps have no
@@ -109,6 +112,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def together(spark: SparkSession, *work: Callable) -> Sequence:
+    """The results of independent pieces of work whose jobs run side by side, so that the small
+    stages of one fill the cores that another leaves idle. The first error is raised."""
+    with ThreadPoolExecutor(len(work)) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(w)) for w in work]]
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path is there. Other errors (permissions, a store that is down) are raised."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)

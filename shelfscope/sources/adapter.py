@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config
-from .tables import read_table
+from .tables import read_table, spread
 
 
 def _pick(values: list[str], idx: Column) -> Column:
@@ -39,8 +39,8 @@ def _region_idx() -> Column:
 
 def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One flat SKU offer per lineitem row (product x store x region x scrape)."""
-    li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey",
-                    "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_shipdate")
+    li = spread(read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey",
+                           "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_shipdate"))
     part = read_table(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand", "p_size")
     # part grows with the data: plain equi-join, Spark/AQE decide broadcast by measured size.
     df = li.join(part, li.l_partkey == part.p_partkey, "inner")
@@ -194,7 +194,7 @@ def scraper_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     response time = value x 100 ms (whole ms); an 'error' event is a failed
     batch (HTTP 500, one retry).
     """
-    ev = read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value") \
+    ev = spread(read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value")) \
         .withColumn("ts", F.col("ts").cast("timestamp"))  # no zone in the data: session zone is UTC
     u = F.col("user_id")
     rt = F.round(F.col("value") * 100, 0)
@@ -277,7 +277,7 @@ def product_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     price text in Brazilian format ("R$ 1.234,56"); no JSON-LD at all on every
     17th page (CSS only).
     """
-    part = read_table(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand", "p_retailprice")
+    part = spread(read_table(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand", "p_retailprice"))
     k = F.col("p_partkey")
     ks = k.cast("string")
     store = _pick(config.ADAPTER_STORES, F.pmod(k, F.lit(5)).cast("int"))
@@ -424,8 +424,8 @@ def full_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
     price (o mod 13 = 0), a negative tax (o mod 17 = 0), a negative reward (o mod 19 = 0), a
     percentage above 100 in the second promotion (o mod 23 = 0), a negative discount in the
     first (o mod 29 = 0), a blank image address (o mod 31 = 0); even lines have images by http."""
-    li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
-                    "l_extendedprice", "l_discount")
+    li = spread(read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
+                           "l_extendedprice", "l_discount"))
     o, ln = F.col("l_orderkey"), F.col("l_linenumber")
     hit = lambda n: F.pmod(o, F.lit(n)) == 0
     price = F.expr("(cast(round(l_extendedprice * 100) as bigint) div cast(l_quantity as bigint)) / 100.0")

@@ -22,3 +22,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataF
         raise ValueError(f"unknown table {name!r}")
     df = spark.read.parquet(table_path(sf_dir, name))
     return df.select(*cols) if cols else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A scan with fewer than two splits a core, dealt to all cores. A Parquet file is split by row
+    groups, so a small table in one file is one task however wide the rows made from it get. A
+    table of many files keeps its splits and is not shuffled."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < 2 * cores else df

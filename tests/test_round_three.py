@@ -9,12 +9,13 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from shelfscope import session
 from shelfscope.functions import validate as V
 from shelfscope.operators import keys, quantiles, scd
 from shelfscope.plans import dims, enrichment, incremental
 from shelfscope.sinks import writers
 from shelfscope.sinks.published import Published, VersionTaken
-from shelfscope.sources import bronze
+from shelfscope.sources import bronze, tables
 from shelfscope.streaming import jobs
 
 CODES = [f"{i:013d}" for i in range(6)]
@@ -283,8 +284,10 @@ def test_category_trees_of_any_depth(spark):
 
 # -- selection and ranks ----------------------------------------------------------------------------
 
-def test_quantiles_by_selection(spark, monkeypatch):
+@pytest.mark.parametrize("small", [0, 45, 4096])
+def test_quantiles_by_selection(spark, monkeypatch, small):
     monkeypatch.setattr(quantiles, "CELLS", 64)
+    monkeypatch.setattr(quantiles, "SMALL", small)
     rng = random.Random(5)
     data = {"hot": [round(rng.lognormvariate(2, 2), 2) for _ in range(3000)], "flat": [7.0] * 50, "two": [1.0, 1e9], "one": [3.5],
             None: [float(rng.randrange(-5, 5)) for _ in range(41)], "tiny": [1e-300, 2e-300, 0.0, -1e300]}
@@ -298,6 +301,28 @@ def test_quantiles_by_selection(spark, monkeypatch):
         assert np.allclose(found[g], np.quantile(vs, list(probs.values())), rtol=1e-12)
 
 
+def test_one_row_group_is_dealt_to_all_cores(spark, tmp_path):
+    spark.range(50_000).selectExpr("id", "cast(id % 7 as string) as name").coalesce(1).write.parquet(str(tmp_path / "one"))
+    spark.range(5_000).repartition(40).write.option("parquet.block.size", 1024).parquet(str(tmp_path / "many"))
+    one, many = (spark.read.parquet(str(tmp_path / n)) for n in ("one", "many"))
+    got = tables.spread(one)
+    assert got.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert min(got.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()) > 0
+    assert got.agg(F.count("*"), F.sum("id")).first() == one.agg(F.count("*"), F.sum("id")).first()
+    plan = got.where("id > 49000").select("id")._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(id,49000)" in plan and "name" not in plan.split("ReadSchema")[1]
+    with pytest.MonkeyPatch.context() as m:          # a table with splits enough keeps them
+        m.setattr(type(spark.sparkContext), "defaultParallelism", property(lambda self: 1))
+        splits = many.rdd.getNumPartitions()
+        assert splits >= 2 and tables.spread(many).rdd.getNumPartitions() == splits
+
+
+def test_independent_work_side_by_side(spark):
+    assert [r.first()[0] for r in session.together(spark, *[lambda n=n: spark.range(n).selectExpr("count(*)") for n in (3, 4)])] == [3, 4]
+    with pytest.raises(ValueError, match="second"):
+        session.together(spark, lambda: 1, lambda: (_ for _ in ()).throw(ValueError("second")))
+
+
 def test_ranks_of_narrow_rows(spark):
     rng = random.Random(6)
     rows = [("g" if i % 3 else "h", i, rng.randrange(5), float(rng.randrange(4)), "wide" * 20) for i in range(500)]
