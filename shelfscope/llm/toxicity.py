@@ -10,13 +10,15 @@ by the share of their words that stand out in toxic documents, cut at quantiles.
 
 Words are counted against the labels by Spark; the classifier is fitted on the driver on the
 known words of a bounded sample of labelled documents (``max_rows``, those with the lowest
-hash of their id) and a bounded vocabulary (``max_features``, ``min_docs``, and a chi-square
-of at least ``min_chi`` against the label). All documents are scored, each batch as one
+hash of their id): every word of at least ``min_docs`` of its documents with a chi-square of at least
+``min_chi`` against the label. All documents are scored, each batch as one
 sparse sum over the broadcast weights.
 
 Defined results: null or wordless text has the intercepts alone; documents without a label
-are not learned from; a document labelled twice counts as toxic if any label says so; without
-a toxic and a clean label the severity is 0 for all; repeated rows are scored one by one.
+are not learned from; a document labelled twice counts as toxic if any label says so, and of several
+texts under one id the least is learned from; without a toxic and a clean label the severity is
+0 for all; repeated rows and rows without an id are scored one by one; very long texts are scored
+whole; other columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -88,8 +90,7 @@ def fit_ordinal(row, col, val, grade: np.ndarray, width: int, penalty: float = 5
 
 
 def train(docs: DataFrame, labels: DataFrame, grades: int = 3, max_rows: int = 20_000,
-          max_features: int = 50_000, min_docs: int = 3,
-          min_chi: float = 10.83):
+          min_docs: int = 3, min_chi: float = 10.83):
     """(vocabulary, weights, thresholds) from documents with a ``toxic`` label."""
     lab = (labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
            .select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("toxic")))
@@ -107,8 +108,7 @@ def train(docs: DataFrame, labels: DataFrame, grades: int = 3, max_rows: int = 2
            / (F.lit(float(n1) * n0) * seen * F.greatest(n1 + n0 - seen, F.lit(0.5))))
     words = (rows.select("toxic", F.explode(F.array_distinct("h")).alias("w")).groupBy("w")
              .agg(F.count("*").alias("seen"), F.sum("toxic").alias("bad")).where(seen >= min_docs)
-             .withColumn("chi", chi).where(F.col("chi") >= min_chi)
-             .orderBy(F.col("chi").desc(), "w").limit(max_features).toArrow())
+             .where(chi >= min_chi).toArrow())         # bounded by the sample
     word, seen, bad = (words.column(k).to_numpy() for k in ("w", "seen", "bad"))
     by = np.argsort(word)
     vocabulary, seen, bad = word[by], seen[by], bad[by]

@@ -1,6 +1,7 @@
 """The training-data operators against brute force, and their defined results at the edges."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -483,6 +484,41 @@ def test_gradient_matches_differences():
         assert abs(slope) < 1e-6 or np.sign(w[k] - w0[k]) == -np.sign(slope)
 
 
+def test_toxicity_scores_against_brute_force(spark):
+    def features(text):
+        ws = [w for w in re.split(r"[^a-z\u00e0-\u00ff]+", (text or "").lower()) if w]
+        seed = xxhash.xxh64_intdigest("stem", 42)
+        hashes = [xxhash.xxh64_intdigest(w, 42) for w in ws] + [xxhash.xxh64_intdigest(w[:6], seed) for w in ws if len(w) > 6]
+        return [h - (1 << 64) if h >> 63 else h for h in hashes]
+
+    rng = random.Random(8)
+    vocabulary = ["kind", "Reader", "garbage", "horrible", "horribly", "caf\u00e9", "of", "a"]
+    texts = [" ".join(rng.choices(vocabulary, k=rng.randrange(1, 40))) + rng.choice([".", " 12!", ""]) for _ in range(60)]
+    texts += [None, "", "... 12 34", "unknown words alone", "garbage " * 50_000]
+    docs = spark.createDataFrame([(None if i == 3 else i, t) for i, t in enumerate(texts)] + [(5, texts[5])], "doc_id long, text string")
+    known = np.array(sorted(set(features("garbage horrible horribly caf\u00e9 kind"))), np.int64)
+    w, b = np.linspace(-1, 1, len(known)), np.array([0.5, 1.25, 3.0])
+    weight = dict(zip(known.tolist(), w))
+    want = []
+    for i, t in [*enumerate(texts), (5, texts[5])]:
+        z = sum(weight[h] * (1 + math.log(n)) for h, n in Counter(features(t)).items() if h in weight)
+        p = [1 / (1 + math.exp(k - z)) for k in b]
+        want.append((-1 if i == 3 else i, sum(p), p[0]))
+    got = sorted((-1 if r.doc_id is None else r.doc_id, r.severity, r.p_toxic) for r in toxicity.score(docs, (known, w, b)).collect())
+    assert np.allclose(got, sorted(want), rtol=1e-9)
+
+
+def test_toxicity_keeps_every_word_that_tells(spark):
+    # more words than rows, each in three documents of one kind: none is left out
+    bad = [" ".join(f"bad{chr(97 + i // 3 % 26)}{chr(97 + i // 78)}{chr(97 + j)}x" for j in range(26)) for i in range(300)]
+    rows = [(i, t, 1) for i, t in enumerate(bad)] + [(1000 + i, f"good words{chr(97 + i % 26)}", 0) for i in range(300)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    vocabulary, w, b = toxicity.train(d.drop("toxic"), d.drop("text"), min_chi=0.0)
+    words = {x for t in bad for x in t.split()}
+    found = {h - (1 << 64) if h >> 63 else h for h in (xxhash.xxh64_intdigest(x, 42) for x in words)}
+    assert len(words) == 2600 and found <= set(vocabulary.tolist()) and len(w) == len(vocabulary)
+
+
 def test_toxicity_held_out(spark, docs, empty):
     rng = random.Random(9)
     bad = ["vilewort", "hatemuck", "scumlet"]
