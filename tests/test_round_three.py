@@ -362,3 +362,22 @@ def test_store_regions_differ(spark):
     assert len({s for s, _ in seed}) == 7 and len(seed) == 47
     assert seed["bistek", "florianopolis_costeira"] != seed["fort", "florianopolis_costeira"]
     assert ("giassi", "florianopolis_costeira") not in seed
+
+
+# -- entry ---------------------------------------------------------------------------------------------
+
+def test_entry_without_a_library_or_the_subpackage(monkeypatch):
+    import __spark_entry__ as entry
+
+    def missing(name):
+        def load(module):
+            raise ModuleNotFoundError(f"No module named {name!r}", name=name)
+        return load
+    monkeypatch.setattr(entry.importlib, "import_module", missing("shelfscope.llm"))
+    assert "M-14" in entry.queries() and "pipeline" not in entry.queries() and "M-14" in entry.oracle_sql()
+    monkeypatch.setattr(entry.importlib, "import_module", missing("somelibrary"))
+    with pytest.warns(UserWarning, match="somelibrary"):
+        assert "M-14" in entry.queries()
+    monkeypatch.setattr(entry.importlib, "import_module", missing("shelfscope.session"))
+    with pytest.raises(ModuleNotFoundError):
+        entry.queries()
