@@ -31,13 +31,19 @@ def _scd_id(key: Sequence[str], ts: str) -> Column:
     return F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in key], F.col(ts).cast("string")))
 
 
+def _laid(df: DataFrame, near: Sequence[str], key: Sequence[str]) -> DataFrame:
+    """``df`` in ranges of ``near`` and the key, if there is something to lie near by."""
+    return df.repartitionByRange(*near, *key) if near else df
+
+
 def history_from_observations(obs: DataFrame, key: Sequence[str], ts: str, attrs: Sequence[str],
                               strategy: str = "timestamp",
-                              check_cols: Sequence[str] | None = None) -> DataFrame:
-    """Full SCD-2 history from all observations (one row per key and ts)."""
-    k = list(key)
-    w = Window.partitionBy(*k).orderBy(ts)
-    base = obs.select(*k, *attrs, ts) if ts not in attrs else obs.select(*k, *attrs)
+                              check_cols: Sequence[str] | None = None, near: Sequence[str] = ()) -> DataFrame:
+    """Full SCD-2 history from all observations (one row per key and ts). ``near`` names columns
+    of ``obs`` that follow from the key: the history comes in their order, task by task, with them."""
+    k, n = list(key), list(near)
+    w = Window.partitionBy(*n, *k).orderBy(ts)
+    base = _laid(obs.select(*n, *k, *attrs, *([] if ts in attrs else [ts])), n, k)
     if strategy == "timestamp":
         v = base.withColumn("valid_from", F.col(ts))
     elif strategy == "check":
@@ -46,7 +52,7 @@ def history_from_observations(obs: DataFrame, key: Sequence[str], ts: str, attrs
                  .withColumn("valid_from", F.col(ts)))
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
-    wv = Window.partitionBy(*k).orderBy("valid_from")
+    wv = Window.partitionBy(*n, *k).orderBy("valid_from")
     return (v.withColumn("valid_to", F.lead("valid_from").over(wv))
              .withColumn("scd_id", _scd_id(k, "valid_from"))
              .withColumn("updated_at", F.col(ts)))
@@ -54,7 +60,7 @@ def history_from_observations(obs: DataFrame, key: Sequence[str], ts: str, attrs
 
 def merge(history: DataFrame, batch: DataFrame, key: Sequence[str], ts: str, attrs: Sequence[str],
           strategy: str = "timestamp", check_cols: Sequence[str] | None = None,
-          hard_deletes: str = "ignore", as_of=None) -> DataFrame:
+          hard_deletes: str = "ignore", as_of=None, near: Sequence[str] = ()) -> DataFrame:
     """Apply ``batch`` observations to ``history``; returns the new full history.
 
     hard_deletes: 'ignore' | 'invalidate' (close the current version of keys
@@ -65,44 +71,63 @@ def merge(history: DataFrame, batch: DataFrame, key: Sequence[str], ts: str, att
     Check strategy: a row is a version only when its watched columns differ from
     the row before it. Late observations take their place in the key's history: the
     versions of every key in the batch are laid out again (one product in one store x
-    region, bounded by its scrape days); other keys keep theirs untouched.
+    region, bounded by its scrape days); other keys keep theirs untouched. A NULL in a key equals
+    nothing: versions with one stay as they are.
+
+    History and batch are shuffled once, together: whether a key is in the batch and whether an
+    observation is known is read off the rows of the key. ``near`` as in ``history_from_observations``,
+    of ``history`` and ``batch`` both.
     """
-    k = list(key)
-    cols = [*k, *[a for a in attrs if a != ts], ts]
+    if hard_deletes != "ignore":
+        if as_of is None:
+            raise ValueError("as_of is required to invalidate deleted keys")
+        if hard_deletes not in ("invalidate", "new_record"):
+            raise ValueError(f"unknown hard_deletes {hard_deletes!r}")
+    k, n = list(key), list(near)
+    cols = [*n, *k, *[a for a in attrs if a != ts], ts]
     out_cols = list(history.columns)
     flagged = "is_deleted" in out_cols
     h = history if flagged else history.withColumn("is_deleted", F.lit(False))
-    seen = batch.select(*k).distinct()
-    old = h.join(seen, k, "left_semi").select(*cols, "is_deleted", F.col("valid_from").alias("_at"), F.col("valid_to").alias("_end"))
-    known = old.where(~F.col("is_deleted")).select(*k, F.col(ts))
-    fresh = batch.select(*cols).join(known, [*k, ts], "left_anti").select(
-        *cols, F.lit(False).alias("is_deleted"), F.col(ts).cast("timestamp").alias("_at"), F.lit(None).cast("timestamp").alias("_end"))
-    both = old.unionByName(fresh)
-    w = Window.partitionBy(*k).orderBy("_at", F.desc("is_deleted"))
+    extra = [c for c in out_cols if c not in (*cols, "valid_from", "valid_to", "scd_id", "updated_at", "is_deleted")]
+    nowhere = F.coalesce(*[F.when(F.col(c).isNull(), True) for c in k], F.lit(False))
+    # ids and times that follow from key and start needn't travel
+    differs = lambda c, usual: F.when(~F.col(c).eqNullSafe(usual), F.struct(F.col(c)))
+    old = h.select(*cols, *extra, "is_deleted", F.col("valid_from").alias("_at"), F.col("valid_to").alias("_end"),
+                   differs("scd_id", _scd_id(k, "valid_from")).alias("_id"),
+                   differs("updated_at", F.col("valid_from")).alias("_updated"), F.lit(0).alias("_new"))
+    new = batch.select(*cols, F.lit(False).alias("is_deleted"), F.col(ts).cast("timestamp").alias("_at"),
+                       F.lit(None).cast("timestamp").alias("_end"), F.lit(1).alias("_new"))
+    both = old.unionByName(new, allowMissingColumns=True).withColumn("_apart", F.when(nowhere, F.col("_new")).otherwise(0))
+    part = [*n, *k, "_apart"]
+    both = _laid(both, n, [*k, "_apart"])
+    stored = F.when((F.col("_new") == 0) & ~F.col("is_deleted"), 1)
+    both = (both.withColumn("_known", F.max(stored).over(Window.partitionBy(*part, ts)))
+                .withColumn("_seen", F.max("_new").over(Window.partitionBy(*part)) == 1)
+                .where((F.col("_new") == 0) | F.col("_known").isNull() | F.col(ts).isNull()))
+    w = Window.partitionBy(*part).orderBy("_at", F.desc("is_deleted"))
+    seen = F.col("_seen")
     if strategy == "check":
-        both = both.withColumn("_chg", _changed(["is_deleted", *(check_cols or attrs)], w)).where("_chg").drop("_chg")
-    both = (both.withColumn("valid_from", F.col("_at"))
-                # an end set by a deletion stays unless a version comes before it
-                .withColumn("valid_to", F.least(F.lead("_at").over(w), "_end"))
-                .withColumn("scd_id", _scd_id(k, "valid_from"))
-                .withColumn("updated_at", F.col("_at")).drop("_at", "_end"))
-    merged = h.join(seen, k, "left_anti").unionByName(both, allowMissingColumns=True)
+        both = both.withColumn("_chg", _changed(["is_deleted", *(check_cols or attrs)], w)).where(~seen | F.col("_chg"))
+    m = (both.withColumn("valid_from", F.col("_at"))
+             # an end set by a deletion stays unless a version comes before it
+             .withColumn("valid_to", F.when(seen, F.least(F.lead("_at").over(w), "_end")).otherwise(F.col("_end")))
+             .withColumn("scd_id", F.when(seen | F.col("_id").isNull(), _scd_id(k, "valid_from")).otherwise(F.col("_id.scd_id")))
+             .withColumn("updated_at", F.when(seen | F.col("_updated").isNull(), F.col("_at")).otherwise(F.col("_updated.updated_at")))
+             .withColumns({c: F.when(~seen, F.col(c)) for c in extra}))
     if hard_deletes == "ignore":
-        return merged.select(*out_cols)
-    if as_of is None:
-        raise ValueError("as_of is required to invalidate deleted keys")
+        return m.select(*out_cols)
     close_at = F.lit(as_of).cast("timestamp")
-    live = F.col("valid_to").isNull() & ~F.col("is_deleted")
-    m = merged.join(seen.withColumn("_seen", F.lit(True)), k, "left").withColumn("_gone", live & F.col("_seen").isNull()).drop("_seen")
-    closed = m.withColumn("valid_to", F.when(F.col("_gone"), close_at).otherwise(F.col("valid_to")))
-    if hard_deletes == "new_record":
-        tombs = (m.where("_gone").withColumn("valid_from", close_at).withColumn("valid_to", F.lit(None).cast("timestamp"))
-                 .withColumn("scd_id", _scd_id(k, "valid_from")).withColumn("updated_at", close_at)
-                 .withColumn("is_deleted", F.lit(True)))
-        closed = closed.unionByName(tombs)
-    elif hard_deletes != "invalidate":
-        raise ValueError(f"unknown hard_deletes {hard_deletes!r}")
-    return closed.select(*out_cols, *([] if flagged else ["is_deleted"]))
+    gone = F.col("valid_to").isNull() & ~F.col("is_deleted") & (~seen | nowhere)
+    m = m.withColumn("_gone", F.coalesce(gone, F.lit(False)))
+    m = m.withColumn("_tomb", F.explode(F.when(F.col("_gone") & F.lit(hard_deletes == "new_record"), F.array(F.lit(False), F.lit(True)))
+                                        .otherwise(F.array(F.lit(False)))))
+    tomb = F.col("_tomb")
+    m = (m.withColumn("valid_to", F.when(F.col("_gone") & ~tomb, close_at).when(~tomb, F.col("valid_to")))
+          .withColumn("valid_from", F.when(tomb, close_at).otherwise(F.col("valid_from")))
+          .withColumn("scd_id", F.when(tomb, _scd_id(k, "valid_from")).otherwise(F.col("scd_id")))
+          .withColumn("updated_at", F.when(tomb, close_at).otherwise(F.col("updated_at")))
+          .withColumn("is_deleted", tomb | F.col("is_deleted")))
+    return m.select(*out_cols, *([] if flagged else ["is_deleted"]))
 
 
 # ------------------------------------------------------------------ SCD-05

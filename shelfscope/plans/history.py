@@ -50,13 +50,12 @@ def snapshot_batches(tru: DataFrame, bounds: list[dt.date], strategy: str = "tim
 def with_rescrapes(tru: DataFrame) -> DataFrame:
     """The trusted rows and two later looks at each of them: a day and a half hour later nothing has
     changed; another 24 hours and a quarter later products with a number divisible by three cost 10 cents more."""
-    shift = lambda minutes: F.timestamp_micros(F.unix_micros("scraped_at") + minutes * 60_000_000)
-    dearer = F.pmod(F.col("product_id").cast("bigint"), F.lit(3)) == 0
-    out = tru
-    for minutes, more in ((1470, 0), (2925, 10)):
-        again = tru.withColumn("scraped_at", shift(minutes)).withColumn("scraped_date", F.to_date("scraped_at"))
-        if more:
-            cents = F.round(F.col("min_price") * 100).cast("bigint")
-            again = again.withColumn("min_price", F.when(dearer, (cents + more) / 100.0).otherwise(F.col("min_price")))
-        out = out.unionByName(again)
-    return out
+    looks = F.explode(F.array(*[F.struct(F.lit(m).alias("minutes"), F.lit(c).alias("more")) for m, c in ((0, 0), (1470, 0), (2925, 10))]))
+    seen = tru.withColumn("_look", looks)  # beside each other: one scan, and rows that pack well
+    minutes, more = F.col("_look.minutes"), F.col("_look.more")
+    at = F.when(minutes == 0, F.col("scraped_at")).otherwise(F.timestamp_micros(F.unix_micros("scraped_at") + minutes.cast("bigint") * 60_000_000))
+    dearer = (more > 0) & (F.pmod(F.col("product_id").cast("bigint"), F.lit(3)) == 0)
+    cents = F.round(F.col("min_price") * 100).cast("bigint")
+    return (seen.withColumn("scraped_at", at)
+                .withColumn("scraped_date", F.when(minutes == 0, F.col("scraped_date")).otherwise(F.to_date("scraped_at")))
+                .withColumn("min_price", F.when(dearer, (cents + more) / 100.0).otherwise(F.col("min_price"))).drop("_look"))
