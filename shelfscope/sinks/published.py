@@ -77,7 +77,7 @@ class Published:
     def stage(self, name: str, rows: DataFrame) -> str:
         """Rows written to a folder of their own that no version names yet."""
         part = f"{name}/{uuid.uuid4().hex}"
-        rows.write.parquet(f"{self.base}/{part}")
+        rows.write.option("compression", "zstd").parquet(f"{self.base}/{part}")
         return part
 
     def commit(self, after: Version, tables: Mapping[str, Sequence[str]], values: Mapping[str, object]) -> Version:
