@@ -11,9 +11,8 @@ The program has at most ``length / unit`` rows whatever the corpus size and is a
 driver solves. Ranking is distributed: rank = rows in earlier hash buckets of the class +
 place in the bucket.
 
-Tokenizing: words between single blanks are encoded once per worker and kept in a bounded
-cache, which is exact because the tokenizer's pre-tokenization always splits there; texts
-with any other white space are encoded whole.
+Tokenizing: each text is encoded whole, in one call, straight to the bytes of its ids; what it
+costs depends on the text's length alone, not on how often its words come again.
 
 Defined results: null text counts as empty; an empty text has the end id alone; repeated
 rows are packed as often as they come; an empty table gives no rows.
@@ -34,7 +33,6 @@ from .common import documents, written
 
 LENGTH = 2048
 END_ID = 1
-CACHE = 300_000  # words kept per worker
 
 
 def default_tokenizer() -> str:
@@ -44,20 +42,6 @@ def default_tokenizer() -> str:
 
 # -- tokens ---------------------------------------------------------------------------------
 
-class Words(dict):
-    """Bytes (little-endian unsigned 32-bit ids) of words with their leading blank."""
-
-    def __init__(self, encode, lead: str):
-        super().__init__()
-        self.encode, self.lead = encode, lead
-
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= CACHE:
-            self.clear()
-        ids = self[word] = self.encode(self.lead + word)
-        return ids
-
-
 @lru_cache(2)
 def tokenizer(path: str):
     """Encoder of whole texts to id bytes, for a byte-level BPE in the tokenizers' JSON format."""
@@ -71,27 +55,9 @@ def tokenizer(path: str):
     special = {t["content"]: t["id"] for t in spec["added_tokens"]}
     ranks = {bytes(byte[c] for c in w): i for w, i in spec["model"]["vocab"].items() if w not in special}
     bpe = tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
-    marks = [s for s in special if s]
-
-    def whole(text: str) -> bytes:
-        return np.asarray(bpe.encode(text, allowed_special="all"), "<u4").tobytes()
-
-    first, spaced, newline = Words(whole, ""), Words(whole, " "), whole("\n")
 
     def encode(text: str) -> bytes:
-        ws = text.split()
-        single = (ws and len(ws) == text.count(" ") + text.count("\n") + 1
-                  and sum(map(len, ws)) + len(ws) - 1 == len(text))
-        if not single or any(m in text for m in marks):
-            return whole(text)
-        out = []
-        for k, line in enumerate(text.split("\n")):
-            if k:
-                out.append(newline)
-            w = line.split(" ")
-            out.append(first[w[0]])
-            out.extend(map(spaced.__getitem__, w[1:]))
-        return b"".join(out)
+        return bpe.encode_to_numpy(text, allowed_special="all").astype("<u4", copy=False).tobytes()
 
     return encode
 

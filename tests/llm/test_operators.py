@@ -290,6 +290,28 @@ def test_tokens_equal_the_tokenizer():
         assert np.frombuffer(enc(t), "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids
 
 
+def test_a_text_is_encoded_in_one_call(monkeypatch):
+    """A call for each new word cost more than the whole text does."""
+    import tiktoken
+    from tokenizers import Tokenizer
+    path = packing.default_tokenizer()
+    tok, calls = Tokenizer.from_file(path), []
+
+    def counted(f):
+        return lambda self, text, **k: calls.append(len(text)) or f(self, text, **k)
+
+    for name in ("encode", "encode_ordinary", "encode_to_numpy"):
+        monkeypatch.setattr(tiktoken.Encoding, name, counted(getattr(tiktoken.Encoding, name)))
+    enc, rng = packing.tokenizer.__wrapped__(path), random.Random(12)
+    points = [*range(1, 0x600), *range(0x2000, 0x2100), *range(0x4E00, 0x4F00), *range(0x1F300, 0x1F700)]
+    texts = [prose(rng, 2000), "a b\n" * 500, "end of it " + "<|endoftext|>" * 3 + "  ", " " * 3000, "x" + "\u3000\u00a0 " * 50]
+    texts += ["".join(map(chr, rng.choices(points, k=200))) for _ in range(200)]
+    for t in texts:
+        del calls[:]
+        assert np.frombuffer(enc(t), "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids
+        assert calls == [len(t)]
+
+
 def test_cutting_stock_is_near_the_bound():
     rng = np.random.default_rng(3)
     d = np.bincount(rng.integers(1, 65, 3000), minlength=65)
