@@ -27,23 +27,35 @@ def _changed(cols: Sequence[str], w) -> Column:
     return ~F.lag(now).over(w).eqNullSafe(now)
 
 
-def _scd_id(key: Sequence[str], ts: str) -> Column:
+def scd_id(key: Sequence[str], ts: str) -> Column:
     return F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in key], F.col(ts).cast("string")))
 
 
 def _laid(df: DataFrame, near: Sequence[str], key: Sequence[str]) -> DataFrame:
-    """``df`` in ranges of ``near`` and the key, if there is something to lie near by."""
-    return df.repartitionByRange(*near, *key) if near else df
+    """``df`` in ranges of ``near`` and the key: rows of a key and of its neighbours lie side by side and
+    pack better than dealt by a hash, in the shuffle and in what is written of them."""
+    return df.repartitionByRange(*near, *key)
+
+
+def _dealt(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """``df`` dealt by the hash of the key to a number of tasks that frames of one session share, so that a
+    union of two of them needs no further shuffle for windows over the key."""
+    conf = df.sparkSession.conf
+    parts = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) or conf.get("spark.sql.shuffle.partitions")
+    return df.repartition(int(parts), *key)
 
 
 def history_from_observations(obs: DataFrame, key: Sequence[str], ts: str, attrs: Sequence[str],
                               strategy: str = "timestamp",
-                              check_cols: Sequence[str] | None = None, near: Sequence[str] = ()) -> DataFrame:
+                              check_cols: Sequence[str] | None = None, near: Sequence[str] = (),
+                              dealt: bool = False) -> DataFrame:
     """Full SCD-2 history from all observations (one row per key and ts). ``near`` names columns
-    of ``obs`` that follow from the key: the history comes in their order, task by task, with them."""
+    of ``obs`` that follow from the key: the history comes in their order, task by task, with them.
+    ``dealt``: the history will be merged with a batch in the same plan."""
     k, n = list(key), list(near)
     w = Window.partitionBy(*n, *k).orderBy(ts)
-    base = _laid(obs.select(*n, *k, *attrs, *([] if ts in attrs else [ts])), n, k)
+    base = obs.select(*n, *k, *attrs, *([] if ts in attrs else [ts]))
+    base = _laid(base, n, k) if n else _dealt(base, k) if dealt else base
     if strategy == "timestamp":
         v = base.withColumn("valid_from", F.col(ts))
     elif strategy == "check":
@@ -54,13 +66,13 @@ def history_from_observations(obs: DataFrame, key: Sequence[str], ts: str, attrs
         raise ValueError(f"unknown strategy {strategy!r}")
     wv = Window.partitionBy(*n, *k).orderBy("valid_from")
     return (v.withColumn("valid_to", F.lead("valid_from").over(wv))
-             .withColumn("scd_id", _scd_id(k, "valid_from"))
+             .withColumn("scd_id", scd_id(k, "valid_from"))
              .withColumn("updated_at", F.col(ts)))
 
 
 def merge(history: DataFrame, batch: DataFrame, key: Sequence[str], ts: str, attrs: Sequence[str],
           strategy: str = "timestamp", check_cols: Sequence[str] | None = None,
-          hard_deletes: str = "ignore", as_of=None, near: Sequence[str] = ()) -> DataFrame:
+          hard_deletes: str = "ignore", as_of=None, near: Sequence[str] = (), dealt: bool = False) -> DataFrame:
     """Apply ``batch`` observations to ``history``; returns the new full history.
 
     hard_deletes: 'ignore' | 'invalidate' (close the current version of keys
@@ -76,7 +88,7 @@ def merge(history: DataFrame, batch: DataFrame, key: Sequence[str], ts: str, att
 
     History and batch are shuffled once, together: whether a key is in the batch and whether an
     observation is known is read off the rows of the key. ``near`` as in ``history_from_observations``,
-    of ``history`` and ``batch`` both.
+    of ``history`` and ``batch`` both. ``dealt``: ``history`` was made so in this plan, only the batch moves.
     """
     if hard_deletes != "ignore":
         if as_of is None:
@@ -93,13 +105,14 @@ def merge(history: DataFrame, batch: DataFrame, key: Sequence[str], ts: str, att
     # ids and times that follow from key and start needn't travel
     differs = lambda c, usual: F.when(~F.col(c).eqNullSafe(usual), F.struct(F.col(c)))
     old = h.select(*cols, *extra, "is_deleted", F.col("valid_from").alias("_at"), F.col("valid_to").alias("_end"),
-                   differs("scd_id", _scd_id(k, "valid_from")).alias("_id"),
+                   differs("scd_id", scd_id(k, "valid_from")).alias("_id"),
                    differs("updated_at", F.col("valid_from")).alias("_updated"), F.lit(0).alias("_new"))
     new = batch.select(*cols, F.lit(False).alias("is_deleted"), F.col(ts).cast("timestamp").alias("_at"),
                        F.lit(None).cast("timestamp").alias("_end"), F.lit(1).alias("_new"))
-    both = old.unionByName(new, allowMissingColumns=True).withColumn("_apart", F.when(nowhere, F.col("_new")).otherwise(0))
+    both = old.unionByName(_dealt(new, k) if dealt else new, allowMissingColumns=True)
+    both = both.withColumn("_apart", F.when(nowhere, F.col("_new")).otherwise(0))
     part = [*n, *k, "_apart"]
-    both = _laid(both, n, [*k, "_apart"])
+    both = both if dealt else _laid(both, n, [*k, "_apart"])
     stored = F.when((F.col("_new") == 0) & ~F.col("is_deleted"), 1)
     both = (both.withColumn("_known", F.max(stored).over(Window.partitionBy(*part, ts)))
                 .withColumn("_seen", F.max("_new").over(Window.partitionBy(*part)) == 1)
@@ -111,7 +124,7 @@ def merge(history: DataFrame, batch: DataFrame, key: Sequence[str], ts: str, att
     m = (both.withColumn("valid_from", F.col("_at"))
              # an end set by a deletion stays unless a version comes before it
              .withColumn("valid_to", F.when(seen, F.least(F.lead("_at").over(w), "_end")).otherwise(F.col("_end")))
-             .withColumn("scd_id", F.when(seen | F.col("_id").isNull(), _scd_id(k, "valid_from")).otherwise(F.col("_id.scd_id")))
+             .withColumn("scd_id", F.when(seen | F.col("_id").isNull(), scd_id(k, "valid_from")).otherwise(F.col("_id.scd_id")))
              .withColumn("updated_at", F.when(seen | F.col("_updated").isNull(), F.col("_at")).otherwise(F.col("_updated.updated_at")))
              .withColumns({c: F.when(~seen, F.col(c)) for c in extra}))
     if hard_deletes == "ignore":
@@ -124,12 +137,28 @@ def merge(history: DataFrame, batch: DataFrame, key: Sequence[str], ts: str, att
     tomb = F.col("_tomb")
     m = (m.withColumn("valid_to", F.when(F.col("_gone") & ~tomb, close_at).when(~tomb, F.col("valid_to")))
           .withColumn("valid_from", F.when(tomb, close_at).otherwise(F.col("valid_from")))
-          .withColumn("scd_id", F.when(tomb, _scd_id(k, "valid_from")).otherwise(F.col("scd_id")))
+          .withColumn("scd_id", F.when(tomb, scd_id(k, "valid_from")).otherwise(F.col("scd_id")))
           .withColumn("updated_at", F.when(tomb, close_at).otherwise(F.col("updated_at")))
           .withColumn("is_deleted", tomb | F.col("is_deleted")))
     return m.select(*out_cols, *([] if flagged else ["is_deleted"]))
 
 
+# ------------------------------------------------------------------ storage
+_FOLLOWS = ("scd_id", "updated_at")
+
+
+def packed(history: DataFrame, key: Sequence[str]) -> DataFrame:
+    """``history`` for storage: ids and times that follow from key and start are left empty."""
+    usual = {"scd_id": scd_id(key, "valid_from"), "updated_at": F.col("valid_from")}
+    return history.withColumns({c: F.when(~F.col(c).eqNullSafe(usual[c]), F.struct(F.col(c))) for c in _FOLLOWS})
+
+
+def unpacked(stored: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The history that ``packed`` has stored."""
+    usual = {"scd_id": scd_id(key, "valid_from"), "updated_at": F.col("valid_from")}
+    return stored.withColumns({c: F.when(F.col(c).isNull(), usual[c]).otherwise(F.col(c)[c]) for c in _FOLLOWS})
+
+
 # ------------------------------------------------------------------ SCD-05
 def current_versions(hist: DataFrame) -> DataFrame:
     return hist.where(F.col("valid_to").isNull())

@@ -16,11 +16,11 @@ ATTRS = ["product_name", "brand", "min_price", "avg_price", "max_price", "min_li
 WATCHED = ["min_price", "avg_price", "max_price", "min_list_price", "is_available"]
 
 
-def snap_product_prices(tru: DataFrame, strategy: str = "timestamp") -> DataFrame:
+def snap_product_prices(tru: DataFrame, strategy: str = "timestamp", dealt: bool = False) -> DataFrame:
     """M-21: SCD-2 history keyed by product x store x region (decision: a
     3-column key, not the reference's separator-less concatenation)."""
     return scd.history_from_observations(tru, KEY, "scraped_at", ATTRS, strategy=strategy,
-                                         check_cols=WATCHED)
+                                         check_cols=WATCHED, dealt=dealt)
 
 
 def incremental_snapshot(tru: DataFrame, cutoff: dt.date, strategy: str = "timestamp",
@@ -28,9 +28,9 @@ def incremental_snapshot(tru: DataFrame, cutoff: dt.date, strategy: str = "times
     """History built up to ``cutoff`` then merged with the later observations."""
     before = tru.where(F.col("scraped_date") < F.lit(cutoff))
     after = tru.where(F.col("scraped_date") >= F.lit(cutoff))
-    hist = snap_product_prices(before, strategy)
+    hist = snap_product_prices(before, strategy, dealt=True)
     return scd.merge(hist, after, KEY, "scraped_at", ATTRS, strategy=strategy, check_cols=WATCHED,
-                     hard_deletes=hard_deletes, as_of=as_of)
+                     hard_deletes=hard_deletes, as_of=as_of, dealt=True)
 
 
 def snapshot_batches(tru: DataFrame, bounds: list[dt.date], strategy: str = "timestamp",
@@ -39,11 +39,12 @@ def snapshot_batches(tru: DataFrame, bounds: list[dt.date], strategy: str = "tim
     batch is complete at its upper bound, where keys that it lacks count as deleted. Each
     step's history is written, as a run would, so the plan doesn't grow with the steps."""
     day = F.col("scraped_date")
-    hist = snap_product_prices(tru.where(day < F.lit(bounds[0])), strategy)
-    for low, high in zip(bounds, bounds[1:]):
+    hist = snap_product_prices(tru.where(day < F.lit(bounds[0])), strategy, dealt=True)
+    for i, (low, high) in enumerate(zip(bounds, bounds[1:])):
         batch = tru.where((day >= F.lit(low)) & (day < F.lit(high)))
-        hist = written(scd.merge(hist, batch, KEY, "scraped_at", ATTRS, strategy=strategy, check_cols=WATCHED,
-                                 hard_deletes=hard_deletes, as_of=dt.datetime.combine(high, dt.time(0))), "snapshot")
+        new = scd.merge(hist, batch, KEY, "scraped_at", ATTRS, strategy=strategy, check_cols=WATCHED, hard_deletes=hard_deletes,
+                        as_of=dt.datetime.combine(high, dt.time(0)), dealt=i == 0)
+        hist = scd.unpacked(written(scd.packed(new, KEY), "snapshot"), KEY)
     return hist
 
 

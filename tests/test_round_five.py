@@ -58,3 +58,24 @@ OBS = "k string, region string, price double, scraped_at timestamp"
 
 def _obs(spark, rows):
     return spark.createDataFrame([(k, r, p, AT + dt.timedelta(days=d)) for k, r, p, d in rows], OBS)
+
+
+def test_history_and_batch_of_one_plan_are_shuffled_once(spark):
+    before = _obs(spark, [("a", "x", 1.0, 0), ("a", "x", 2.0, 1), ("b", "x", 1.0, 0), (None, "x", 1.0, 0)])
+    batch = _obs(spark, [("a", "x", 2.0, 2), ("c", "y", 5.0, 2), (None, "x", 3.0, 2)])
+    key, known = ["k", "region"], {"hard_deletes": "new_record", "as_of": AT + dt.timedelta(days=9)}
+    merged = [scd.merge(scd.history_from_observations(before, key, "scraped_at", ["price", "scraped_at"], dealt=dealt), batch, key,
+                        "scraped_at", ["price", "scraped_at"], dealt=dealt, **known) for dealt in (True, False)]
+    assert _plan(merged[0]).count("Exchange ") == 2     # the history's rows and the batch's, each once
+    assert sorted(map(str, merged[0].collect())) == sorted(map(str, merged[1].collect()))
+
+
+def test_stored_history_leaves_out_what_follows_from_key_and_start(spark):
+    key = ["k", "region"]
+    h = scd.history_from_observations(_obs(spark, [("a", "x", 1.0, 0), ("a", "x", 2.0, 1)]), key, "scraped_at", ["price", "scraped_at"])
+    h = h.unionByName(h.withColumn("scd_id", F.lit(None).cast("string"))).unionByName(
+        h.withColumn("scd_id", F.lit("own")).withColumn("updated_at", F.lit(AT)))
+    stored = scd.packed(h, key)
+    assert stored.where(F.col("scd_id").isNull()).count() == 2
+    back = scd.unpacked(stored, key)
+    assert back.columns == h.columns and sorted(map(str, back.collect())) == sorted(map(str, h.collect()))
