@@ -79,3 +79,21 @@ def test_stored_history_leaves_out_what_follows_from_key_and_start(spark):
     assert stored.where(F.col("scd_id").isNull()).count() == 2
     back = scd.unpacked(stored, key)
     assert back.columns == h.columns and sorted(map(str, back.collect())) == sorted(map(str, h.collect()))
+
+
+def test_a_products_keys_lie_in_one_bucket(spark, tmp_path):
+    rows = [(f"p{i % 5}", f"r{i % 8}", float(i % 3), i % 6) for i in range(240)]
+    obs = _obs(spark, rows).dropDuplicates(["k", "region", "scraped_at"])
+    obs.where(F.col("scraped_at") < F.lit(AT + dt.timedelta(days=3))).coalesce(1).write.parquet(f"{tmp_path}/src")
+    key, attrs = ["k", "region"], ["price", "scraped_at"]
+
+    def feed():
+        return J.price_change_feed(spark, spark.readStream.schema(OBS).parquet(f"{tmp_path}/src"), key, "scraped_at", attrs,
+                                   f"{tmp_path}/h", f"{tmp_path}/ck", bucket_rows=20, near=["k"])
+    feed()
+    obs.where(F.col("scraped_at") >= F.lit(AT + dt.timedelta(days=3))).coalesce(1).write.mode("append").parquet(f"{tmp_path}/src")
+    hist = feed()
+    want = scd.history_from_observations(obs, key, "scraped_at", attrs, strategy="check")
+    assert sorted(map(str, hist.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+    homes = hist.withColumn("f", F.regexp_extract(F.input_file_name(), "_bucket=(b[01]*)", 1)).groupBy("k").agg(F.count_distinct("f").alias("n"))
+    assert hist.select(F.input_file_name()).distinct().count() > 1 and {r.n for r in homes.collect()} == {1}
