@@ -38,6 +38,16 @@ def test_trusted_rows_are_shuffled_once_while_narrow(spark, tmp_path):
     assert sorted(map(str, once.collect())) == sorted(map(str, twice.collect()))
 
 
+def test_landed_rows_are_clustered_while_narrow(spark, tmp_path):
+    sf = _driver(spark, tmp_path)
+    rows = adapter.bronze_products(spark, sf, lambda df: df.hint("rebalance", *W.BRONZE_PARTITIONS))
+    wide = adapter.bronze_products(spark, sf)
+    assert rows.columns == wide.columns and rows.schema == wide.schema
+    assert sorted(map(str, rows.collect())) == sorted(map(str, wide.collect()))
+    plan = _plan(rows)
+    assert plan.index("https://www.") < plan.index("REBALANCE")      # names and addresses are made above the shuffle
+
+
 def test_growing_tables_are_never_broadcast_by_the_size_of_packed_files(spark, tmp_path):
     hot = [("1", "fort", "r", AT.date(), 5.0, 40.0), ("2", "fort", "r", AT.date(), 5.0, 40.0), (None, "fort", "r", AT.date(), 5.0, 40.0)]
     spark.createDataFrame(hot, "product_id string, supermarket string, region string, scraped_date date, promotional_price double, "
@@ -97,3 +107,20 @@ def test_a_products_keys_lie_in_one_bucket(spark, tmp_path):
     assert sorted(map(str, hist.select(*want.columns).collect())) == sorted(map(str, want.collect()))
     homes = hist.withColumn("f", F.regexp_extract(F.input_file_name(), "_bucket=(b[01]*)", 1)).groupBy("k").agg(F.count_distinct("f").alias("n"))
     assert hist.select(F.input_file_name()).distinct().count() > 1 and {r.n for r in homes.collect()} == {1}
+
+
+def test_late_records_are_found_from_their_keys(spark, tmp_path):
+    schema = "k string, scraped_date date, scraped_at timestamp, run_id string, price double"
+    day = lambda k, d, h, run, p: (k, (AT + dt.timedelta(days=d)).date(), AT + dt.timedelta(days=d, hours=h), run, p)
+    files = [[day("a", 0, 1, "r1", 1.0), day(None, 0, 1, "r1", 7.0)], [day("b", 30, 1, "r1", 2.0)], [day("c", 31, 1, "r1", 2.5)],
+             [day("a", 0, 5, "r2", 3.0), day("a", 0, 0, "r2", 4.0), day("z", 0, 2, "r2", 5.0)]]
+    for i, rows in enumerate(files):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/src")
+        stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/src")
+        out = J.upsert_latest(spark, stream, ["k", "scraped_date"], "scraped_at", f"{tmp_path}/t", f"{tmp_path}/ck", f"{tmp_path}/late",
+                              ties=["run_id"])
+    assert {(r.k, r.price) for r in out.collect()} == {("a", 1.0), (None, 7.0), ("b", 2.0), ("c", 2.5)}
+    late = spark.read.parquet(f"{tmp_path}/late")
+    assert sorted((str(r.k), r.price) for r in late.collect()) == [("None", 7.0), ("a", 3.0), ("z", 5.0)]
+    touched = J._touched(spark, f"{tmp_path}/t", spark.createDataFrame(files[0], schema), "scraped_date")
+    assert "SortMergeJoin" not in _plan(touched) and "BroadcastHashJoin" in _plan(touched)
