@@ -63,6 +63,21 @@ def test_growing_tables_are_never_broadcast_by_the_size_of_packed_files(spark, t
         ("1", "u0", "active"), ("2", "None", "no_url"), ("None", "None", "no_url")]
 
 
+def test_gzipped_lines_are_bounded_and_found(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(W, "GZIP_LINES", 10)
+    rows = spark.range(25).select(F.col("id").cast("string").alias("productId")).coalesce(1)
+    schema = rows.schema
+    W.gzipped(rows).json(f"{tmp_path}/x/batches")
+    assert len(glob.glob(f"{tmp_path}/x/batches/part-*.json.gz")) == 3
+    assert bronze.discover_jsonl(spark, f"{tmp_path}/x", schema).count() == 25
+    W.write_full_jsonl(rows, f"{tmp_path}/x/full", gzip=True)
+    assert len(glob.glob(f"{tmp_path}/x/full/*_full.jsonl.gz")) == 3
+    found = bronze.discover_jsonl(spark, f"{tmp_path}/x", schema)
+    assert found.count() == 25 and found.where(~F.col("filename").contains("_full.jsonl")).count() == 0
+    W.write_full_jsonl(rows, f"{tmp_path}/y/full")
+    assert bronze.discover_jsonl(spark, f"{tmp_path}/y", schema).count() == 25
+
+
 OBS = "k string, region string, price double, scraped_at timestamp"
 
 
